@@ -25,11 +25,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
 
 
+#: Spark removes the shuffle files of a query when it ends, if this is set; :func:`cut` sets it for its own writes.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: its lineage ends there, and no executor's loss can take it."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written as a table in the shared folder and read again: its lineage ends there, and no executor's loss can take it.
+
+    What the write has shuffled is of no use afterwards and is removed at once, so that disk holds one step's shuffle only.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:

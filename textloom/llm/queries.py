@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, mixing, neardup, quality
+from textloom.llm import decontam, mixing, neardup, quality, substrings
 from textloom.llm.sql import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -36,9 +36,17 @@ def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated", "longest")
 
 
+def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.with_kept(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    n_removed = n_bytes - F.octet_length("kept").cast("long")
+    return rows.select("doc_id", n_bytes.alias("n_bytes"), n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_line_frequency": op2_line_frequency,
     "op4_chosen_path_join": op4_chosen_path_join,
     "op7_suffix_decontamination": op7_suffix_decontamination,
+    "op9_suffix_sort": op9_suffix_sort,
 }
