@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -25,22 +26,26 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
 
 
-#: Spark removes the shuffle files of a query when it ends, if this is set; :func:`cut` sets it for its own writes.
+#: Spark removes the shuffle files of a query when it ends, if this is set.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: its lineage ends there, and no executor's loss can take it.
-
-    What the write has shuffled is of no use afterwards and is removed at once, so that disk holds one step's shuffle only.
-    """
-    spark, path = df.sparkSession, shared_folder(df.sparkSession)
+@contextlib.contextmanager
+def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """What a query in this block has shuffled is removed when it ends, so that disk holds one step's shuffle only."""
     before = spark.conf.get(_CLEAN, "false")
     spark.conf.set(_CLEAN, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(_CLEAN, before)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: its lineage ends there, and no executor's loss can take it."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
+    with without_shuffle_files(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

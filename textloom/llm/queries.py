@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, mixing, neardup, quality, substrings
+from textloom.llm import decontam, mixing, neardup, quality, substrings, warc
 from textloom.llm.sql import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -25,6 +25,11 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op3_transaction_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), "refers_to")
+
+
 def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = neardup.components_of(_table(spark, sf_dir, "documents"))
     kept = F.col("id") == F.col("component")
@@ -46,6 +51,7 @@ def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_line_frequency": op2_line_frequency,
+    "op3_transaction_assembly": op3_transaction_assembly,
     "op4_chosen_path_join": op4_chosen_path_join,
     "op7_suffix_decontamination": op7_suffix_decontamination,
     "op9_suffix_sort": op9_suffix_sort,

@@ -86,6 +86,17 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words - removed_words < 0.3 * n_words) AS kept FROM told
 """
 
+OP3 = """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), named AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM named
+"""
+
 OP4 = rf"""
 WITH RECURSIVE base AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS words FROM documents
@@ -142,4 +153,4 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(w.n, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN words_hit w USING (doc_id) LEFT JOIN found f USING (doc_id) LEFT JOIN longest l USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_pareto_mix": OP1, "op2_line_frequency": OP2, "op4_chosen_path_join": OP4, "op7_suffix_decontamination": OP7}
+ORACLE_SQL = {"op1_pareto_mix": OP1, "op2_line_frequency": OP2, "op3_transaction_assembly": OP3, "op4_chosen_path_join": OP4, "op7_suffix_decontamination": OP7}
