@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, mixing, neardup, quality, substrings, warc
+from textloom.llm import chat, decontam, html, mixing, neardup, quality, substrings, warc
 from textloom.llm.sql import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -36,6 +36,16 @@ def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.col("n_shingles").cast("long"), F.col("component").alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"))
 
 
+def op5_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html.with_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.render(_table(spark, sf_dir, "conversations"))
+    return rows.select(F.col("conv").alias("conv_id"), "n_turns", "n_copies", "part", "text")
+
+
 def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontam.summary(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated", "longest")
@@ -53,6 +63,8 @@ QUERIES = {
     "op2_line_frequency": op2_line_frequency,
     "op3_transaction_assembly": op3_transaction_assembly,
     "op4_chosen_path_join": op4_chosen_path_join,
+    "op5_site_templates": op5_site_templates,
+    "op6_snapshot_collapse": op6_snapshot_collapse,
     "op7_suffix_decontamination": op7_suffix_decontamination,
     "op9_suffix_sort": op9_suffix_sort,
 }

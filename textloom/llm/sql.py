@@ -121,6 +121,27 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(low, doc_id)::BIGI
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN named ON node = doc_id
 """
 
+OP6 = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place,
+    '<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS line,
+    coalesce('r' || role, '-') || chr(31) || coalesce('t' || text, '-') AS spelt FROM turns
+), prefixes AS (
+  SELECT *, string_agg(spelt, chr(30)) OVER (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS prefix,
+    max(place) OVER (PARTITION BY conv_id) AS n_turns, sum(length(line)) OVER (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING) - length(line) AS before
+  FROM placed
+), ends AS (
+  SELECT conv_id, n_turns, prefix FROM prefixes WHERE place = n_turns
+), kept AS (
+  SELECT min(conv_id) AS conv_id, n_turns, count(*) AS n_copies FROM ends e
+  WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.place < p.n_turns AND p.prefix = e.prefix) GROUP BY n_turns, prefix
+)
+SELECT p.conv_id, k.n_turns, k.n_copies, (before // 1048576)::BIGINT AS part, string_agg(line, '' ORDER BY place) AS text
+FROM prefixes p JOIN kept k USING (conv_id) GROUP BY ALL
+"""
+
 OP7 = rf"""
 WITH items AS (
   SELECT item_id, words, least(len(words), 10)::BIGINT AS size FROM (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS words FROM benchmark)
@@ -153,4 +174,4 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(w.n, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN words_hit w USING (doc_id) LEFT JOIN found f USING (doc_id) LEFT JOIN longest l USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_pareto_mix": OP1, "op2_line_frequency": OP2, "op3_transaction_assembly": OP3, "op4_chosen_path_join": OP4, "op7_suffix_decontamination": OP7}
+ORACLE_SQL = {"op1_pareto_mix": OP1, "op2_line_frequency": OP2, "op3_transaction_assembly": OP3, "op4_chosen_path_join": OP4, "op6_snapshot_collapse": OP6, "op7_suffix_decontamination": OP7}
