@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat, decontam, html, mixing, neardup, quality, substrings, warc
+from textloom.llm import chat, decontam, html, licenses, mixing, neardup, quality, substrings, warc
 from textloom.llm.sql import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -51,6 +51,11 @@ def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated", "longest")
 
 
+def op8_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.with_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return rows.drop("detections")
+
+
 def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substrings.with_kept(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -66,5 +71,6 @@ QUERIES = {
     "op5_site_templates": op5_site_templates,
     "op6_snapshot_collapse": op6_snapshot_collapse,
     "op7_suffix_decontamination": op7_suffix_decontamination,
+    "op8_signature_rules": op8_signature_rules,
     "op9_suffix_sort": op9_suffix_sort,
 }
