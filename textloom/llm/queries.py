@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat, decontam, html, licenses, mixing, neardup, quality, substrings, warc
+from textloom.llm import chat, decontam, html, licenses, mixing, neardup, pii, quality, substrings, warc
 from textloom.llm.sql import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -22,7 +22,7 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(_table(spark, sf_dir, "documents"))
+    return quality.judge(_table(spark, sf_dir, "documents")).drop("__host", "__hash")
 
 
 def op3_transaction_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,14 @@ def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", n_bytes.alias("n_bytes"), n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.sanitised(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "masked")
+    told = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.filter("spans", lambda x: x["kind"] != "term")
+    number = [F.size(F.array_remove(F.transform("spans", lambda x: F.when(x["kind"] == k, 1).otherwise(0)), 0)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return rows.select("doc_id", *number, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_line_frequency": op2_line_frequency,
@@ -73,4 +81,5 @@ QUERIES = {
     "op7_suffix_decontamination": op7_suffix_decontamination,
     "op8_signature_rules": op8_signature_rules,
     "op9_suffix_sort": op9_suffix_sort,
+    "op10_disclosure": op10_disclosure,
 }
