@@ -1,6 +1,494 @@
-"""Named queries of the corpus operators and the same in SQL."""
+"""Named queries over the test tables: each applies operators of the library to whole tables, beside the same in SQL.
+
+Stand-ins: html of ``pages`` is raw text, ``documents`` are full texts, turns of ``conversations`` are ordered lines with a level
+by role, ``labels`` are sparse metadata and an earlier run's status, ``events`` are the log (user_id the document, event_type the
+kind), ``embeddings`` are vectors.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from textloom.functions import text as X
+from textloom.operators import discovery, fragments, indexes, metrics, packing, structure
+from textloom.plans import ingestion
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None):
+    def add(f: Callable) -> Callable:
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- texts ---------------------------------------------------------------------------------------------------------
+
+_S = r"[ \t\n\x0B\f\r\x1C-\x1F]"
+
+
+def _clean(c: str) -> str:
+    c = f"replace(replace(replace(regexp_replace({c}, '<[^>]+>', '', 'g'), '''', ', '), '（', '('), '）', ')')"
+    for a, b in ((f"{_S}*/{_S}*", "/"), (rf"\({_S}+", "("), (rf"{_S}+\)", ")"), (f",{_S}+,", ",")):
+        c = f"regexp_replace({c}, '{a}', '{b}', 'g')"
+    return f"trim(regexp_replace(replace({c}, '－', '-'), '{_S}+', ' ', 'g'), ' ')"
+
+
+@_query(f"SELECT page_id, {_clean('html')} AS cleaned FROM pages")
+def clean_text_pages(t):
+    return t("pages").select("page_id", X.clean(F.col("html")).alias("cleaned"))
+
+
+@_query(f"""
+WITH c AS (SELECT html, {_clean("html")} AS x FROM pages), m AS (SELECT length(x) AS n, (length(x) + 1) // 2 AS tokens, length(html) - length(replace(html, '|', '')) > 2 AS is_table FROM c)
+SELECT CASE WHEN n < 10 THEN 'short' WHEN n <= 1500 THEN 'paragraph' WHEN n <= 14000 THEN 'long' ELSE 'over' END AS class, is_table,
+  count(*)::BIGINT AS pages, sum(n)::BIGINT AS chars, sum(tokens)::BIGINT AS tokens, max(n)::INT AS longest FROM m GROUP BY ALL""")
+def clean_page_classes(t):
+    return ingestion.page_classes(t("pages"))
+
+
+@_query("SELECT page_id, length(regexp_replace(html, '<[^>]+>', '', 'g'))::BIGINT AS n FROM pages")
+def strip_tags_length(t):
+    return t("pages").select("page_id", F.length(F.regexp_replace("html", "<[^>]+>", "")).cast("long").alias("n"))
+
+
+@_query("SELECT doc_id, (length(text) - length(replace(text, '|', '')) > 2) AS is_table FROM documents")
+def table_flag(t):
+    return t("documents").select("doc_id", X.is_table(F.col("text")).alias("is_table"))
+
+
+@_query("SELECT doc_id, ((length(text) + 1) // 2)::INT AS tokens FROM documents")
+def token_estimate(t):
+    return t("documents").select("doc_id", X.tokens(F.col("text")).alias("tokens"))
+
+
+@_query(f"""SELECT doc_id, CASE WHEN length(x) <= 14000 THEN x ELSE '' END AS full_text, ((length(x) + 1) // 2)::INT AS token_count
+FROM (SELECT doc_id, trim(regexp_replace(text, '{_S}+', ' ', 'g'), ' ') AS x FROM documents)""")
+def fulltext_eligibility(t):
+    rows = t("documents").select(F.col("doc_id").alias("doc"), F.lit(1).alias("chunk_seq"), "text")
+    return fragments.full_texts(rows).withColumnRenamed("doc", "doc_id")
+
+
+def _spelt(sql: str, boundary: str, keep: bool = True) -> str:
+    """A list of stripped pieces that are not blank, in SQL; the mark is put after the boundary, as SQL's patterns do not look back."""
+    mark = rf"regexp_replace({sql}, '({boundary})', '\1' || chr(1), 'g')"
+    return f"list_filter(list_transform(string_split({mark}, chr(1)), lambda x: regexp_replace(x, '^{_S}+|{_S}+$', '', 'g')), lambda x: x <> '')"
+
+
+@_query(f"SELECT doc_id, (i - 1)::INT AS sentence_index, s[i] AS sentence FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, {_spelt('text', '[。！？.!?]')} AS s FROM documents)) WHERE length(s[i]) >= 2")
+def sentences(t):
+    rows = t("documents").select("doc_id", F.posexplode(X.sentences(F.col("text"))).alias("sentence_index", "sentence"))
+    return rows.filter(F.length("sentence") >= X.MIN_SENTENCE)
+
+
+@_query(f"""
+WITH s AS (SELECT doc_id, CASE WHEN length(t) > 1500 THEN list_transform({_spelt("replace(t, '。', '。' || chr(10))", chr(10))}, lambda x: CASE WHEN x[-1] = '。' THEN x ELSE x || '。' END)
+  ELSE [t] END AS s FROM (SELECT doc_id, replace(text, '. ', '。') AS t FROM documents))
+SELECT doc_id, (i - 1)::INT AS at, s[i] AS piece FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM s)""")
+def long_paragraph_split(t):
+    text = F.replace("text", F.lit(". "), F.lit("。"))
+    return t("documents").select("doc_id", F.posexplode(X.split_long(text)).alias("at", "piece"))
+
+
+_SMALL = 400
+
+
+@_query(f"""
+WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(length(text), 1), {_SMALL})) AS o FROM documents)
+SELECT doc_id, (o // {_SMALL})::INT AS n, piece FROM (SELECT doc_id, o, regexp_replace(substr(text, o + 1, {_SMALL}), '^{_S}+|{_S}+$', '', 'g') AS piece FROM c) WHERE piece <> ''""")
+def hard_cut(t):
+    return t("documents").select("doc_id", F.posexplode(X.hard_cut(F.col("text"), _SMALL)).alias("n", "piece"))
+
+
+def _cascade(size: int) -> str:
+    parts = f"[regexp_replace(text, '^{_S}+|{_S}+$', '', 'g')]"
+    for boundary in (r"\n\n", "[。！？.!?]", "[；;：:，,、]", _S):
+        parts = f"flatten(list_transform({parts}, lambda p: CASE WHEN length(p) <= {size} THEN [p] ELSE {_spelt('p', boundary)} END))"
+    windows = f"list_filter(list_transform(range(0, greatest(length(p), 1), {size}), lambda k: regexp_replace(substr(p, k + 1, {size}), '^{_S}+|{_S}+$', '', 'g')), lambda x: x <> '')"
+    return f"flatten(list_transform({parts}, lambda p: CASE WHEN length(p) <= {size} THEN [p] ELSE {windows} END))"
+
+
+@_query(f"""
+WITH RECURSIVE p AS (SELECT doc_id, {_cascade(_SMALL)} AS parts FROM documents), l AS (SELECT doc_id, i, parts[i] AS x FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM p)),
+g AS (
+  SELECT doc_id, i, 0 AS n, length(x) AS used FROM l WHERE i = 1
+  UNION ALL SELECT l.doc_id, l.i, CASE WHEN used + length(x) > {_SMALL} THEN n + 1 ELSE n END, CASE WHEN used + length(x) > {_SMALL} THEN length(x) ELSE used + length(x) END FROM g JOIN l ON l.doc_id = g.doc_id AND l.i = g.i + 1
+)
+SELECT doc_id, n::INT AS fragment_index, regexp_replace(string_agg(x, '' ORDER BY i), '^{_S}+|{_S}+$', '', 'g') AS fragment FROM g JOIN l USING (doc_id, i) GROUP BY doc_id, n""")
+def safe_fragments(t):
+    return t("documents").select("doc_id", F.posexplode(X.safe_fragments(F.col("text"), _SMALL)).alias("fragment_index", "fragment"))
+
+
+@_query("SELECT item_id, doc_id, trim(b.text || ' ' || substr(d.text, 1, 40)) AS both FROM benchmark b JOIN documents d ON b.item_id = d.doc_id")
+def bilingual_concat(t):
+    rows = t("benchmark").select("item_id", F.col("text").alias("a")).join(t("documents").select("doc_id", F.substring("text", 1, 40).alias("b")), F.col("item_id") == F.col("doc_id"))
+    return rows.select("item_id", "doc_id", fragments.two_languages(F.col("a"), F.col("b")).alias("both"))
+
+
+_NAME = "'/data/' || source || '/temp_a1b2c3_' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.PDF' ELSE '.pdf' END"
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    end = F.when(F.col("doc_id") % 2 == 0, ".PDF").otherwise(".pdf")
+    return docs.withColumn("path", F.concat(F.lit("/data/"), F.col("source"), F.lit("/temp_a1b2c3_"), F.col("doc_id").cast("string"), end))
+
+
+@_query(f"SELECT doc_id, doc_id::VARCHAR AS lngid, substr(sha256(substr({_NAME}, 7)), 1, 20) AS key FROM documents")
+def doc_keys(t):
+    rows = _named(t("documents"))
+    return discovery.identified(rows, root="/data").join(rows.select("path", "doc_id"), "path").select("doc_id", "lngid", "key")
+
+
+# --- structure -----------------------------------------------------------------------------------------------------
+
+
+@_query(f"""SELECT doc_id, (i - 1)::INT AS pos, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))
+WHERE regexp_replace(l[i], '^{_S}+|{_S}+$', '', 'g') <> ''""")
+def line_explode(t):
+    return structure.lines(t("documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
+
+
+@_query(f"""SELECT count(*)::BIGINT AS lines, min(length(line))::INT AS shortest, max(length(line))::INT AS longest, sum(length(line))::BIGINT AS chars
+FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_replace(line, '^{_S}+|{_S}+$', '', 'g') <> ''""")
+def nonblank_line_stats(t):
+    n = F.length("line")
+    return structure.lines(t("documents"), "doc_id", "text").agg(F.count(F.lit(1)).alias("lines"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.sum(n.cast("long")).alias("chars"))
+
+
+def _turns(t) -> DataFrame:
+    """Turns as lines of Markdown: a heading of the role's level, with a page tag on every third turn."""
+    level = F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3)
+    title = F.replace(F.substring("text", 1, 30), F.lit("\n"), F.lit(" "))
+    tag = F.when(F.col("turn") % 3 == 0, F.concat(F.lit(" (p."), F.col("turn").cast("string"), F.lit(")"))).otherwise("")
+    return t("conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("pos"), F.concat(F.repeat(F.lit("#"), level), F.lit(" "), title, tag).alias("line"), "text")
+
+
+_TURNS = f"""turns AS (
+  SELECT conv_id, turn, text, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 END AS level, regexp_replace(replace(substr(text, 1, 30), chr(10), ' '), '^{_S}+|{_S}+$', '', 'g') AS title FROM conversations
+)"""
+
+
+@_query(f"WITH {_TURNS} SELECT conv_id, turn, level::INT AS level, {_clean('title')} AS title, CASE WHEN turn % 3 = 0 THEN turn ELSE 1 END::INT AS page_num FROM turns")
+def heading_lines(t):
+    rows = structure.headings(_turns(t))
+    return rows.select(F.col("doc").alias("conv_id"), F.col("pos").alias("turn"), "level", "title", "page_num")
+
+
+_UP = f"""WITH {_TURNS}, last AS (
+  SELECT *, max(CASE WHEN level = 1 THEN turn END) OVER w AS a, max(CASE WHEN level = 2 THEN turn END) OVER w AS b, max(CASE WHEN level = 3 THEN turn END) OVER w AS c
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)
+), up AS (
+  SELECT conv_id, turn, level, list_filter([a, CASE WHEN b > coalesce(a, -1) THEN b END, CASE WHEN c > coalesce(a, -1) AND c > coalesce(b, -1) THEN c END], lambda x: x IS NOT NULL) AS up FROM last
+)"""
+
+
+@_query(f"""{_UP} SELECT u.conv_id, u.turn, string_agg({_clean("t.title")}, ' > ' ORDER BY t.turn) AS path, count(*)::INT AS depth
+FROM (SELECT conv_id, turn, unnest(up) AS at FROM up) u JOIN turns t ON t.conv_id = u.conv_id AND t.turn = u.at GROUP BY ALL""")
+def section_ancestors(t):
+    rows = structure.headings(_turns(t))
+    rows = structure.enclosing(rows, title=F.col("title"))
+    return rows.select(F.col("doc").alias("conv_id"), F.col("pos").alias("turn"), structure.path_of(F.col("up")).alias("path"), F.size("up").alias("depth"))
+
+
+@_query(f"{_UP} SELECT len(up)::INT AS depth, level::INT AS level, count(*)::BIGINT AS sections FROM up GROUP BY ALL")
+def section_depth_hist(t):
+    rows = structure.enclosing(structure.headings(_turns(t)), title=F.col("title"))
+    return rows.groupBy(F.size("up").alias("depth"), "level").agg(F.count(F.lit(1)).alias("sections"))
+
+
+def _markdown(t) -> DataFrame:
+    """Each conversation as one Markdown document: a heading for each turn, with its text below."""
+    rows = _turns(t).withColumn("part", F.concat("line", F.lit("\n"), F.col("text")))
+    told = F.array_sort(F.collect_list(F.struct("pos", "part")))
+    return rows.groupBy(F.col("doc").cast("string").alias("doc")).agg(F.array_join(F.transform(told, lambda x: x["part"]), "\n").alias("markdown"))
+
+
+_LINES = f"list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^{_S}+|{_S}+$', '', 'g') <> '')"
+
+
+@_query(f"WITH {_TURNS} SELECT conv_id::VARCHAR AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS n, regexp_replace(array_to_string({_LINES}, chr(10)), '^{_S}+|{_S}+$', '', 'g') AS content FROM turns")
+def section_content(t):
+    rows = structure.sections(structure.headings(structure.lines(_markdown(t))))
+    return rows.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("pos")).alias("n"), "content")
+
+
+@_query(None)
+def chunks(t):
+    return structure.chunks(_markdown(t))
+
+
+@_query(f"""WITH {_TURNS} SELECT conv_id::VARCHAR AS doc, count(*) FILTER (length(x) >= 10)::BIGINT AS chunks,
+  sum(length({_clean("x")})) FILTER (length(x) >= 10)::BIGINT AS chars
+FROM (SELECT conv_id, regexp_replace(array_to_string({_LINES}, chr(10)), '^{_S}+|{_S}+$', '', 'g') AS x FROM turns) GROUP BY ALL HAVING count(*) FILTER (length({_clean("x")}) > 1500) = 0 AND count(*) FILTER (length(x) >= 10) > 0""")
+def short_chunk_totals(t):
+    rows = structure.chunks(_markdown(t)).groupBy("doc").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.length("text").cast("long")).alias("chars"))
+    long = structure.sections(structure.headings(structure.lines(_markdown(t)))).filter(F.length(X.clean(F.col("content"))) > X.MAX_PARAGRAPH)
+    return rows.join(long.select("doc").distinct(), "doc", "left_anti")
+
+
+_PAGE_TITLE = "replace(substr(text, 1, 30), chr(10), ' ') || ' (p.' || turn || ')'"
+
+
+@_query(f"SELECT conv_id, turn, turn::INT AS page_num, {_clean(f'''regexp_replace(replace(substr(text, 1, 30), chr(10), ' '), '^{_S}+|{_S}+$', '', 'g')''')} AS title FROM conversations")
+def page_tag_extract(t):
+    line = F.concat(F.lit("# "), F.replace(F.substring("text", 1, 30), F.lit("\n"), F.lit(" ")), F.lit(" (p."), F.col("turn").cast("string"), F.lit(")"))
+    rows = structure.headings(t("conversations").select("conv_id", "turn", line.alias("line")))
+    return rows.select("conv_id", "turn", "page_num", "title")
+
+
+_WORDS = ["Methods", "Results", "Introduction", "Latest news", "References", "Appendix", "Related work", "Conclusion"]
+_PATHS = "[" + ", ".join(f"'{w}'" for w in _WORDS) + "]"
+
+
+def _titled(t) -> DataFrame:
+    words = F.array(*map(F.lit, _WORDS))
+    return t("conversations").withColumn("path", F.concat_ws(" > ", F.element_at(words, (F.col("conv_id") % 8 + 1).cast("int")), F.element_at(words, (F.col("turn") % 8 + 1).cast("int"))))
+
+
+def _case(c: str, pairs, value, other: str) -> str:
+    test = lambda words: " OR ".join(f"contains({c}, '{w}')" for w in words)
+    return "CASE " + " ".join(f"WHEN {test(words)} THEN {value(name)}" for name, words in pairs) + f" ELSE {other} END"
+
+
+@_query(f"""SELECT conv_id, turn, {_case("lower(path)", structure.TYPES, lambda n: f"'{n}'", "'正文'")} AS section_type
+FROM (SELECT conv_id, turn, {_PATHS}[conv_id % 8 + 1] || ' > ' || {_PATHS}[turn % 8 + 1] AS path FROM conversations)""")
+def section_type_map(t):
+    return _titled(t).select("conv_id", "turn", structure.section_type(F.col("path")).alias("section_type"))
+
+
+@_query(f"""SELECT conv_id, turn, {_case("lower(path)", structure.SPECIAL, lambda n: f"'[{n}] ' || path", "path")} AS title
+FROM (SELECT conv_id, turn, {_PATHS}[conv_id % 8 + 1] || ' > ' || {_PATHS}[turn % 8 + 1] AS path FROM conversations)""")
+def special_section_mark(t):
+    return _titled(t).select("conv_id", "turn", structure.special_mark(F.col("path")).alias("title"))
+
+
+@_query(f"""
+WITH l AS (SELECT conv_id, string_agg('[' || (turn + 1) || '] ' || trim(substr(replace(replace(replace(text, '[', ' '), ']', ' '), chr(10), ' '), 1, 60)) || '.', chr(10) ORDER BY turn) AS content FROM conversations GROUP BY conv_id),
+m AS (SELECT conv_id, string_split(regexp_replace(content, '(\\[[0-9]+\\])', chr(1) || '\\1', 'g'), chr(1)) AS parts FROM l)
+SELECT conv_id, (i - 2)::INT AS at, trim(regexp_replace(parts[i], '{_S}+', ' ', 'g')) AS entry FROM (SELECT conv_id, parts, unnest(range(2, len(parts) + 1)) AS i FROM m)""")
+def reference_entries(t):
+    plain = F.trim(F.substring(F.translate("text", "[]\n", "   "), 1, 60))
+    line = F.concat(F.lit("["), (F.col("turn") + 1).cast("string"), F.lit("] "), plain, F.lit("."))
+    told = F.array_sort(F.collect_list(F.struct("turn", line.alias("line"))))
+    rows = t("conversations").groupBy("conv_id").agg(F.array_join(F.transform(told, lambda x: x["line"]), "\n").alias("content"))
+    return rows.select("conv_id", F.posexplode(structure.reference_entries(F.col("content"))).alias("at", "entry"))
+
+
+@_query("""SELECT conv_id, turn, substr(md5(conv_id || '_' || path || '_' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)), 1, 16) AS id
+FROM (SELECT conv_id, turn, role || ' > ' || turn AS path FROM conversations)""")
+def chunk_ids(t):
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    path = F.concat(F.col("role"), F.lit(" > "), F.col("turn").cast("string"))
+    return t("conversations").select("conv_id", "turn", X.chunk_id(F.col("conv_id"), path, place).alias("id"))
+
+
+@_query("SELECT (role = 'assistant') AS reference, count(*)::BIGINT AS n, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY ALL")
+def ref_para_partition(t):
+    kind = F.when(F.col("role") == "assistant", structure.ENTRY).otherwise(structure.BODY)
+    rows = t("conversations").withColumn("reference", fragments.is_reference(kind, F.lit("")))
+    return rows.groupBy("reference").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("long")).alias("chars"))
+
+
+# --- discovery and status ------------------------------------------------------------------------------------------
+
+
+def _status(t) -> DataFrame:
+    """``labels`` as the status of an earlier run: good ones are done, the others have failed once or, if toxic, twice."""
+    failed = F.when(F.col("quality") == 1, "success").otherwise("failure")
+    return t("labels").select(F.col("doc_id").cast("string").alias("lngid"), failed.alias("status"), (F.col("toxic") + 1).cast("int").alias("attempt"))
+
+
+_STATUS = "status AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'success' ELSE 'failure' END AS status, toxic + 1 AS attempt FROM labels)"
+
+
+def _tasks(t) -> DataFrame:
+    return discovery.identified(_named(t("documents")), root="/data")
+
+
+@_query("SELECT d.doc_id, coalesce(quality, -1)::INT AS quality, coalesce(toxic, 0)::INT AS toxic FROM documents d LEFT JOIN labels USING (doc_id)")
+def meta_left_join(t):
+    rows = t("documents").select("doc_id").join(t("labels"), "doc_id", "left")
+    return rows.select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"), F.coalesce("toxic", F.lit(0)).cast("int").alias("toxic"))
+
+
+@_query(f"WITH {_STATUS} SELECT doc_id::VARCHAR AS lngid FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM status WHERE status = 'success')")
+def skip_done_anti(t):
+    return discovery.without_done(_tasks(t), _status(t)).select("lngid")
+
+
+@_query(f"WITH {_STATUS} SELECT doc_id::VARCHAR AS lngid FROM documents WHERE doc_id IN (SELECT doc_id FROM status WHERE status = 'success')")
+def done_semi(t):
+    return discovery.done(_tasks(t), _status(t)).select("lngid")
+
+
+@_query(f"WITH {_STATUS} SELECT doc_id::VARCHAR AS lngid FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM status WHERE status = 'failure' AND attempt >= 2)")
+def attempts_exhausted(t):
+    return discovery.without_exhausted(_tasks(t), _status(t)).select("lngid")
+
+
+@_query(f"WITH {_STATUS} SELECT doc_id::VARCHAR AS lngid, (coalesce(attempt, 0) + 1)::INT AS attempt FROM documents LEFT JOIN (SELECT * FROM status WHERE status = 'failure') USING (doc_id)")
+def attempt_carry_over(t):
+    return discovery.with_attempt(_tasks(t), _status(t)).select("lngid", "attempt")
+
+
+@_query(f"""WITH {_STATUS} SELECT {_NAME} AS path, doc_id::VARCHAR AS lngid, (coalesce(attempt, 0) + 1)::INT AS attempt FROM documents LEFT JOIN status USING (doc_id)
+WHERE status IS NULL OR status = 'failure' AND attempt < 2 ORDER BY path LIMIT 100""")
+def limit_by_path(t):
+    return discovery.tasks(_named(t("documents")), _status(t), limit=100, root="/data").select("path", "lngid", "attempt")
+
+
+@_query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id")
+def last_status(t):
+    return discovery.last_status(t("events"), "user_id", ("ts", "event_id")).select("user_id", "event_type", "value")
+
+
+@_query("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
+def dedupe_first(t):
+    return discovery.first_of_each(t("documents"), "text", "doc_id").select("doc_id", "source")
+
+
+@_query("""SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY (event_type = 'click')::INT DESC, event_id)::INT AS place FROM events""")
+def retry_first_order(t):
+    order = Window.partitionBy("user_id").orderBy((F.col("event_type") == "click").cast("int").desc(), "event_id")
+    return t("events").select("user_id", "event_id", F.row_number().over(order).alias("place"))
+
+
+@_query("SELECT doc_id, ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) % 3)::INT AS slot FROM documents")
+def round_robin(t):
+    return discovery.in_turn(t("documents"), 3, "doc_id", ("source",)).select("doc_id", "slot")
+
+
+@_query("SELECT DISTINCT regexp_extract(url, '([^/.]*)[^/]*$', 1) AS stem FROM pages")
+def processed_stems(t):
+    return t("pages").select(F.regexp_extract("url", r"([^/.]*)[^/]*$", 1).alias("stem")).distinct()
+
+
+@_query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) <= 5")
+def first_errors_topn(t):
+    order = Window.partitionBy("user_id").orderBy(F.col("value").desc(), "event_id")
+    return t("events").withColumn("n", F.row_number().over(order)).filter("n <= 5").select("user_id", "event_id", "event_type")
+
+
+@_query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
+def events_json(t):
+    return t("events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+# --- metrics -------------------------------------------------------------------------------------------------------
+
+
+@_query("""SELECT event_id, event_type, round(CASE WHEN n > 1 AND s > 0 THEN (n - 1) / s * 3600 ELSE 0 END, 6) AS rate FROM (
+  SELECT event_id, event_type, count(*) OVER w AS n, (epoch_us(ts) - epoch_us(min(ts) OVER w)) / 1e6 AS s FROM events
+  WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 100 PRECEDING))""")
+def moving_rate(t):
+    return metrics.moving_rate(t("events"), "event_type").select("event_id", "event_type", F.round("rate", 6).alias("rate"))
+
+
+@_query("""SELECT event_type, count(*)::BIGINT AS n, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS seconds,
+  round(CASE WHEN max(ts) > min(ts) THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) * 3600 ELSE 0 END, 6) AS rate FROM events GROUP BY event_type""")
+def avg_rate(t):
+    return metrics.average_rate(t("events"), "event_type").select("event_type", "n", F.round("seconds", 6).alias("seconds"), F.round("rate", 6).alias("rate"))
+
+
+@_query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < 21600000000 THEN 0 ELSE 1 END AS far FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(far) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM g),
+c AS (SELECT *, row_number() OVER (PARTITION BY user_id, streak ORDER BY ts, event_id) - 1 AS crash_count FROM s)
+SELECT event_id, user_id, crash_count::INT AS crash_count, max(crash_count > 3) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS disabled FROM c""")
+def crash_streaks(t):
+    return metrics.crash_streaks(t("events"), "user_id", gap=21600).select("event_id", "user_id", "crash_count", "disabled")
+
+
+@_query("SELECT event_id, n::INT AS n FROM (SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events) WHERE n <= 10 OR n % 50 = 0")
+def progress_sample(t):
+    return metrics.progress(t("events"), ("ts", "event_id"), 50, ("event_type",)).select("event_id", "n")
+
+
+def _log(t) -> DataFrame:
+    kind, user = F.col("event_type"), F.col("user_id")
+    ok = kind == "purchase"
+    return t("events").select(
+        user.cast("string").alias("lngid"), F.when(ok, "success").otherwise("failure").alias("status"), F.when(ok, None).when(kind == "click", "parse").otherwise("index").alias("stage"),
+        (user % 2 + 1).cast("int").alias("attempt"), F.when(F.col("value") > 100, "Timeout").alias("error"), F.col("ts").alias("timestamp"),
+    )
+
+
+@_query("""SELECT count(*) FILTER (event_type = 'purchase')::BIGINT AS success, count(*) FILTER (event_type = 'click')::BIGINT AS parse_failures, count(*) FILTER (event_type NOT IN ('purchase', 'click'))::BIGINT AS index_failures,
+  count(*) FILTER (event_type <> 'purchase' AND value > 100)::BIGINT AS timeouts, count(*) FILTER (user_id % 2 = 1)::BIGINT AS retries, count(*)::BIGINT AS records, round(max(e) - min(e), 2) AS elapsed_seconds,
+  round(count(*) FILTER (event_type = 'purchase') / (max(e) - min(e)) * 3600, 2) AS throughput_per_hour,
+  round(CASE WHEN count(*) FILTER (event_type = 'purchase') > 0 THEN (max(e) - min(e)) / count(*) FILTER (event_type = 'purchase') ELSE 0 END, 2) AS average_seconds_per_success
+FROM (SELECT *, epoch_us(ts) / 1e6 AS e FROM events)""")
+def run_summary(t):
+    return metrics.run_summary(_log(t))
+
+
+@_query("SELECT event_type AS index_name, count(*)::BIGINT AS documents FROM events GROUP BY event_type UNION ALL SELECT 'fulltext', count(*)::BIGINT FROM documents")
+def counts_per_index(t):
+    rows = t("events").select(F.col("event_type").alias("index_name")).unionByName(t("documents").select(F.lit("fulltext").alias("index_name")))
+    return rows.groupBy("index_name").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@_query("""SELECT user_id, count(*) FILTER (event_type = 'click')::BIGINT AS click, count(*) FILTER (event_type = 'purchase')::BIGINT AS purchase, count(*) FILTER (event_type = 'view')::BIGINT AS view FROM events GROUP BY user_id""")
+def counts_pivot(t):
+    rows = t("events").withColumnRenamed("user_id", "lngid").withColumnRenamed("event_type", "index_name")
+    return metrics.counts_by_index(rows, ["click", "purchase", "view"]).withColumnRenamed("lngid", "user_id")
+
+
+# --- packing and indexes -------------------------------------------------------------------------------------------
+
+
+def _pages_as_actions(t) -> DataFrame:
+    line = packing.ndjson(F.lit("fulltext"), F.col("page_id").cast("string"), F.struct("url"))
+    return t("pages").select("page_id", F.pmod("page_id", F.lit(4)).alias("group"), line.alias("line"), packing.size(line).cast("long").alias("bytes"))
+
+
+_ACTION = """'{"index":{"_index":"fulltext","_id":"' || page_id || '"}}' || chr(10) || '{"url":"' || url || '"}' || chr(10)"""
+
+
+@_query(f"SELECT page_id, strlen({_ACTION})::BIGINT AS bytes FROM pages")
+def bulk_bytes(t):
+    return _pages_as_actions(t).select("page_id", "bytes")
+
+
+@_query(f"""
+WITH RECURSIVE a AS (SELECT page_id, page_id % 4 AS g, row_number() OVER (PARTITION BY page_id % 4 ORDER BY page_id) AS i, strlen({_ACTION}) AS n FROM pages),
+b AS (
+  SELECT page_id, g, i, 0 AS batch, 1 AS c, n AS used FROM a WHERE i = 1
+  UNION ALL SELECT a.page_id, a.g, a.i, CASE WHEN c >= 10 OR used + n > 900 THEN batch + 1 ELSE batch END, CASE WHEN c >= 10 OR used + n > 900 THEN 1 ELSE c + 1 END, CASE WHEN c >= 10 OR used + n > 900 THEN n ELSE used + n END
+  FROM b JOIN a ON a.g = b.g AND a.i = b.i + 1
+)
+SELECT page_id, batch::BIGINT AS batch FROM b""")
+def bulk_pack(t):
+    return packing.packed(_pages_as_actions(t), "group", "page_id", "bytes", 10, 900).select("page_id", "batch")
+
+
+@_query("SELECT doc_id, ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 100)::BIGINT AS batch FROM documents")
+def bulk_pack_count(t):
+    return packing.packed_by_count(t("documents"), "source", ("doc_id",)).select("doc_id", "batch")
+
+
+@_query("SELECT label, count(*)::BIGINT AS vectors, min(len(embedding))::INT AS size FROM embeddings WHERE len(embedding) > 0 GROUP BY label")
+def vector_present(t):
+    return t("embeddings").filter(F.size("embedding") > 0).groupBy("label").agg(F.count(F.lit(1)).alias("vectors"), F.min(F.size("embedding")).alias("size"))
+
+
+@_query("""SELECT 'fulltext' AS index_name, doc_id || '_fulltext' AS _id, length(text)::BIGINT AS chars FROM documents UNION ALL SELECT 'title', item_id || '_title', length(text) FROM benchmark""")
+def index_union(t):
+    rows = t("documents").select(F.lit("fulltext").alias("index_name"), F.concat(F.col("doc_id").cast("string"), F.lit("_fulltext")).alias("_id"), F.length("text").cast("long").alias("chars"))
+    more = t("benchmark").select(F.lit("title").alias("index_name"), F.concat(F.col("item_id").cast("string"), F.lit("_title")).alias("_id"), F.length("text").cast("long").alias("chars"))
+    return rows.unionByName(more)
+
+
+@_query(None)
+def index_documents(t):
+    """All seven indexes of the conversations as papers, with the counts of documents, characters and vectors of each."""
+    meta = t("benchmark").select(F.col("item_id").cast("string").alias("lngid"), F.col("text").alias("title_c"), *[F.lit("").alias(c) for c in indexes.META if c != "title_c"])
+    rows = indexes.documents(structure.chunks(_markdown(t)), meta)
+    return rows.groupBy("index_name").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.length("text").cast("long")).alias("chars"), F.count("vector").alias("vectors"))
