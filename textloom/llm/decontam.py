@@ -11,7 +11,8 @@ A window is ``WINDOW`` consecutive words of an item; an item of fewer words, but
 
 Defined cases: null or empty text has no words and no match; an item without words matches nothing; items with equal texts
 all match; a null item id marks words as hit but is in no list of items; repeated rows get equal results; with an empty
-benchmark nothing is hit; an empty table gives an empty result; extra columns of ``docs`` are kept.
+benchmark nothing is hit; an empty table gives an empty result; extra columns of ``docs`` are kept, those named like the
+added ones are replaced.
 """
 
 from __future__ import annotations
@@ -98,7 +99,7 @@ class Block:
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``n_words`` and ``matches``."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop("n_words", "matches")
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
@@ -144,4 +145,7 @@ def summary(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 def keep(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without a match, with all columns."""
-    return with_matches(docs, benchmark, text_col, **options).filter(F.size("matches") == 0).select(*[F.col(c) for c in docs.columns])
+    clash = [c for c in ("n_words", "matches") if c in docs.columns]
+    plain = docs.withColumnsRenamed({c: f"__own_{c}" for c in clash})
+    rows = with_matches(plain, benchmark, text_col, **options).filter(F.size("matches") == 0).drop("n_words", "matches")
+    return rows.withColumnsRenamed({f"__own_{c}": c for c in clash}).select(*docs.columns)

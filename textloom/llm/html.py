@@ -15,7 +15,8 @@ Text: a block ends where a block-level element begins or ends; white space in a
 none, and blocks are joined by one line end. ``br`` is white space.
 
 Defined cases: null or empty html has empty text; a null url, or one without a host, belongs to the host null; repeated rows
-get equal results; an empty table gives an empty result; extra columns of ``pages`` are kept.
+get equal results; an empty table gives an empty result; extra columns of ``pages``
+are kept, one named like the added one is replaced.
 """
 
 from __future__ import annotations
@@ -260,6 +261,7 @@ def _host(url_col: str):
 
 def with_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", text_col: str = "text") -> DataFrame:
     """``pages`` with the main text of each."""
+    pages = pages.drop(text_col)
     # a table of known size: where it is small Spark sends it to all tasks, else it joins on host and splits the hot ones
     found = templates(pages, url_col, html_col).select(F.col("host").alias("__host"), F.col("template").alias("__template"))
     df = pages.join(found, _host(url_col).eqNullSafe(F.col("__host")), "left").drop("__host")

@@ -7,7 +7,7 @@ one of higher priority, or of equal priority and greater length, are suppressed,
 comes before them in that order. Labels are those of what is left, and those of the base phrases, wherever these stand.
 
 Defined cases: null or empty text has no words, no labels and score 0; repeated rows get equal results; an empty table gives
-an empty result; extra columns are kept. The score is the highest priority among the detections that are left, as a part
+an empty result; extra columns are kept, those named like the added ones are replaced. The score is the highest priority among the detections that are left, as a part
 of 100; a base phrase alone counts ``BASE_PRIORITY``.
 """
 
@@ -172,6 +172,7 @@ _COLUMNS = {
 
 def with_licenses(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels, score and detections."""
+    docs = docs.drop(*_COLUMNS)
     kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
     schema = T.StructType([*kept, *[T.StructField(k, v[0]) for k, v in _COLUMNS.items()]])
 

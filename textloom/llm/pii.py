@@ -13,7 +13,7 @@ first and then by term. What is joined are lists per text, not pairs of document
 costs rows in proportion to their words near it.
 
 Defined cases: null or empty text has no spans; ids are not used, so repeated rows and null ids get what their text gets;
-an empty table gives an empty result; extra columns are kept.
+an empty table gives an empty result; extra columns are kept, those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -177,13 +177,14 @@ def spans_of(text: str, terms: dict[str, float]) -> tuple[list[tuple[str, int, i
     return found, "".join(out)
 
 
-def sanitised(docs: DataFrame, text_col: str = "text", masked_col: str = "masked") -> DataFrame:
+def sanitised(docs: DataFrame, text_col: str = "text", masked_col: str = "masked", spans_col: str = "spans") -> DataFrame:
     """``docs`` with ``spans`` (array<struct<kind, start, end>>, in order) and the masked text; a null text stays null."""
+    docs = docs.drop(masked_col, spans_col)
     # a table of known size: where it is small Spark sends it to all tasks, else it joins on the text's hash
     found = disclosing(docs, text_col).select(F.col("key").alias("__key"), F.col("terms").alias("__terms"))
     df = docs.join(found, F.unhex(F.md5(text_col)) == F.col("__key"), "left").drop("__key")
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([*docs.schema.fields, T.StructField("spans", span), T.StructField(masked_col, T.StringType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(spans_col, span), T.StructField(masked_col, T.StringType())])
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,14 +194,14 @@ def sanitised(docs: DataFrame, text_col: str = "text", masked_col: str = "masked
                 found, masked = spans_of(text or "", {x["term"]: x["bits"] for x in terms or ()})
                 spans.append([dict(zip(("kind", "start", "end"), x)) for x in found])
                 texts.append(None if text is None else masked)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, _SPAN), pa.array(texts, pa.string())], names=[*names[:-1], "spans", masked_col])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, _SPAN), pa.array(texts, pa.string())], names=[*names[:-1], spans_col, masked_col])
 
     return df.mapInArrow(mask, schema)
 
 
 def keep(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """All rows of ``docs``, all columns, with the text masked and its length in ``chars_col`` told anew where that column is there."""
-    df = sanitised(docs, text_col, "__masked")
+    df = sanitised(docs, text_col, "__masked", "__spans_of")
     told = {text_col: F.col("__masked")}
     if chars_col in docs.columns:
         told[chars_col] = F.length("__masked").cast(docs.schema[chars_col].dataType)

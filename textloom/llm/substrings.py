@@ -17,7 +17,8 @@ have equal anchors at equal places). Windows in a row with one anchor make up a
 Positions are ordered by (id, start). Defined cases: null text is empty and keeps nothing; texts under ``LENGTH`` bytes are
 left whole; rows that repeat an id and text get equal results and are not earlier than each other; different texts under
 one id are taken as one document's, and ranges of any of them are clipped to each; a null id has no place in the order: its
-row is left whole and removes nothing; an empty table gives an empty result; extra columns of ``docs`` are kept.
+row is left whole and removes nothing; an empty table gives an empty result; extra columns of ``docs`` are kept,
+those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -280,6 +281,7 @@ def merged(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:
 
 def with_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``removed`` (byte ranges in order, array<struct<begin, end>>) and ``kept`` (the other bytes, binary)."""
+    docs = docs.drop("removed", "kept")
     spans = removed(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("spans").alias("__spans"))
     df = docs.join(spans, F.col(id_col).cast("long") == F.col("__id"), "left").drop("__id")
     ranges = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
