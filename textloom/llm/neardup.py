@@ -4,7 +4,7 @@ A document is its set of five-word shingles. From it come ``TOKENS`` minwise tok
 trees, a few of the token positions are chosen at the root, and a document goes to one child node for each: the node of
 its token at that position. Nodes of two or more documents are worked on; of those,
 
-* all documents are held against one of the node's, that whose tokens are the most common (the hub);
+* all documents are held against one of the node's, that which shares nodes with the most others (the hub);
 * if all but a few are then in one component, the few are compared with every document of the node;
 * a node with more documents outside its largest component branches again: some positions are chosen by a hash of the
   node, and its documents go to a child for each.
@@ -12,8 +12,10 @@ its token at that position. Nodes of two or more documents are worked on; of tho
 Documents that are already in one component need no further comparison, so a group of thousands of copies of one text is
 settled by its hub with as many comparisons as it has members. Comparisons are by minwise tokens first (at the same
 ``SKETCH`` of agreement that a pair at the threshold misses about once in 10**5), and every link is confirmed on the full
-sets. A pair at the threshold meets in no node at the first level about once in 4**12 or rarer; branching nodes choose
-1.6 positions a level on average, over the 1/threshold at which paths of such a pair would die out.
+sets. A pair at the threshold meets in no node at the first level about once in 4**18 or rarer. Branching nodes choose 1.5
+positions a level on average: more than the 1/threshold at which paths of such a pair would die out, and few enough that
+pairs that share up to 2/3 of their tokens get fewer from level to level. Only pairs all of whose first nodes branch (all of
+their common tokens are very common ones) depend on it.
 
 Defined cases: null or empty text has no shingles, is linked with nothing and is its own component; a null id cannot be
 linked and has a null component and is kept; repeated rows and equal texts are in one component with the smallest id;
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,11 +39,15 @@ from textloom.llm.graph import components
 SHINGLE = 5
 PERCENT = 75
 TOKENS = 64
-TREES = 10
-SKETCH = 32
+TREES = 14
+SKETCH = 34
 LEAF = 64
-BRANCH = 1.6
+BRANCH = 1.5
+#: Levels that a node branches at once, before its children are looked at.
+STEPS = 4
 MAX_LEVELS = 60
+#: Bytes of text that are hashed at once.
+CHUNK = 1 << 20
 
 _SALT = mix(np.arange(1, 257, dtype=np.uint64))
 _TIMES, _PLUS = _SALT[:TOKENS] | np.uint64(1), _SALT[64 : 64 + TOKENS]
@@ -77,7 +84,7 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
 
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for ids, texts in in_chunks(batch["id"], batch["text"]):
+        for ids, texts in in_chunks(batch["id"], batch["text"], CHUNK):
             rows = []
             for at, shingles in zip(ids, shingle_sets(texts)):
                 if not len(shingles):
@@ -91,41 +98,66 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for ids, texts in in_chunks(batch["id"], batch["text"]):
+        for ids, texts in in_chunks(batch["id"], batch["text"], CHUNK):
             yield pd.DataFrame({"id": ids, "shingles": [x.view(np.int64) for x in shingle_sets(texts)]})
 
 
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _agreement(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(a, b, agreement) of documents with their node's hub, where the tokens agree often enough."""
+    for batch in batches:
+        mine, other = (np.frombuffer(b"".join(batch[c]), "<u2").reshape(len(batch), TOKENS) for c in ("sketch", "hub_sketch"))
+        same = (mine == other).sum(axis=1)
+        found = batch[same >= SKETCH]
+        yield pd.DataFrame({"a": found["doc"], "b": found["hub"], "agreement": same[same >= SKETCH]}).astype("int64")
+
+
+def _tokens(column: pa.Array) -> np.ndarray:
+    """Sketches, a row each, seen where they lie: no object is made for any."""
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<u2").reshape(len(column), TOKENS)
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a document and a node's few that are alike enough by tokens and not in one component."""
     for batch in batches:
-        found = []
-        for at, comp, sketch, few in zip(batch["doc"], batch["comp"], batch["sketch"], batch["few"]):
-            mine = np.frombuffer(sketch, "<u2")
-            others = np.frombuffer(b"".join(x["sketch"] for x in few), "<u2").reshape(len(few), TOKENS)
-            for k in np.flatnonzero((others == mine).sum(axis=1) >= SKETCH):
-                if few[k]["comp"] != comp:
-                    found.append((min(at, few[k]["doc"]), max(at, few[k]["doc"])))
-        yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        found: list[tuple[int, int]] = []
+        if batch.num_rows:
+            docs, comps, few = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
+            mine, ends = _tokens(batch.column(2)), few.offsets.to_numpy()
+            other, other_comp, other_sketch = few.flatten().flatten()
+            other, other_comp, other_sketch = other.to_numpy(), other_comp.to_numpy(), _tokens(other_sketch)
+            ends = ends - ends[0]
+            for k in range(len(docs)):
+                a, b = ends[k], ends[k + 1]
+                same = (other_sketch[a:b] == mine[k]).sum(axis=1) >= SKETCH
+                for x in other[a:b][same & (other_comp[a:b] != comps[k])].tolist():
+                    found.append((min(int(docs[k]), x), max(int(docs[k]), x)))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(node, doc) of the next level: positions are chosen by a hash of the node, so all its documents choose alike."""
+    """(node, doc) some levels down: positions are chosen by a hash of the node, so all its documents choose alike."""
     positions = mix(np.arange(1000, 1000 + TOKENS, dtype=np.uint64))
     bound = np.uint64(int(2**64 * BRANCH / TOKENS))
     for batch in batches:
         nodes = batch["node"].to_numpy(np.int64).view(np.uint64)
         tokens = np.frombuffer(b"".join(batch["sketch"]), "<u2").reshape(len(nodes), TOKENS).astype(np.uint64)
-        chance = mix(nodes[:, None] ^ positions)
-        row, position = np.nonzero(chance < bound)
-        node = mix(mix(chance[row, position]) + tokens[row, position])
-        yield pd.DataFrame({"node": node.view(np.int64), "doc": batch["doc"].to_numpy()[row]})
+        of = np.arange(len(nodes))
+        for _ in range(STEPS):
+            chance = mix(nodes[:, None] ^ positions)
+            row, position = np.nonzero(chance < bound)
+            nodes = mix(mix(chance[row, position]) + tokens[of[row], position])
+            of = of[row]
+        yield pd.DataFrame({"node": nodes.view(np.int64), "doc": batch["doc"].to_numpy()[of]})
 
 
 def _labelled(front: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``front`` with ``comp``; labels has those documents only that are in a component of another name."""
     if labels is None:
         return front.withColumn("comp", F.col("doc"))
-    front = front.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    return front.withColumn("comp", F.coalesce("component", "doc")).drop("component")
+    front = front.join(labels.select(F.col("node").alias("__node"), "component"), F.col("doc") == F.col("__node"), "left")
+    return front.withColumn("comp", F.coalesce("component", "doc")).drop("component", "__node")
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -133,71 +165,80 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = cut(docs.mapInPandas(_sketches, "id long, n_shingles long, digest binary, sketch binary, nodes array<long>"))
     # texts with equal sets are one: only the smallest id of them is joined
-    reps = cut(rows.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("digest").agg(F.min("id").alias("doc"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes")))
-    front = reps.select("doc", F.explode("nodes").alias("node"))
-    shared = front.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("node")
-    front = cut(front.join(shared, "node").select("node", "doc"))
-    labels = edges = None
-    if not front.isEmpty():
-        meeting = front.select("doc").distinct()
-        sketches = cut(reps.join(meeting, "doc", "left_semi").select("doc", "n", "sketch"))
-        sets = cut(docs.join(meeting, F.col("id") == F.col("doc"), "left_semi").mapInPandas(_sets, "id long, shingles array<long>"))
-        tokens = sketches.select("doc", F.explode(F.sequence(F.lit(0), F.lit(TOKENS - 1))).alias("p"), "sketch").select("doc", "p", F.substring("sketch", F.col("p") * 2 + 1, F.lit(2)).alias("token"))
-        common = tokens.groupBy("p", "token").agg(F.count(F.lit(1)).alias("times"))
-        hubs = cut(tokens.join(common, ["p", "token"]).groupBy("doc").agg(F.sum("times").alias("score")))
-        sketches = cut(sketches.join(hubs, "doc"))
-
-        def confirmed(pairs: DataFrame) -> DataFrame:
-            sizes = sketches.select("doc", "n")
-            pairs = pairs.distinct().join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-            pairs = pairs.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-            pairs = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-            pairs = pairs.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-            return pairs.filter(100 * F.col("common") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
-
-        for _ in range(MAX_LEVELS):
-            # every document against its node's hub
-            here = _labelled(front, labels).join(sketches.select("doc", "score"), "doc")
-            hub = here.groupBy("node").agg(F.max_by(F.struct("doc", "comp"), F.struct("score", -F.col("doc"))).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("node", "hub")
-            pairs = here.join(hub, "node").filter(F.col("comp") != F.col("hub.comp")).select(F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b"))
-            edges, labels = _more(edges, confirmed(pairs), labels)
-            # those outside a node's largest component
-            here = _labelled(front, labels)
-            parts = here.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"))
-            outside = parts.groupBy("node").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), (F.sum("size") - F.max("size")).alias("few")).filter("few > 0")
-            outside = cut(outside)
-            if outside.isEmpty():
-                break
-            here = here.join(outside, "node").join(sketches.select("doc", "sketch"), "doc")
-            small = here.filter(F.col("few") <= LEAF).drop("few")
-            few = small.filter(F.col("comp") != F.col("main")).groupBy("node").agg(F.collect_list(F.struct("doc", "comp", "sketch")).alias("few"))
-            pairs = small.select("node", "doc", "comp", "sketch").join(few, "node").select("doc", "comp", "sketch", "few").mapInPandas(_compare, "a long, b long")
-            edges, labels = _more(edges, confirmed(pairs), labels)
-            if outside.filter(F.col("few") > LEAF).isEmpty():
-                break
-            front = here.filter(F.col("few") > LEAF).select("node", "doc", "sketch").mapInPandas(_children, "node long, doc long").distinct()
-            front = cut(front)
-            shared = front.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("node")
-            front = cut(front.join(shared, "node"))
-            if front.isEmpty():
-                break
-    named = reps.select("digest", "doc")
-    named = _labelled(named, labels).select(F.col("digest").alias("of"), F.col("comp").alias("component"))
+    told = F.min(F.struct(F.col("id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "nodes"))
+    reps = cut(rows.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("digest").agg(told.alias("x")).select("digest", "x.*"))
+    front = _shared(reps.select("doc", F.explode("nodes").alias("node")))
+    # the more documents stand in a document's nodes, the likelier it is like many
+    scores = front.groupBy("doc").agg(F.sum("size").alias("score"))
+    sketches = cut(reps.select("doc", "n", "sketch").join(scores, "doc"))
+    labels = None
+
+    def linked(pairs: DataFrame, labels: DataFrame | None) -> DataFrame | None:
+        """The labels with the links among ``pairs`` that the full sets confirm."""
+        sizes = sketches.select("doc", "n")
+        pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+        pairs = cut(pairs.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b").distinct())
+        if pairs.isEmpty():
+            return labels
+        # tables of known size: where they are small Spark sends them to all tasks, else it joins by shuffle
+        meeting = cut(pairs.select("a").union(pairs.select("b")).distinct())
+        sets = cut(docs.join(meeting, F.col("id") == F.col("a"), "left_semi").mapInPandas(_sets, "id long, shingles array<long>").dropDuplicates(["id"]))
+        pairs = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+        pairs = pairs.withColumn("common", F.size(F.array_intersect("sa", "sb")))
+        pairs = pairs.filter(100 * F.col("common") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+        return _more(cut(pairs), labels)
+
+    for _ in range(MAX_LEVELS):
+        if front.isEmpty():
+            break
+        # every document against the hubs of its nodes; that which it agrees with best is confirmed
+        here = _labelled(front, labels).join(sketches, "doc").drop("size")
+        hub = here.groupBy("node").agg(F.max_by(F.struct("doc", "comp", "sketch"), F.struct("score", -F.col("doc"))).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("node", "hub")
+        pairs = here.join(hub, "node").filter(F.col("comp") != F.col("hub.comp")).select("doc", "sketch", F.col("hub.doc").alias("hub"), F.col("hub.sketch").alias("hub_sketch"))
+        pairs = pairs.mapInPandas(_agreement, "a long, b long, agreement long").groupBy("a").agg(F.max_by("b", F.struct("agreement", -F.col("b"))).alias("b"))
+        labels = linked(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), labels)
+        # those outside a node's largest component
+        here = _labelled(front, labels)
+        parts = here.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"))
+        outside = parts.groupBy("node").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), (F.sum("size") - F.max("size")).alias("few")).filter("few > 0")
+        outside = cut(outside)
+        if outside.isEmpty():
+            break
+        here = here.join(outside, "node").join(sketches.select("doc", "sketch"), "doc")
+        small = here.filter(F.col("few") <= LEAF).drop("few")
+        few = small.filter(F.col("comp") != F.col("main")).groupBy("node").agg(F.collect_list(F.struct("doc", "comp", "sketch")).alias("few"))
+        pairs = small.select("node", "doc", "comp", "sketch").join(few, "node").select("doc", "comp", "sketch", "few").mapInArrow(_compare, "a long, b long")
+        labels = linked(pairs, labels)
+        large = here.filter(F.col("few") > LEAF).select("node", "doc", "sketch")
+        front = _shared(large.mapInPandas(_children, "node long, doc long").distinct())
+    named = _labelled(reps.select("digest", "doc"), labels).select(F.col("digest").alias("of"), F.col("comp").alias("component"))
     found = rows.select("id", "n_shingles", "digest").join(named, F.col("digest") == F.col("of"), "left")
     return found.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
-def _more(edges: DataFrame | None, new: DataFrame, labels: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links with new ones, and the components of all of them."""
-    new = cut(new)
-    if new.isEmpty():
-        return edges, labels
-    edges = new if edges is None else edges.unionByName(new)
-    return edges, components(edges)
+def _shared(front: DataFrame) -> DataFrame:
+    """(node, doc, size): the documents of nodes that have at least two."""
+    front = cut(front.select("node", "doc"))
+    sizes = front.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return cut(front.join(sizes, "node"))
+
+
+def _more(links: DataFrame, labels: DataFrame | None) -> DataFrame | None:
+    """The labels with new links: components of the components that there are, so old links are not looked at again."""
+    for end in ("a", "b"):
+        links = _labelled(links.withColumnRenamed(end, "doc"), labels).drop("doc").withColumnRenamed("comp", end)
+    links = cut(links.filter("a <> b").distinct())
+    if links.isEmpty():
+        return labels
+    new = components(links).filter(F.col("node") != F.col("component"))
+    if labels is None:
+        return new
+    old = labels.join(new.toDF("__node", "__component"), F.col("component") == F.col("__node"), "left")
+    return cut(old.select("node", F.coalesce("__component", "component").alias("component")).unionByName(new))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each component that with the smallest id."""
     found = components_of(docs, id_col, text_col)
-    gone = found.filter(F.col("component") < F.col("id")).select(F.col("id").alias("__gone")).distinct()
+    gone = cut(found.filter(F.col("component") < F.col("id")).select(F.col("id").alias("__gone")).distinct())
     return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
