@@ -2,9 +2,9 @@
 
 Counts of one text are taken inside its row. The frequency of lines comes from the corpus: lines are normalised (lower
 case, digits as 0, white space as one space), hashed, and for each host counted in distinct texts, so that exact copies of
-a document count once. A short line (at most ``MAX_LINE_WORDS`` words) over both limits of its host - ``MIN_TEXTS`` texts
-and ``MIN_SHARE`` of the host's texts - is boilerplate and is removed; a document that keeps less than ``MIN_LEFT`` of its
-words without such lines is depleted and rejected.
+a document count once. A line of any length over both limits of its host - ``MIN_TEXTS`` texts and ``MIN_SHARE`` of the
+host's texts - is boilerplate and is removed; a document that keeps less than ``MIN_LEFT`` of its words without such lines is
+depleted and rejected.
 
 A text is read once; what is counted later are the hashes of its lines. Equal texts of a host are one, lines are summed by
 (host, line) before and after the shuffle, so a line that every document of a host has is a handful of rows; finding the
@@ -23,7 +23,6 @@ from textloom.llm.common import WORD, barrier, cut
 
 MIN_WORDS = 50
 MAX_REPEATED = 50
-MAX_LINE_WORDS = 50
 MIN_TEXTS = 25
 MIN_SHARE = 0.05
 MIN_LEFT = 0.3
@@ -80,14 +79,14 @@ def counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(id_col, the five counts, __host, __hash, __lines) for every row: each text is read once, and what is left of it is small.
 
-    __lines: hashes and words of the short lines, normalised. White space is looked for only where it is not one space.
+    __lines: hashes and words of the lines, normalised. White space is looked for only where it is not one space.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = counts(docs.select(F.col(id_col), F.col(text_col), F.col(host_col).alias("__host")), text_col)
     normal = F.regexp_replace(F.regexp_replace(F.lower(text), r"[0-9]", "0"), r"[\x09\x0B-\x0D]|[\x20\x09\x0B-\x0D]{2,}", " ")
     words = lambda x: F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
     lines = F.transform(F.transform(F.split(normal, "\n"), F.trim), lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("words")))
-    df = barrier(df, __lines=F.filter(lines, lambda x: (x["words"] > 0) & (x["words"] <= MAX_LINE_WORDS)))
+    df = barrier(df, __lines=F.filter(lines, lambda x: x["words"] > 0))
     return cut(df.withColumn("__hash", F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col))).drop(text_col))
 
 
