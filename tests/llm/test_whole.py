@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 from test_edges import DOCS
-from textloom.llm import quality
+from textloom.llm import pii, quality
 
 
 def test_long_lines_count_as_boilerplate(spark):
@@ -17,3 +17,23 @@ def test_long_lines_count_as_boilerplate(spark):
     assert all(out[k].removed_words == 120 and out[k].kept for k in range(30))
     assert out[100].removed_words == 120 and not out[100].kept
     assert out[200].removed_words == 0 and out[200].kept
+
+
+def test_terms_far_from_the_entity_disclose_it(spark):
+    fill = "some plain words that stand in every text of this table and part the two by far more than ten of them"
+    rows = [(k, f"Marguerite {fill} {k} +1 234 555 0199", "", "", 0) for k in range(4)]
+    rows += [(10 + k, f"Bartholomew {fill} {fill} {x}.{k}q@corp.example", "", "", 0) for k, x in enumerate(["anna", "otto", "ines", "karl"])]
+    rows += [(30 + k, f"{fill} {k}", "", "", 0) for k in range(30)]
+    out = {r.doc_id: r for r in pii.sanitised(spark.createDataFrame(rows, DOCS)).collect()}
+    told = lambda r: [r.text[x.start : x.end] for x in r.spans if x.kind == "term"]
+    assert all(told(out[k]) == ["Marguerite"] for k in range(4))
+    assert all(told(out[10 + k]) == ["Bartholomew"] for k in range(4))
+    assert not any(out[30 + k].spans for k in range(30))
+
+
+def test_terms_on_the_given_tables(spark, data):
+    """Every value and every part stands in fewer than MIN_TEXTS texts of sf0.001: no term can be found there."""
+    texts = {r.text for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect() if r.text}
+    seen = [e for t in texts for e in pii.entities(pii.find(t))]
+    assert seen and max(map(seen.count, seen)) < pii.MIN_TEXTS
+    assert pii.disclosing(spark.read.parquet(f"{data}/documents.parquet")).count() == 0

@@ -1,16 +1,18 @@
 """Personal data, and the terms that give it away.
 
 Found by pattern: e-mail addresses, IP addresses, card and phone numbers (:data:`KINDS`). A found value is a protected entity,
-and words near it can reveal it even when it is masked. How strongly a term t reveals an entity e is estimated from the
-whole corpus: with documents(t) those in which t stands and documents(e, t) those in which it stands near e, the information
-about e that is still missing once t is known is -log2(documents(e, t) / documents(t)) bits. A term that leaves at most
+and words of its text can reveal it even when it is masked, wherever they stand; so can they reveal a part of it that other
+values have too (:func:`entities`). How strongly a term t reveals an entity or part e is estimated from the whole corpus: with
+documents(t) those in which t stands and documents(e, t) those in which it stands with e, the information about e that is
+still missing once t is known is -log2(documents(e, t) / documents(t)) bits. A term that leaves at most
 ``GENERALISE_BITS`` is disclosing; it is replaced by what kind of word it is, and removed if it leaves at most ``REMOVE_BITS``.
 Pairs seen in fewer than ``MIN_TEXTS`` different texts say nothing, so copies of one text do not make a term. In the documents
-in which it stands near the entity, every occurrence of a disclosing term goes.
+in which it stands with the entity, every occurrence of a disclosing term goes.
 
-Counts are taken in Spark: pairs by (entity, term, text) first and then by (entity, term), terms of all documents by batch
-first and then by term. What is joined are lists per text, not pairs of documents, so an entity in a third of all documents
-costs rows in proportion to their words near it.
+Counts are taken in Spark: entities of fewer than ``MIN_TEXTS`` texts have no pair that counts and are left out first, equal
+texts are one row with their number, pairs are summed by (entity, term) before and after the shuffle, terms of all documents
+by batch first and then by term. What is joined are lists per text, not pairs of documents, so an entity in a third of all
+documents costs rows in proportion to the words of their texts.
 
 Defined cases: null or empty text has no spans; ids are not used, so repeated rows and null ids get what their text gets;
 an empty table gives an empty result; extra columns are kept, those named like the added ones are replaced.
@@ -18,7 +20,6 @@ an empty table gives an empty result; extra columns are kept, those named like t
 
 from __future__ import annotations
 
-from bisect import bisect_left
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,8 +33,9 @@ from textloom.llm.common import cut, in_chunks
 
 #: Kinds of the patterns in order; terms come after them.
 KINDS = ("email", "ip", "card", "phone", "term")
-NEAR = 10
 MIN_TEXTS = 3
+#: Digits of a number that are a part of their own.
+PREFIX = {"card": 6, "phone": 5}
 GENERALISE_BITS = 1.0
 REMOVE_BITS = 0.152  # at least nine in ten
 
@@ -44,6 +46,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
+_TOKENS = re.compile(r"[A-Za-z]{3,}")
 _WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}")
 
 
@@ -90,33 +93,44 @@ def find(text: str | None) -> list[tuple[str, int, int, str]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def near_terms(text: str, found: list[tuple[str, int, int, str]]) -> dict[str, set[str]]:
-    """For each entity the words that stand within NEAR words of it, those of entities left out."""
+def entities(found: list[tuple[str, int, int, str]]) -> set[str]:
+    """The values found, and the parts of them that can recur: mail domain and tokens of the local part, and the first three
+    numbers of an IP address, six digits of a card and five of a phone number."""
+    out = set()
+    for kind, _, _, value in found:
+        out.add(f"{kind}:{value}")
+        if kind == "email":
+            local, _, domain = value.rpartition("@")
+            out.update([f"email part:@{domain}", *[f"email part:{x}" for x in _TOKENS.findall(local)]])
+        else:
+            out.add(f"{kind} part:{value.rpartition('.')[0] if kind == 'ip' else value[: PREFIX[kind]]}")
+    return out
+
+
+def terms_beside(text: str, found: list[tuple[str, int, int, str]]) -> set[str]:
+    """The words of a text, those of entities left out."""
     spans = sorted((a, b) for _, a, b, _ in found)
-    words, k = [], 0
+    words, k = set(), 0
     for m in _WORD.finditer(text):
         while k < len(spans) and spans[k][1] <= m.start():
             k += 1
         if not (k < len(spans) and spans[k][0] < m.end()):
-            words.append((m.start(), m.group().lower()))
-    starts = [w[0] for w in words]
-    out: dict[str, set[str]] = {}
-    for kind, a, _, value in found:
-        at = bisect_left(starts, a)
-        out.setdefault(f"{kind}:{value}", set()).update(w[1] for w in words[max(0, at - NEAR) : at + NEAR])
-    return out
+            words.add(m.group().lower())
+    return words
+
+
+def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text's hash, entities) of the texts that have some."""
+    for batch in batches:
+        rows = [(key, sorted(entities(found))) for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (found := find(text))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["key", "entities"])
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text's hash, entity, terms near it)"""
-    kinds = [pa.binary(), pa.string(), pa.list_(pa.string())]
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text's hash, terms)"""
     for batch in batches:
-        rows: list[tuple] = []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if found := find(text):
-                rows += [(key, entity, sorted(terms)) for entity, terms in near_terms(text, found).items()]
-        columns = list(zip(*rows)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "entity", "terms"])
+        terms = [sorted(terms_beside(text, find(text))) for text in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.string()))], names=["key", "terms"])
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,15 +146,22 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def disclosing(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, terms): for each text (by hash) the disclosing terms in it, as array<struct<term, bits>>."""
     texts = docs.filter(F.col(text_col).rlike("[0-9@]")).select(F.unhex(F.md5(text_col)).alias("key"), F.col(text_col).alias("text"))
-    rows = cut(texts.mapInArrow(_contexts, "key binary, entity string, terms array<string>").select("key", "entity", F.explode("terms").alias("term")))
-    pairs = rows.groupBy("entity", "term", "key").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together"))
+    rows = texts.mapInArrow(_entities, "key binary, entities array<string>")
+    rows = cut(rows.groupBy("key").agg(F.first("entities").alias("entities"), F.count(F.lit(1)).alias("n")))
+    each = rows.select("key", "n", F.explode("entities").alias("entity"))
+    recurring = each.groupBy("entity").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= MIN_TEXTS)
+    wanted = cut(each.join(cut(recurring.select("entity")), "entity", "left_semi").groupBy("key").agg(F.collect_list("entity").alias("entities"), F.first("n").alias("n")))
+    terms = texts.join(wanted.select("key"), "key", "left_semi").mapInArrow(_terms, "key binary, terms array<string>").groupBy("key").agg(F.first("terms").alias("terms"))
+    rows = cut(wanted.join(terms, "key"))
+    together = rows.select("key", "n", "terms", F.explode("entities").alias("entity")).select("key", "n", "entity", F.explode("terms").alias("term"))
+    pairs = together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together"))
     pairs = cut(pairs.filter(F.col("texts") >= MIN_TEXTS))
     all_terms = docs.select(F.col(text_col).alias("text")).mapInArrow(_term_counts, "term string, documents long").groupBy("term").agg(F.sum("documents").alias("documents"))
     wanted = pairs.select("term").distinct()
     known = pairs.join(all_terms.join(wanted, "term", "left_semi"), "term")
     bits = -F.log2(F.least(F.col("together") / F.col("documents"), F.lit(1.0)))
     strong = cut(known.withColumn("bits", bits).filter(F.col("bits") <= GENERALISE_BITS).select(F.col("entity").alias("e"), F.col("term").alias("t"), "bits"))
-    hits = rows.distinct().join(strong, (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
+    hits = together.join(strong, (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
     hits = hits.groupBy("key", "term").agg(F.min("bits").alias("bits"))
     return cut(hits.groupBy("key").agg(F.collect_list(F.struct("term", "bits")).alias("terms")))
 
