@@ -1,7 +1,8 @@
 """License scans: ordered signature rules.
 
 A rule is a regular expression over the words of a text (lower-cased A-Z; digits, letters and non-ASCII characters), a label,
-a priority and a keyword. Rules are sentence forms (:data:`FORMS`) filled with the names of licenses (:data:`LICENSES`). A
+a priority and a keyword. Rules are sentence forms (:data:`FORMS`) filled with the names of licenses (:data:`LICENSES`), and
+sentences of the licenses themselves, which need no name (:data:`SIGNATURES`). A
 text is searched for all keywords at once; only rules whose keyword is there are run. Of the detections, those that lie in
 one of higher priority, or of equal priority and greater length, are suppressed, and so are those that overlap one that
 comes before them in that order. Labels are those of what is left, and those of the base phrases, wherever these stand.
@@ -107,6 +108,44 @@ FORMS = [
     (75, rf"{_LIC} (?:is |type )?(?:the )?{{name}}"),
     (40, "{name}"),
 ]
+_SOME = "(?: [^ ]+)"
+_ENDORSE = rf"neither the names?{_SOME}{{1,40}}? to endorse or promote products"
+_UNDER = r"(?:(?:(?:is |are |be )?(?:dual |re )?[a-z]+ (?:to you )?)?under )?(?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
+_BINARY = "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+_NOTICE_TAIL = "(?: of the licen[cs]e)?(?: only)?(?: or at your option any later version| or any later version)?"
+_ISC = "permission to use copy modify (?:and or|and|or) distribute this software for any purpose with or without fee is hereby granted"
+#: (label, priority, keyword, sentence): grants, conditions, disclaimers and notices.
+SIGNATURES = [
+    *[
+        (f"{label}-{version}", 98, "free software foundation", rf"{_UNDER}(?:gnu )?{name} {_LIC} as published by the free software foundation (?:either )?version {number}{_NOTICE_TAIL}")
+        for label, name, versions in (
+            ("gpl", "general public", (("1.0", "1(?: 0)?"), ("2.0", "2(?: 0)?"), ("3.0", "3(?: 0)?"))), ("lgpl", "library general public", (("2.0", "2(?: 0)?"),)),
+            ("lgpl", "lesser general public", (("2.1", "2 1"), ("3.0", "3(?: 0)?"))), ("agpl", "affero general public", (("3.0", "3(?: 0)?"),)),
+        )
+        for version, number in versions
+    ],
+    ("mit", 96, "hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files(?!(?: the software)? to deal with)(?: the software)?(?: to deal in the software without restriction)?"),
+    ("ncsa", 96, "hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files(?: the software)? to deal with the software without restriction"),
+    ("bsl-1.0", 96, "hereby granted free of charge", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("ofl-1.1", 96, "hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+    ("mit", 70, "permission notice shall be included", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", 45, "in no event shall the authors", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from"),
+    ("isc", 96, "with or without fee is hereby granted", f"{_ISC} provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd", 96, "with or without fee is hereby granted", f"{_ISC}(?! provided that)"),
+    ("postgresql", 96, "without a written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("bsd-4-clause", 97, "advertising materials", rf"all advertising materials mentioning features or use of this software must display the following acknowledge?ment(?:{_SOME}{{0,80}}? {_ENDORSE})?"),
+    ("bsd-3-clause", 96, "neither the name", _ENDORSE),
+    ("bsd-2-clause", 96, "redistributions in binary form", f"{_BINARY} this software is provided by"),
+    ("bsd", 70, "redistributions in binary form", _BINARY),
+    ("bsd", 70, "redistribution and use in source", "redistribution and use in source and binary forms with or without modification (?:are|is) permitted provided that the following conditions are met"),
+    ("bsd", 45, "this software is provided by", rf"this software is provided by{_SOME}{{1,20}}? as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("zlib", 96, "permission is granted to anyone", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
+    ("zlib", 70, "must not be misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", 45, "in no event will the authors", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("apache-2.0", 70, "unless required by applicable law", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
+    ("unlicense", 96, "free and unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", 96, "you just do what", "you just do what the fuck you want to"),
+]
 _IS_WORD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -123,6 +162,9 @@ def _rules() -> tuple[ahocorasick.Automaton, list[tuple[int, str, re.Pattern]]]:
             for keyword in keywords:
                 of.setdefault(keyword, []).append(len(rules))
             rules.append((form_priority, label, _compiled(form.replace("{name}", f"(?:{name})"))))
+    for label, priority, keyword, sentence in SIGNATURES:
+        of.setdefault(keyword, []).append(len(rules))
+        rules.append((priority, label, _compiled(sentence)))
     keys = ahocorasick.Automaton()
     for keyword, numbers in of.items():
         keys.add_word(keyword, tuple(numbers))
