@@ -63,3 +63,11 @@ _GNU = "it under the terms of the GNU {} as published by the Free Software Found
 ])
 def test_license_texts_without_a_name(text, labels):
     assert set(licenses.scan(text)["labels"]) == labels
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("ISC License, Apache-2.0", {"isc", "apache-2.0"}), ("zlib license, BSD license", {"zlib", "bsd"}), ("X11 License, MPL-2.0, PHP License", {"x11", "mpl-2.0", "php"}),
+    ("licensed under the ISC License", {"isc"}), ("Redistributed under the GNU Lesser General Public License v2.1", {"lgpl-2.1"}),
+])
+def test_license_lists_keep_all_labels(text, labels):
+    assert set(licenses.scan(text)["labels"]) == labels

@@ -4,8 +4,8 @@ A rule is a regular expression over the words of a text (lower-cased A-Z; digits
 a priority and a keyword. Rules are sentence forms (:data:`FORMS`) filled with the names of licenses (:data:`LICENSES`), and
 sentences of the licenses themselves, which need no name (:data:`SIGNATURES`). A
 text is searched for all keywords at once; only rules whose keyword is there are run. Of the detections, those that lie in
-one of higher priority, or of equal priority and greater length, are suppressed, and so are those that overlap one that
-comes before them in that order. Labels are those of what is left, and those of the base phrases, wherever these stand.
+one of higher priority, or of equal priority and greater length, are suppressed; those that overlap one in part stay. Labels
+are those of what is left, and those of the base phrases, wherever these stand.
 
 Defined cases: null or empty text has no words, no labels and score 0; repeated rows get equal results; an empty table gives
 an empty result; extra columns are kept, those named like the added ones are replaced. The score is the highest priority among the detections that are left, as a part
@@ -198,7 +198,7 @@ def scan(text: str | None) -> dict:
     left: list[tuple[str, int, int, int]] = []
     taken: list[tuple[int, int]] = []
     for priority, size, start, _, label in sorted(found):
-        if all(start - size <= a or b <= start for a, b in taken):
+        if not any(a <= start and start - size <= b for a, b in taken):
             taken.append((start, start - size))
             left.append((label, -priority, words.count(b" ", 0, start), words.count(b" ", 0, start - size)))
     return {"n_words": len(spelt), "starts": sorted(starts), "base": sorted(base), "labels": sorted(base | {x[0] for x in left}), "detections": left}
