@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -17,38 +18,83 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder's path in the shared folder that the session names; a local one only where none is named."""
+    """A new folder's path in the shared folder that the session names. Only in local mode, where all is one machine, may none be named."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="textloom-"))
         base = f"file://{_own_folder[0]}"
     return f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
 
 
-#: Spark removes the shuffle files of a query when it ends, if this is set.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+#: While steps run, Spark removes the shuffle files of a query when it ends, and gives Python workers no more bytes at once.
+_STEP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+_lock, _running, _before = threading.Lock(), [0], {}
 
 
 @contextlib.contextmanager
-def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
-    """What a query in this block has shuffled is removed when it ends, so that disk holds one step's shuffle only."""
-    before = spark.conf.get(_CLEAN, "false")
-    spark.conf.set(_CLEAN, "true")
+def step(spark: SparkSession) -> Iterator[None]:
+    """The settings of steps hold in this block; those of the session come back when the last of the blocks that run at once ends."""
+    with _lock:
+        if not _running[0]:
+            _before.update({k: spark.conf.get(k) for k in _STEP})
+            for k, v in _STEP.items():
+                spark.conf.set(k, v)
+        _running[0] += 1
     try:
         yield
     finally:
-        spark.conf.set(_CLEAN, before)
+        with _lock:
+            _running[0] -= 1
+            if not _running[0]:
+                for k, v in _before.items():
+                    spark.conf.set(k, v)
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: its lineage ends there, and no executor's loss can take it."""
+    """``df`` written as a table in the shared folder and read again: its lineage ends there, and no executor's loss can take it.
+
+    The table goes when the application ends.
+    """
     spark, path = df.sparkSession, shared_folder(df.sparkSession)
-    with without_shuffle_files(spark):
+    files, place = _file_system(spark, path)
+    files.deleteOnExit(place)
+    with step(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of a long job: those that it cuts go when it ends, but for the one that it keeps."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tables = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for df in self.tables:
+            for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+                files, place = _file_system(self.spark, path)
+                files.delete(place, True)
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.tables.append(cut(df))
+        return self.tables[-1]
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        return cut(df)
+
+
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with columns that are computed once a row, however often later expressions and their lambdas use them."""
     packed = F.array(F.struct(*[F.col(c) for c in df.columns], *[v.alias(k) for k, v in columns.items()]))

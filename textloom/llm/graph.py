@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from textloom.llm.common import cut
 MAX_ROUNDS = 60
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); a component is named by its smallest node.
 
     Each round every node takes the smallest label among itself and its neighbours, and then its label's label, so chains

@@ -1,30 +1,37 @@
 """Near-duplicates by a chosen-path set similarity join.
 
-A document is its set of five-word shingles. From it come ``TOKENS`` minwise tokens. In each of ``TREES`` independent
-trees, a few of the token positions are chosen at the root, and a document goes to one child node for each: the node of
-its token at that position. Nodes of two or more documents are worked on; of those,
-
-* all documents are held against one of the node's, that which shares nodes with the most others (the hub);
-* if all but a few are then in one component, the few are compared with every document of the node;
-* a node with more documents outside its largest component branches again: some positions are chosen by a hash of the
-  node, and its documents go to a child for each.
-
-Documents that are already in one component need no further comparison, so a group of thousands of copies of one text is
-settled by its hub with as many comparisons as it has members. Comparisons are by minwise tokens first (at the same
-``SKETCH`` of agreement that a pair at the threshold misses about once in 10**5), and every link is confirmed on the full
-sets. A pair at the threshold meets in no node at the first level about once in 4**18 or rarer. Branching nodes choose 1.5
-positions a level on average: more than the 1/threshold at which paths of such a pair would die out, and few enough that
-pairs that share up to 2/3 of their tokens get fewer from level to level. Only pairs all of whose first nodes branch (all of
-their common tokens are very common ones) depend on it.
+A document is its set of five-word shingles. From it come ``TOKENS`` minwise tokens. There are ``TREES`` independent trees,
+each of which chooses a token position of its own at the root and sends a document to the node of its token there. Nodes of
+two or more documents are worked on:
+
+* a node of at most ``LEAF`` documents is compared exhaustively;
+* in a larger one, all documents are first held against one of them, that which shares nodes with the most others (the hub).
+  If at most ``LEAF`` are then outside the node's largest component, these few are compared with all documents of the node,
+  in blocks of ``LEAF``;
+* a node with more outside branches: some positions are chosen by a hash of the node, and its documents go to a child for
+  each, which is worked on in the same way.
+
+A comparison has two steps, both within blocks that have all their documents in one task and no more than twice ``LEAF``.
+First tokens: which documents of the block have a partner of another component that agrees in at least ``SKETCH`` tokens?
+A pair that meets in several roots counts in the first of them only. The rest goes no further. Then the full sets of those
+documents are brought to the block, once each, and counted there exactly; what leaves a block are the links that join two
+components, fewer than it has documents. So neither step emits pairs, and a group of thousands of copies is rows in
+proportion to its members.
+
+Recall, for a pair at the threshold: it agrees in fewer than ``SKETCH`` tokens with probability 2e-7, and meets in none of
+the roots with 0.25**16. If a root it meets in branches (over ``LEAF`` documents outside the largest component, which takes
+very common tokens), it survives a tree with probability 0.3 to 0.6, so that of 16 trees it is missed once in 50 to 5000 if
+all its roots do. Tests and README hold figures against all pairs.
 
 Defined cases: null or empty text has no shingles, is linked with nothing and is its own component; a null id cannot be
-linked and has a null component and is kept; repeated rows and equal texts are in one component with the smallest id;
-texts of fewer than five words are one shingle; an empty table gives an empty result; extra columns are not touched.
+linked and has a null component and is kept; equal texts are in one component with the smallest id; rows that share an id
+but not their text are one document's, and link what their texts link; texts of fewer than five words are one shingle; an
+empty table gives an empty result; extra columns are not touched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,26 +40,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import NOT_SPACE, Words, cut, in_chunks, mix
+from textloom.llm.common import NOT_SPACE, Scratch, Words, cut, in_chunks, mix
 from textloom.llm.graph import components
 
 SHINGLE = 5
 PERCENT = 75
 TOKENS = 64
-TREES = 14
-SKETCH = 34
-LEAF = 64
+TREES = 16
+SKETCH = 30
+LEAF = 1024
 BRANCH = 1.5
 #: Levels that a node branches at once, before its children are looked at.
 STEPS = 4
 MAX_LEVELS = 60
-#: Bytes of text that are hashed at once.
-CHUNK = 1 << 20
+#: Bytes of text that are hashed at once, and pairs whose tokens are compared at once.
+CHUNK, PAIRS = 1 << 20, 1 << 15
 
 _SALT = mix(np.arange(1, 257, dtype=np.uint64))
 _TIMES, _PLUS = _SALT[:TOKENS] | np.uint64(1), _SALT[64 : 64 + TOKENS]
-#: (tree, position) of the roots' children: every tree chooses a position with probability 4/3 over TOKENS, and one at least.
-_ROOTS = [(t, int(p)) for t in range(TREES) for p in ([p for p in range(TOKENS) if mix(np.array([t * 1000 + p], np.uint64))[0] < 2**64 * (4 / 3) / TOKENS] or [int(_SALT[130 + t]) % TOKENS])]
+#: A sketch: tokens of the roots' positions in 32 bits, as they name nodes; the others in 16.
+_SKETCH = np.dtype([("root", "<u4", TREES), ("rest", "<u2", TOKENS - TREES)])
 
 
 def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -82,58 +89,108 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return mix(best)
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for ids, texts in in_chunks(batch["id"], batch["text"], CHUNK):
-            rows = []
-            for at, shingles in zip(ids, shingle_sets(texts)):
-                if not len(shingles):
-                    rows.append((at, 0, None, None, None))
-                    continue
-                tokens = minwise(shingles)
-                nodes = mix(tokens[[p for _, p in _ROOTS]] ^ mix(np.array([t * TOKENS + p for t, p in _ROOTS], np.uint64)))
-                rows.append((at, len(shingles), xxhash.xxh3_128_digest(shingles.tobytes()), tokens.astype("<u2").tobytes(), nodes.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["id", "n_shingles", "digest", "sketch", "nodes"]).astype({"id": "Int64"})
+def sketch_of(shingles: np.ndarray) -> bytes:
+    tokens = minwise(shingles)
+    return tokens[:TREES].astype("<u4").tobytes() + tokens[TREES:].astype("<u2").tobytes()
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for ids, texts in in_chunks(batch["id"], batch["text"], CHUNK):
-            yield pd.DataFrame({"id": ids, "shingles": [x.view(np.int64) for x in shingle_sets(texts)]})
-
+            rows = [(at, len(x), xxhash.xxh3_128_digest(x.tobytes()), sketch_of(x)) if len(x) else (at, 0, None, None) for at, x in zip(ids, shingle_sets(texts))]
+            yield pd.DataFrame(rows, columns=["id", "n_shingles", "digest", "sketch"]).astype({"id": "Int64"})
 
-def _agreement(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(a, b, agreement) of documents with their node's hub, where the tokens agree often enough."""
-    for batch in batches:
-        mine, other = (np.frombuffer(b"".join(batch[c]), "<u2").reshape(len(batch), TOKENS) for c in ("sketch", "hub_sketch"))
-        same = (mine == other).sum(axis=1)
-        found = batch[same >= SKETCH]
-        yield pd.DataFrame({"a": found["doc"], "b": found["hub"], "agreement": same[same >= SKETCH]}).astype("int64")
-
-
-def _tokens(column: pa.Array) -> np.ndarray:
-    """Sketches, a row each, seen where they lie: no object is made for any."""
-    offsets = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<u2").reshape(len(column), TOKENS)
 
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a document and a node's few that are alike enough by tokens and not in one component."""
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found: list[tuple[int, int]] = []
-        if batch.num_rows:
-            docs, comps, few = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
-            mine, ends = _tokens(batch.column(2)), few.offsets.to_numpy()
-            other, other_comp, other_sketch = few.flatten().flatten()
-            other, other_comp, other_sketch = other.to_numpy(), other_comp.to_numpy(), _tokens(other_sketch)
-            ends = ends - ends[0]
-            for k in range(len(docs)):
-                a, b = ends[k], ends[k + 1]
-                same = (other_sketch[a:b] == mine[k]).sum(axis=1) >= SKETCH
-                for x in other[a:b][same & (other_comp[a:b] != comps[k])].tolist():
-                    found.append((min(int(docs[k]), x), max(int(docs[k]), x)))
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        for _, texts in in_chunks(batch["text"], batch["text"], CHUNK):
+            sets = [x for x in shingle_sets(texts) if len(x)]
+            yield pd.DataFrame({"digest": [xxhash.xxh3_128_digest(x.tobytes()) for x in sets], "shingles": [x.view(np.int64) for x in sets]})
+
+
+def _whole_blocks(work: Callable[[pa.Table], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` on runs of whole blocks, of rows that come ordered by ``block``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blocks = batch.column("block").to_numpy()
+            # what stands before the last block's begin is whole
+            cut = len(blocks) - int((blocks[::-1] == blocks[-1]).argmin()) if blocks[0] != blocks[-1] else 0
+            if cut or waiting and waiting[-1].column("block")[-1].as_py() != blocks[0]:
+                yield work(pa.Table.from_batches([*waiting, batch.slice(0, cut)]))
+                waiting = []
+            waiting.append(batch.slice(cut))
+        if waiting:
+            yield work(pa.Table.from_batches(waiting))
+
+    return run
+
+
+def _bounds(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the block of each row begins and ends."""
+    start = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
+    size = np.diff(np.append(start, len(blocks)))
+    return np.repeat(start, size), np.repeat(start + size, size)
+
+
+def _candidates(table: pa.Table) -> pa.RecordBatch:
+    """Those rows of blocks that have a partner by tokens; in a block the few, which are compared with all, come first."""
+    block, doc, few, comp, n, root, roots = (table.column(c).to_numpy() for c in ("block", "doc", "few", "comp", "n", "root", "roots"))
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), _SKETCH)
+    mine, ends = np.flatnonzero(few), _bounds(block)[1]
+    later = ends[mine] - mine - 1
+    hit = np.zeros(len(block), bool)
+    step = np.concatenate(([0], np.cumsum(later)))
+    at = 0
+    while at < len(mine):
+        to = max(at + 1, int(np.searchsorted(step, step[at] + PAIRS, "right")) - 1)
+        i = np.repeat(mine[at:to], later[at:to])
+        j = i + 1 + np.arange(len(i)) - np.repeat(step[at:to] - step[at], later[at:to])
+        at = to
+        able = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+        i, j = i[able], j[able]
+        same = sketch["root"][i] == sketch["root"][j]
+        alike = same.sum(axis=1) + (sketch["rest"][i] == sketch["rest"][j]).sum(axis=1) >= SKETCH
+        i, j, same = i[alike], j[alike], same[alike]
+        # in the first root in which they meet and are compared
+        meet = same & ((roots[i][:, None] >> np.arange(TREES)) & 1).astype(bool)
+        here = (root[i] < 0) | ~meet.any(axis=1) | (meet.argmax(axis=1) == root[i])
+        hit[i[here]] = hit[j[here]] = True
+    return pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (block, doc, few, comp)], names=["block", "doc", "few", "comp"])
+
+
+def _links(table: pa.Table) -> pa.RecordBatch:
+    """Links between components of the few and all documents of blocks, counted on the full sets."""
+    block, doc, few, comp = (table.column(c).to_numpy() for c in ("block", "doc", "few", "comp"))
+    comp, ends = comp.copy(), _bounds(block)[1]
+    sets = table.column("shingles").combine_chunks()
+    offset = sets.offsets.to_numpy().astype(np.int64)
+    known, number = np.unique(sets.values.to_numpy()[offset[0] : offset[-1]], return_inverse=True)
+    offset = offset - offset[0]
+    size, member, found = np.diff(offset), np.zeros(len(known), bool), []
+    for i in np.flatnonzero(few).tolist():
+        end = ends[i]
+        others = i + 1 + np.flatnonzero(comp[i + 1 : end] != comp[i])
+        if not len(others):
+            continue
+        others = others[100 * np.minimum(size[i], size[others]) >= PERCENT * np.maximum(size[i], size[others])]
+        if not len(others):
+            continue
+        own = number[offset[i] : offset[i + 1]]
+        member[own] = True
+        first, last = others[0], others[-1] + 1
+        common = np.add.reduceat(member[number[offset[first] : offset[last]]], offset[first:last] - offset[first], dtype=np.int64)[others - first]
+        member[own] = False
+        for j in others[100 * common >= PERCENT * (size[i] + size[others] - common)].tolist():
+            if comp[j] != comp[i]:
+                found.append((doc[i], doc[j]))
+                here = comp[i:end]
+                here[here == comp[j]] = comp[i]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,7 +199,8 @@ def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     bound = np.uint64(int(2**64 * BRANCH / TOKENS))
     for batch in batches:
         nodes = batch["node"].to_numpy(np.int64).view(np.uint64)
-        tokens = np.frombuffer(b"".join(batch["sketch"]), "<u2").reshape(len(nodes), TOKENS).astype(np.uint64)
+        sketch = np.frombuffer(b"".join(batch["sketch"]), _SKETCH)
+        tokens = np.concatenate([sketch["root"].astype(np.uint64), sketch["rest"].astype(np.uint64)], axis=1).reshape(len(nodes), TOKENS)
         of = np.arange(len(nodes))
         for _ in range(STEPS):
             chance = mix(nodes[:, None] ^ positions)
@@ -152,91 +210,125 @@ def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": nodes.view(np.int64), "doc": batch["doc"].to_numpy()[of]})
 
 
-def _labelled(front: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``front`` with ``comp``; labels has those documents only that are in a component of another name."""
+def _labelled(rows: DataFrame, labels: DataFrame | None, doc: str = "doc") -> DataFrame:
+    """``rows`` with ``comp``; labels has those documents only that are in a component of another name."""
     if labels is None:
-        return front.withColumn("comp", F.col("doc"))
-    front = front.join(labels.select(F.col("node").alias("__node"), "component"), F.col("doc") == F.col("__node"), "left")
-    return front.withColumn("comp", F.coalesce("component", "doc")).drop("component", "__node")
+        return rows.withColumn("comp", F.col(doc))
+    rows = rows.join(labels.select(F.col("node").alias("__node"), "component"), F.col(doc) == F.col("__node"), "left")
+    return rows.withColumn("comp", F.coalesce("component", doc)).drop("component", "__node")
+
+
+class _Join:
+    """A join on its way: the distinct texts ``reps`` (doc, id, digest, n, sketch), and the links found so far as ``labels``."""
+
+    def __init__(self, docs: DataFrame, reps: DataFrame, scratch: Scratch):
+        self.docs, self.reps, self.cut = docs, reps, scratch.cut
+        self.labels: DataFrame | None = None
+
+    def add(self, links: DataFrame) -> None:
+        """New links between components become components of those that there are, so old links are not looked at again."""
+        for end in ("a", "b"):
+            links = _labelled(links, self.labels, end).drop(end).withColumnRenamed("comp", end)
+        links = self.cut(links.filter("a <> b").distinct())
+        if links.isEmpty():
+            return
+        new = components(links, self.cut).filter(F.col("node") != F.col("component"))
+        if self.labels is not None:
+            old = self.labels.join(new.toDF("__node", "__component"), F.col("component") == F.col("__node"), "left")
+            new = old.select("node", F.coalesce("__component", "component").alias("component")).unionByName(new)
+        self.labels = self.cut(new)
+
+    def compare(self, blocks: DataFrame) -> None:
+        """Adds the links in ``blocks`` (block, doc, few, root, roots): in each, of the few with all documents."""
+        told = _labelled(blocks, self.labels).join(self.reps.select("doc", "n", "sketch"), "doc")
+        told = told.repartition("block").sortWithinPartitions("block", F.desc("few"), "doc")
+        found = self.cut(told.mapInArrow(_whole_blocks(_candidates), "block long, doc long, few boolean, comp long"))
+        # tables of known size: where they are small Spark sends them to all tasks, else it joins by shuffle
+        wanted = self.cut(self.reps.select("doc", "id", "digest").join(found.select("doc").distinct(), "doc", "left_semi"))
+        texts = self.docs.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
+        sets = texts.mapInPandas(_sets, "digest binary, shingles array<long>").join(wanted.select("doc", "digest"), "digest")
+        sets = self.cut(sets.groupBy("doc").agg(F.first("shingles").alias("shingles")))
+        each = found.join(sets, "doc").repartition("block").sortWithinPartitions("block", F.desc("few"), "doc")
+        self.add(self.cut(each.mapInArrow(_whole_blocks(_links), "a long, b long")))
+
+    def hubs(self, front: DataFrame) -> DataFrame:
+        """Blocks of the documents of large nodes with the hubs of these; a hub with many is in several."""
+        # the more documents stand in a document's nodes, the likelier it is like many
+        scores = front.groupBy("doc").agg(F.sum("size").alias("score"))
+        hub = front.join(scores, "doc").groupBy("node").agg(F.max_by("doc", F.struct("score", "doc")).alias("hub"))
+        pairs = self.cut(front.join(hub, "node").filter("doc <> hub").select("hub", "doc").distinct())
+        parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
+        others = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("doc"), "parts").alias("part"), "doc", F.lit(False).alias("few"))
+        own = parts.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("doc"), F.lit(True).alias("few"))
+        return _blocks(others.unionByName(own), "hub", "part")
+
+    def outside(self, front: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Of large nodes, what is outside of their largest components: blocks of these few with all, and nodes with too many."""
+        here = self.cut(_labelled(front, self.labels))
+        parts = here.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("of"))
+        sizes = parts.groupBy("node").agg(F.max_by("comp", F.struct("of", "comp")).alias("main"), (F.sum("of") - F.max("of")).alias("others"), F.ceil(F.max("of") / LEAF).alias("parts"))
+        sizes = self.cut(sizes.filter("others > 0"))
+        here = here.join(sizes, "node")
+        some = here.filter(F.col("others") <= LEAF)
+        main = some.filter("comp = main").select("node", F.pmod(F.xxhash64("doc"), "parts").alias("part"), "doc", "root", F.lit(False).alias("few"))
+        few = some.filter("comp <> main").select("node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "doc", "root", F.lit(True).alias("few"))
+        return _blocks(main.unionByName(few), "node", "part", root=True), here.filter(F.col("others") > LEAF).select("node", "doc")
+
+
+def _blocks(rows: DataFrame, *key: str, root: bool = False) -> DataFrame:
+    block = F.xxhash64(F.lit(len(key)), *key).alias("block")
+    return rows.select(block, "doc", "few", "root" if root else F.lit(-1).alias("root"))
+
+
+def _shared(front: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, doc, root, size): the documents of nodes that have at least two."""
+    sizes = front.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return cut(front.join(sizes, "node"))
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component) for every row of ``docs``; component is the smallest id that links reach."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = cut(docs.mapInPandas(_sketches, "id long, n_shingles long, digest binary, sketch binary, nodes array<long>"))
-    # texts with equal sets are one: only the smallest id of them is joined
-    told = F.min(F.struct(F.col("id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "nodes"))
-    reps = cut(rows.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("digest").agg(told.alias("x")).select("digest", "x.*"))
-    front = _shared(reps.select("doc", F.explode("nodes").alias("node")))
-    # the more documents stand in a document's nodes, the likelier it is like many
-    scores = front.groupBy("doc").agg(F.sum("size").alias("score"))
-    sketches = cut(reps.select("doc", "n", "sketch").join(scores, "doc"))
-    labels = None
-
-    def linked(pairs: DataFrame, labels: DataFrame | None) -> DataFrame | None:
-        """The labels with the links among ``pairs`` that the full sets confirm."""
-        sizes = sketches.select("doc", "n")
-        pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        pairs = cut(pairs.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b").distinct())
-        if pairs.isEmpty():
-            return labels
-        # tables of known size: where they are small Spark sends them to all tasks, else it joins by shuffle
-        meeting = cut(pairs.select("a").union(pairs.select("b")).distinct())
-        sets = cut(docs.join(meeting, F.col("id") == F.col("a"), "left_semi").mapInPandas(_sets, "id long, shingles array<long>").dropDuplicates(["id"]))
-        pairs = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-        pairs = pairs.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-        pairs = pairs.filter(100 * F.col("common") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
-        return _more(cut(pairs), labels)
-
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.keep(_components_of(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), scratch))
+
+
+def _components_of(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    cut = scratch.cut
+    rows = cut(docs.mapInPandas(_sketches, "id long, n_shingles long, digest binary, sketch binary"))
+    linkable = rows.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
+    # texts with equal sets are one, and have a number of their own
+    told = linkable.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    reps = cut(told.withColumn("doc", F.monotonically_increasing_id()))
+    join = _Join(docs, reps, scratch)
+    several = linkable.groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x < y").select("id")
+    several = cut(linkable.join(several, "id", "left_semi").join(reps.select("digest", "doc"), "digest").select(F.col("id"), "doc").distinct())
+    join.add(several.join(several.groupBy("id").agg(F.min("doc").alias("a")), "id").select("a", F.col("doc").alias("b")))
+    token = [F.struct(F.xxhash64(F.lit(t), F.substring("sketch", 4 * t + 1, 4)).alias("node"), F.lit(t).alias("root")) for t in range(TREES)]
+    front = _shared(reps.select("doc", F.inline(F.array(*token))), cut)
     for _ in range(MAX_LEVELS):
-        if front.isEmpty():
-            break
-        # every document against the hubs of its nodes; that which it agrees with best is confirmed
-        here = _labelled(front, labels).join(sketches, "doc").drop("size")
-        hub = here.groupBy("node").agg(F.max_by(F.struct("doc", "comp", "sketch"), F.struct("score", -F.col("doc"))).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("node", "hub")
-        pairs = here.join(hub, "node").filter(F.col("comp") != F.col("hub.comp")).select("doc", "sketch", F.col("hub.doc").alias("hub"), F.col("hub.sketch").alias("hub_sketch"))
-        pairs = pairs.mapInPandas(_agreement, "a long, b long, agreement long").groupBy("a").agg(F.max_by("b", F.struct("agreement", -F.col("b"))).alias("b"))
-        labels = linked(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), labels)
-        # those outside a node's largest component
-        here = _labelled(front, labels)
-        parts = here.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"))
-        outside = parts.groupBy("node").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), (F.sum("size") - F.max("size")).alias("few")).filter("few > 0")
-        outside = cut(outside)
-        if outside.isEmpty():
+        blocks = _blocks(front.filter(F.col("size") <= LEAF).withColumn("few", F.lit(True)), "node", root=True)
+        large = front.filter(F.col("size") > LEAF)
+        branching = None
+        if not large.isEmpty():
+            join.compare(join.hubs(large).withColumn("roots", F.lit(0)))
+            more, branching = join.outside(large)
+            blocks = cut(blocks.unionByName(more))
+        compared = blocks.filter("root >= 0").groupBy("doc").agg(F.bit_or(F.expr("shiftleft(1, root)")).alias("roots"))
+        join.compare(blocks.join(compared, "doc", "left").withColumn("roots", F.coalesce("roots", F.lit(0))))
+        if branching is None or branching.isEmpty():
             break
-        here = here.join(outside, "node").join(sketches.select("doc", "sketch"), "doc")
-        small = here.filter(F.col("few") <= LEAF).drop("few")
-        few = small.filter(F.col("comp") != F.col("main")).groupBy("node").agg(F.collect_list(F.struct("doc", "comp", "sketch")).alias("few"))
-        pairs = small.select("node", "doc", "comp", "sketch").join(few, "node").select("doc", "comp", "sketch", "few").mapInArrow(_compare, "a long, b long")
-        labels = linked(pairs, labels)
-        large = here.filter(F.col("few") > LEAF).select("node", "doc", "sketch")
-        front = _shared(large.mapInPandas(_children, "node long, doc long").distinct())
-    named = _labelled(reps.select("digest", "doc"), labels).select(F.col("digest").alias("of"), F.col("comp").alias("component"))
-    found = rows.select("id", "n_shingles", "digest").join(named, F.col("digest") == F.col("of"), "left")
+        branching = branching.join(reps.select("doc", "sketch"), "doc").select("node", "doc", "sketch")
+        front = cut(branching.mapInPandas(_children, "node long, doc long").distinct()).withColumn("root", F.lit(-1))
+        front = _shared(front, cut)
+    else:
+        raise RuntimeError(f"nodes are still open after {MAX_LEVELS} levels")
+    named = cut(_labelled(reps.select("digest", "doc", "id"), join.labels))
+    least = named.groupBy("comp").agg(F.min("id").alias("component"))
+    named = named.join(least, "comp").select("digest", "component")
+    found = rows.select("id", "n_shingles", "digest").join(named, "digest", "left")
     return found.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
-def _shared(front: DataFrame) -> DataFrame:
-    """(node, doc, size): the documents of nodes that have at least two."""
-    front = cut(front.select("node", "doc"))
-    sizes = front.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return cut(front.join(sizes, "node"))
-
-
-def _more(links: DataFrame, labels: DataFrame | None) -> DataFrame | None:
-    """The labels with new links: components of the components that there are, so old links are not looked at again."""
-    for end in ("a", "b"):
-        links = _labelled(links.withColumnRenamed(end, "doc"), labels).drop("doc").withColumnRenamed("comp", end)
-    links = cut(links.filter("a <> b").distinct())
-    if links.isEmpty():
-        return labels
-    new = components(links).filter(F.col("node") != F.col("component"))
-    if labels is None:
-        return new
-    old = labels.join(new.toDF("__node", "__component"), F.col("component") == F.col("__node"), "left")
-    return cut(old.select("node", F.coalesce("__component", "component").alias("component")).unionByName(new))
-
-
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each component that with the smallest id."""
     found = components_of(docs, id_col, text_col)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm.common import cut, shared_folder, without_shuffle_files
+from textloom.llm.common import cut, shared_folder, step
 
 MIN_REVISIT = 100
 END = "\r\n"
@@ -83,7 +83,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         _record(F.when(revisit, "revisit").otherwise("response"), own, main, F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("payload")))),
         _record(F.lit("metadata"), _record_id("metadata", key(F.col("name"), F.col("url"))), F.concat(linked, F.lit(f"Content-Type: application/warc-fields{END}")), _line("page-id", F.col("name"))),
     )
-    with without_shuffle_files(pages.sparkSession):
+    with step(pages.sparkSession):
         rows.select(F.explode(records).alias("value")).write.option("lineSep", GAP).option("compression", "gzip").text(path)
     return path
 
