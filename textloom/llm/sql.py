@@ -6,9 +6,9 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-OP1 = rf"""
+_OP1 = rf"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size FROM documents
+  SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
 ), weighed AS (
@@ -21,33 +21,52 @@ WITH sized AS (
   SELECT level AS settled FROM levels WHERE level * weight <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1
 ), goals AS (
   SELECT source, source_size, CASE WHEN level * weight <= cap THEN (SELECT settled FROM first_free) * weight ELSE cap END AS target FROM levels
-), fractions AS (
-  SELECT s.doc_id, s.source, s.size, g.source_size, g.target,
-    CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS ratio
-  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+), measured AS (
+  SELECT s.doc_id, s.source, s.size, length(bin(s.size)) AS bits,
+    (('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '') || ':' || coalesce(s.text, '')), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u FROM sized s
+), classes AS (
+  SELECT source, bits, sum(size)::BIGINT AS words FROM measured GROUP BY ALL
+), levelled AS (
+  SELECT c.source, bits, words, source_size, target,
+    (target - 3 * coalesce(sum(words) OVER (PARTITION BY c.source ORDER BY bits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+    / nullif(sum(bits * words) OVER (PARTITION BY c.source ORDER BY bits DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE, 0) AS rate
+  FROM classes c JOIN goals g ON c.source IS NOT DISTINCT FROM g.source
+), rates AS (
+  SELECT *, CASE WHEN source_size > 0 THEN coalesce(least(3.0::DOUBLE, (arg_max(rate, bits) FILTER (rate * bits <= 3) OVER (PARTITION BY source)) * bits), 3.0::DOUBLE) ELSE 0.0::DOUBLE END AS rated
+  FROM levelled
 ), drawn AS (
-  SELECT *, floor(ratio) AS whole, ratio - floor(ratio) AS fraction,
-    (('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u FROM fractions
-), odds AS (
-  SELECT *, (u / (1.0::DOUBLE - u)) / (fraction / (1.0::DOUBLE - fraction)) AS q, size * 64 > target AS large,
-    fraction > 0 AND size > 0 AS open FROM drawn
-), big AS (
-  SELECT doc_id, source, size, CASE WHEN sum(size) OVER (PARTITION BY source ORDER BY q, size, doc_id ROWS UNBOUNDED PRECEDING) - size / 2.0
-    <= sum(size * fraction) OVER (PARTITION BY source) THEN 1 ELSE 0 END AS extra FROM odds WHERE open AND large
-), rest AS (
-  SELECT g.source, g.target - g.source_size * floor(g.target / g.source_size) - coalesce(b.have, 0) AS goal
-  FROM goals g LEFT JOIN (SELECT source, sum(size * extra) AS have FROM big GROUP BY source) b ON g.source IS NOT DISTINCT FROM b.source
-  WHERE g.source_size > 0
-), small AS (
-  SELECT o.doc_id, CASE WHEN sum(o.size) OVER (PARTITION BY o.source ORDER BY q, size, doc_id ROWS UNBOUNDED PRECEDING) - o.size / 2.0
-    <= r.goal THEN 1 ELSE 0 END AS extra
-  FROM odds o JOIN rest r ON o.source IS NOT DISTINCT FROM r.source WHERE open AND NOT large
-)
-SELECT o.doc_id, o.size, o.source_size, o.target, (o.size * (o.whole + coalesce(b.extra, s.extra, 0)))::BIGINT AS taken, o.source,
-  (o.whole + coalesce(b.extra, s.extra, 0))::INT AS copies
-FROM odds o LEFT JOIN big b USING (doc_id) LEFT JOIN small s USING (doc_id)
+  SELECT m.*, r.source_size, r.target, floor(rated) AS whole, rated - floor(rated) AS fraction
+  FROM measured m JOIN rates r ON m.source IS NOT DISTINCT FROM r.source AND m.bits = r.bits
+), ranked AS (
+  SELECT *, CASE WHEN fraction > 0 AND size > 0 THEN (u / (1.0::DOUBLE - u)) / (fraction / (1.0::DOUBLE - fraction)) END AS q FROM drawn
+), units AS (
+  SELECT source, q, sum(size)::BIGINT AS size, max(size) AS one FROM ranked WHERE q IS NOT NULL GROUP BY ALL
+), gap1 AS (
+  SELECT source, any_value(target) - sum(words * floor(rated))::DOUBLE AS gap, 0.0::DOUBLE AS above, 'inf'::DOUBLE AS most FROM rates GROUP BY source
+), {{passes}}
+SELECT doc_id, size, source_size, target, (size * (whole + extra))::BIGINT AS taken, source, (whole + extra)::INT AS copies
+FROM (SELECT *, CASE WHEN {{taken}} THEN 1 ELSE 0 END AS extra FROM ranked r {{joined}})
 """
 
+
+def _op1_pass(n: int) -> str:
+    """One pass of the documents that fit, in order of q, and what is missing after it."""
+    return f"""run{n} AS (
+  SELECT u.source, u.q, u.size, g.gap, sum(u.size) OVER (PARTITION BY u.source ORDER BY u.q ROWS UNBOUNDED PRECEDING) AS running
+  FROM units u JOIN gap{n} g ON u.source IS NOT DISTINCT FROM g.source AND u.q > g.above AND u.one <= g.most
+), end{n} AS (
+  SELECT g.source, g.above, g.most, min(q) FILTER (running > r.gap) AS until, g.gap - coalesce(sum(size) FILTER (running <= r.gap), 0)::DOUBLE AS rest
+  FROM gap{n} g LEFT JOIN run{n} r ON r.source IS NOT DISTINCT FROM g.source GROUP BY g.source, g.above, g.most, g.gap
+), gap{n + 1} AS (SELECT source, rest AS gap, until AS above, rest AS most FROM end{n} WHERE until IS NOT NULL)"""
+
+
+_PASSES = range(1, 5)
+OP1 = _OP1.format(
+    passes=", ".join(map(_op1_pass, _PASSES)),
+    taken=" OR ".join(f"(r.q > e{n}.above AND r.size <= e{n}.most AND r.q < coalesce(e{n}.until, 'inf'::DOUBLE))" for n in _PASSES),
+    joined=" ".join(f"LEFT JOIN end{n} e{n} ON r.source IS NOT DISTINCT FROM e{n}.source" for n in _PASSES),
+)
+
 OP2 = rf"""
 WITH base AS (
   SELECT doc_id, source, text, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents
