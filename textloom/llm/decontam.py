@@ -2,22 +2,25 @@
 
 Benchmark items come in blocks of at most ``BLOCK_BYTES``; a block is sent to all tasks. Each shard of the training texts
 (a run of about 4 MB within a task) is turned into word numbers of the block's vocabulary, and the suffixes that can match
-- those that begin with as many known words as the shortest window has - are sorted into a suffix array. Every suffix of
-every item is looked up in it by binary search; matches of a whole window are extended to the longest verbatim match, held
-against the bytes of the texts, and kept with their places. More blocks than one are applied one after the other to the
-same rows, so nothing is shuffled and no document is ever in one place with another.
+- those that begin with as many known words as the shortest window has - are sorted into a suffix array, with the word before
+each as the last key. Every suffix of every item is looked up in it by binary search: once for the places where a match of
+whole windows begins (the word before differs), once for those where it ends (the word after differs). Begins and ends of one
+diagonal pair up to the longest verbatim matches, so work is in proportion to these and not to the windows in them, and text
+and item of one repeated word are no quadratic case. The words of the matches are held against the bytes of the texts.
+
+Blocks are applied one after the other to the shards of the same task, which holds one of them at a time, so nothing is
+shuffled and no document is ever in one place with another. The driver reads the items as a stream and holds one block.
 
 A window is ``WINDOW`` consecutive words of an item; an item of fewer words, but not none, is one window.
 
 Defined cases: null or empty text has no words and no match; an item without words matches nothing; items with equal texts
 all match; a null item id marks words as hit but is in no list of items; repeated rows get equal results; with an empty
 benchmark nothing is hit; an empty table gives an empty result; extra columns of ``docs`` are kept, those named like the
-added ones are replaced.
+added ones are replaced. Where one place of a text begins matches with several places of one item, the longest is told.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +38,11 @@ MATCH = "array<struct<item:long, item_word:int, word:int, n_words:int>>"
 _MATCH_TYPE = pa.list_(pa.struct([("item", pa.int64()), ("item_word", pa.int32()), ("word", pa.int32()), ("n_words", pa.int32())]))
 
 
-def _keys(ids: np.ndarray, at: np.ndarray, lengths: np.ndarray, fill: int) -> np.ndarray:
-    """The WINDOW word numbers from each place on as a string whose order is theirs; those after its length are ``fill``."""
+def _keys(ids: np.ndarray, at: np.ndarray, lengths: np.ndarray, beside: np.ndarray, fill: int) -> np.ndarray:
+    """The WINDOW word numbers from each place on, and one beside them, as a string whose order is theirs; those after its length are ``fill``."""
     span = np.arange(WINDOW)
     rows = np.where(span < lengths[:, None], ids[np.minimum(at[:, None] + span, max(len(ids) - 1, 0))], fill)
-    return np.ascontiguousarray(rows.astype(">u4")).view(f"S{4 * WINDOW}").ravel()
+    return np.ascontiguousarray(np.concatenate([rows, beside[:, None]], axis=1).astype(">u4")).view(f"S{4 * WINDOW + 4}").ravel()
 
 
 class Block:
@@ -49,14 +52,32 @@ class Block:
         texts = [(x[1] or "").encode("utf-8", "surrogatepass") for x in items]
         self.words = words = Words(texts, ALNUM)
         self.items = [x[0] for x in items]
-        self.vocabulary = np.unique(words.hash)
+        self.vocabulary, self.spelt = np.unique(words.hash, return_index=True)
         self.ids = np.searchsorted(self.vocabulary, words.hash).astype(np.int64) + 1
-        self.left = words.first[1:][words.doc] - np.arange(len(words.doc))  # words from each on to the end of its item
+        here = np.arange(len(words.doc))
+        left = words.first[1:][words.doc] - here  # words from each on to the end of its item
         of = np.minimum(words.count[words.doc], WINDOW)
-        self.at = np.flatnonzero(self.left >= of)  # the suffixes that begin with a window
+        self.at = np.flatnonzero(left >= of)  # the suffixes that begin with a window
         self.length = of[self.at]
         self.shortest = int(self.length.min()) if len(self.at) else 0
-        self.low, self.high = _keys(self.ids, self.at, self.length, 0), _keys(self.ids, self.at, self.length, 2**32 - 1)
+        # the words beside the windows in their items, 0 where these begin or end
+        self.before = np.where(self.at > words.first[words.doc[self.at]], self.ids[self.at - 1], 0) if len(self.at) else self.at
+        after = self.at + self.length
+        self.after = np.where(after < words.first[1:][words.doc[self.at]], self.ids[np.minimum(after, len(self.ids) - 1)], 0) if len(self.at) else self.at
+
+    def _places(self, array: np.ndarray, keys: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the text, suffix of an item) of the windows that have not the same known word beside them."""
+        none, all_ = np.zeros(len(self.at), np.int64), np.full(len(self.at), 2**32 - 1)
+        low = np.searchsorted(keys, _keys(self.ids, self.at, self.length, none, 0), "left")
+        high = np.searchsorted(keys, _keys(self.ids, self.at, self.length, all_, 2**32 - 1), "right")
+        # a range without the part that has the word; where there is none beside, without nothing
+        same = _keys(self.ids, self.at, self.length, beside, 0)
+        skip, go_on = (np.where(beside > 0, np.searchsorted(keys, same, side), high) for side in ("left", "right"))
+        begin, end = np.concatenate([low, go_on]), np.concatenate([skip, high])
+        times = end - begin
+        of = np.repeat(np.concatenate([np.arange(len(self.at))] * 2), times)
+        rank = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+        return array[np.repeat(begin, times) + rank], of
 
     def matches(self, texts: list[bytes]) -> tuple[np.ndarray, list[list[tuple]]]:
         """The number of words of each text, and its longest matches."""
@@ -69,63 +90,85 @@ class Block:
         stop = np.minimum.accumulate(np.where(ids == 0, here, len(ids))[::-1])[::-1]
         known = np.minimum(stop, words.first[1:][words.doc]) - here  # known words from each on, in its text
         suffixes = np.flatnonzero(known >= self.shortest)
-        keys = _keys(ids, suffixes, np.minimum(known[suffixes], WINDOW), 0)
-        order = np.argsort(keys, kind="stable")
-        array, keys = suffixes[order], keys[order]
-        low, high = np.searchsorted(keys, self.low, "left"), np.searchsorted(keys, self.high, "right")
-        times = high - low
-        of = np.repeat(np.arange(len(times)), times)
-        rank = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
-        at, mine = array[low[of] + rank], self.at[of]
-        size, left, room = self.length[of].astype(np.int64), self.left[mine], known[at]
-        # the first of those on one diagonal is extended; the others are parts of it
-        before = (at > 0) & (mine > 0) & (words.doc[at] == words.doc[at - 1]) & (self.words.doc[mine] == self.words.doc[mine - 1]) & (ids[at - 1] == self.ids[mine - 1])
-        at, mine, size, left, room = (x[~before] for x in (at, mine, size, left, room))
-        active = np.flatnonzero((size < left) & (size < room))
-        while len(active):
-            active = active[ids[at[active] + size[active]] == self.ids[mine[active] + size[active]]]
-            size[active] += 1
-            active = active[(size[active] < left[active]) & (size[active] < room[active])]
-        for a, m, n in zip(at.tolist(), mine.tolist(), size.tolist()):
-            if self._spelt(words, a, n) == self._spelt(self.words, m, n):
-                text, item = int(words.doc[a]), int(self.words.doc[m])
-                found[text].append((self.items[item], int(m - self.words.first[item]), int(a - words.first[text]), n))
+        length = np.minimum(known[suffixes], WINDOW)
+        own = words.doc[suffixes]
+        before = np.where(suffixes > words.first[own], ids[suffixes - 1], 0)
+        after = np.where(known[suffixes] > WINDOW, ids[np.minimum(suffixes + WINDOW, len(ids) - 1)], 0)
+        ends = []
+        for beside, of_item in ((before, self.before), (after, self.after)):
+            keys = _keys(ids, suffixes, length, beside, 0)
+            order = np.argsort(keys, kind="stable")
+            at, of = self._places(suffixes[order], keys[order], of_item)
+            # of windows of short items every one is whole
+            diagonal = self.words.doc[self.at[of]].astype(np.int64), at - self.at[of]
+            ends.append(np.stack([x[np.lexsort((at, diagonal[1], diagonal[0]))] for x in (at, of)]))
+        (at, of), last = ends[0], ends[1][0]
+        size = last - at + self.length[of]
+        text, item = words.doc[at], self.words.doc[self.at[of]]
+        order = np.lexsort((-size, item, at))
+        longest = order[np.concatenate(([True], (at[order][1:] != at[order][:-1]) | (item[order][1:] != item[order][:-1])))] if len(order) else order
+        at, of, size, text, item = at[longest], of[longest], size[longest], text[longest], item[longest]
+        wrong = self._misread(words, ids, at, size)
+        for a, m, n, t, k in zip(at.tolist(), self.at[of].tolist(), size.tolist(), text.tolist(), item.tolist()):
+            if not len(wrong) or np.searchsorted(wrong, a) == np.searchsorted(wrong, a + n):
+                found[t].append((self.items[k], int(m - self.words.first[k]), int(a - words.first[t]), n))
         return words.count, found
 
-    @staticmethod
-    def _spelt(words: Words, at: int, n: int) -> list[bytes]:
-        return [words.raw[s:e].tobytes() for s, e in zip(words.start[at : at + n], words.end[at : at + n])]
+    def _misread(self, words: Words, ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The places of those words of matches that have the hash of a word of the block, but are another word."""
+        step = np.zeros(len(ids) + 1, np.int64)
+        np.add.at(step, at, 1)
+        np.add.at(step, at + size, -1)
+        places = np.flatnonzero(np.cumsum(step)[:-1])
+        theirs = self.spelt[ids[places] - 1]
+        length = words.end[places] - words.start[places]
+        wrong = length != self.words.end[theirs] - self.words.start[theirs]
+        places, theirs, length, odd = places[~wrong], theirs[~wrong], length[~wrong], places[wrong]
+        k = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        differs = words.raw[np.repeat(words.start[places], length) + k] != self.words.raw[np.repeat(self.words.start[theirs], length) + k]
+        return np.unique(np.concatenate([odd, np.repeat(places, length)[differs]]))
+
+
+def _in_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
+    block, size = [], 0
+    for row in items.toLocalIterator():
+        more = len((row[1] or "").encode("utf-8", "surrogatepass")) + 16
+        if block and size + more > block_bytes:
+            yield block
+            block, size = [], 0
+        block.append(tuple(row))
+        size += more
+    yield block
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``n_words`` and ``matches``."""
     spark, docs = docs.sparkSession, docs.drop("n_words", "matches")
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("matches", T._parse_datatype_string(MATCH))])
-    for k in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
-        sent = spark.sparkContext.broadcast([tuple(x) for x in rows])
-
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent, first=k == 0) -> Iterator[pa.RecordBatch]:
-            block = Block(sent.value)
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-                counts, found = [], []
+    sent = [spark.sparkContext.broadcast(block) for block in _in_blocks(items, block_bytes)]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = Block(sent[0].value) if len(sent) == 1 else None
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            found: list[list[tuple]] = [[] for _ in texts]
+            counts: list[int] = []
+            for x in sent:
+                block, at = ready or Block(x.value), 0
+                if not ready:
+                    vars(x).pop("_value", None)  # the worker keeps none of several blocks: the next use reads it again
                 for _, some in in_chunks(texts, texts):
-                    n, x = block.matches(some)
-                    counts += n.tolist()
-                    found += x
-                names, columns = list(batch.schema.names), list(batch.columns)
-                if not first:
-                    found = [[(m["item"], m["item_word"], m["word"], m["n_words"]) for m in old] + new for old, new in zip(columns.pop().to_pylist(), found)]
-                    columns, names = columns[:-1], names[:-2]
-                told = pa.array([[dict(zip(("item", "item_word", "word", "n_words"), m)) for m in x] for x in found], _MATCH_TYPE)
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), told], names=[*names, "n_words", "matches"])
-
-        docs = docs.mapInArrow(scan, schema)
-    return docs
+                    n, more = block.matches(some)
+                    for mine, theirs in zip(found[at : at + len(some)], more):
+                        mine += theirs
+                    at += len(some)
+                    if x is sent[0]:
+                        counts += n.tolist()
+            told = pa.array([[dict(zip(("item", "item_word", "word", "n_words"), m)) for m in x] for x in found], _MATCH_TYPE)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), told], names=[*batch.schema.names, "n_words", "matches"])
+
+    return docs.mapInArrow(scan, schema)
 
 
 def summary(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
