@@ -79,7 +79,7 @@ def find(text: str | None) -> list[tuple[str, int, int, str]]:
         return []
     found = [("email", a, b, text[a:b].lower()) for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
             found.append(("ip", m.start(), m.end(), m.group()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
