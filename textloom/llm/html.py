@@ -1,15 +1,17 @@
 """Main text of web pages: site templates are found by counting element subtrees, and removed.
 
-Pass 1 parses every page and hashes the subtree of every element of the article: tag, own text and the subtrees below it.
-For each host Spark counts in how many different articles a subtree stands (pages with equal articles count once, so that
-mirrored articles are no template). Subtrees in at least ``MIN_PAGES`` articles and ``MIN_SHARE`` of the host's are its
-template; as an article has only so many subtrees, a host has at most 1/``MIN_SHARE`` times the mean of these. Pass 2 parses
-again, leaves the host's template out and writes the text.
+Every page is parsed once. Of each block-level element of the whole page the subtree is hashed: tag, own text and the subtrees
+below it. Spark counts in how many different articles of a host, and of a section of a host (the first folder of the path), a
+subtree stands; pages with equal articles count once, so that mirrored articles are no template. Subtrees in at least
+``MIN_PAGES`` articles and ``MIN_SHARE`` of the host's, or of the section's, are its template; as a page has only so many
+subtrees, a host or section has at most 1/``MIN_SHARE`` times the mean of these. What is left of the pages' elements and text
+is then read again, without the template. A subtree in a smaller share of a host and of all its sections stays, however large
+the host is: of a million pages some phrases stand in thousands.
 
 By rule, whatever the counts say, go: menus, page headers, footers, sidebars, notices, adverts, forms, reader comments (by
 element, role, class or id), what is hidden, scripts and styles. The article is the ``article`` elements outside of these, or
 else ``main``, or else the body without lists of links. Parsing follows HTML: implied end tags, void and raw-text elements,
-unclosed and truncated markup.
+unclosed and truncated markup. Times are in proportion to the page, however deep its elements are nested.
 
 Text: a block ends where a block-level element begins or ends; white space in a block is one space, blocks without text are
 none, and blocks are joined by one line end. ``br`` is white space.
@@ -23,8 +25,10 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +41,8 @@ MIN_PAGES = 10
 MIN_SHARE = 0.2
 LINK_SHARE = 0.6
 MIN_LINKS = 3
+#: What has the article or all of the page in it, or no text that is shown, is no template.
+WHOLE = frozenset("html body article main head".split())
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -81,6 +87,7 @@ class Page:
         self.pieces: list[tuple[int, str | None]] = []  # (element, text), text None where a block ends
         self._content: list[list[str]] = [[]]
         self._open = [0]
+        self._depths: dict[str, list[int]] = {}  # of each tag, how deep its open elements are
         self._read(source)
         while self._open:
             self._close()
@@ -115,6 +122,8 @@ class Page:
 
     def _close(self) -> None:
         node = self._open.pop()
+        if node:
+            self._depths[self.tag[node]].pop()
         content = self._content[node]
         if content:
             digest = xxhash.xxh3_64_intdigest(f"{self.tag[node]}\0" + "\0".join(content))
@@ -127,15 +136,12 @@ class Page:
 
     def _pop_to(self, names: set[str] | frozenset[str], bounds: set[str] | frozenset[str]) -> None:
         """Closes the outermost open element among ``names`` that no bound stands above."""
-        depth = None
-        for k in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[k]]
-            if tag in names:
-                depth = k
-            elif tag in bounds:
-                break
-        while depth is not None and len(self._open) > depth:
-            self._close()
+        opened = [d for t in names if (d := self._depths.get(t))]
+        if opened:
+            bound = max([d[-1] for t in bounds if (d := self._depths.get(t))], default=0)
+            depth = min([d[k] for d in opened if (k := bisect_right(d, bound)) < len(d)], default=len(self._open))
+            while len(self._open) > depth:
+                self._close()
 
     def _begin(self, name: str, attributes: str) -> None:
         if name in CLOSES_P:
@@ -158,6 +164,7 @@ class Page:
         elif name == "br":
             self.pieces.append((node, " "))
         if name not in VOID and not attributes.endswith("/") or name in BLOCK - VOID:
+            self._depths.setdefault(name, []).append(len(self._open))
             self._open.append(node)
 
     def _dropped(self, name: str, said: dict[str, str]) -> bool:
@@ -165,7 +172,7 @@ class Page:
             return False
         if name in DROP_TAGS:
             return True
-        within = any(self.tag[k] in ("article", "main") for k in self._open)
+        within = bool(self._depths.get("article") or self._depths.get("main"))
         if name == "header" and not within:
             return True
         if not said:
@@ -176,14 +183,14 @@ class Page:
         return bool(words & DROP_WORDS) or not within and bool(words & HEADER_WORDS)
 
     def _end(self, name: str) -> None:
-        for k in range(len(self._open) - 1, 0, -1):
-            if self.tag[self._open[k]] == name:
-                while len(self._open) > k:
-                    self._close()
-                return
-
-    def kept(self, template: frozenset[int] | set[int] = frozenset()) -> list[bool]:
-        """For each element: is it in the article, outside of what is dropped and of the template?"""
+        depths = self._depths.get(name)
+        if depths:
+            depth = depths[-1]
+            while len(self._open) > depth:
+                self._close()
+
+    def kept(self) -> list[bool]:
+        """For each element: is it in the article, outside of what is dropped by rule?"""
         n = len(self.tag)
         size, linked, links, inside = [0] * n, [0] * n, [0] * n, [False] * n
         for node, text in self.pieces:
@@ -206,74 +213,138 @@ class Page:
         if not roots and self.articles and max(size[k] for k in self.articles):
             roots = [max(self.articles, key=lambda k: (size[k], -k))]  # whatever its surroundings are called
         whole = not roots
-        root = set(roots)
+        self.roots = root = set(roots)
         state = [whole] + [False] * (n - 1)
         for k in range(1, n):
             if k in root:
                 state[k] = True
                 continue
-            state[k] = state[self.parent[k]] and not self.drop[k] and self.hash[k] not in template
+            state[k] = state[self.parent[k]] and not self.drop[k]
             if state[k] and whole and links[k] >= MIN_LINKS and linked[k] > LINK_SHARE * size[k] and self.tag[k] not in ("html", "body"):
                 state[k] = False
         return state
 
-    def text(self, kept: list[bool]) -> str:
-        blocks, here = [], []
+    def subtrees(self) -> list[int]:
+        """The hashes of the block-level elements that have text; inline ones are words of a sentence and go with its block only."""
+        return sorted({h for h, tag in zip(self.hash, self.tag) if h and tag in BLOCK and tag not in WHOLE})
+
+    def left(self, kept: list[bool]) -> tuple[list[tuple[int, int]], list[tuple[int, str | None]]]:
+        """What is needed of a page: (parent, hash) of the kept elements, numbered anew, and their (element, text), text None between blocks."""
+        number, elements, pieces = {}, [], []
+        for k, state in enumerate(kept):
+            if state:
+                number[k] = len(elements)
+                elements.append((number.get(self.parent[k], -1) if k and k not in self.roots else -1, 0 if k in self.roots or self.tag[k] not in BLOCK else self.hash[k]))
         for node, text in self.pieces:
-            if text is None:
-                if here:
-                    blocks.append(_SPACE.sub(" ", "".join(here)).strip())
-                    here = []
-            elif kept[node]:
-                here.append(text)
-        blocks.append(_SPACE.sub(" ", "".join(here)).strip())
-        return "\n".join(b for b in blocks if b)
-
-
-def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page, subtrees): the hash of the page's article and those of the elements in it."""
-    for batch in batches:
-        pages, found = [], []
-        for source in batch.column(1).to_pylist():
-            page = Page(source or "")
-            kept = page.kept()
-            text = page.text(kept)
-            pages.append(xxhash.xxh3_64_intdigest(text) - 2**63 if text else None)
-            found.append(list({page.hash[k] - 2**63 for k in range(1, len(kept)) if kept[k] and page.hash[k] and page.tag[k] not in ("html", "body", "article", "main")}))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pages, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["host", "page", "subtrees"])
-
-
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, template): for each host that has one, the hashes of the subtrees that recur on its pages."""
-    rows = pages.select(_host(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(_subtrees, "host string, page long, subtrees array<long>")
-    rows = cut(rows.filter(F.col("page").isNotNull()))
-    total = rows.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= MIN_PAGES)
-    each = rows.select("host", "page", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree", "page").agg(F.lit(1).alias("one"))
-    times = each.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= MIN_PAGES)
-    total = total.select(F.col("host").alias("of"), "pages")
-    often = times.join(total, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("times") >= F.lit(MIN_SHARE) * F.col("pages"))
-    return cut(often.groupBy("host").agg(F.collect_list("subtree").alias("template")))
+            if text is not None and kept[node]:
+                pieces.append((number[node], text))
+            elif text is None and pieces and pieces[-1][1] is not None:
+                pieces.append((0, None))
+        return elements, pieces
+
+    def text(self, kept: list[bool]) -> str:
+        return joined(text for node, text in self.pieces if text is None or kept[node])
+
+
+def joined(pieces: Iterable[str | None]) -> str:
+    """The blocks of a text, one a line; None ends a block."""
+    blocks, here = [], []
+    for text in pieces:
+        if text is not None:
+            here.append(text)
+        elif here:
+            blocks.append(_SPACE.sub(" ", "".join(here)).strip())
+            here = []
+    blocks.append(_SPACE.sub(" ", "".join(here)).strip())
+    return "\n".join(b for b in blocks if b)
+
+
+_PARTS = "__host string, __section string, __page long, __subtrees array<long>, __elements array<struct<parent: int, hash: long>>, __pieces array<struct<element: int, text: string>>"
+
+
+def _listed(rows: list[list[tuple]], kinds: dict[str, pa.DataType]) -> pa.Array:
+    """A list of structs a row."""
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in rows], dtype=np.int64))).astype(np.int32)
+    columns = list(zip(*(y for x in rows for y in x))) or [()] * len(kinds)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds)))
+
+
+def _parts(pages: DataFrame, html_col: str, keep_html: bool) -> DataFrame:
+    """``pages``, with __host and __section, and what is needed of each page: its article's hash, its subtrees, its elements and text."""
+    kept = [f for f in pages.schema.fields if f.name[:2] != "__" and (keep_html or f.name != html_col)]
+    schema = T.StructType([*kept, *T._parse_datatype_string(_PARTS).fields])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            articles, subtrees, elements, pieces = [], [], [], []
+            for source in batch.column(html_col).to_pylist():
+                page = Page(source or "")
+                state = page.kept()
+                text = page.text(state)
+                articles.append(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63 if text else None)
+                subtrees.append([x - 2**63 for x in page.subtrees()])
+                more = page.left(state)
+                elements.append([(up, h - 2**63 if h else None) for up, h in more[0]])
+                pieces.append(more[1])
+            told = [pa.array(articles, pa.int64()), pa.array(subtrees, pa.list_(pa.int64())), _listed(elements, {"parent": pa.int32(), "hash": pa.int64()}), _listed(pieces, {"element": pa.int32(), "text": pa.string()})]
+            own = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*own, batch.column("__host"), batch.column("__section"), *told], names=schema.names)
+
+    return pages.mapInArrow(parse, schema)
+
+
+def templates(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, template) and (host, section, template): the hashes of the subtrees that recur, for each that has some."""
+    rows = parts.filter(F.col("__page").isNotNull()).groupBy(F.col("__host").alias("host"), F.col("__section").alias("section"), F.col("__page").alias("page"))
+    rows = cut(rows.agg(F.min("__subtrees").alias("subtrees")))
+    pages = rows.groupBy("host", "section").agg(F.count(F.lit(1)).alias("pages"))
+    times = rows.select("host", "section", F.explode("subtrees").alias("subtree")).groupBy("host", "section", "subtree").agg(F.count(F.lit(1)).alias("times"))
+    found = []
+    for key in (["host"], ["host", "section"]):
+        total = pages.groupBy(*[F.col(k).alias(f"of_{k}") for k in key]).agg(F.sum("pages").alias("pages")).filter(F.col("pages") >= MIN_PAGES)
+        often = times.groupBy(*key, "subtree").agg(F.sum("times").alias("times")).filter(F.col("times") >= MIN_PAGES)
+        same = F.col("host").eqNullSafe(F.col("of_host"))
+        often = often.join(total, same & F.col("section").eqNullSafe(F.col("of_section")) if len(key) > 1 else same)
+        often = often.filter(F.col("times") >= F.lit(MIN_SHARE) * F.col("pages"))
+        found.append(cut(often.groupBy(*key).agg(F.sort_array(F.collect_list("subtree")).alias("template"))))
+    return found[0], found[1]
 
 
 def _host(url_col: str):
     return F.lower(F.nullif(F.regexp_extract(url_col, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def with_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", text_col: str = "text") -> DataFrame:
-    """``pages`` with the main text of each."""
-    pages = pages.drop(text_col)
-    # a table of known size: where it is small Spark sends it to all tasks, else it joins on host and splits the hot ones
-    found = templates(pages, url_col, html_col).select(F.col("host").alias("__host"), F.col("template").alias("__template"))
-    df = pages.join(found, _host(url_col).eqNullSafe(F.col("__host")), "left").drop("__host")
-    schema = T.StructType([*pages.schema.fields, T.StructField(text_col, T.StringType())])
+def _section(url_col: str):
+    return F.regexp_extract(url_col, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)/", 1)
+
+
+def with_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", text_col: str = "text", keep_html: bool = True) -> DataFrame:
+    """``pages`` with the main text of each, and without their html if it is not to be kept."""
+    pages = pages.drop(text_col).withColumns({"__host": _host(url_col), "__section": _section(url_col)})
+    parts = cut(_parts(pages, html_col, keep_html))
+    of_host, of_section = templates(parts)
+    # tables of known size: where they are small Spark sends them to all tasks, else it joins on host and splits the hot ones
+    df = parts.drop("__page", "__subtrees").join(of_host.select(F.col("host").alias("__h"), F.col("template").alias("__t1")), F.col("__host").eqNullSafe(F.col("__h")), "left")
+    of_section = of_section.select(F.col("host").alias("__g"), F.col("section").alias("__s"), F.col("template").alias("__t2"))
+    df = df.join(of_section, F.col("__host").eqNullSafe(F.col("__g")) & F.col("__section").eqNullSafe(F.col("__s")), "left")
+    kept = [f for f in parts.schema.fields if f.name[:2] != "__"]
+    df = df.select(*[f.name for f in kept], "__elements", "__pieces", F.array_union(F.coalesce("__t1", F.array().cast("array<long>")), F.coalesce("__t2", F.array().cast("array<long>"))).alias("__template"))
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, columns = list(batch.schema.names), list(batch.columns)
+            (up, hashes), (of, texts) = (batch.column(c).flatten().flatten() for c in ("__elements", "__pieces"))
+            up, hashes, of, texts = (x.to_pylist() for x in (up, hashes, of, texts))
+            first, begin = (np.concatenate(([0], np.cumsum(batch.column(c).value_lengths().to_numpy()))).tolist() for c in ("__elements", "__pieces"))
             told = []
-            for source, template in zip(batch.column(names.index(html_col)).to_pylist(), columns.pop().to_pylist()):
-                page = Page(source or "")
-                told.append(page.text(page.kept({x + 2**63 for x in template or ()})))
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(told, pa.string())], names=[*names[:-1], text_col])
-
-    return df.mapInArrow(extract, schema)
+            for k, template in enumerate(map(set, batch.column("__template").to_pylist())):
+                e, p, q = first[k], begin[k], begin[k + 1]
+                if template:
+                    gone: list[bool] = []
+                    for parent, h in zip(up[e : first[k + 1]], hashes[e : first[k + 1]]):
+                        gone.append(h in template or parent >= 0 and gone[parent])
+                    told.append(joined(t for n, t in zip(of[p:q], texts[p:q]) if t is None or not gone[n]))
+                else:
+                    told.append(joined(texts[p:q]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(told, pa.string())], names=[*[f.name for f in kept], text_col])
+
+    return df.mapInArrow(write, T.StructType([*kept, T.StructField(text_col, T.StringType())]))

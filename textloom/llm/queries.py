@@ -37,7 +37,7 @@ def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = html.with_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    rows = html.with_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep_html=False)
     return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
