@@ -240,7 +240,7 @@ class _Join:
 
     def compare(self, blocks: DataFrame) -> None:
         """Adds the links in ``blocks`` (block, doc, few, root, roots): in each, of the few with all documents."""
-        told = _labelled(blocks, self.labels).join(self.reps.select("doc", "n", "sketch"), "doc")
+        told = blocks.join(_labelled(self.reps.select("doc", "n", "sketch"), self.labels), "doc")
         told = told.repartition("block").sortWithinPartitions("block", F.desc("few"), "doc")
         found = self.cut(told.mapInArrow(_whole_blocks(_candidates), "block long, doc long, few boolean, comp long"))
         # tables of known size: where they are small Spark sends them to all tasks, else it joins by shuffle
@@ -264,7 +264,7 @@ class _Join:
 
     def outside(self, front: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Of large nodes, what is outside of their largest components: blocks of these few with all, and nodes with too many."""
-        here = self.cut(_labelled(front, self.labels))
+        here = self.cut(front.join(_labelled(self.reps.select("doc"), self.labels), "doc"))
         parts = here.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("of"))
         sizes = parts.groupBy("node").agg(F.max_by("comp", F.struct("of", "comp")).alias("main"), (F.sum("of") - F.max("of")).alias("others"), F.ceil(F.max("of") / LEAF).alias("parts"))
         sizes = self.cut(sizes.filter("others > 0"))
