@@ -62,16 +62,39 @@ def test_mix_reaches_targets(spark):
     assert mixing.mix(docs).count() == plan.agg(F.sum("copies")).first()[0]
 
 
+def test_mix_loses_no_row(spark):
+    """Null ids, repeated rows, one id with several texts, ties in size, sources without words."""
+    random.seed(3)
+    rows = [(k if k % 3 else None, " ".join(["w"] * (k % 40)), "en", random.choice("ab") if k % 7 else None, 0) for k in range(600)]
+    rows += rows[:50] + [(5, f"other text {k}", "en", "a", 0) for k in range(30)] + [(9000 + k, None, "en", "empty", 0) for k in range(5)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = mixing.plan(docs).collect()
+    assert sorted(((r.id, r.source, r.size) for r in out), key=repr) == sorted(((i, s, len((t or "").split())) for i, t, _, s, _ in rows), key=repr)
+    assert all(0 <= r.copies <= 3 for r in out)
+    for source in ("a", "b", None):
+        mine = [r for r in out if r.source == source]
+        assert abs(sum(r.size * r.copies for r in mine) - mine[0].target) <= 40
+        longer = lambda n: [r.copies for r in mine if n <= r.size < 2 * n]
+        assert sum(longer(20)) / len(longer(20)) > sum(longer(2)) / len(longer(2))  # each document has its own odds
+    assert mixing.mix(docs).count() == sum(r.copies for r in out)
+
+
 def test_boilerplate_lines_deplete(spark):
     random.seed(2)
     word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
     body = lambda n: " ".join(word() for _ in range(n))
-    rows = [(k, f"Subscribe NOW to our list {k}\n" + body(80), "en", "h", 0) for k in range(60)]
-    rows += [(100 + k, "\n".join([f"Subscribe  now to our list {k}"] * 20) + "\n" + body(20), "en", "h", 0) for k in range(3)]
-    rows += [(200, f"Subscribe now to our list 1\n" * 20 + body(20), "en", "other", 0)]
-    out = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, DOCS)).collect()}
-    assert all(out[k].removed_words == 6 and out[k].kept for k in range(60))
-    assert out[200].removed_words == 0
+    notice = "This Notice  stands on all pages " + " ".join(f"n{k} x" for k in range(60))
+    rows = [(k, f"Subscribe NOW to our list {k + 10}\n" + body(80) + f"\n\n{notice}", "en", "h", 0) for k in range(60)]
+    rows += [(100 + k, "\n".join([f"Subscribe  now to our list {k + 10}"] + [notice]) + "\n" + body(40), "en", "h", 0) for k in range(3)]
+    rows += [(200, "Subscribe now to our list 1\n" + body(80), "en", "other", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert all(out[k].removed_words == 132 and out[k].kept for k in range(60))  # lines of any length
+    assert all(out[100 + k].removed_words == 132 and not out[100 + k].base_failed and not out[100 + k].kept for k in range(3))  # 40 of 172 words are left
+    assert out[200].removed_words == 0 and out[200].kept
+    text = {r.doc_id: r for r in quality.keep(docs).collect()}
+    assert set(text) == {*range(60), 200} and text[200].text == rows[-1][1] and text[200].n_chars == 0
+    assert all(text[k].text == rows[k][1].split("\n")[1] + "\n" and text[k].n_chars == len(text[k].text) for k in range(60))
 
 
 def brute_components(rows):

@@ -4,14 +4,16 @@ Counts of one text are taken inside its row. The frequency of lines comes from t
 case, digits as 0, white space as one space), hashed, and for each host counted in distinct texts, so that exact copies of
 a document count once. A line of any length over both limits of its host - ``MIN_TEXTS`` texts and ``MIN_SHARE`` of the
 host's texts - is boilerplate and is removed; a document that keeps less than ``MIN_LEFT`` of its words without such lines is
-depleted and rejected.
+depleted and rejected. :func:`judge` tells the counts, :func:`keep` gives the documents that pass, without those lines.
 
 A text is read once; what is counted later are the hashes of its lines. Equal texts of a host are one, lines are summed by
 (host, line) before and after the shuffle, so a line that every document of a host has is a handful of rows; finding the
-texts of a boilerplate line joins on (host, line), whose hot keys Spark splits, as no side needs a key's rows together.
+texts of a boilerplate line joins on (host, line), whose hot keys Spark splits, as no side needs a key's rows together. A host
+has at most 1/``MIN_SHARE`` times as many boilerplate lines as a text has lines on average.
 
 Defined cases: null text has no words and fails the base rules, as does an empty one; a null host is a host of its own;
-repeated rows (same id, same text) each get the same result; an empty table gives an empty result; extra columns stay.
+repeated rows (same id, same text) each get the same result; a text may be as long as a row can be; an empty table gives an
+empty result; extra columns stay.
 """
 
 from __future__ import annotations
@@ -28,8 +30,6 @@ MIN_SHARE = 0.05
 MIN_LEFT = 0.3
 SYMBOLS = "[#*$%&|<>]"
 SPACES = " \t\n\x0b\x0c\r"
-#: Bits of a position in a text's word list, in the long that is sorted.
-POSITION_BITS = 24
 
 
 def _beside(values: str, close) -> Column:
@@ -42,19 +42,19 @@ def _beside(values: str, close) -> Column:
 def counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
-    Repeated three-word windows: the windows' hashes with their positions in the low bits are sorted as longs, so equal
-    windows come to stand side by side. Those are few; they are sorted again by their words, which settles what the hash
+    Repeated three-word windows: the windows' hashes with their positions in the low bits (as many as the text's length
+    needs) are sorted as longs, so equal windows come to stand side by side. Those are few; they are sorted again by their words, which settles what the hash
     left open, and the words under them are counted by position. No array of windows is ever stored in a row.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     columns = list(docs.columns)
-    df = barrier(docs, __words=F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), __lines=F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != ""))
+    low = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(F.octet_length(text)))) - 1
+    df = barrier(docs, __words=F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), __lines=F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != ""), __low=low)
     n = F.size("__words")
     first = F.slice("__words", 1, F.greatest(n - 2, F.lit(0)))
     second, third = F.slice("__words", 2, F.greatest(n - 2, F.lit(0))), F.slice("__words", 3, F.greatest(n - 2, F.lit(0)))
     hashed = F.zip_with(F.zip_with(first, second, lambda x, y: F.xxhash64(x, y)), third, lambda x, y: F.xxhash64(x, y))
-    low = (1 << POSITION_BITS) - 1
-    keyed = F.transform(hashed, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long")))
+    keyed = F.transform(hashed, lambda h, i: h.bitwiseAND(F.bitwise_not("__low")).bitwiseOR(i.cast("long")))
     simple = {
         "n_words": n,
         "word_chars": F.length(F.array_join("__words", "")),
@@ -63,8 +63,8 @@ def counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     }
     simple = {k: v.cast("long") for k, v in simple.items()}
     df = barrier(df, __keys=F.sort_array(keyed), **simple).drop("__lines")
-    places = F.array_distinct(F.transform(_beside("__keys", lambda x, y: F.shiftrightunsigned(x.bitwiseXOR(y), POSITION_BITS) == 0), lambda x: x.bitwiseAND(F.lit(low)).cast("int")))
-    df = barrier(df, __places=places).drop("__keys")
+    places = F.array_distinct(F.transform(_beside("__keys", lambda x, y: x.bitwiseOR(F.col("__low")) == y.bitwiseOR(F.col("__low"))), lambda x: x.bitwiseAND(F.col("__low")).cast("int")))
+    df = barrier(df, __places=places).drop("__keys", "__low")
     # few windows are left: with their words, in order of these
     found = F.transform("__places", lambda i: F.struct(F.get("__words", i).alias("a"), F.get("__words", i + 1).alias("b"), F.get("__words", i + 2).alias("c"), i.alias("i")))
     df = barrier(df, __found=F.sort_array(found)).drop("__words", "__places")
@@ -76,22 +76,26 @@ def counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return df.select(*columns, *simple, covered.cast("long").alias("n_repeat_words"))
 
 
+def _normal(text: Column) -> Column:
+    """White space is looked for only where it is not one space."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), r"[0-9]", "0"), r"[\x09\x0B-\x0D]|[\x20\x09\x0B-\x0D]{2,}", " ")
+
+
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(id_col, the five counts, __host, __hash, __lines) for every row: each text is read once, and what is left of it is small.
 
-    __lines: hashes and words of the lines, normalised. White space is looked for only where it is not one space.
+    __lines: hashes and words of the lines, normalised.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = counts(docs.select(F.col(id_col), F.col(text_col), F.col(host_col).alias("__host")), text_col)
-    normal = F.regexp_replace(F.regexp_replace(F.lower(text), r"[0-9]", "0"), r"[\x09\x0B-\x0D]|[\x20\x09\x0B-\x0D]{2,}", " ")
     words = lambda x: F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
-    lines = F.transform(F.transform(F.split(normal, "\n"), F.trim), lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("words")))
+    lines = F.transform(F.transform(F.split(_normal(text), "\n"), lambda x: F.trim(x)), lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("words")))
     df = barrier(df, __lines=F.filter(lines, lambda x: x["words"] > 0))
     return cut(df.withColumn("__hash", F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col))).drop(text_col))
 
 
-def boilerplate(rows: DataFrame) -> DataFrame:
-    """(host, hash, removed_words) of :func:`measured` rows: for each text with boilerplate lines, the words in these."""
+def boilerplate(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of :func:`measured` rows (of, common): each host's boilerplate lines; and (host, hash, removed_words): the words in these for each text with some."""
     texts = rows.filter(F.col("__hash").isNotNull()).groupBy(F.col("__host").alias("host"), F.col("__hash").alias("hash")).agg(F.first("__lines").alias("lines"))
     texts = cut(texts)
     total = texts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("all_texts"))
@@ -100,24 +104,39 @@ def boilerplate(rows: DataFrame) -> DataFrame:
     common = cut(common.filter(F.col("texts") >= F.lit(MIN_SHARE) * F.col("all_texts")).select(F.col("host").alias("of"), F.col("x.line").alias("common")))
     each = texts.select("host", "hash", F.explode("lines").alias("x")).select("host", "hash", F.col("x.line").alias("line"), F.col("x.words").alias("words"))
     hit = each.join(common, (F.col("line") == F.col("common")) & F.col("host").eqNullSafe(F.col("of")))
-    return hit.groupBy("host", "hash").agg(F.sum("words").alias("removed_words"))
+    return common, hit.groupBy("host", "hash").agg(F.sum("words").alias("removed_words"))
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(id_col, the five counts, removed_words, base_failed, kept, __host, __hash) for every row of ``docs``."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> tuple[DataFrame, DataFrame]:
     rows = measured(docs, id_col, text_col, host_col)
-    lines = boilerplate(rows)
+    common, lines = boilerplate(rows)
     df = rows.drop("__lines").join(lines, F.col("__host").eqNullSafe(F.col("host")) & (F.col("__hash") == F.col("hash")), "left").drop("host", "hash")
     df = df.withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = F.col("n_words") - F.col("removed_words") < F.lit(MIN_LEFT) * F.col("n_words")
-    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted), common
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """(id_col, the five counts, removed_words, base_failed, kept, __host, __hash) for every row of ``docs``."""
+    return _judged(docs, id_col, text_col, host_col)[0]
 
 
-def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that pass, whole and with all columns. A row is rejected with its host and text, so copies go alike."""
-    # a table of known size: where it is small Spark sends it to all tasks, else it joins on host and text
-    gone = judge(docs, id_col, text_col, host_col).filter(~F.col("kept")).select("__host", "__hash").distinct()
-    gone = cut(gone)
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs`` that pass, with all columns: the text without boilerplate lines, its length told anew in ``chars_col`` where that column is there.
+
+    A row is judged with its host and text, so copies go alike.
+    """
+    judged, common = _judged(docs, id_col, text_col, host_col)
+    # tables of known size: where they are small Spark sends them to all tasks, else it joins on host and text
+    changed = cut(judged.filter(~F.col("kept") | (F.col("removed_words") > 0)).select("__host", "__hash", F.col("kept").alias("__kept")).distinct())
+    lists = cut(common.groupBy(F.col("of").alias("__of")).agg(F.collect_set("common").alias("__common")))
     same = F.col(host_col).eqNullSafe(F.col("__host")) & F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).eqNullSafe(F.col("__hash"))
-    return docs.join(gone, same, "left_anti")
+    rows = docs.join(changed, same, "left").filter(F.coalesce("__kept", F.lit(True)))
+    rows = rows.join(lists, F.col(host_col).eqNullSafe(F.col("__of")) & F.col("__kept"), "left")
+    own = F.filter(F.split(text_col, "\n"), lambda x: ~F.array_contains("__common", F.xxhash64(F.trim(_normal(x)))))
+    told = {text_col: F.when(F.col("__common").isNotNull(), F.array_join(own, "\n")).otherwise(F.col(text_col))}
+    rows = rows.withColumns(told)
+    if chars_col in docs.columns:
+        rows = rows.withColumn(chars_col, F.when(F.col("__common").isNotNull(), F.length(text_col).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col)))
+    return rows.select(*docs.columns)

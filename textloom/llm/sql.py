@@ -87,14 +87,14 @@ WITH base AS (
 ), dup AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM counted WHERE n > 0 GROUP BY doc_id
 ), freq AS (
-  SELECT source, norm, count(DISTINCT text) AS texts FROM counted WHERE n BETWEEN 1 AND 50 GROUP BY ALL
+  SELECT source, norm, count(DISTINCT text) AS texts FROM counted WHERE n > 0 GROUP BY ALL
 ), hosts AS (
   SELECT source, count(DISTINCT text) AS all_texts FROM base WHERE text IS NOT NULL GROUP BY source
 ), common AS (
   SELECT f.source, f.norm FROM freq f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source WHERE texts >= 25 AND texts >= 0.05 * all_texts
 ), removed AS (
   SELECT c.doc_id, sum(c.n) AS n FROM counted c JOIN common m ON c.norm = m.norm AND c.source IS NOT DISTINCT FROM m.source
-  WHERE c.n BETWEEN 1 AND 50 GROUP BY c.doc_id
+  WHERE c.n > 0 GROUP BY c.doc_id
 ), told AS (
   SELECT b.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(d.n, 0)::BIGINT AS n_dup_lines,
