@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import datetime
+import json
+import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from textloom.operators import discovery, embedding, metrics, packing
-from textloom.plans.ingestion import Ingestion
-from textloom.sources import files, sinks
+from textloom.operators import discovery, embedding, indexes, metrics, packing
+from textloom.operators.numbering import numbered
+from textloom.plans.ingestion import Ingestion, convert
+from textloom.sources import files, parsers, sinks
 from textloom.streaming import ingest
 
 DOC = "# 标题\nThis is the text of the first section.\n## Results\nMore text. Even more text。\n# References\n[1] A first entry. [2] A second.\n"
@@ -33,17 +38,128 @@ def test_run_twice_and_resume(spark, tmp_path):
     job = Ingestion(str(tmp_path / "in"), str(out), parser=parser)
     row = job.run(spark, meta(spark)).first()
     assert (row.success, row.parse_failures, row.index_failures) == (1, 2, 0)
+    assert (row.discovered, row.skipped, row.submitted, row.retried) == (4, 1, 3, 0)
+    assert row.counts.asDict() == {"title": 1, "abstract": 0, "keyword": 1, "fulltext": 1, "paragraph": 2, "sentence": 3, "reference": 2}
     index = sinks.read_index(spark, f"{out}/index")
     names = {r.index_name: r["count"] for r in index.groupBy("index_name").count().collect()}
     assert names == {"title": 1, "keyword": 1, "fulltext": 1, "paragraph": 2, "sentence": 3, "reference": 2}
     first = {r._id for r in index.collect()}
     assert index.filter("index_name = 'title'").first().text == "题目 Title" and all(r.doi == "10/x" for r in index.collect())
-    row = job.run(spark, meta(spark), 1).first()  # done ones are skipped, failed ones tried once more
-    assert (row.success, row.parse_failures, row.retries) == (1, 4, 2)
-    row = job.run(spark, meta(spark), 2).first()  # given up
-    assert (row.success, row.parse_failures) == (1, 4)
+    row = job.run(spark, meta(spark)).first()  # done ones are skipped, failed ones tried once more
+    assert (row.success, row.parse_failures, row.retries, row.retried) == (1, 4, 2, 2)
+    row = job.run(spark, meta(spark)).first()  # given up
+    assert (row.success, row.parse_failures, row.submitted) == (1, 4, 0)
+    assert sorted(f.name for f in (out / "tasks").glob("version=*")) == ["version=1", "version=2", "version=3"]
+    details = spark.read.json(f"{out}/errors").filter("error LIKE 'ValueError%'").collect()
+    assert len(details) == 2 and all("Traceback" in r.traceback and "no such format" in r.traceback for r in details)
     assert {r._id for r in sinks.read_index(spark, f"{out}/index").collect()} == first
     assert len(list((out / "failed").glob("*.csv"))) > 0
+    for name, fields in indexes.FIELDS.items():
+        rows = indexes.of_index(sinks.read_index(spark, f"{out}/index"), name)
+        assert rows.columns == ["_id", *indexes.COMMON, *fields] and rows.count() == names.get(name, 0)
+
+
+def test_bulk_is_part_of_success(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(6):
+        (tmp_path / "in" / f"{k}.pdf").write_text(DOC)
+    log = tmp_path / "requests"
+    log.mkdir()
+
+    def send(body: bytes) -> dict:
+        lines = body.decode().splitlines()
+        ids = [json.loads(x)["index"] for x in lines[::2]]
+        if len(ids) > 4:
+            raise packing.TooLarge("413")
+        for x, source in zip(ids, lines[1::2]):
+            (log / f"{x['_index']}-{x['_id']}").write_text(source)
+        return {"took": 1, "errors": True, "items": [{"index": {"_id": x["_id"], **({"error": "no"} if x["_id"].startswith("3_p0_") else {})}} for x in ids]}
+
+    job = Ingestion(str(tmp_path / "in"), str(tmp_path / "out"), parser=parser, send=send, prefix="papers_")
+    row = job.run(spark, meta(spark)).first()
+    assert (row.success, row.index_failures) == (5, 1)
+    results = spark.read.parquet(f"{tmp_path}/out/bulk")
+    told = packing.merged(results).first()
+    assert told.errors and told.failed == 1 and told.first_failed._id == "3_p0_f0" and told.items == results.count() == len(list(log.iterdir())) and told.took > 1
+    source = json.loads((log / "papers_title-1_title").read_text())
+    assert list(source) == [*indexes.COMMON, *indexes.FIELDS["title"]] and source["title_text"] == "题目 Title" and source["doi"] == "10/x"
+
+
+def test_bulk_requests_are_halved():
+    seen = []
+
+    def send(body):
+        lines = body.splitlines()
+        seen.append(len(lines))
+        if len(lines) > 3 or b"bad" in lines and len(lines) > 1:
+            raise OSError("reset")
+        return {"took": 2, "errors": b"bad" in lines, "items": [{"index": {"error": "bad"} if x == b"bad" else {}} for x in lines]}
+
+    lines = [b"bad\n" if k == 5 else b"%d\n" % k for k in range(16)]
+    took, errors = packing.deliver(send, lines, 1 << 20)
+    assert [k for k, e in enumerate(errors) if e] == [4, 5] and seen[0] == 16 and max(seen[1:]) == 8  # three times halved: pairs
+    assert packing.deliver(send, [b"x\n"] * 40, 1 << 20)[1] == ["OSError: reset"] * 40
+
+
+def test_time_limit_and_lost_processes(spark):
+    def slow(content: bytes) -> str:
+        if content == b"hang":
+            time.sleep(60)
+        if content == b"crash":
+            os._exit(3)
+        if content == b"raise":
+            raise ValueError("bad file")
+        return content.decode() * 50_000
+
+    rows = spark.createDataFrame([(k, k.encode()) for k in ("good", "hang", "crash", "raise")], "path string, content binary").repartition(1)
+    began = time.time()
+    out = {r.path: r for r in files.parsed(rows, slow, timeout=2).collect()}
+    assert time.time() - began < 30
+    assert out["good"].markdown == "good" * 50_000 and out["good"].error is None
+    assert "timeout" in out["hang"].error and "code 3" in out["crash"].error and "bad file" in out["raise"].error
+
+
+def test_parser_shapes():
+    make = lambda pages, kind: f"{kind}:{pages}" if kind == parsers.MARKDOWN else [kind, pages]
+    results = parsers.from_results(lambda contents, langs, **o: ([["m"]], [["i"]], [contents[0]], langs, [o["formula"]]), lambda r, i, d, lang, ocr: {"pdf_info": f"{d.decode()}-{lang}-{ocr}"}, make, formula=True)
+    assert results(b"x") == ("mm_markdown:x-ch-True", '["content_list", "x-ch-True"]', '{"pdf_info": "x-ch-True"}')
+
+    def streaming(contents, lang_list, on_doc_ready):
+        on_doc_ready(0, [], {"pdf_info": contents[0].decode() + lang_list[0]}, False)
+
+    assert parsers.from_callback(streaming, make, "en")(b"y").markdown == "mm_markdown:yen"
+    with pytest.raises(ValueError):
+        parsers.from_callback(lambda *a, **b: None, make)(b"y")
+    model = parsers.choose("vlm-http-client", results, lambda name: parsers.from_model(lambda c, backend: ({"pdf_info": backend}, None), make, name))
+    assert model(b"z").markdown == "mm_markdown:http-client" and parsers.choose("pipeline", results, None) is results
+
+
+def test_conversion_resumes_by_path(spark, tmp_path):
+    for name, text in (("a/1.pdf", "one"), ("b/1.pdf", "two"), ("b/x [1].pdf", "three"), ("c.pdf", "broken")):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+    out = str(tmp_path / "out")
+
+    def both(content: bytes) -> parsers.Output:
+        return parsers.Output(parser(content), "[]", "{}")
+
+    assert tuple(convert(spark, str(tmp_path / "in"), out, both).first()) == (3, 1)
+    assert {(r.stem, r.value) for r in spark.read.parquet(f"{out}/markdown").collect()} == {("a/1", "one"), ("b/1", "two"), ("b/x [1]", "three")}
+    assert spark.read.parquet(f"{out}/content_list").count() == spark.read.parquet(f"{out}/middle").count() == 3
+    (tmp_path / "in" / "a" / "2.pdf").write_text("four")
+    assert tuple(convert(spark, str(tmp_path / "in"), out, both).first()) == (1, 1)
+    assert spark.read.parquet(f"{out}/markdown").count() == 4
+    failed = "".join(f.read_text() for f in (tmp_path / "out" / "failed").glob("*.csv"))
+    assert "c.pdf\tValueError: no such format" in failed
+
+
+def test_numbers_over_parts(spark):
+    rows = [(k % 3 if k % 7 else None, k) for k in range(500)]
+    df = numbered(spark.createDataFrame(rows, "g int, k int").repartition(4), ("g",), ("k",), F.floor(F.col("k") / 20))
+    seen = {}
+    for g, k in rows:
+        seen[k] = sum(1 for h, j in rows if h == g and j <= k)
+    assert {r.k: r.n for r in df.collect()} == seen
 
 
 def test_stream_reads_each_file_once(spark, tmp_path):

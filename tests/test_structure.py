@@ -1,4 +1,4 @@
-"""Chunks against a naive parser with a stack."""
+"""Chunks against the rules, told over intervals of line numbers."""
 
 from __future__ import annotations
 
@@ -18,67 +18,54 @@ def clean(t):
     return re.sub(r"\s+", " ", t.replace("－", "-")).strip()
 
 
+def heading(line):
+    """(level, title, page) of a line, or None."""
+    s = line.strip()
+    m = re.match(r"^(#{1,4})\s+(.+)$", s)
+    if m:
+        page = re.search(r"\(p\.(\d+)\)$", m[2].strip())
+        return len(m[1]), clean(re.sub(r"\s*\(p\.\d+\)$", "", m[2].strip())), int(page[1]) if page else 1
+    packed = re.sub(r"\s+", "", s)
+    return (2, s, 1) if len(packed) < 50 and any(w in packed for w in structure.TITLE_WORDS) else None
+
+
+def entries(content):
+    c = re.sub(r"[（(]上接第\s*\d+\s*页[）)]|[（(]下转第\s*\d+\s*页[）)]", "", content)
+    texts = [(n, re.sub(r"\)\)$", ")", re.sub("[（(]责任编辑[：:].*", "", re.sub(r"\s+", " ", t.strip())))) for n, t in re.findall(r"\[(\d+)\]\s*([^\[]+?)(?=\[\d+\]|$)", c, re.S)]
+    return [f"[{n}] {t}" for n, t in texts if t]
+
+
 def naive(doc, md):
-    """Rows of chunks, by one walk over the lines with a stack of open sections."""
-    stack, order = [], []
-    for line in (md or "").split("\n"):
-        s = line.strip()
-        if not s:
-            continue
-        m = re.match(r"^(#{1,4})\s+(.+)$", s)
-        packed = re.sub(r"\s+", "", s)
-        if m:
-            title, page = m[2].strip(), re.search(r"\(p\.(\d+)\)$", m[2].strip())
-            node = [len(m[1]), clean(re.sub(r"\s*\(p\.\d+\)$", "", title)), int(page[1]) if page else 1]
-        elif len(packed) < 50 and any(w in packed for w in structure.TITLE_WORDS):
-            node = [2, s, 1]
-        else:
-            if stack:
-                stack[-1]["lines"].append(line)
-            continue
-        for mark, words in structure.SPECIAL:
-            if any(w in node[1].lower() for w in words):
-                node[1] = f"[{mark}] {node[1]}"
-                break
-        while stack and stack[-1]["level"] >= node[0]:
-            stack.pop()
-        stack.append({"level": node[0], "title": node[1], "page": node[2], "lines": [], "up": list(stack), "cut": False})
-        order.append(stack[-1])
+    """Rows of chunks. A section is the interval from its heading to the next one of its level or a lower one; what it is in are the
+    intervals around it; its own lines end at the next heading of any level."""
+    rows = [(k, line) for k, line in enumerate((md or "").split("\n")) if line.strip()]
+    heads = [(k, *h) for k, line in rows if (h := heading(line))]
+    ends = [min((x[0] for x in heads if x[0] > k and x[1] <= level), default=10**9) for k, level, _, _ in heads]
+    titles = []
+    for _, _, title, _ in heads:
+        mark = next((m for m, words in structure.SPECIAL if any(w in title.lower() for w in words)), None)
+        titles.append(f"[{mark}] {title}" if mark else title)
+    nexts = [x[0] for x in heads[1:]] + [10**9]
+    contents = ["\n".join(line for k, line in rows if h[0] < k < n).strip() for h, n in zip(heads, nexts)]
+    refs = [entries(c) if "参考文献" in t or "references" in t.lower() else [] for c, t in zip(contents, titles)]
     out = []
-
-    def add(text, node, path, kind, table):
-        ref = table is None
-        key = hashlib.md5(f"{doc}_{path}_{'ref_' if ref else ''}{len(out)}".encode()).hexdigest()[:16]
-        out.append((key, text, doc, node["page"], len(out) + 1, kind, path, 0 if ref else node["level"], table, ref))
-
-    for node in order:
-        node["cut"] = any(u["cut"] or u.get("refs") for u in node["up"])
-        content = "\n".join(node["lines"]).strip()
-        path = " > ".join([u["title"] for u in node["up"]] + [node["title"]])
-        kind = next((n for n, words in structure.TYPES if any(w in path.lower() for w in words)), "正文")
-        if "参考文献" in node["title"] or "references" in node["title"].lower():
-            c = re.sub(r"[（(]上接第\s*\d+\s*页[）)]|[（(]下转第\s*\d+\s*页[）)]", "", content)
-            found = []
-            for n, t in re.findall(r"\[(\d+)\]\s*([^\[]+?)(?=\[\d+\]|$)", c, re.S):
-                t = re.sub(r"\)\)$", ")", re.sub("[（(]责任编辑[：:].*", "", re.sub(r"\s+", " ", t.strip())))
-                if t:
-                    found.append(f"[{n}] {t}")
-            node["refs"] = found
-            if found:
-                if not node["cut"]:
-                    for t in found:
-                        add(t, node, path, "参考文献条目", None)
-                continue
-        if node["cut"] or len(content) < 10:
+    for n, (k, level, _, page) in enumerate(heads):
+        around = [m for m in range(n) if heads[m][0] < k < ends[m]]
+        if any(refs[m] for m in around):
+            continue
+        path = " > ".join(titles[m] for m in [*around, n])
+        kind = next((name for name, words in structure.TYPES if any(w in path.lower() for w in words)), "正文")
+        table = contents[n].count("|") > 2
+        if refs[n]:
+            texts, kind, table, level = refs[n], "参考文献条目", None, 0
+        elif len(contents[n]) < 10:
             continue
-        table = content.count("|") > 2
-        text = content.strip() if table else clean(content)
-        if len(text) > 1500:
-            for t in text.replace("。", "。\n").split("\n"):
-                if t.strip():
-                    add(t.strip() + ("" if t.strip().endswith("。") else "。"), node, path, kind, table)
         else:
-            add(text, node, path, kind, table)
+            text = contents[n] if table else clean(contents[n])
+            texts = [t.strip().removesuffix("。") + "。" for t in text.replace("。", "。\n").split("\n") if t.strip()] if len(text) > 1500 else [text]
+        for text in texts:
+            key = hashlib.md5(f"{doc}_{path}_{'ref_' if refs[n] else ''}{len(out)}".encode()).hexdigest()[:16]
+            out.append((key, text, doc, page, len(out) + 1, kind, path, level, table, bool(refs[n])))
     return out
 
 

@@ -29,6 +29,7 @@ def squeeze(c: Column) -> Column:
 def clean(c: Column, is_table: Column | None = None) -> Column:
     """A text without markup: tags, apostrophes, full-width brackets and dashes, spaces at slashes, brackets and commas; tables
     are only stripped. The order of the steps shows in the result."""
+    # fixed values: what is replaced by what, in this order
     t = F.regexp_replace(c, "<[^>]+>", "")
     t = F.replace(F.replace(F.replace(t, F.lit("'"), F.lit(", ")), F.lit("（"), F.lit("(")), F.lit("）"), F.lit(")"))
     t = F.regexp_replace(t, rf"(?U){_W}*/{_W}*", "/")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
+from textloom.operators.numbering import numbered
 
 MAX_ATTEMPTS = 2
 SUCCESS, FAILURE = "success", "failure"
@@ -21,10 +22,27 @@ def identified(files: DataFrame, path_col: str = "path", root: str = "") -> Data
     return rows.filter(F.col("lngid") != "")
 
 
-def first_of_each(rows: DataFrame, key: str = "lngid", order: str | Column = "path") -> DataFrame:
-    """Of the rows of one key the first, by an order that does not depend on the run."""
-    place = Window.partitionBy(key).orderBy(order)
-    return rows.withColumn("__place", F.row_number().over(place)).filter("__place = 1").drop("__place")
+def first_of_each(rows: DataFrame, key: str | Column = "lngid", order: str | Column = "path") -> DataFrame:
+    """Of the rows of one key the first, by an order that does not depend on the run, taken before the shuffle.
+
+    For long keys, such as texts, give a hash of theirs."""
+    first = F.min_by(F.struct(*rows.columns), F.col(order) if isinstance(order, str) else order)
+    found = rows.groupBy((F.col(key) if isinstance(key, str) else key).alias("__key")).agg(first.alias("__row"))
+    return found.select("__row.*")
+
+
+def retry_first(rows: DataFrame, is_retry: Column, order: tuple[str, ...], within: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` with ``place``: what failed before comes first, then in order. For queues of bounded length within each key."""
+    by = Window.partitionBy(*within).orderBy(is_retry.cast("int").desc(), *order)
+    return rows.withColumn("place", F.row_number().over(by))
+
+
+def first_and_more(rows: DataFrame, key: str, order: tuple, n: int = 5) -> DataFrame:
+    """The first ``n`` rows of each key, with ``more``: how many of it are left out. Spark keeps n rows a key and task only."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    first = rows.withColumn("__place", place).filter(F.col("__place") <= n).drop("__place")
+    counts = rows.groupBy(F.col(key).alias("__key")).agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("more"))
+    return first.join(counts, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def last_status(log: DataFrame, key: str = "lngid", order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
@@ -61,9 +79,9 @@ def tasks(files: DataFrame, status: DataFrame, max_attempts: int = MAX_ATTEMPTS,
     return rows.orderBy("path").limit(limit) if limit > 0 else rows
 
 
-def in_turn(rows: DataFrame, slots: int, order: str = "path", within: tuple[str, ...] = ()) -> DataFrame:
+def in_turn(rows: DataFrame, slots: int, order: str, bucket: Column, within: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with ``slot``, dealt out in turn. Spark deals out tasks itself; this is for devices that have to be named."""
-    return rows.withColumn("slot", ((F.row_number().over(Window.partitionBy(*within).orderBy(order)) - 1) % slots).cast("int"))
+    return numbered(rows, within, (order,), bucket, "__n").withColumn("slot", ((F.col("__n") - 1) % slots).cast("int")).drop("__n")
 
 
 def slots_of(gpus: str, workers: str) -> list[int]:

@@ -8,36 +8,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.operators import embedding, fragments
+from textloom.operators import embedding, fragments, packing
 
 INDEXES = ["title", "abstract", "keyword", "fulltext", "paragraph", "sentence", "reference"]
+COMMON = ("file_id", "doi", "firstwriter", "showwriter", "delete_flag")
+_PLACE = {c: c for c in ("section_path", "element_type", "page_num", "source_chunk_id", "source_chunk_seq")} | {"fragment_seq": "fragment_index", "fragment_count": "fragment_count"}
+#: The fields of each index besides the common ones, with the columns that they come from.
+FIELDS = {
+    "title": {"title_c": "title_c", "title_e": "title_e", "title_text": "text", "title_embedding": "vector"},
+    "abstract": {"remark_c": "remark_c", "remark_e": "remark_e", "abstract_embedding": "vector"},
+    "keyword": {"keyword_c": "keyword_c", "keyword_e": "keyword_e", "keyword_text": "text", "keyword_embedding": "vector"},
+    "fulltext": {"full_text": "text", "full_embedding": "vector", "token_count": "token_count"},
+    "paragraph": {"para_index": "source_index", "para_text": "text", "para_embedding": "vector", **_PLACE},
+    "sentence": {"para_index": "source_index", "sent_seq": "sentence_index", "sent_text": "text", "sent_embedding": "vector", **_PLACE},
+    "reference": {"ref_seq": "source_index", "ref_text": "text", "ref_embedding": "vector", **_PLACE},
+}
 META = ("title_c", "title_e", "keyword_c", "keyword_e", "remark_c", "remark_e", "doi", "firstwriter", "showwriter")
 
 
+def with_lookup(rows: DataFrame, table: DataFrame, key: str, table_key: str, defaults: dict) -> DataFrame:
+    """``rows`` with columns of a table of unique keys; what is not there has the default."""
+    known = table.select(F.col(table_key).alias("__key"), *defaults)
+    rows = rows.join(known, F.col(key) == F.col("__key"), "left").drop("__key")
+    return rows.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
+
+
 def with_meta(rows: DataFrame, meta: DataFrame, key: str = "lngid") -> DataFrame:
     """``rows`` with a paper's metadata; what is not there is an empty string."""
-    known = meta.select(F.col("lngid").alias("__key"), *META)
-    rows = rows.join(known, F.col(key) == F.col("__key"), "left").drop("__key")
-    return rows.withColumns({c: F.coalesce(c, F.lit("")) for c in META})
+    return with_lookup(rows, meta, key, "lngid", dict.fromkeys(META, ""))
 
 
 def texts_to_embed(chunks: DataFrame, meta: DataFrame, size: int = X.MAX_FRAGMENT) -> DataFrame:
     """One row for each document of each index: index_name, _id, file_id, common fields, text, and what it comes from."""
     rows = fragments.grouped(chunks)
-    paragraphs = fragments.text_fragments(rows.filter(~F.col("reference")), size)
-    references = fragments.text_fragments(rows.filter("reference"), size)
-    told = fragments.sentence_fragments(rows.filter(~F.col("reference")), size)
-    place = F.col("source_index").cast("string")
+    place = F.concat(F.when(F.col("reference"), "_r").otherwise("_p"), F.col("source_index").cast("string"))
     piece = F.concat(F.lit("_f"), F.col("fragment_index").cast("string"))
-    parts = [
-        (paragraphs, "paragraph", F.concat(F.col("doc"), F.lit("_p"), place, piece)),
-        (references, "reference", F.concat(F.col("doc"), F.lit("_r"), place, piece)),
-        (told, "sentence", F.concat(F.col("doc"), F.lit("_p"), place, F.lit("s"), F.col("sentence_index").cast("string"), piece)),
-    ]
-    out = None
-    for df, name, key in parts:
-        df = df.withColumn("index_name", F.lit(name)).withColumn("_id", key)
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    told = fragments.text_fragments(rows, size)
+    told = told.select("*", F.when(F.col("reference"), "reference").otherwise("paragraph").alias("index_name"), F.concat("doc", place, piece).alias("_id"))
+    spoken = fragments.sentence_fragments(rows.filter(~F.col("reference")), size)
+    spoken = spoken.select("*", F.lit("sentence").alias("index_name"), F.concat("doc", place, F.lit("s"), F.col("sentence_index").cast("string"), piece).alias("_id"))
+    out = told.unionByName(spoken, allowMissingColumns=True)
     full = fragments.full_texts(chunks, size).select("doc", F.col("full_text").alias("text"), "token_count", F.lit("fulltext").alias("index_name"), F.concat(F.col("doc"), F.lit("_fulltext")).alias("_id"))
     docs = with_meta(chunks.select("doc").distinct(), meta, "doc")
     pairs = {"title": ("title_c", "title_e"), "abstract": ("remark_c", "remark_e"), "keyword": ("keyword_c", "keyword_e")}
@@ -50,3 +60,23 @@ def texts_to_embed(chunks: DataFrame, meta: DataFrame, size: int = X.MAX_FRAGMEN
 def documents(chunks: DataFrame, meta: DataFrame, model: Callable = embedding.hashed, size: int = X.MAX_FRAGMENT) -> DataFrame:
     """The rows of :func:`texts_to_embed` that have a vector; those that have none are the failed ones, see ``vector_error``."""
     return embedding.embedded(texts_to_embed(chunks, meta, size), model)
+
+
+def with_vector(rows: DataFrame) -> DataFrame:
+    """The documents that are written: those without a vector are not."""
+    return rows.filter(F.size("vector") > 0)
+
+
+def of_index(rows: DataFrame, name: str) -> DataFrame:
+    """The documents of one index, with the fields that it has."""
+    return with_vector(rows).filter(F.col("index_name") == name).select("_id", *COMMON, *[F.col(c).alias(f) for f, c in FIELDS[name].items()])
+
+
+def actions(rows: DataFrame, prefix: str = "") -> DataFrame:
+    """(file_id, index_name, _id, line): what a bulk interface takes, for documents with a vector; ``prefix`` comes before the indexes' names."""
+    line = None
+    for name, fields in FIELDS.items():
+        source = F.struct(*COMMON, *[F.col(c).alias(f) for f, c in fields.items()])
+        told = packing.ndjson(F.lit(f"{prefix}{name}"), F.col("_id"), source)
+        line = F.when(F.col("index_name") == name, told) if line is None else line.when(F.col("index_name") == name, told)
+    return with_vector(rows).select("file_id", "index_name", "_id", line.alias("line"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.numbering import in_blocks, numbered
+
 RECENT = 101
 STREAK_SECONDS = 60
 MAX_STREAK = 3
@@ -19,11 +21,17 @@ def per_hour(n: Column, seconds: Column) -> Column:
     return F.when((n > 0) & (seconds > 0), n / seconds * 3600).otherwise(0.0)
 
 
-def moving_rate(events: DataFrame, key: str, ts: str = "ts", tie: str = "event_id", recent: int = RECENT) -> DataFrame:
-    """``events`` with ``rate``: completions an hour over the last ``recent`` of the key."""
-    last = Window.partitionBy(key).orderBy(ts, tie).rowsBetween(-(recent - 1), 0)
+def moving_rate(events: DataFrame, key: str, ts: str = "ts", tie: str = "event_id", recent: int = RECENT, unit: str = "hour", block: int = 10_000) -> DataFrame:
+    """``events`` with ``rate``: completions an hour over the last ``recent`` of the key.
+
+    A key's events are numbered by ``unit`` of time, and cut into blocks that have the ``recent`` events before them too, so
+    a key is as many tasks as it has blocks.
+    """
+    rows = in_blocks(numbered(events, (key,), (ts, tie), F.date_trunc(unit, F.col(ts)), "__n"), block, min(recent - 1, block), "__n")
+    last = Window.partitionBy(key, "__block").orderBy("__n").rowsBetween(-(recent - 1), 0)
     n, first = F.count(F.lit(1)).over(last), F.min(ts).over(last)
-    return events.withColumn("rate", per_hour(n - 1, seconds_between(first, F.col(ts))))
+    rows = rows.withColumn("rate", per_hour(n - 1, seconds_between(first, F.col(ts)))).filter("__own")
+    return rows.select(*events.columns, "rate")
 
 
 def average_rate(events: DataFrame, *keys: str, ts: str = "ts") -> DataFrame:
@@ -44,10 +52,31 @@ def crash_streaks(events: DataFrame, key: str, ts: str = "ts", tie: str = "event
     return rows.drop("__far", "__streak")
 
 
-def progress(rows: DataFrame, order: tuple[str, ...], every: int, within: tuple[str, ...] = (), first: int = 10) -> DataFrame:
-    """The rows at which progress is told: the first ten and every so many."""
-    n = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
-    return rows.withColumn("n", n).filter((F.col("n") <= first) | (F.col("n") % every == 0))
+def progress(rows: DataFrame, order: tuple[str, ...], every: int, bucket: Column, within: tuple[str, ...] = (), first: int = 10) -> DataFrame:
+    """The rows at which progress is told, with their number ``n``: the first ten and every so many. ``bucket``: see :func:`numbered`."""
+    rows = numbered(rows, within, order, bucket)
+    return rows.filter((F.col("n") <= first) | (F.col("n") % every == 0))
+
+
+def run_counters(found: DataFrame, todo: DataFrame) -> DataFrame:
+    """One row of what discovery made of the files: those with an id, those skipped as done, given up or not first of their id, those
+    to be done and those of them that failed before."""
+    every = found.select(F.lit(1).alias("discovered"), F.lit(0).alias("submitted"), F.lit(0).alias("retried"))
+    every = every.unionByName(todo.select(F.lit(0).alias("discovered"), F.lit(1).alias("submitted"), (F.col("attempt") > 1).cast("int").alias("retried")))
+    rows = every.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("discovered", "submitted", "retried")])
+    return rows.select("discovered", (F.col("discovered") - F.col("submitted")).alias("skipped"), "submitted", "retried")
+
+
+def breakdown(counts: DataFrame, indexes: list[str]) -> DataFrame:
+    """Rows of :func:`counts_by_index` with ``total`` and ``told``, the indexes that are not empty, as name=number."""
+    told = F.array(*[F.when(F.col(i) > 0, F.concat(F.lit(f"{i}="), F.col(i).cast("string"))) for i in indexes])
+    total = sum((F.col(i) for i in indexes[1:]), F.col(indexes[0]))
+    return counts.withColumns({"total": total.cast("long"), "told": F.array_join(told, ", ")})
+
+
+def index_totals(rows: DataFrame, index: str = "index_name") -> DataFrame:
+    """The documents of each index over all papers."""
+    return rows.groupBy(index).agg(F.count(F.lit(1)).alias("documents"))
 
 
 def run_summary(log: DataFrame) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.operators.numbering import numbered
+
 MAX_COUNT = 100
 MAX_BYTES = 2 << 20
+MIN_BYTES = 1 << 19
+RETRIES = 3
 
 
 def ndjson(index: Column, doc_id: Column, source: Column) -> Column:
@@ -51,6 +55,74 @@ def packed(rows: DataFrame, group: str, order: str, bytes_col: str, max_count: i
     return rows.repartition(group).sortWithinPartitions(group, order).mapInArrow(deal, schema)
 
 
-def packed_by_count(rows: DataFrame, group: str, order: tuple[str, ...], max_count: int = MAX_COUNT) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1
-    return rows.withColumn("batch", F.floor(place / max_count))
+def packed_by_count(rows: DataFrame, group: str, order: tuple[str, ...], bucket: Column, max_count: int = MAX_COUNT) -> DataFrame:
+    """``rows`` with ``batch``, of ``max_count`` each within a group; ``bucket``: see :func:`numbered`."""
+    return numbered(rows, (group,), order, bucket, "__n").withColumn("batch", F.floor((F.col("__n") - 1) / max_count)).drop("__n")
+
+
+class TooLarge(Exception):
+    """What a ``send`` raises when the other side refuses a request for its size."""
+
+
+def _batches(lines: list[bytes], max_count: int, max_bytes: float) -> Iterator[list[bytes]]:
+    """Greedy: a batch is closed when it is full or the next line would not fit. A line over the limit is a batch of its own."""
+    batch: list[bytes] = []
+    size = 0
+    for line in lines:
+        if batch and (len(batch) >= max_count or size + len(line) > max_bytes):
+            yield batch
+            batch, size = [], 0
+        batch.append(line)
+        size += len(line)
+    if batch:
+        yield batch
+
+
+def deliver(send: Callable[[bytes], dict], lines: list[bytes], max_bytes: float, depth: int = 0) -> tuple[int, list[str | None]]:
+    """(milliseconds, an error or null for each line). A request that fails or is too large goes again in halves, three times at most."""
+    try:
+        told = send(b"".join(lines))
+    except Exception as failed:
+        if len(lines) == 1 or depth == RETRIES:
+            return 0, [f"{type(failed).__name__}: {failed}"[:500]] * len(lines)
+        took, errors = 0, []
+        for some in _batches(lines, len(lines) // 2, max(max_bytes / 2, MIN_BYTES)):
+            more, found = deliver(send, some, max(max_bytes / 2, MIN_BYTES), depth + 1)
+            took, errors = took + more, errors + found
+        return took, errors
+    items = [next(iter(x.values()), {}) for x in told.get("items", [])]
+    if len(items) != len(lines):
+        return told.get("took", 0), ["no answer" if told.get("errors") or items else None] * len(lines)
+    return told.get("took", 0), [str(x["error"])[:500] if x.get("error") else None for x in items]
+
+
+def sent(rows: DataFrame, send: Callable[[bytes], dict], line_col: str = "line", max_count: int = MAX_COUNT, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``rows`` without their line, with ``took`` (of the request, at its first row) and ``bulk_error``: each task packs its rows as they
+    come and sends them. Documents have ids, so a task that is run again writes the same ones again.
+
+    ``send`` takes the body of a request and gives {"took", "errors", "items"}, as bulk interfaces do, or raises.
+    """
+    kept = [f for f in rows.schema.fields if f.name != line_col]
+    schema = T.StructType([*kept, T.StructField("took", T.LongType()), T.StructField("bulk_error", T.StringType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            took: list[int] = []
+            errors: list[str | None] = []
+            for some in _batches([x.encode() for x in batch.column(line_col).to_pylist()], max_count, max_bytes):
+                if len(some[0]) > max_bytes:
+                    took.append(0)
+                    errors.append(f"one document of {len(some[0])} bytes is over the limit of {max_bytes}")
+                    continue
+                ms, found = deliver(send, some, max_bytes)
+                took += [ms] + [0] * (len(some) - 1)
+                errors += found
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(took, pa.int64()), pa.array(errors, pa.string())], names=schema.names)
+
+    return rows.mapInArrow(work, schema)
+
+
+def merged(results: DataFrame) -> DataFrame:
+    """One row of the answers to all requests: took, errors, items, and the first failed ones."""
+    failed = F.when(F.col("bulk_error").isNotNull(), F.struct("index_name", "_id", "bulk_error"))
+    return results.agg(F.coalesce(F.sum("took"), F.lit(0)).alias("took"), F.coalesce(F.bool_or(F.col("bulk_error").isNotNull()), F.lit(False)).alias("errors"), F.count(F.lit(1)).alias("items"), F.count("bulk_error").alias("failed"), F.min(failed).alias("first_failed"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as X
 from textloom.operators import discovery, fragments, indexes, metrics, packing, structure
 from textloom.plans import ingestion
+from textloom.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -127,10 +128,11 @@ def safe_fragments(t):
     return t("documents").select("doc_id", F.posexplode(X.safe_fragments(F.col("text"), _SMALL)).alias("fragment_index", "fragment"))
 
 
-@_query("SELECT item_id, doc_id, trim(b.text || ' ' || substr(d.text, 1, 40)) AS both FROM benchmark b JOIN documents d ON b.item_id = d.doc_id")
+@_query(f"""SELECT item_id, doc_id, CASE WHEN length(x) <= 14000 THEN x ELSE '' END AS both
+FROM (SELECT item_id, doc_id, regexp_replace(coalesce(b.text, '') || ' ' || coalesce(d.text, ''), '^{_S}+|{_S}+$', '', 'g') AS x FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id)""")
 def bilingual_concat(t):
-    rows = t("benchmark").select("item_id", F.col("text").alias("a")).join(t("documents").select("doc_id", F.substring("text", 1, 40).alias("b")), F.col("item_id") == F.col("doc_id"))
-    return rows.select("item_id", "doc_id", fragments.two_languages(F.col("a"), F.col("b")).alias("both"))
+    rows = t("documents").join(t("benchmark").select("item_id", F.col("text").alias("title")), F.col("item_id") == F.col("doc_id"), "left")
+    return rows.select("item_id", "doc_id", fragments.two_languages(F.col("title"), F.col("text")).alias("both"))
 
 
 _NAME = "'/data/' || source || '/temp_a1b2c3_' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.PDF' ELSE '.pdf' END"
@@ -163,16 +165,24 @@ def nonblank_line_stats(t):
     return structure.lines(t("documents"), "doc_id", "text").agg(F.count(F.lit(1)).alias("lines"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.sum(n.cast("long")).alias("chars"))
 
 
+_WORDS = ["Methods ( a / b )", "Results", "Author's introduction", "Latest <i>news</i>", "References", "Appendix , , A", "Related work", "Conclusion"]
+_TITLES = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in _WORDS) + "]"
+
+
+def _title(place):
+    return F.element_at(F.array(*map(F.lit, _WORDS)), (place % len(_WORDS) + 1).cast("int"))
+
+
 def _turns(t) -> DataFrame:
-    """Turns as lines of Markdown: a heading of the role's level, with a page tag on every third turn."""
+    """Turns as lines of Markdown: a heading of the role's level, with a title in turn, and a page tag on every third turn."""
     level = F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3)
-    title = F.replace(F.substring("text", 1, 30), F.lit("\n"), F.lit(" "))
     tag = F.when(F.col("turn") % 3 == 0, F.concat(F.lit(" (p."), F.col("turn").cast("string"), F.lit(")"))).otherwise("")
-    return t("conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("pos"), F.concat(F.repeat(F.lit("#"), level), F.lit(" "), title, tag).alias("line"), "text")
+    line = F.concat(F.repeat(F.lit("#"), level), F.lit(" "), _title(F.col("conv_id") + F.col("turn")), tag)
+    return t("conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("pos"), line.alias("line"), "text")
 
 
 _TURNS = f"""turns AS (
-  SELECT conv_id, turn, text, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 END AS level, regexp_replace(replace(substr(text, 1, 30), chr(10), ' '), '^{_S}+|{_S}+$', '', 'g') AS title FROM conversations
+  SELECT conv_id, turn, text, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 END AS level, {_TITLES}[(conv_id + turn) % {len(_WORDS)} + 1] AS title FROM conversations
 )"""
 
 
@@ -205,59 +215,85 @@ def section_depth_hist(t):
 
 
 def _markdown(t) -> DataFrame:
-    """Each conversation as one Markdown document: a heading for each turn, with its text below."""
-    rows = _turns(t).withColumn("part", F.concat("line", F.lit("\n"), F.col("text")))
+    """Each conversation as one Markdown document: a heading for each turn, with its text below; every turn under a title of references is an entry."""
+    entry = F.concat(F.lit("["), (F.col("pos") + 1).cast("string"), F.lit("] "), F.translate("text", "[]", "  "), F.lit("."))
+    rows = _turns(t).withColumn("part", F.concat("line", F.lit("\n"), F.when(F.col("line").contains("References"), entry).otherwise(F.col("text"))))
     told = F.array_sort(F.collect_list(F.struct("pos", "part")))
     return rows.groupBy(F.col("doc").cast("string").alias("doc")).agg(F.array_join(F.transform(told, lambda x: x["part"]), "\n").alias("markdown"))
 
 
-_LINES = f"list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^{_S}+|{_S}+$', '', 'g') <> '')"
+def _case(c: str, pairs, value, other: str) -> str:
+    test = lambda words: " OR ".join(f"contains({c}, '{w}')" for w in words)
+    return "CASE " + " ".join(f"WHEN {test(words)} THEN {value(name)}" for name, words in pairs) + f" ELSE {other} END"
+
+
+_STRIP = f"'^{_S}+|{_S}+$', '', 'g'"
+_LINES = f"list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, {_STRIP}) <> '')"
+_ENTRY = "'[' || (turn + 1) || '] ' || translate(text, '[]', '  ') || '.'"
+_WRITTEN = f"""written AS (
+  SELECT * REPLACE (CASE WHEN title = 'References' THEN {_ENTRY} ELSE text END AS text) FROM turns
+), contents AS (
+  SELECT conv_id, turn, level, title, regexp_replace(array_to_string({_LINES}, chr(10)), {_STRIP}) AS content FROM written
+)"""
+_CONTENT = f"{_TURNS}, {_WRITTEN}"
 
 
-@_query(f"WITH {_TURNS} SELECT conv_id::VARCHAR AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS n, regexp_replace(array_to_string({_LINES}, chr(10)), '^{_S}+|{_S}+$', '', 'g') AS content FROM turns")
+@_query(f"WITH {_CONTENT} SELECT conv_id::VARCHAR AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS n, content FROM contents")
 def section_content(t):
     rows = structure.sections(structure.headings(structure.lines(_markdown(t))))
     return rows.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("pos")).alias("n"), "content")
 
 
-@_query(None)
+_CHUNKS = f"""{_UP}, {_WRITTEN}, marked AS (
+  SELECT conv_id, turn, level, content, title = 'References' AS refs, CASE WHEN turn % 3 = 0 THEN turn ELSE 1 END AS page_num, {_case("lower(t)", structure.SPECIAL, lambda n: f"'[{n}] ' || t", "t")} AS title
+  FROM (SELECT *, {_clean("title")} AS t FROM contents)
+), paths AS (
+  SELECT u.conv_id, u.turn, string_agg(m.title, ' > ' ORDER BY m.turn) AS path, bool_or(m.refs AND m.turn < u.turn) AS below
+  FROM (SELECT conv_id, turn, unnest(up) AS at FROM up) u JOIN marked m ON m.conv_id = u.conv_id AND m.turn = u.at GROUP BY ALL
+), sections AS (
+  SELECT m.*, p.path, length(content) - length(replace(content, '|', '')) > 2 AS is_table FROM marked m JOIN paths p USING (conv_id, turn) WHERE NOT p.below
+), cleaned AS (
+  SELECT *, CASE WHEN refs THEN trim(regexp_replace(content, '{_S}+', ' ', 'g'), ' ') WHEN is_table THEN content ELSE {_clean("content")} END AS x FROM sections WHERE refs OR length(content) >= 10
+), cut AS (
+  SELECT *, CASE WHEN NOT refs AND length(x) > 1500 THEN list_transform({_spelt("replace(x, '。', '。' || chr(10))", chr(10))}, lambda y: CASE WHEN y[-1] = '。' THEN y ELSE y || '。' END) ELSE [x] END AS parts FROM cleaned
+), pieces AS (
+  SELECT *, unnest(range(1, len(parts) + 1)) AS k FROM cut
+), numbered AS (
+  SELECT conv_id::VARCHAR AS doc, path, refs, level, page_num, is_table, parts[k] AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, k) - 1 AS seq FROM pieces
+), chunks AS (
+  SELECT substr(md5(doc || '_' || path || CASE WHEN refs THEN '_ref_' ELSE '_' END || seq), 1, 16) AS id, text, doc, page_num::INT AS page_num, (seq + 1)::INT AS chunk_seq,
+    CASE WHEN refs THEN '{structure.ENTRY}' ELSE {_case("lower(path)", structure.TYPES, lambda n: f"'{n}'", f"'{structure.BODY}'")} END AS element_type, path AS section_path,
+    CASE WHEN refs THEN 0 ELSE level END::INT AS text_level, CASE WHEN NOT refs THEN is_table END AS is_table, refs AS is_reference FROM numbered
+)"""
+
+
+@_query(f"{_CHUNKS} SELECT * FROM chunks")
 def chunks(t):
     return structure.chunks(_markdown(t))
 
 
-@_query(f"""WITH {_TURNS} SELECT conv_id::VARCHAR AS doc, count(*) FILTER (length(x) >= 10)::BIGINT AS chunks,
-  sum(length({_clean("x")})) FILTER (length(x) >= 10)::BIGINT AS chars
-FROM (SELECT conv_id, regexp_replace(array_to_string({_LINES}, chr(10)), '^{_S}+|{_S}+$', '', 'g') AS x FROM turns) GROUP BY ALL HAVING count(*) FILTER (length({_clean("x")}) > 1500) = 0 AND count(*) FILTER (length(x) >= 10) > 0""")
+@_query(f"{_CHUNKS} SELECT doc, count(*)::BIGINT AS chunks, sum(length(text))::BIGINT AS chars FROM chunks GROUP BY doc")
 def short_chunk_totals(t):
-    rows = structure.chunks(_markdown(t)).groupBy("doc").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.length("text").cast("long")).alias("chars"))
-    long = structure.sections(structure.headings(structure.lines(_markdown(t)))).filter(F.length(X.clean(F.col("content"))) > X.MAX_PARAGRAPH)
-    return rows.join(long.select("doc").distinct(), "doc", "left_anti")
-
+    """The chunks of every document, whatever their length."""
+    return structure.chunks(_markdown(t)).groupBy("doc").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.length("text").cast("long")).alias("chars"))
 
-_PAGE_TITLE = "replace(substr(text, 1, 30), chr(10), ' ') || ' (p.' || turn || ')'"
 
-
-@_query(f"SELECT conv_id, turn, turn::INT AS page_num, {_clean(f'''regexp_replace(replace(substr(text, 1, 30), chr(10), ' '), '^{_S}+|{_S}+$', '', 'g')''')} AS title FROM conversations")
+@_query(f"SELECT conv_id, turn, turn::INT AS page_num, {_clean('title')} AS title FROM (SELECT *, {_TITLES}[turn % {len(_WORDS)} + 1] AS title FROM conversations)")
 def page_tag_extract(t):
-    line = F.concat(F.lit("# "), F.replace(F.substring("text", 1, 30), F.lit("\n"), F.lit(" ")), F.lit(" (p."), F.col("turn").cast("string"), F.lit(")"))
+    line = F.concat(F.lit("# "), _title(F.col("turn")), F.lit(" (p."), F.col("turn").cast("string"), F.lit(")"))
     rows = structure.headings(t("conversations").select("conv_id", "turn", line.alias("line")))
     return rows.select("conv_id", "turn", "page_num", "title")
 
 
-_WORDS = ["Methods", "Results", "Introduction", "Latest news", "References", "Appendix", "Related work", "Conclusion"]
-_PATHS = "[" + ", ".join(f"'{w}'" for w in _WORDS) + "]"
+_NAMES = ["Methods", "Results", "Introduction", "Latest news", "References", "Appendix", "Related work", "Conclusion"]
+_PATHS = "[" + ", ".join(f"'{w}'" for w in _NAMES) + "]"
 
 
 def _titled(t) -> DataFrame:
-    words = F.array(*map(F.lit, _WORDS))
+    words = F.array(*map(F.lit, _NAMES))
     return t("conversations").withColumn("path", F.concat_ws(" > ", F.element_at(words, (F.col("conv_id") % 8 + 1).cast("int")), F.element_at(words, (F.col("turn") % 8 + 1).cast("int"))))
 
 
-def _case(c: str, pairs, value, other: str) -> str:
-    test = lambda words: " OR ".join(f"contains({c}, '{w}')" for w in words)
-    return "CASE " + " ".join(f"WHEN {test(words)} THEN {value(name)}" for name, words in pairs) + f" ELSE {other} END"
-
-
 @_query(f"""SELECT conv_id, turn, {_case("lower(path)", structure.TYPES, lambda n: f"'{n}'", "'正文'")} AS section_type
 FROM (SELECT conv_id, turn, {_PATHS}[conv_id % 8 + 1] || ' > ' || {_PATHS}[turn % 8 + 1] AS path FROM conversations)""")
 def section_type_map(t):
@@ -270,13 +306,18 @@ def special_section_mark(t):
     return _titled(t).select("conv_id", "turn", structure.special_mark(F.col("path")).alias("title"))
 
 
+_REFERENCE = "'[' || (turn + 1) || '] ' || translate(text, '[]', '  ') || CASE WHEN turn % 4 = 3 THEN ' [J].' ELSE '.' END"
+
+
 @_query(f"""
-WITH l AS (SELECT conv_id, string_agg('[' || (turn + 1) || '] ' || trim(substr(replace(replace(replace(text, '[', ' '), ']', ' '), chr(10), ' '), 1, 60)) || '.', chr(10) ORDER BY turn) AS content FROM conversations GROUP BY conv_id),
-m AS (SELECT conv_id, string_split(regexp_replace(content, '(\\[[0-9]+\\])', chr(1) || '\\1', 'g'), chr(1)) AS parts FROM l)
-SELECT conv_id, (i - 2)::INT AS at, trim(regexp_replace(parts[i], '{_S}+', ' ', 'g')) AS entry FROM (SELECT conv_id, parts, unnest(range(2, len(parts) + 1)) AS i FROM m)""")
+WITH l AS (SELECT conv_id, string_agg({_REFERENCE}, chr(10) ORDER BY turn) AS content FROM conversations GROUP BY conv_id),
+m AS (SELECT conv_id, string_split(regexp_replace(content, '(\\[[0-9]+\\])', chr(1) || '\\1', 'g'), chr(1)) AS parts FROM l),
+e AS (SELECT conv_id, i, trim(regexp_replace(parts[i], '{_S}+', ' ', 'g'), ' ') AS entry FROM (SELECT conv_id, parts, unnest(range(2, len(parts) + 1)) AS i FROM m))
+SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY i) - 1)::INT AS at, entry FROM e WHERE NOT contains(substr(entry, 2), '[')""")
 def reference_entries(t):
-    plain = F.trim(F.substring(F.translate("text", "[]\n", "   "), 1, 60))
-    line = F.concat(F.lit("["), (F.col("turn") + 1).cast("string"), F.lit("] "), plain, F.lit("."))
+    """Whole turns as entries; those with a [J] are none."""
+    end = F.when(F.col("turn") % 4 == 3, " [J].").otherwise(".")
+    line = F.concat(F.lit("["), (F.col("turn") + 1).cast("string"), F.lit("] "), F.translate("text", "[]", "  "), end)
     told = F.array_sort(F.collect_list(F.struct("turn", line.alias("line"))))
     rows = t("conversations").groupBy("conv_id").agg(F.array_join(F.transform(told, lambda x: x["line"]), "\n").alias("content"))
     return rows.select("conv_id", F.posexplode(structure.reference_entries(F.col("content"))).alias("at", "entry"))
@@ -315,8 +356,8 @@ def _tasks(t) -> DataFrame:
 
 @_query("SELECT d.doc_id, coalesce(quality, -1)::INT AS quality, coalesce(toxic, 0)::INT AS toxic FROM documents d LEFT JOIN labels USING (doc_id)")
 def meta_left_join(t):
-    rows = t("documents").select("doc_id").join(t("labels"), "doc_id", "left")
-    return rows.select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"), F.coalesce("toxic", F.lit(0)).cast("int").alias("toxic"))
+    rows = indexes.with_lookup(t("documents").select("doc_id"), t("labels"), "doc_id", "doc_id", {"quality": -1, "toxic": 0})
+    return rows.select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
 
 
 @_query(f"WITH {_STATUS} SELECT doc_id::VARCHAR AS lngid FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM status WHERE status = 'success')")
@@ -352,29 +393,29 @@ def last_status(t):
 
 @_query("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
 def dedupe_first(t):
-    return discovery.first_of_each(t("documents"), "text", "doc_id").select("doc_id", "source")
+    return discovery.first_of_each(t("documents").select("doc_id", "source", F.sha2("text", 256).alias("hash")), "hash", "doc_id").select("doc_id", "source")
 
 
 @_query("""SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY (event_type = 'click')::INT DESC, event_id)::INT AS place FROM events""")
 def retry_first_order(t):
-    order = Window.partitionBy("user_id").orderBy((F.col("event_type") == "click").cast("int").desc(), "event_id")
-    return t("events").select("user_id", "event_id", F.row_number().over(order).alias("place"))
+    return discovery.retry_first(t("events"), F.col("event_type") == "click", ("event_id",), ("user_id",)).select("user_id", "event_id", "place")
 
 
 @_query("SELECT doc_id, ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) % 3)::INT AS slot FROM documents")
 def round_robin(t):
-    return discovery.in_turn(t("documents"), 3, "doc_id", ("source",)).select("doc_id", "slot")
+    return discovery.in_turn(t("documents"), 3, "doc_id", F.floor(F.col("doc_id") / 10_000), ("source",)).select("doc_id", "slot")
 
 
-@_query("SELECT DISTINCT regexp_extract(url, '([^/.]*)[^/]*$', 1) AS stem FROM pages")
+@_query("SELECT DISTINCT regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') AS stem FROM pages")
 def processed_stems(t):
-    return t("pages").select(F.regexp_extract("url", r"([^/.]*)[^/]*$", 1).alias("stem")).distinct()
+    return files.stems(t("pages"), "url")
 
 
-@_query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) <= 5")
+@_query("""SELECT user_id, event_id, event_type, greatest(count(*) OVER (PARTITION BY user_id) - 5, 0)::BIGINT AS more FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) <= 5""")
 def first_errors_topn(t):
-    order = Window.partitionBy("user_id").orderBy(F.col("value").desc(), "event_id")
-    return t("events").withColumn("n", F.row_number().over(order)).filter("n <= 5").select("user_id", "event_id", "event_type")
+    rows = discovery.first_and_more(t("events"), "user_id", (F.col("value").desc(), "event_id"))
+    return rows.select("user_id", "event_id", "event_type", "more")
 
 
 @_query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
@@ -408,7 +449,7 @@ def crash_streaks(t):
 
 @_query("SELECT event_id, n::INT AS n FROM (SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events) WHERE n <= 10 OR n % 50 = 0")
 def progress_sample(t):
-    return metrics.progress(t("events"), ("ts", "event_id"), 50, ("event_type",)).select("event_id", "n")
+    return metrics.progress(t("events"), ("ts", "event_id"), 50, F.date_trunc("hour", "ts"), ("event_type",)).select("event_id", F.col("n").cast("int").alias("n"))
 
 
 def _log(t) -> DataFrame:
@@ -432,13 +473,16 @@ def run_summary(t):
 @_query("SELECT event_type AS index_name, count(*)::BIGINT AS documents FROM events GROUP BY event_type UNION ALL SELECT 'fulltext', count(*)::BIGINT FROM documents")
 def counts_per_index(t):
     rows = t("events").select(F.col("event_type").alias("index_name")).unionByName(t("documents").select(F.lit("fulltext").alias("index_name")))
-    return rows.groupBy("index_name").agg(F.count(F.lit(1)).alias("documents"))
+    return metrics.index_totals(rows)
 
 
-@_query("""SELECT user_id, count(*) FILTER (event_type = 'click')::BIGINT AS click, count(*) FILTER (event_type = 'purchase')::BIGINT AS purchase, count(*) FILTER (event_type = 'view')::BIGINT AS view FROM events GROUP BY user_id""")
+@_query("""SELECT user_id, count(*) FILTER (event_type = 'click')::BIGINT AS click, count(*) FILTER (event_type = 'purchase')::BIGINT AS purchase, count(*) FILTER (event_type = 'view')::BIGINT AS view,
+  count(*) FILTER (event_type IN ('click', 'purchase', 'view'))::BIGINT AS total,
+  concat_ws(', ', CASE WHEN click > 0 THEN 'click=' || click END, CASE WHEN purchase > 0 THEN 'purchase=' || purchase END, CASE WHEN view > 0 THEN 'view=' || view END) AS told FROM events GROUP BY user_id""")
 def counts_pivot(t):
     rows = t("events").withColumnRenamed("user_id", "lngid").withColumnRenamed("event_type", "index_name")
-    return metrics.counts_by_index(rows, ["click", "purchase", "view"]).withColumnRenamed("lngid", "user_id")
+    kinds = ["click", "purchase", "view"]
+    return metrics.breakdown(metrics.counts_by_index(rows, kinds), kinds).withColumnRenamed("lngid", "user_id")
 
 
 # --- packing and indexes -------------------------------------------------------------------------------------------
@@ -446,7 +490,7 @@ def counts_pivot(t):
 
 def _pages_as_actions(t) -> DataFrame:
     line = packing.ndjson(F.lit("fulltext"), F.col("page_id").cast("string"), F.struct("url"))
-    return t("pages").select("page_id", F.pmod("page_id", F.lit(4)).alias("group"), line.alias("line"), packing.size(line).cast("long").alias("bytes"))
+    return t("pages").select("page_id", F.floor(F.col("page_id") / 1000).alias("group"), line.alias("line"), packing.size(line).cast("long").alias("bytes"))
 
 
 _ACTION = """'{"index":{"_index":"fulltext","_id":"' || page_id || '"}}' || chr(10) || '{"url":"' || url || '"}' || chr(10)"""
@@ -458,7 +502,7 @@ def bulk_bytes(t):
 
 
 @_query(f"""
-WITH RECURSIVE a AS (SELECT page_id, page_id % 4 AS g, row_number() OVER (PARTITION BY page_id % 4 ORDER BY page_id) AS i, strlen({_ACTION}) AS n FROM pages),
+WITH RECURSIVE a AS (SELECT page_id, page_id // 1000 AS g, row_number() OVER (PARTITION BY page_id // 1000 ORDER BY page_id) AS i, strlen({_ACTION}) AS n FROM pages),
 b AS (
   SELECT page_id, g, i, 0 AS batch, 1 AS c, n AS used FROM a WHERE i = 1
   UNION ALL SELECT a.page_id, a.g, a.i, CASE WHEN c >= 10 OR used + n > 900 THEN batch + 1 ELSE batch END, CASE WHEN c >= 10 OR used + n > 900 THEN 1 ELSE c + 1 END, CASE WHEN c >= 10 OR used + n > 900 THEN n ELSE used + n END
@@ -471,12 +515,12 @@ def bulk_pack(t):
 
 @_query("SELECT doc_id, ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 100)::BIGINT AS batch FROM documents")
 def bulk_pack_count(t):
-    return packing.packed_by_count(t("documents"), "source", ("doc_id",)).select("doc_id", "batch")
+    return packing.packed_by_count(t("documents"), "source", ("doc_id",), F.floor(F.col("doc_id") / 10_000)).select("doc_id", "batch")
 
 
 @_query("SELECT label, count(*)::BIGINT AS vectors, min(len(embedding))::INT AS size FROM embeddings WHERE len(embedding) > 0 GROUP BY label")
 def vector_present(t):
-    return t("embeddings").filter(F.size("embedding") > 0).groupBy("label").agg(F.count(F.lit(1)).alias("vectors"), F.min(F.size("embedding")).alias("size"))
+    return indexes.with_vector(t("embeddings").withColumn("vector", F.col("embedding"))).groupBy("label").agg(F.count(F.lit(1)).alias("vectors"), F.min(F.size("embedding")).alias("size"))
 
 
 @_query("""SELECT 'fulltext' AS index_name, doc_id || '_fulltext' AS _id, length(text)::BIGINT AS chars FROM documents UNION ALL SELECT 'title', item_id || '_title', length(text) FROM benchmark""")
@@ -486,9 +530,41 @@ def index_union(t):
     return rows.unionByName(more)
 
 
-@_query(None)
+_SIZE = 800
+
+
+def _fragments(table: str, key: str, size: int) -> str:
+    """CTEs that cut ``text`` of a table with a unique ``key`` into fragments: fragment_index and fragment."""
+    return f"""parts_of_{table} AS (SELECT {key}, CASE WHEN length(text) <= {size} THEN [text] ELSE {_cascade(size)} END AS parts FROM (SELECT {key}, regexp_replace(text, {_STRIP}) AS text FROM {table}) WHERE text <> ''),
+l_{table} AS (SELECT {key}, i, parts[i] AS x FROM (SELECT {key}, parts, unnest(range(1, len(parts) + 1)) AS i FROM parts_of_{table})),
+g_{table} AS (
+  SELECT {key}, i, 0 AS n, length(x) AS used FROM l_{table} WHERE i = 1
+  UNION ALL SELECT l.{key}, l.i, CASE WHEN used + length(x) > {size} THEN n + 1 ELSE n END, CASE WHEN used + length(x) > {size} THEN length(x) ELSE used + length(x) END FROM g_{table} g JOIN l_{table} l ON l.{key} = g.{key} AND l.i = g.i + 1
+), fragments_of_{table} AS (
+  SELECT {key}, n AS fragment_index, regexp_replace(string_agg(x, '' ORDER BY i), {_STRIP}) AS fragment FROM g_{table} JOIN l_{table} USING ({key}, i) GROUP BY {key}, n
+)"""
+
+
+@_query(f"""{_CHUNKS.replace("WITH ", "WITH RECURSIVE ", 1)}, grouped AS (
+  SELECT *, is_reference OR contains(section_path, '{structure.REFERENCES}') AS reference, row_number() OVER (PARTITION BY doc, is_reference OR contains(section_path, '{structure.REFERENCES}') ORDER BY chunk_seq) - 1 AS source_index FROM chunks
+), {_fragments("grouped", "id", _SIZE)}, spoken AS (
+  SELECT doc, source_index, k - 1 AS sentence_index, s[k] AS text, id || '_' || k AS skey FROM (SELECT doc, source_index, id, s, unnest(range(1, len(s) + 1)) AS k
+    FROM (SELECT *, {_spelt("text", "[。！？.!?]")} AS s FROM grouped WHERE NOT reference)) WHERE length(s[k]) >= 2
+), {_fragments("spoken", "skey", _SIZE)}, papers AS (
+  SELECT doc, trim(regexp_replace(string_agg(text, chr(10) ORDER BY chunk_seq) FILTER (text <> ''), '{_S}+', ' ', 'g'), ' ') AS whole FROM chunks GROUP BY doc
+), heads AS (
+  SELECT doc, coalesce(b.text, '') AS title, coalesce(reverse(b.text), '') AS keyword FROM papers LEFT JOIN benchmark b ON b.item_id::VARCHAR = doc
+), every AS (
+  SELECT CASE WHEN reference THEN 'reference' ELSE 'paragraph' END AS index_name, doc || CASE WHEN reference THEN '_r' ELSE '_p' END || source_index || '_f' || fragment_index AS _id, fragment AS text FROM fragments_of_grouped JOIN grouped USING (id)
+  UNION ALL SELECT 'sentence', doc || '_p' || source_index || 's' || sentence_index || '_f' || fragment_index, fragment FROM fragments_of_spoken JOIN spoken USING (skey)
+  UNION ALL SELECT 'fulltext', doc || '_fulltext', CASE WHEN length(whole) <= {_SIZE} THEN whole ELSE '' END FROM papers
+  UNION ALL SELECT unnest(['title', 'abstract', 'keyword']), unnest([doc || '_title', doc || '_abstract', doc || '_keyword']),
+    unnest(list_transform([trim(title || ' ' || title, ' '), trim(title, ' '), trim(keyword, ' ')], lambda x: CASE WHEN length(x) <= {_SIZE} THEN x ELSE '' END)) FROM heads
+)
+SELECT index_name, _id, text, md5(text) AS hash, 1::BIGINT AS vectors FROM every WHERE text <> ''""")
 def index_documents(t):
-    """All seven indexes of the conversations as papers, with the counts of documents, characters and vectors of each."""
-    meta = t("benchmark").select(F.col("item_id").cast("string").alias("lngid"), F.col("text").alias("title_c"), *[F.lit("").alias(c) for c in indexes.META if c != "title_c"])
-    rows = indexes.documents(structure.chunks(_markdown(t)), meta)
-    return rows.groupBy("index_name").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.length("text").cast("long")).alias("chars"), F.count("vector").alias("vectors"))
+    """All seven indexes of the conversations as papers: every document with its id and text, cut into fragments of at most 800 characters."""
+    meta = t("benchmark").select(F.col("item_id").cast("string").alias("lngid"), F.col("text").alias("title_c"), F.col("text").alias("title_e"), F.col("text").alias("remark_c"), F.reverse("text").alias("keyword_e"))
+    meta = meta.withColumns({c: F.lit("") for c in indexes.META if c not in meta.columns})
+    rows = indexes.with_vector(indexes.documents(structure.chunks(_markdown(t)), meta, size=_SIZE))
+    return rows.select("index_name", "_id", "text", F.md5("text").alias("hash"), F.when(F.size("vector") > 0, 1).otherwise(0).cast("long").alias("vectors"))

@@ -9,67 +9,127 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.operators import discovery, embedding, indexes, metrics, structure
-from textloom.sources import files, sinks
+from textloom.operators import discovery, embedding, indexes, metrics, packing, structure
+from textloom.sources import files, parsers, sinks
 
 
 @dataclass(frozen=True)
 class Ingestion:
-    """input: folder of files; output: folder for parsed, index, status, failed and summary tables."""
+    """input: folder of files; output: folder for the tables tasks, parsed, chunks, made, index, bulk, status, errors, failed and summary.
+
+    parser: bytes to Markdown, at most ``timeout`` seconds a file (0: no limit); model: texts to vectors; send: the body of a bulk
+    request to its answer, if the documents are to go to a search service as well, under ``prefix`` and the index's name.
+    """
 
     input: str
     output: str
     pattern: str = "*.pdf"
-    parser: Callable[[bytes], str] = files.as_text
+    parser: Callable[[bytes], str | parsers.Output] = files.as_text
     model: Callable = embedding.hashed
+    send: Callable[[bytes], dict] | None = None
+    prefix: str = ""
     max_attempts: int = discovery.MAX_ATTEMPTS
     limit: int = 0
+    timeout: float = 600
+    files_at_once: int = 20_000
+    fragment_size: int = X.MAX_FRAGMENT
 
     def __post_init__(self):
-        if self.max_attempts < 1 or self.limit < 0:
-            raise ValueError("max_attempts has to be positive, limit not negative")
+        for name in ("max_attempts", "files_at_once", "fragment_size"):
+            if getattr(self, name) < 1:
+                raise ValueError(f"{name} has to be positive")
+        for name in ("limit", "timeout"):
+            if getattr(self, name) < 0:
+                raise ValueError(f"{name} must not be negative")
 
     def at(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"
 
-    def status(self, spark: SparkSession) -> DataFrame:
+    def _there(self, spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
         try:
-            return discovery.last_status(files.status_log(spark, self.at("status")))
+            return read()
         except Exception as missing:
             if "PATH_NOT_FOUND" not in str(missing):
                 raise
-            return spark.createDataFrame([], files.STATUS)
-
-    def run(self, spark: SparkSession, meta: DataFrame, version: int = 0, some: DataFrame | None = None) -> DataFrame:
-        """One run; the summary of all records so far. ``some``: (path, content) instead of what is in the input folder."""
-        found = (some.select("path") if some is not None else files.paths(spark, self.input, self.pattern))
-        todo = discovery.tasks(found, self.status(spark), self.max_attempts, self.limit, self.input)
-        content = some if some is not None else files.contents(spark, self.input, self.pattern)
-        # parsing is dear and need not come out the same twice: its result is written before anything is made of it
-        where = self.at(f"parsed/version={version}")
-        files.parsed(content.join(todo, "path"), self.parser).write.mode("overwrite").parquet(where)
-        parsed = spark.read.parquet(where).drop("version")
-        chunks = structure.chunks(parsed.filter("error IS NULL"), "lngid", "markdown")
-        made = self.at(f"made/version={version}")
-        indexes.documents(chunks, meta, self.model).write.mode("overwrite").parquet(made)
-        rows = spark.read.parquet(made).drop("version")
-        sinks.append_index(rows.filter(F.size("vector") > 0).drop("vector_error"), self.at("index"), version)
-        self._tell(spark, parsed, rows)
-        summary = metrics.run_summary(files.status_log(spark, self.at("status")))
+            return spark.createDataFrame([], schema)
+
+    def status(self, spark: SparkSession) -> DataFrame:
+        return self._there(spark, lambda: discovery.last_status(files.status_log(spark, self.at("status"))), files.STATUS)
+
+    def _written(self, spark: SparkSession, rows: DataFrame, name: str, version: int, mode: str = "overwrite") -> DataFrame:
+        """What is dear, or has to stay as it is, is written before anything is made of it."""
+        where = self.at(f"{name}/version={version}")
+        rows.write.mode(mode).parquet(where)
+        return spark.read.schema(rows.schema).parquet(where)
+
+    def run(self, spark: SparkSession, meta: DataFrame, version: int | None = None, some: DataFrame | None = None) -> DataFrame:
+        """One run; the summary of all records so far, with the counters of this run. ``some``: (path, content) instead of what is in
+        the input folder. ``version``: one more than the last, unless told; the same one again replaces what it wrote."""
+        if version is None:
+            version = (self._there(spark, lambda: spark.read.parquet(self.at("tasks")), "version int").agg(F.max("version")).first()[0] or 0) + 1
+        found = discovery.identified(some.select("path") if some is not None else files.paths(spark, self.input, self.pattern), root=self.input)
+        todo = self._written(spark, discovery.tasks(found, self.status(spark), self.max_attempts, self.limit, self.input), "tasks", version)
+        mode, parsed = "overwrite", None
+        for content in [some] if some is not None else files.contents(spark, todo, self.files_at_once):
+            parsed, mode = self._written(spark, files.parsed(content.join(todo, "path"), self.parser, self.timeout), "parsed", version, mode), "append"
+        if parsed is None:
+            parsed = self._written(spark, files.parsed(todo.withColumn("content", F.lit(b"")), self.parser), "parsed", version)
+        chunks = self._written(spark, structure.chunks(parsed.filter("error IS NULL"), "lngid", "markdown"), "chunks", version)
+        made = self._written(spark, indexes.documents(chunks, meta, self.model, self.fragment_size), "made", version)
+        sinks.write_index(indexes.with_vector(made).drop("vector_error"), self.at("index"), version)
+        bulk = None
+        if self.send:
+            bulk = self._written(spark, packing.sent(indexes.actions(made, self.prefix), self.send), "bulk", version)
+        self._tell(spark, parsed, made, bulk)
+        counters = metrics.run_counters(found, todo).first().asDict()  # one row, and one for each of the seven indexes
+        totals = {r.index_name: r.documents for r in metrics.index_totals(indexes.with_vector(made)).collect()}
+        summary = metrics.run_summary(files.status_log(spark, self.at("status"))).withColumns({c: F.lit(n) for c, n in counters.items()})
+        summary = summary.withColumn("counts", F.struct(*[F.lit(totals.get(i, 0)).alias(i) for i in indexes.INDEXES]))
         sinks.write_summary(summary, self.at("summary"))
-        return summary
+        return spark.read.schema(summary.schema).json(self.at("summary"))
 
-    def _tell(self, spark: SparkSession, parsed: DataFrame, rows: DataFrame) -> None:
+    def _tell(self, spark: SparkSession, parsed: DataFrame, rows: DataFrame, bulk: DataFrame | None) -> None:
         """A record for each file: success only for documents that are in the index with all their texts."""
         made = rows.groupBy(F.col("file_id").alias("id")).agg(F.first("vector_error", ignorenulls=True).alias("refused"))
+        if bulk is not None:
+            unsent = bulk.groupBy(F.col("file_id").alias("of")).agg(F.min("bulk_error").alias("bulk_error"))
+            made = made.join(unsent, F.col("id") == F.col("of"), "left").select("id", F.coalesce("refused", "bulk_error").alias("refused"))
         told = parsed.join(made, F.col("lngid") == F.col("id"), "left")
         stage = F.when(F.col("error").isNotNull() | F.col("id").isNull(), "parse").when(F.col("refused").isNotNull(), "index")
         error = F.coalesce("error", F.when(F.col("id").isNull(), F.lit("no chunk")), "refused")
-        log = told.select("lngid", F.when(stage.isNull(), discovery.SUCCESS).otherwise(discovery.FAILURE).alias("status"), stage.alias("stage"), "attempt", error.alias("error"), F.col("path").alias("pdf_path"), F.localtimestamp().alias("timestamp"))
-        sinks.append_status(log, self.at("status"))
+        log = told.select("lngid", F.when(stage.isNull(), discovery.SUCCESS).otherwise(discovery.FAILURE).alias("status"), stage.alias("stage"), "attempt", error.alias("error"), F.col("path").alias("pdf_path"), F.localtimestamp().alias("timestamp"), F.coalesce("traceback", error).alias("traceback"))
+        sinks.append_errors(log, self.at("errors"))
+        sinks.append_status(log.drop("traceback"), self.at("status"))
         sinks.write_failed(discovery.last_status(files.status_log(spark, self.at("status"))).filter(F.col("status") == discovery.FAILURE), self.at("failed"))
 
 
+def convert(spark: SparkSession, folder: str, output: str, parser: Callable[[bytes], parsers.Output], pattern: str = "*.pdf", timeout: float = 0, resume: bool = True, files_at_once: int = 20_000) -> DataFrame:
+    """Files to Markdown, list of contents and middle form, three tables below ``output``, and the list of those that failed.
+
+    Files are known by their path below ``folder`` without extension, not by their name alone, so files of one name in two folders
+    do not stand for each other. With ``resume``, those that are there already are left out. One row: converted, failed.
+    """
+    # paths are told as Spark writes them, so the folder is found by its own end
+    rows = files.paths(spark, folder, pattern).withColumn("stem", F.regexp_replace(F.substring_index("path", folder.rstrip("/") + "/", -1), r"\.[^./]*$", ""))
+    if resume:
+        try:
+            rows = rows.join(spark.read.parquet(f"{output.rstrip('/')}/markdown").select("stem"), "stem", "left_anti")
+        except Exception as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+    where = f"{output.rstrip('/')}/tasks"
+    rows.select("path", "stem").write.mode("overwrite").parquet(where)
+    todo = spark.read.schema("path string, stem string").parquet(where)
+    told = f"{output.rstrip('/')}/parsed"
+    files.parsed(todo.limit(0).withColumn("content", F.lit(b"")), parser).write.mode("overwrite").parquet(told)
+    for content in files.contents(spark, todo, files_at_once):
+        files.parsed(content.join(todo, "path"), parser, timeout).write.mode("append").parquet(told)
+    parsed = spark.read.parquet(told)
+    sinks.write_triple(parsed.filter("error IS NULL"), output)
+    sinks.write_failed(parsed.filter("error IS NOT NULL").withColumnRenamed("path", "pdf_path"), f"{output.rstrip('/')}/failed")
+    return parsed.agg(F.count_if(F.col("error").isNull()).alias("converted"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+
+
 def page_classes(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Pages cleaned, and counted by what can be done with the text: too short, embedded whole, or cut first."""
     text = X.clean(F.col(html_col))

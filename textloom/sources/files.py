@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import traceback
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.sources import parsers
+
 STATUS = "lngid string, status string, stage string, attempt int, error string, pdf_path string, timestamp timestamp_ntz"
 
 
@@ -18,10 +22,21 @@ def paths(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame
     return rows.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
 
 
-def contents(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    """(path, content) of the files below a folder. A join on path with the tasks leaves the others unread only by partition;
-    for few tasks out of many files give their folders."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder).select("path", "content")
+def contents(spark: SparkSession, rows: DataFrame, at_once: int = 20_000) -> Iterator[DataFrame]:
+    """(path, content) of the files of ``rows``, so many at once: no other file is opened. The driver holds the paths of one part."""
+
+    def read(some: list[str]) -> DataFrame:
+        plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in some]  # names are no patterns
+        return spark.read.format("binaryFile").load(plain).select("path", "content")
+
+    part: list[str] = []
+    for row in rows.select("path").toLocalIterator():
+        part.append(row.path)
+        if len(part) == at_once:
+            yield read(part)
+            part = []
+    if part:
+        yield read(part)
 
 
 def stems(rows: DataFrame, path_col: str = "path") -> DataFrame:
@@ -42,25 +57,28 @@ def as_text(content: bytes) -> str:
     return content.decode("utf-8")
 
 
-def parsed(rows: DataFrame, parser: Callable[[bytes], str] = as_text) -> DataFrame:
-    """``rows`` with ``markdown`` and ``error`` in place of ``content``; a file that the parser fails on, or that has no text,
-    is a row with an error."""
+def parsed(rows: DataFrame, parser: Callable[[bytes], str | parsers.Output], timeout: float = 0) -> DataFrame:
+    """``rows`` with ``markdown``, ``content_list``, ``middle``, ``error`` and ``traceback`` in place of ``content``; a file that the
+    parser fails on or takes over ``timeout`` seconds for (0: no limit), or that has no text, is a row with an error."""
     kept = [f for f in rows.schema.fields if f.name != "content"]
-    schema = T.StructType([*kept, T.StructField("markdown", T.StringType()), T.StructField("error", T.StringType())])
+    told = ["markdown", "content_list", "middle", "error", "traceback"]
+    schema = T.StructType([*kept, *[T.StructField(c, T.StringType()) for c in told]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parse = parsers.within(timeout, parser) if timeout > 0 else parser
         for batch in batches:
-            texts, errors = [], []
+            found = []
             for content in batch.column(batch.schema.names.index("content")):
-                text = error = None
                 try:
-                    text = parser(content.as_py() or b"")
-                    if not text or text.isspace():
-                        text, error = None, "empty Markdown"
+                    out = parse(content.as_py() or b"")
+                    out = out if isinstance(out, parsers.Output) else parsers.Output(out)
+                    blank = not out.markdown or out.markdown.isspace()
+                    found.append((None, out.content_list, out.middle, "empty Markdown", None) if blank else (*out, None, None))
+                except parsers.Failed as failed:
+                    found.append((None, None, None, failed.args[0][:500], failed.args[1]))
                 except Exception as failed:
-                    error = f"{type(failed).__name__}: {failed}"[:500]
-                texts.append(text)
-                errors.append(error)
-            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(f.name)) for f in kept], pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=schema.names)
+                    found.append((None, None, None, f"{type(failed).__name__}: {failed}"[:500], traceback.format_exc()))
+            columns = list(zip(*found)) or [()] * len(told)
+            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(f.name)) for f in kept], *[pa.array(c, pa.string()) for c in columns]], names=schema.names)
 
     return rows.mapInArrow(work, schema)

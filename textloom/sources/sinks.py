@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def append_index(rows: DataFrame, folder: str, version: int) -> None:
-    """Appends documents, partitioned by index. A document that is written again gets the higher version."""
-    rows.withColumn("version", F.lit(version)).write.mode("append").partitionBy("index_name").parquet(folder)
+def write_index(rows: DataFrame, folder: str, version: int) -> None:
+    """Writes the documents of one version, partitioned by index; the same version written again replaces itself."""
+    rows.write.mode("overwrite").partitionBy("index_name").parquet(f"{folder.rstrip('/')}/version={version}")
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents, each as last written: an upsert by id."""
+    """The documents, each as written in the highest version: an upsert by id."""
     last = Window.partitionBy("index_name", "_id").orderBy(F.col("version").desc())
     return spark.read.parquet(folder).withColumn("__place", F.row_number().over(last)).filter("__place = 1").drop("__place", "version")
 
@@ -22,6 +22,11 @@ def append_status(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").json(folder)
 
 
+def append_errors(rows: DataFrame, folder: str) -> None:
+    """Appends failures with their tracebacks, as lines of JSON."""
+    rows.filter(F.col("error").isNotNull()).write.mode("append").json(folder)
+
+
 def write_failed(rows: DataFrame, folder: str) -> None:
     """Failed files as path, tab, message."""
     rows.select("pdf_path", "error").write.mode("overwrite").option("sep", "\t").csv(folder)
@@ -31,7 +36,7 @@ def write_summary(row: DataFrame, folder: str) -> None:
     row.coalesce(1).write.mode("overwrite").json(folder)
 
 
-def write_triple(rows: DataFrame, folder: str, name: str = "stem", markdown: str = "markdown", content_list: str = "content_list", middle: str = "middle") -> None:
-    """The three outputs of a converted document, a table each, keyed by the document's relative path."""
-    for column in (markdown, content_list, middle):
-        rows.select(name, F.col(column).alias("value")).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{column}")
+def write_triple(rows: DataFrame, folder: str, name: str = "stem") -> None:
+    """Appends the three outputs of converted documents, a table each, keyed by the document's relative path."""
+    for column in ("content_list", "middle", "markdown"):  # a document is done when its Markdown is there
+        rows.select(name, F.col(column).alias("value")).write.mode("append").parquet(f"{folder.rstrip('/')}/{column}")
