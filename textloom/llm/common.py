@@ -95,6 +95,15 @@ class Scratch:
         return cut(df)
 
 
+#: Rows of ids or words, a few dozen bytes each, that are sent to all tasks at most.
+SMALL = 500_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A narrow table that was cut, to be sent to all tasks if its rows are counted to be at most ``SMALL``; else it joins by shuffle."""
+    return F.broadcast(table) if table.count() <= SMALL else table
+
+
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with columns that are computed once a row, however often later expressions and their lambdas use them."""
     packed = F.array(F.struct(*[F.col(c) for c in df.columns], *[v.alias(k) for k, v in columns.items()]))

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import NOT_SPACE, Scratch, Words, cut, in_chunks, mix
+from textloom.llm.common import NOT_SPACE, Scratch, Words, cut, in_chunks, mix, small
 from textloom.llm.graph import components
 
 SHINGLE = 5
@@ -243,9 +243,9 @@ class _Join:
         told = blocks.join(_labelled(self.reps.select("doc", "n", "sketch"), self.labels), "doc")
         told = told.repartition("block").sortWithinPartitions("block", F.desc("few"), "doc")
         found = self.cut(told.mapInArrow(_whole_blocks(_candidates), "block long, doc long, few boolean, comp long"))
-        # tables of known size: where they are small Spark sends them to all tasks, else it joins by shuffle
         wanted = self.cut(self.reps.select("doc", "id", "digest").join(found.select("doc").distinct(), "doc", "left_semi"))
-        texts = self.docs.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
+        # no text moves, unless those with a candidate are too many to be named to all tasks
+        texts = self.docs.join(small(wanted.select("id")), "id", "left_semi").select("text")
         sets = texts.mapInPandas(_sets, "digest binary, shingles array<long>").join(wanted.select("doc", "digest"), "digest")
         sets = self.cut(sets.groupBy("doc").agg(F.first("shingles").alias("shingles")))
         each = found.join(sets, "doc").repartition("block").sortWithinPartitions("block", F.desc("few"), "doc")
@@ -333,4 +333,4 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """The rows of ``docs`` that stay, with all columns: of each component that with the smallest id."""
     found = components_of(docs, id_col, text_col)
     gone = cut(found.filter(F.col("component") < F.col("id")).select(F.col("id").alias("__gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    return docs.join(small(gone), F.col(id_col) == F.col("__gone"), "left_anti")

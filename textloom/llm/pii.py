@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import cut, in_chunks
+from textloom.llm.common import cut, in_chunks, small
 
 #: Kinds of the patterns in order; terms come after them.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -156,9 +156,10 @@ def disclosing(docs: DataFrame, text_col: str = "text") -> DataFrame:
     together = rows.select("key", "n", "terms", F.explode("entities").alias("entity")).select("key", "n", "entity", F.explode("terms").alias("term"))
     pairs = together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together"))
     pairs = cut(pairs.filter(F.col("texts") >= MIN_TEXTS))
-    all_terms = docs.select(F.col(text_col).alias("text")).mapInArrow(_term_counts, "term string, documents long").groupBy("term").agg(F.sum("documents").alias("documents"))
-    wanted = pairs.select("term").distinct()
-    known = pairs.join(all_terms.join(wanted, "term", "left_semi"), "term")
+    wanted, counts = cut(pairs.select("term").distinct()), docs.select(F.col(text_col).alias("text")).mapInArrow(_term_counts, "term string, documents long")
+    # other terms are left out before the shuffle, if these can be named to all tasks
+    all_terms = counts.join(small(wanted), "term", "left_semi").groupBy("term").agg(F.sum("documents").alias("documents"))
+    known = pairs.join(all_terms, "term")
     bits = -F.log2(F.least(F.col("together") / F.col("documents"), F.lit(1.0)))
     strong = cut(known.withColumn("bits", bits).filter(F.col("bits") <= GENERALISE_BITS).select(F.col("entity").alias("e"), F.col("term").alias("t"), "bits"))
     hits = together.join(strong, (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))

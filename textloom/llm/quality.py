@@ -7,9 +7,9 @@ host's texts - is boilerplate and is removed; a document that keeps less than ``
 depleted and rejected. :func:`judge` tells the counts, :func:`keep` gives the documents that pass, without those lines.
 
 A text is read once; what is counted later are the hashes of its lines. Equal texts of a host are one, lines are summed by
-(host, line) before and after the shuffle, so a line that every document of a host has is a handful of rows; finding the
-texts of a boilerplate line joins on (host, line), whose hot keys Spark splits, as no side needs a key's rows together. A host
-has at most 1/``MIN_SHARE`` times as many boilerplate lines as a text has lines on average.
+(host, line) before and after the shuffle, so a line that every document of a host has is a handful of rows. A host has at
+most 1/``MIN_SHARE`` times as many boilerplate lines as a text has lines on average: that list comes to each of its rows,
+which are judged where they are, and no text is shuffled.
 
 Defined cases: null text has no words and fails the base rules, as does an empty one; a null host is a host of its own;
 repeated rows (same id, same text) each get the same result; a text may be as long as a row can be; an empty table gives an
@@ -28,6 +28,7 @@ MAX_REPEATED = 50
 MIN_TEXTS = 25
 MIN_SHARE = 0.05
 MIN_LEFT = 0.3
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = "[#*$%&|<>]"
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -81,62 +82,57 @@ def _normal(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), r"[0-9]", "0"), r"[\x09\x0B-\x0D]|[\x20\x09\x0B-\x0D]{2,}", " ")
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(id_col, the five counts, __host, __hash, __lines) for every row: each text is read once, and what is left of it is small.
+def measured(docs: DataFrame, text_col: str, host_col: str, *kept: str) -> DataFrame:
+    """(kept columns, the five counts, __host, __hash, __lines) for every row: each text is read once.
 
     __lines: hashes and words of the lines, normalised.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = counts(docs.select(F.col(id_col), F.col(text_col), F.col(host_col).alias("__host")), text_col)
+    df = counts(docs.withColumn("__host", F.col(host_col)), text_col)
     words = lambda x: F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
     lines = F.transform(F.transform(F.split(_normal(text), "\n"), lambda x: F.trim(x)), lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("words")))
     df = barrier(df, __lines=F.filter(lines, lambda x: x["words"] > 0))
-    return cut(df.withColumn("__hash", F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col))).drop(text_col))
+    df = df.withColumn("__hash", F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)))
+    return cut(df.select(*kept, *COUNTS, "__host", "__hash", "__lines"))
 
 
-def boilerplate(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of :func:`measured` rows (of, common): each host's boilerplate lines; and (host, hash, removed_words): the words in these for each text with some."""
+def boilerplate(rows: DataFrame) -> DataFrame:
+    """(__of, __common): for each host that has some, the hashes of its boilerplate lines, of :func:`measured` rows."""
     texts = rows.filter(F.col("__hash").isNotNull()).groupBy(F.col("__host").alias("host"), F.col("__hash").alias("hash")).agg(F.first("__lines").alias("lines"))
     texts = cut(texts)
     total = texts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("all_texts"))
     in_texts = texts.select("host", F.explode(F.array_distinct("lines")).alias("x")).groupBy("host", "x").agg(F.count(F.lit(1)).alias("texts"))
     common = in_texts.filter(F.col("texts") >= MIN_TEXTS).join(total, F.col("host").eqNullSafe(F.col("of")))
-    common = cut(common.filter(F.col("texts") >= F.lit(MIN_SHARE) * F.col("all_texts")).select(F.col("host").alias("of"), F.col("x.line").alias("common")))
-    each = texts.select("host", "hash", F.explode("lines").alias("x")).select("host", "hash", F.col("x.line").alias("line"), F.col("x.words").alias("words"))
-    hit = each.join(common, (F.col("line") == F.col("common")) & F.col("host").eqNullSafe(F.col("of")))
-    return common, hit.groupBy("host", "hash").agg(F.sum("words").alias("removed_words"))
-
-
-def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> tuple[DataFrame, DataFrame]:
-    rows = measured(docs, id_col, text_col, host_col)
-    common, lines = boilerplate(rows)
-    df = rows.drop("__lines").join(lines, F.col("__host").eqNullSafe(F.col("host")) & (F.col("__hash") == F.col("hash")), "left").drop("host", "hash")
-    df = df.withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
+    common = common.filter(F.col("texts") >= F.lit(MIN_SHARE) * F.col("all_texts"))
+    return cut(common.groupBy(F.col("of").alias("__of")).agg(F.collect_set("x.line").alias("__common")))
+
+
+def _judged(docs: DataFrame, text_col: str, host_col: str, *kept: str) -> DataFrame:
+    """Rows of :func:`measured` with their host's boilerplate lines, and judged: no text and no line is joined with another."""
+    rows = measured(docs, text_col, host_col, *kept)
+    # a table of known size: where it is small Spark sends it to all tasks, else it joins on host and splits the hot ones
+    df = rows.join(boilerplate(rows), F.col("__host").eqNullSafe(F.col("__of")), "left").drop("__of")
+    hit = F.filter("__lines", lambda x: F.array_contains("__common", x["line"]))
+    removed = F.aggregate(hit, F.lit(0).cast("long"), lambda a, x: a + x["words"])
+    df = df.withColumn("removed_words", F.when(F.col("__common").isNotNull(), removed).otherwise(0).cast("long")).drop("__lines")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = F.col("n_words") - F.col("removed_words") < F.lit(MIN_LEFT) * F.col("n_words")
-    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted), common
+    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(id_col, the five counts, removed_words, base_failed, kept, __host, __hash) for every row of ``docs``."""
-    return _judged(docs, id_col, text_col, host_col)[0]
-
-
-def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
-    """The rows of ``docs`` that pass, with all columns: the text without boilerplate lines, its length told anew in ``chars_col`` where that column is there.
-
-    A row is judged with its host and text, so copies go alike.
-    """
-    judged, common = _judged(docs, id_col, text_col, host_col)
-    # tables of known size: where they are small Spark sends them to all tasks, else it joins on host and text
-    changed = cut(judged.filter(~F.col("kept") | (F.col("removed_words") > 0)).select("__host", "__hash", F.col("kept").alias("__kept")).distinct())
-    lists = cut(common.groupBy(F.col("of").alias("__of")).agg(F.collect_set("common").alias("__common")))
-    same = F.col(host_col).eqNullSafe(F.col("__host")) & F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).eqNullSafe(F.col("__hash"))
-    rows = docs.join(changed, same, "left").filter(F.coalesce("__kept", F.lit(True)))
-    rows = rows.join(lists, F.col(host_col).eqNullSafe(F.col("__of")) & F.col("__kept"), "left")
-    own = F.filter(F.split(text_col, "\n"), lambda x: ~F.array_contains("__common", F.xxhash64(F.trim(_normal(x)))))
-    told = {text_col: F.when(F.col("__common").isNotNull(), F.array_join(own, "\n")).otherwise(F.col(text_col))}
-    rows = rows.withColumns(told)
-    if chars_col in docs.columns:
-        rows = rows.withColumn(chars_col, F.when(F.col("__common").isNotNull(), F.length(text_col).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col)))
-    return rows.select(*docs.columns)
+    """(id_col, the five counts, removed_words, base_failed, kept) for every row of ``docs``."""
+    return _judged(docs.select(F.col(id_col), F.col(text_col).alias("__text"), F.col(host_col).alias("__of_host")), "__text", "__of_host", id_col).select(id_col, *COUNTS, "removed_words", "base_failed", "kept")
+
+
+def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs`` that pass, with all columns: the text without boilerplate lines, its length told anew in ``chars_col`` where that column is there."""
+    own = {c: f"__own_{c}" for c in docs.columns}
+    rows = _judged(docs.withColumnsRenamed(own), own[text_col], own[host_col], *own.values()).filter("kept")
+    text = F.col(own[text_col])
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("__common", F.xxhash64(F.trim(_normal(x))))), "\n")
+    rows = rows.withColumn("__left", F.when(F.col("removed_words") > 0, left).otherwise(text))
+    told = {c: F.col(n) for c, n in own.items()} | {text_col: F.col("__left")}
+    if chars_col in own:
+        told[chars_col] = F.when(F.col("removed_words") > 0, F.length("__left").cast(docs.schema[chars_col].dataType)).otherwise(told[chars_col])
+    return rows.select(*[c.alias(n) for n, c in told.items()])
