@@ -194,10 +194,10 @@ def test_captures(spark):
 
 
 def test_captures_linked_over_the_request(spark):
-    rows = [("<r>", "response", []), ("<q>", "request", ["<r>"]), ("<m>", "metadata", ["<q>"]), ("<lost>", "metadata", ["<none>"])]
+    rows = [("<r>", "response", []), ("<q>", "request", ["<r>"]), ("<m>", "metadata", ["<q>"]), ("<lost>", "metadata", ["<none>"]), ("<m2>", "metadata", ["<m>"]), ("<m3>", "metadata", ["<m2>", "<m4>"]), ("<m4>", "metadata", [])]
     df = spark.createDataFrame([(i, t, None, "u", c, None, None, None, 1, "d", b"x") for i, t, c in rows], warc.RECORD)
     out = {r.capture_id: r for r in warc.assemble(df).collect()}
-    assert out["<r>"].request.record_id == "<q>" and [m.record_id for m in out["<r>"].metadata] == ["<m>"]
+    assert out["<r>"].request.record_id == "<q>" and sorted(m.record_id for m in out["<r>"].metadata) == ["<m2>", "<m3>", "<m4>", "<m>"]
     assert out["<lost>"].response is None and len(out) == 2
 
 

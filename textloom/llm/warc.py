@@ -9,7 +9,7 @@ split, a task has all pieces of a file in order, puts the byte stream together a
 No file is held in memory, only one record.
 
 Assembly (:func:`assemble`): request and metadata records find their response or revisit through WARC-Concurrent-To, named by
-either side, directly or over one other record. Requests and metadata are summed up by capture before they are joined.
+either side, directly or over other records, however many. Requests and metadata are summed up by capture before they are joined.
 
 Defined cases: a null payload is empty; a null url leaves its header out; a null id comes last in the order and is left out
 of the metadata; of rows that repeat an id, url and payload each gets the same result (if the payload is stored under this
@@ -189,10 +189,11 @@ def assemble(records: DataFrame, payloads: bool = True) -> DataFrame:
     links = slim.select("record_id", F.explode("concurrent_to").alias("to")).filter("record_id IS NOT NULL").distinct()
     links = cut(links.unionByName(links.select(F.col("to").alias("record_id"), F.col("record_id").alias("to"))).distinct())
     captures = primary.select(F.col("record_id").alias("to")).distinct()
-    direct = cut(rest.select("record_id").join(links, "record_id").join(captures, "to", "left_semi").select("record_id", F.col("to").alias("capture")))
-    far = rest.select("record_id").join(direct, "record_id", "left_anti").join(links, "record_id")
-    far = far.join(direct.select(F.col("record_id").alias("to"), "capture"), "to").select("record_id", "capture").distinct()
-    found = cut(direct.unionByName(far))
+    found = near = cut(rest.select("record_id").join(links, "record_id").join(captures, "to", "left_semi").select("record_id", F.col("to").alias("capture")))
+    while not near.isEmpty():  # records that name, or are named by, those that have found their capture, and so on
+        reached = links.join(near.select(F.col("record_id").alias("to"), "capture"), "to").select("record_id", "capture").distinct()
+        near = cut(reached.join(rest.select("record_id"), "record_id", "left_semi").join(found.select("record_id"), "record_id", "left_anti"))
+        found = cut(found.unionByName(near))
     alone = rest.select("record_id").join(found, "record_id", "left_anti").select("record_id", F.col("record_id").alias("capture"))
     members = rest.join(found.unionByName(alone), "record_id")
     told = F.struct("record_id", "of.type", "of.date", "of.target_uri", "of.http", "of.fields")
