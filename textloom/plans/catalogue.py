@@ -7,6 +7,7 @@ kind), ``embeddings`` are vectors.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -545,26 +546,78 @@ g_{table} AS (
 )"""
 
 
-@_query(f"""{_CHUNKS.replace("WITH ", "WITH RECURSIVE ", 1)}, grouped AS (
+_PAPERS = f"""{_CHUNKS.replace("WITH ", "WITH RECURSIVE ", 1)}, grouped AS (
   SELECT *, is_reference OR contains(section_path, '{structure.REFERENCES}') AS reference, row_number() OVER (PARTITION BY doc, is_reference OR contains(section_path, '{structure.REFERENCES}') ORDER BY chunk_seq) - 1 AS source_index FROM chunks
 ), {_fragments("grouped", "id", _SIZE)}, spoken AS (
-  SELECT doc, source_index, k - 1 AS sentence_index, s[k] AS text, id || '_' || k AS skey FROM (SELECT doc, source_index, id, s, unnest(range(1, len(s) + 1)) AS k
+  SELECT id, k - 1 AS sentence_index, s[k] AS text, id || '_' || k AS skey FROM (SELECT id, s, unnest(range(1, len(s) + 1)) AS k
     FROM (SELECT *, {_spelt("text", "[。！？.!?]")} AS s FROM grouped WHERE NOT reference)) WHERE length(s[k]) >= 2
 ), {_fragments("spoken", "skey", _SIZE)}, papers AS (
   SELECT doc, trim(regexp_replace(string_agg(text, chr(10) ORDER BY chunk_seq) FILTER (text <> ''), '{_S}+', ' ', 'g'), ' ') AS whole FROM chunks GROUP BY doc
 ), heads AS (
-  SELECT doc, coalesce(b.text, '') AS title, coalesce(reverse(b.text), '') AS keyword FROM papers LEFT JOIN benchmark b ON b.item_id::VARCHAR = doc
+  SELECT doc, coalesce(b.text, '') AS title_c, coalesce(b.text, '') AS title_e, coalesce(b.text, '') AS remark_c, '' AS remark_e, '' AS keyword_c, coalesce(reverse(b.text), '') AS keyword_e
+  FROM papers LEFT JOIN benchmark b ON b.item_id::VARCHAR = doc
+), placed AS (
+  SELECT doc, reference, source_index, NULL::BIGINT AS sentence_index, fragment_index, fragment AS text, section_path, element_type, page_num, id AS source_chunk_id, chunk_seq AS source_chunk_seq,
+    count(*) OVER (PARTITION BY id) AS fragment_count FROM fragments_of_grouped JOIN grouped USING (id)
+  UNION ALL SELECT doc, reference, source_index, sentence_index, fragment_index, fragment, section_path, element_type, page_num, id, chunk_seq, count(*) OVER (PARTITION BY skey)
+  FROM fragments_of_spoken JOIN spoken USING (skey) JOIN grouped USING (id)
 ), every AS (
-  SELECT CASE WHEN reference THEN 'reference' ELSE 'paragraph' END AS index_name, doc || CASE WHEN reference THEN '_r' ELSE '_p' END || source_index || '_f' || fragment_index AS _id, fragment AS text FROM fragments_of_grouped JOIN grouped USING (id)
-  UNION ALL SELECT 'sentence', doc || '_p' || source_index || 's' || sentence_index || '_f' || fragment_index, fragment FROM fragments_of_spoken JOIN spoken USING (skey)
-  UNION ALL SELECT 'fulltext', doc || '_fulltext', CASE WHEN length(whole) <= {_SIZE} THEN whole ELSE '' END FROM papers
+  SELECT CASE WHEN sentence_index IS NOT NULL THEN 'sentence' WHEN reference THEN 'reference' ELSE 'paragraph' END AS index_name,
+    doc || CASE WHEN reference THEN '_r' ELSE '_p' END || source_index || coalesce('s' || sentence_index, '') || '_f' || fragment_index AS _id, text, doc, source_index, sentence_index, fragment_index AS fragment_seq,
+    fragment_count, section_path, element_type, page_num, source_chunk_id, source_chunk_seq, NULL::BIGINT AS token_count FROM placed
+  UNION ALL SELECT 'fulltext', doc || '_fulltext', CASE WHEN length(whole) <= {_SIZE} THEN whole ELSE '' END, doc, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, (length(whole) + 1) // 2 FROM papers
   UNION ALL SELECT unnest(['title', 'abstract', 'keyword']), unnest([doc || '_title', doc || '_abstract', doc || '_keyword']),
-    unnest(list_transform([trim(title || ' ' || title, ' '), trim(title, ' '), trim(keyword, ' ')], lambda x: CASE WHEN length(x) <= {_SIZE} THEN x ELSE '' END)) FROM heads
-)
-SELECT index_name, _id, text, md5(text) AS hash, 1::BIGINT AS vectors FROM every WHERE text <> ''""")
-def index_documents(t):
-    """All seven indexes of the conversations as papers: every document with its id and text, cut into fragments of at most 800 characters."""
+    unnest(list_transform([trim(title_c || ' ' || title_e, ' '), trim(remark_c || ' ' || remark_e, ' '), trim(keyword_c || ' ' || keyword_e, ' ')], lambda x: CASE WHEN length(x) <= {_SIZE} THEN x ELSE '' END)),
+    doc, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM heads
+)"""
+
+
+def _indexed(t) -> DataFrame:
+    """The conversations as papers, with texts of ``benchmark`` as their titles, abstracts and keywords; fragments of at most 800 characters."""
     meta = t("benchmark").select(F.col("item_id").cast("string").alias("lngid"), F.col("text").alias("title_c"), F.col("text").alias("title_e"), F.col("text").alias("remark_c"), F.reverse("text").alias("keyword_e"))
     meta = meta.withColumns({c: F.lit("") for c in indexes.META if c not in meta.columns})
-    rows = indexes.with_vector(indexes.documents(structure.chunks(_markdown(t)), meta, size=_SIZE))
+    return indexes.documents(structure.chunks(_markdown(t)), meta, size=_SIZE)
+
+
+@_query(f"{_PAPERS} SELECT index_name, _id, text, md5(text) AS hash, 1::BIGINT AS vectors FROM every WHERE text <> ''")
+def index_documents(t):
+    """All seven indexes: every document with its id and text."""
+    rows = indexes.with_vector(_indexed(t))
     return rows.select("index_name", "_id", "text", F.md5("text").alias("hash"), F.when(F.size("vector") > 0, 1).otherwise(0).cast("long").alias("vectors"))
+
+
+def _of_index(name: str) -> None:
+    """A query for the documents of one index, with the fields that it has; of the vector its size."""
+    own = {"source_index": "source_index::INT", "sentence_index": "sentence_index::INT", "fragment_index": "fragment_seq::INT", "fragment_count": "fragment_count::INT", "page_num": "page_num::INT", "source_chunk_seq": "source_chunk_seq::INT", "token_count": "token_count::INT", "vector": "8::INT"}
+    fields = indexes.FIELDS[name]
+    told = ", ".join(f"{own.get(c, c)} AS {f}" for f, c in fields.items())
+
+    def query(t):
+        return indexes.of_index(_indexed(t), name).withColumns({f: F.size(f) for f, c in fields.items() if c == "vector"})
+
+    query.__name__ = f"{name}_index"
+    _query(f"{_PAPERS} SELECT _id, doc AS file_id, '' AS doi, '' AS firstwriter, '' AS showwriter, 0::INT AS delete_flag, {told} FROM every JOIN heads USING (doc) WHERE text <> '' AND index_name = '{name}'")(query)
+
+
+for _name in indexes.INDEXES:
+    _of_index(_name)
+
+
+@_query(f"""WITH {_STATUS} SELECT count(*)::BIGINT AS discovered, count(*) FILTER (status = 'success' OR status = 'failure' AND attempt >= 2)::BIGINT AS skipped,
+  count(*) FILTER (status IS NULL OR status = 'failure' AND attempt < 2)::BIGINT AS submitted, count(*) FILTER (status = 'failure' AND attempt < 2)::BIGINT AS retried FROM documents LEFT JOIN status USING (doc_id)""")
+def run_counters(t):
+    return metrics.run_counters(_tasks(t), discovery.tasks(_named(t("documents")), _status(t), root="/data"))
+
+
+def _refuses_sevenths(body: bytes) -> dict:
+    """A stand-in for a search service: requests of over 30 documents are too large, documents whose number ends in 7 are refused."""
+    ids = [json.loads(x)["index"]["_id"] for x in body.decode().splitlines()[::2]]
+    if len(ids) > 30:
+        raise packing.TooLarge(f"{len(ids)} documents")
+    return {"took": 1, "errors": True, "items": [{"index": {"_id": x} | ({"error": "refused"} if x.endswith("7") else {})} for x in ids]}
+
+
+@_query("""SELECT count(*) FILTER (page_id % 10 = 7) > 0 AS errors, count(*)::BIGINT AS items, count(*) FILTER (page_id % 10 = 7)::BIGINT AS failed, min(page_id::VARCHAR) FILTER (page_id % 10 = 7) AS first_failed FROM pages""")
+def bulk_result(t):
+    rows = _pages_as_actions(t).select(F.lit("fulltext").alias("index_name"), F.col("page_id").cast("string").alias("_id"), "line")
+    return packing.merged(packing.sent(rows, _refuses_sevenths)).select("errors", "items", "failed", F.col("first_failed._id").alias("first_failed"))
