@@ -9,6 +9,8 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,7 +151,21 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return (prefix[ends] - prefix[starts]) * powers(len(prefix))[1][starts]
 
 
-def in_chunks(rows: Iterable, texts: Iterable, limit: int = 1 << 22) -> Iterator[tuple[list, list[bytes]]]:
+def slices(batches: Iterator[pa.RecordBatch], text: int | str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batches in parts with about ``limit`` bytes of text, so that few texts are Python's at once."""
+    for batch in batches:
+        column = batch.column(text)
+        size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+        if not batch.num_rows:
+            yield batch
+
+
+def in_chunks(rows: Iterable, texts: Iterable, limit: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
     """(rows, their texts as UTF-8; null is empty) in runs of about ``limit`` bytes, so that work arrays stay small."""
     keep, out, size = [], [], 0
     for row, text in zip(rows, texts):

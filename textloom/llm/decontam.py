@@ -1,7 +1,7 @@
 """Benchmark decontamination with suffix arrays of the training texts.
 
 Benchmark items come in blocks of at most ``BLOCK_BYTES``; a block is sent to all tasks. Each shard of the training texts
-(a run of about 4 MB within a task) is turned into word numbers of the block's vocabulary, and the suffixes that can match
+(a run of about 1 MB within a task) is turned into word numbers of the block's vocabulary, and the suffixes that can match
 - those that begin with as many known words as the shortest window has - are sorted into a suffix array, with the word before
 each as the last key. Every suffix of every item is looked up in it by binary search: once for the places where a match of
 whole windows begins (the word before differs), once for those where it ends (the word after differs). Begins and ends of one
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import ALNUM, Words, in_chunks
+from textloom.llm.common import ALNUM, Words, in_chunks, slices
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -150,7 +150,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = Block(sent[0].value) if len(sent) == 1 else None
-        for batch in batches:
+        for batch in slices(batches, text_col):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             found: list[list[tuple]] = [[] for _ in texts]
             counts: list[int] = []

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import cut
+from textloom.llm.common import cut, slices
 
 MIN_PAGES = 10
 MIN_SHARE = 0.2
@@ -275,7 +275,7 @@ def _parts(pages: DataFrame, html_col: str, keep_html: bool) -> DataFrame:
     schema = T.StructType([*kept, *T._parse_datatype_string(_PARTS).fields])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, html_col):
             articles, subtrees, elements, pieces = [], [], [], []
             for source in batch.column(html_col).to_pylist():
                 page = Page(source or "")

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from textloom.llm.common import slices
+
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 BASE_PRIORITY = 50
@@ -242,7 +244,7 @@ def with_licenses(docs: DataFrame, text_col: str = "text", keep_text: bool = Tru
     schema = T.StructType([*kept, *[T.StructField(k, v[0]) for k, v in _COLUMNS.items()]])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             rows = [scan(x) for x in batch.column(batch.schema.names.index(text_col)).to_pylist()]
             told = {
                 "n_words": [r["n_words"] for r in rows], "n_base": [len(r["starts"]) for r in rows], "first_word": [min(r["starts"], default=None) for r in rows], "last_word": [max(r["starts"], default=None) for r in rows],

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import NOT_SPACE, Scratch, Words, cut, in_chunks, mix, small
+from textloom.llm.common import NOT_SPACE, Scratch, Words, cut, in_chunks, mix, slices, small
 from textloom.llm.graph import components
 
 SHINGLE = 5
@@ -94,18 +94,24 @@ def sketch_of(shingles: np.ndarray) -> bytes:
     return tokens[:TREES].astype("<u4").tobytes() + tokens[TREES:].astype("<u2").tobytes()
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for ids, texts in in_chunks(batch["id"], batch["text"], CHUNK):
-            rows = [(at, len(x), xxhash.xxh3_128_digest(x.tobytes()), sketch_of(x)) if len(x) else (at, 0, None, None) for at, x in zip(ids, shingle_sets(texts))]
-            yield pd.DataFrame(rows, columns=["id", "n_shingles", "digest", "sketch"]).astype({"id": "Int64"})
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n_shingles, digest, sketch) of (id, text)."""
+    for batch in slices(batches, 1):
+        for ids, texts in in_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist(), CHUNK):
+            rows = [(len(x), xxhash.xxh3_128_digest(x.tobytes()), sketch_of(x)) if len(x) else (0, None, None) for x in shingle_sets(texts)]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *columns], names=["id", "n_shingles", "digest", "sketch"])
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for _, texts in in_chunks(batch["text"], batch["text"], CHUNK):
-            sets = [x for x in shingle_sets(texts) if len(x)]
-            yield pd.DataFrame({"digest": [xxhash.xxh3_128_digest(x.tobytes()) for x in sets], "shingles": [x.view(np.int64) for x in sets]})
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, shingles) of texts."""
+    for batch in slices(batches, 0):
+        texts = batch.column(0).to_pylist()
+        for _, some in in_chunks(texts, texts, CHUNK):
+            sets = [x for x in shingle_sets(some) if len(x)]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            shingles = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), shingles], names=["digest", "shingles"])
 
 
 def _whole_blocks(work: Callable[[pa.Table], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -246,7 +252,7 @@ class _Join:
         wanted = self.cut(self.reps.select("doc", "id", "digest").join(found.select("doc").distinct(), "doc", "left_semi"))
         # no text moves, unless those with a candidate are too many to be named to all tasks
         texts = self.docs.join(small(wanted.select("id")), "id", "left_semi").select("text")
-        sets = texts.mapInPandas(_sets, "digest binary, shingles array<long>").join(wanted.select("doc", "digest"), "digest")
+        sets = texts.mapInArrow(_sets, "digest binary, shingles array<long>").join(wanted.select("doc", "digest"), "digest")
         sets = self.cut(sets.groupBy("doc").agg(F.first("shingles").alias("shingles")))
         each = found.join(sets, "doc").repartition("block").sortWithinPartitions("block", F.desc("few"), "doc")
         self.add(self.cut(each.mapInArrow(_whole_blocks(_links), "a long, b long")))
@@ -294,7 +300,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def _components_of(docs: DataFrame, scratch: Scratch) -> DataFrame:
     cut = scratch.cut
-    rows = cut(docs.mapInPandas(_sketches, "id long, n_shingles long, digest binary, sketch binary"))
+    rows = cut(docs.mapInArrow(_sketches, "id long, n_shingles long, digest binary, sketch binary"))
     linkable = rows.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     # texts with equal sets are one, and have a number of their own
     told = linkable.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
