@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import cut, in_chunks, small
+from textloom.llm.common import cut, slices
 
 #: Kinds of the patterns in order; terms come after them.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -121,26 +121,24 @@ def terms_beside(text: str, found: list[tuple[str, int, int, str]]) -> set[str]:
 
 def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text's hash, entities) of the texts that have some."""
-    for batch in batches:
+    for batch in slices(batches, 1):
         rows = [(key, sorted(entities(found))) for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (found := find(text))]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["key", "entities"])
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text's hash, terms)"""
-    for batch in batches:
+    for batch in slices(batches, 1):
         terms = [sorted(terms_beside(text, find(text))) for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.string()))], names=["key", "terms"])
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(0).to_pylist()
-        for some, _ in in_chunks(texts, texts):
-            times: Counter[str] = Counter()
-            for text in some:
-                times.update(set(_WORD.findall((text or "").lower())))
-            yield pa.RecordBatch.from_arrays([pa.array(times.keys(), pa.string()), pa.array(times.values(), pa.int64())], names=["term", "documents"])
+    for batch in slices(batches, 0):
+        times: Counter[str] = Counter()
+        for text in batch.column(0).to_pylist():
+            times.update(set(_WORD.findall((text or "").lower())))
+        yield pa.RecordBatch.from_arrays([pa.array(times.keys(), pa.string()), pa.array(times.values(), pa.int64())], names=["term", "documents"])
 
 
 def disclosing(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -156,10 +154,8 @@ def disclosing(docs: DataFrame, text_col: str = "text") -> DataFrame:
     together = rows.select("key", "n", "terms", F.explode("entities").alias("entity")).select("key", "n", "entity", F.explode("terms").alias("term"))
     pairs = together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together"))
     pairs = cut(pairs.filter(F.col("texts") >= MIN_TEXTS))
-    wanted, counts = cut(pairs.select("term").distinct()), docs.select(F.col(text_col).alias("text")).mapInArrow(_term_counts, "term string, documents long")
-    # other terms are left out before the shuffle, if these can be named to all tasks
-    all_terms = counts.join(small(wanted), "term", "left_semi").groupBy("term").agg(F.sum("documents").alias("documents"))
-    known = pairs.join(all_terms, "term")
+    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_term_counts, "term string, documents long")
+    known = pairs.join(counts.groupBy("term").agg(F.sum("documents").alias("documents")), "term")
     bits = -F.log2(F.least(F.col("together") / F.col("documents"), F.lit(1.0)))
     strong = cut(known.withColumn("bits", bits).filter(F.col("bits") <= GENERALISE_BITS).select(F.col("entity").alias("e"), F.col("term").alias("t"), "bits"))
     hits = together.join(strong, (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
@@ -209,7 +205,7 @@ def sanitised(docs: DataFrame, text_col: str = "text", masked_col: str = "masked
     schema = T.StructType([*docs.schema.fields, T.StructField(spans_col, span), T.StructField(masked_col, T.StringType())])
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             names, columns = list(batch.schema.names), list(batch.columns)
             spans, texts = [], []
             for text, terms in zip(batch.column(names.index(text_col)).to_pylist(), columns.pop().to_pylist()):
