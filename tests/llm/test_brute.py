@@ -209,3 +209,10 @@ def test_very_long_rows_through_spark(spark):
     rows = [(1, "word " * 200_000), (2, "word " * 200_000), (3, " ".join(f"w{k}" for k in range(150_000)))]
     out = {r.doc_id: r for r in substrings.with_kept(spark.createDataFrame(rows, DOCS)).collect()}
     assert len(out[1].kept) < 200 and len(out[2].kept) == 0 and bytes(out[3].kept).decode() == rows[2][1]
+
+
+def test_ranges_are_verified():
+    """A range whose bytes are not what it is said to repeat stays."""
+    raw = b"x" * 300
+    good = {"begin": 10, "end": 120, "digest": substrings.digest(raw[:110])}
+    assert substrings.merged([good, {"begin": 150, "end": 260, "digest": substrings.digest(b"y" * 110)}, {"begin": 250, "end": 360, "digest": substrings.digest(raw[:110])}], raw) == [(10, 120)]

@@ -5,24 +5,26 @@ moving the rest, every such window is named by its anchor: the ``GRAM``-byte str
 have equal anchors at equal places). Windows in a row with one anchor make up a piece.
 
 1. Anchors that occur once are dropped: nothing in their windows repeats.
-2. Pieces that are equal as a whole are one class; all but its first occurrence are removed at once. Counts and minima are
-   taken before the shuffle, so a passage in a third of all documents is no more work for a task than any other.
+2. Pieces that are equal as a whole by hash are one class; all but its first occurrence are removed at once. Counts and minima
+   are taken before the shuffle, so a passage in a third of all documents is no more work for a task than any other.
 3. Anchors with several classes (at the edges of copies): one piece of each class goes, with its bytes, to its anchor's
    bucket, and the buckets' suffixes are sorted. The sort is a mergesort in which two suffixes are compared by their longest
    common extension, found by binary search over prefix polynomial hashes; equal neighbours are verified byte by byte, and
    all but the first of a run are removed. Anchors with over ``BUCKET`` classes are dealt over several buckets, sorted one
-   by one; the firsts of these meet again by the hash of their window.
-4. Removed ranges are gathered by document, and texts are cut.
+   by one; the firsts of these meet again by a digest of their window.
+4. Removed ranges are gathered by document, each with a digest (BLAKE2b) of the bytes that it repeats, taken where these stand
+   first. A range is cut out if the document's own bytes have that digest, so what only shares a hash stays.
 
 Positions are ordered by (id, start). Defined cases: null text is empty and keeps nothing; texts under ``LENGTH`` bytes are
 left whole; rows that repeat an id and text get equal results and are not earlier than each other; different texts under
-one id are taken as one document's, and ranges of any of them are clipped to each; a null id has no place in the order: its
+one id are taken as one document's, and each loses the ranges that it has itself; a null id has no place in the order: its
 row is left whole and removes nothing; an empty table gives an empty result; extra columns of ``docs`` are kept,
 those named like the added ones are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import cut, in_chunks, mix, powers, prefix_hashes
+from textloom.llm.common import cut, in_chunks, mix, powers, prefix_hashes, slices, small
 
 LENGTH = 100
 GRAM = 32
@@ -79,7 +81,7 @@ def _pieces(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    for batch in batches:
+    for batch in slices(batches, 1):
         for ids, texts in in_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _CHUNK):
             keep = [k for k, x in enumerate(ids) if x is not None]
             yield np.array([ids[k] for k in keep], np.int64), [texts[k] for k in keep]
@@ -98,19 +100,24 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor.view(np.int64), whole.view(np.int64), ids[text], at)], names=["anchor", "class", "id", "at"])
 
 
+def digest(raw: bytes | memoryview) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
 def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pieces' bytes: (anchor, bucket, split, id, at, piece) for (text, pieces of it)."""
-    for batch in batches:
+    """What is asked of texts: the bytes of a piece for its anchor's bucket, or their digest for its class."""
+    for batch in slices(batches, "text"):
         rows = []
-        for text, pieces in zip(batch.column("text").to_pylist(), batch.column("pieces").to_pylist()):
+        for at, text, pieces in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "pieces"))):
             raw = text.encode("utf-8", "surrogatepass")
             for x in pieces:
                 start, windows = x["at"] // _AT[0], x["at"] % _AT[0] // _AT[1]
                 if start + windows - 1 + LENGTH <= len(raw):
-                    rows.append((x["anchor"], x["bucket"], x["split"], x["id"], x["at"], raw[start : start + windows - 1 + LENGTH]))
-        columns = list(zip(*rows)) or [()] * 6
-        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "bucket", "split", "id", "at", "piece"])
+                    piece = raw[start : start + windows - 1 + LENGTH]
+                    rows.append((x["anchor"], x["class"], x["bucket"], x["split"], at, x["at"], piece if x["class"] is None else digest(piece)))
+        columns = list(zip(*rows)) or [()] * 7
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "class", "bucket", "split", "id", "at", "piece"])
 
 
 class Suffixes:
@@ -215,12 +222,14 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         begin, end = (place[of] // _AT[0]) + k[first], (place[of] // _AT[0]) + k[last] + LENGTH
         own = np.flatnonzero(split[sorted_piece] & ~repeat)
         spot = at[order][own]
-        value = (suffixes.prefix[spot + LENGTH] - suffixes.prefix[spot]) * powers(len(suffixes.raw) + 1)[1][spot]
+        bytes_ = memoryview(suffixes.raw)
+        begins = (offset[of] + k[first]).tolist()
+        digests = [digest(bytes_[b : b + n]) for b, n in zip(begins, (end - begin).tolist())] + [digest(bytes_[b : b + LENGTH]) for b in spot.tolist()]
         ids_of, starts_of = ids[sorted_piece[own]], (place // _AT[0])[sorted_piece[own]] + sorted_k[own]
         none = [None] * len(first)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((ids[of], ids_of))), pa.array(np.concatenate((begin, starts_of))), pa.array(np.concatenate((end, starts_of + LENGTH))), pa.array([*none, *anchor[sorted_piece[own]].tolist()], pa.int64()), pa.array([*none, *mix(value).view(np.int64).tolist()], pa.int64())],
-            names=["id", "begin", "end", "anchor", "window"],
+            [pa.array(np.concatenate((ids[of], ids_of))), pa.array(np.concatenate((begin, starts_of))), pa.array(np.concatenate((end, starts_of + LENGTH))), pa.array([*none, *anchor[sorted_piece[own]].tolist()], pa.int64()), pa.array(digests, pa.binary())],
+            names=["id", "begin", "end", "anchor", "digest"],
         )
 
     for batch in batches:
@@ -236,42 +245,41 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, spans): for each id with removed bytes, the ranges as array<struct<begin: long, end: long>>, unordered, overlapping."""
+    """(id, spans): for each id with removed bytes, the ranges as array<struct<begin: long, end: long, digest: binary>>, unordered, overlapping."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = docs.filter(F.col("id").isNotNull() & (F.octet_length("text") >= LENGTH))
     counted = texts.mapInArrow(_anchors, "anchor long, times long").groupBy("anchor").agg(F.sum("times").alias("times"))
     twice = cut(counted.filter("times > 1").select("anchor"))
     found = cut(texts.mapInArrow(_occurrences, "anchor long, class long, id long, at long").join(twice, "anchor", "left_semi"))
     classes = cut(found.groupBy("anchor", "class").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("times")))
-    # all but the first of a class
-    many = classes.filter("times > 1").select(F.col("anchor").alias("a"), F.col("class").alias("c"), "first")
-    begin, windows = F.floor(F.col("at") / _AT[0]), F.floor(F.pmod("at", F.lit(_AT[0])) / _AT[1])
-    later = found.join(many, (F.col("anchor") == F.col("a")) & (F.col("class") == F.col("c"))).filter(F.struct("id", "at") != F.col("first"))
-    ranges = later.select("id", begin.alias("begin"), (begin + windows - 1 + LENGTH).alias("end"))
-    # one piece of each class of the anchors that have several
+    # one piece of each class of the anchors that have several is sorted, and the first of each class that has more is asked for its digest
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select(F.col("anchor").alias("a"), "classes")
     parts = F.ceil(F.col("classes") / BUCKET)
-    pieces = classes.join(several, F.col("anchor") == F.col("a")).select("anchor", F.pmod(F.xxhash64("class"), parts).cast("int").alias("bucket"), (parts > 1).alias("split"), F.col("first.id").alias("id"), F.col("first.at").alias("at"))
-    listed = pieces.groupBy("id").agg(F.collect_list(F.struct("anchor", "bucket", "split", "id", "at")).alias("pieces"))
-    listed = texts.join(listed.withColumnRenamed("id", "of"), F.col("id") == F.col("of")).select("text", "pieces")
-    cols = "anchor long, bucket int, split boolean, id long, at long, piece binary"
-    buckets = listed.mapInArrow(_bytes_of, cols).dropDuplicates(["anchor", "id", "at"])
+    pieces = classes.join(several, F.col("anchor") == F.col("a")).select("anchor", F.lit(None).cast("long").alias("class"), F.pmod(F.xxhash64("class"), parts).cast("int").alias("bucket"), (parts > 1).alias("split"), F.col("first.id").alias("id"), F.col("first.at").alias("at"))
+    many = classes.filter("times > 1").select("anchor", "class", F.lit(0).alias("bucket"), F.lit(False).alias("split"), F.col("first.id").alias("id"), F.col("first.at").alias("at"))
+    listed = cut(pieces.unionByName(many).groupBy("id").agg(F.collect_list(F.struct("anchor", "class", "bucket", "split", "at")).alias("pieces")))
+    asked = texts.join(small(listed.select("id")), "id", "left_semi").join(listed, "id").select("id", "text", "pieces")
+    told = cut(asked.mapInArrow(_bytes_of, "anchor long, class long, bucket int, split boolean, id long, at long, piece binary"))
+    # all but the first of a class
+    first = told.filter("class IS NOT NULL").select(F.col("anchor").alias("a"), F.col("class").alias("c"), F.col("id").alias("first_id"), F.col("at").alias("first_at"), F.col("piece").alias("digest")).distinct()
+    begin, windows = F.floor(F.col("at") / _AT[0]), F.floor(F.pmod("at", F.lit(_AT[0])) / _AT[1])
+    later = found.join(first, (F.col("anchor") == F.col("a")) & (F.col("class") == F.col("c"))).filter((F.col("id") != F.col("first_id")) | (F.col("at") != F.col("first_at")))
+    ranges = later.select("id", begin.alias("begin"), (begin + windows - 1 + LENGTH).alias("end"), "digest")
+    buckets = told.filter("class IS NULL").drop("class").dropDuplicates(["anchor", "id", "at"])
     buckets = buckets.repartition("anchor", "bucket").sortWithinPartitions("anchor", "bucket", "id", "at")
-    out = cut(buckets.mapInArrow(_sorted_buckets, "id long, begin long, end long, anchor long, window long"))
-    ranges = ranges.unionByName(out.filter("window IS NULL").select("id", "begin", "end"))
-    firsts = out.filter("window IS NOT NULL")
-    lowest = firsts.groupBy("anchor", "window").agg(F.min(F.struct("id", "begin")).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").select(F.col("anchor").alias("a"), F.col("window").alias("w"), "first")
-    again = firsts.join(lowest, (F.col("anchor") == F.col("a")) & (F.col("window") == F.col("w"))).filter(F.struct("id", "begin") != F.col("first"))
-    ranges = ranges.unionByName(again.select("id", "begin", "end"))
-    return ranges.groupBy("id").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    out = cut(buckets.mapInArrow(_sorted_buckets, "id long, begin long, end long, anchor long, digest binary"))
+    ranges = ranges.unionByName(out.filter("anchor IS NULL").select("id", "begin", "end", "digest"))
+    firsts = out.filter("anchor IS NOT NULL")
+    lowest = firsts.groupBy("anchor", "digest").agg(F.min(F.struct("id", "begin")).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").select(F.col("anchor").alias("a"), F.col("digest").alias("w"), "first")
+    again = firsts.join(lowest, (F.col("anchor") == F.col("a")) & (F.col("digest") == F.col("w"))).filter(F.struct("id", "begin") != F.col("first"))
+    ranges = ranges.unionByName(again.select("id", "begin", "end", "digest"))
+    return ranges.groupBy("id").agg(F.collect_set(F.struct("begin", "end", "digest")).alias("spans"))
 
 
-def merged(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:
-    """The ranges in order, those that overlap or touch as one, clipped to a text's size."""
+def merged(spans: list[dict] | None, raw: bytes) -> list[tuple[int, int]]:
+    """The ranges in order whose bytes are what they repeat, those that overlap or touch as one."""
     out: list[tuple[int, int]] = []
-    for begin, end in sorted((x["begin"], min(x["end"], size)) for x in spans or ()):
-        if begin >= end:
-            continue
+    for begin, end in sorted((x["begin"], x["end"]) for x in spans or () if x["end"] <= len(raw) and digest(raw[x["begin"] : x["end"]]) == x["digest"]):
         if out and begin <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], end))
         else:
@@ -289,13 +297,13 @@ def with_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             names, columns = list(batch.schema.names), list(batch.columns)
             spans = columns.pop().to_pylist()
             told, left = [], []
             for text, some in zip(batch.column(names.index(text_col)).to_pylist(), spans):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                runs = merged(some, len(raw))
+                runs = merged(some, raw)
                 told.append([{"begin": b, "end": e} for b, e in runs])
                 edges = [0, *[x for run in runs for x in run], len(raw)]
                 left.append(b"".join(raw[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2)))
