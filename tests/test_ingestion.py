@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 import json
 import os
+import sqlite3
 import time
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from textloom.operators import discovery, embedding, indexes, metrics, packing
 from textloom.operators.numbering import numbered
 from textloom.plans.ingestion import Ingestion, convert
-from textloom.sources import files, parsers, sinks
+from textloom.sources import files, metadata, parsers, sinks
 from textloom.streaming import ingest
 
 DOC = "# 标题\nThis is the text of the first section.\n## Results\nMore text. Even more text。\n# References\n[1] A first entry. [2] A second.\n"
@@ -153,6 +154,19 @@ def test_conversion_resumes_by_path(spark, tmp_path):
     assert "c.pdf\tValueError: no such format" in failed
 
 
+def test_metadata_from_sqlite(spark, tmp_path):
+    path = str(tmp_path / "papers.db")
+    with sqlite3.connect(path) as db:
+        db.execute(f"CREATE TABLE meta (lngid TEXT, {', '.join(f'{c} TEXT' for c in indexes.META)})")
+        db.executemany("INSERT INTO meta (lngid, title_c, doi) VALUES (?, ?, ?)", [(str(k), f"题 {k}", None if k % 3 else f"10/{k}") for k in range(101)])
+    rows = metadata.from_sqlite(spark, path, partitions=7)
+    assert rows.rdd.getNumPartitions() == 7 and {(r.lngid, r.title_c, r.doi) for r in rows.collect()} == {(str(k), f"题 {k}", None if k % 3 else f"10/{k}") for k in range(101)}
+    told = {r.lngid: r for r in indexes.with_meta(spark.createDataFrame([("3",), ("4",), ("x",)], "lngid string"), rows).collect()}
+    assert (told["3"].title_c, told["3"].doi, told["4"].doi, told["x"].title_c) == ("题 3", "10/3", "", "")
+    with pytest.raises(Exception, match="no name of a table"):
+        metadata.from_sqlite(spark, path, "meta; DROP").count()
+
+
 def test_numbers_over_parts(spark):
     rows = [(k % 3 if k % 7 else None, k) for k in range(500)]
     df = numbered(spark.createDataFrame(rows, "g int, k int").repartition(4), ("g",), ("k",), F.floor(F.col("k") / 20))
