@@ -9,7 +9,7 @@ depleted and rejected. :func:`judge` tells the counts, :func:`keep` gives the do
 A text is read once; what is counted later are the hashes of its lines. Equal texts of a host are one, lines are summed by
 (host, line) before and after the shuffle, so a line that every document of a host has is a handful of rows. A host has at
 most 1/``MIN_SHARE`` times as many boilerplate lines as a text has lines on average: that list comes to each of its rows,
-which are judged where they are, and no text is shuffled.
+which are judged where they are.
 
 Defined cases: null text has no words and fails the base rules, as does an empty one; a null host is a host of its own;
 repeated rows (same id, same text) each get the same result; a text may be as long as a row can be; an empty table gives an
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, barrier, cut
+from textloom.llm.common import WORD, barrier, cut, small
 
 MIN_WORDS = 50
 MAX_REPEATED = 50
@@ -107,32 +107,39 @@ def boilerplate(rows: DataFrame) -> DataFrame:
     return cut(common.groupBy(F.col("of").alias("__of")).agg(F.collect_set("x.line").alias("__common")))
 
 
-def _judged(docs: DataFrame, text_col: str, host_col: str, *kept: str) -> DataFrame:
-    """Rows of :func:`measured` with their host's boilerplate lines, and judged: no text and no line is joined with another."""
+def _judged(docs: DataFrame, text_col: str, host_col: str, *kept: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of :func:`measured`, judged with the boilerplate lines of their hosts, and these lines."""
     rows = measured(docs, text_col, host_col, *kept)
+    lists = boilerplate(rows)
     # a table of known size: where it is small Spark sends it to all tasks, else it joins on host and splits the hot ones
-    df = rows.join(boilerplate(rows), F.col("__host").eqNullSafe(F.col("__of")), "left").drop("__of")
+    df = rows.join(lists, F.col("__host").eqNullSafe(F.col("__of")), "left").drop("__of")
     hit = F.filter("__lines", lambda x: F.array_contains("__common", x["line"]))
     removed = F.aggregate(hit, F.lit(0).cast("long"), lambda a, x: a + x["words"])
-    df = df.withColumn("removed_words", F.when(F.col("__common").isNotNull(), removed).otherwise(0).cast("long")).drop("__lines")
+    df = df.withColumn("removed_words", F.when(F.col("__common").isNotNull(), removed).otherwise(0).cast("long")).drop("__lines", "__common")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = F.col("n_words") - F.col("removed_words") < F.lit(MIN_LEFT) * F.col("n_words")
-    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted), lists
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(id_col, the five counts, removed_words, base_failed, kept) for every row of ``docs``."""
-    return _judged(docs.select(F.col(id_col), F.col(text_col).alias("__text"), F.col(host_col).alias("__of_host")), "__text", "__of_host", id_col).select(id_col, *COUNTS, "removed_words", "base_failed", "kept")
+    rows, _ = _judged(docs.select(F.col(id_col), F.col(text_col).alias("__text"), F.col(host_col).alias("__of_host")), "__text", "__of_host", id_col)
+    return rows.select(id_col, *COUNTS, "removed_words", "base_failed", "kept")
 
 
 def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
-    """The rows of ``docs`` that pass, with all columns: the text without boilerplate lines, its length told anew in ``chars_col`` where that column is there."""
-    own = {c: f"__own_{c}" for c in docs.columns}
-    rows = _judged(docs.withColumnsRenamed(own), own[text_col], own[host_col], *own.values()).filter("kept")
-    text = F.col(own[text_col])
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("__common", F.xxhash64(F.trim(_normal(x))))), "\n")
-    rows = rows.withColumn("__left", F.when(F.col("removed_words") > 0, left).otherwise(text))
-    told = {c: F.col(n) for c, n in own.items()} | {text_col: F.col("__left")}
-    if chars_col in own:
-        told[chars_col] = F.when(F.col("removed_words") > 0, F.length("__left").cast(docs.schema[chars_col].dataType)).otherwise(told[chars_col])
-    return rows.select(*[c.alias(n) for n, c in told.items()])
+    """The rows of ``docs`` that pass, with all columns: the text without boilerplate lines, its length told anew in ``chars_col`` where that column is there.
+
+    A row is known by its host and text, so copies go alike. Those that are rejected or changed are named to all tasks if they
+    are counted to be few enough, so that no text moves; else texts join by shuffle.
+    """
+    rows, lists = _judged(docs.select(F.col(text_col).alias("__text"), F.col(host_col).alias("__of_host")), "__text", "__of_host")
+    changed = cut(rows.filter(~F.col("kept") | (F.col("removed_words") > 0)).select("__host", "__hash", F.col("kept").alias("__kept")).distinct())
+    same = F.col(host_col).eqNullSafe(F.col("__host")) & F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).eqNullSafe(F.col("__hash"))
+    rows = docs.join(small(changed), same, "left").filter(F.coalesce("__kept", F.lit(True)))
+    rows = rows.join(lists, F.col("__host").eqNullSafe(F.col("__of")) & F.col("__kept"), "left")
+    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x: ~F.array_contains("__common", F.xxhash64(F.trim(_normal(x))))), "\n")
+    rows = rows.withColumn(text_col, F.when(F.col("__common").isNotNull(), left).otherwise(F.col(text_col)))
+    if chars_col in docs.columns:
+        rows = rows.withColumn(chars_col, F.when(F.col("__common").isNotNull(), F.length(text_col).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col)))
+    return rows.select(*docs.columns)
