@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import threading
 import uuid
@@ -163,6 +164,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: int | str, limit: int = 1 <<
             at = to
         if not batch.num_rows:
             yield batch
+    _give_back()
+
+
+def _give_back() -> None:
+    """Memory that a task has freed goes back to the system: workers wait for their next task with what they need only."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries than GNU's have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def in_chunks(rows: Iterable, texts: Iterable, limit: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
