@@ -1,11 +1,14 @@
-"""The queries of the ten operators: each applies its operator to a whole table and derives the contract's columns."""
+"""The queries of the operators: each applies its operator to a whole table and derives the contract's columns."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat, decontam, html, licenses, mixing, neardup, pii, quality, substrings, warc
+from textloom.llm import chat, decontam, html, licenses, mixing, neardup, periodic, pii, quality, spelling, substrings, warc
+from textloom.llm.common import WORD, barrier
 from textloom.llm.sql import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -71,6 +74,36 @@ def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *number, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document, by the checksum of its id, is made to repeat itself from some word on before the runs are looked for."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    tail = F.coalesce(draw % 10 == 0, F.lit(False))
+    rows = barrier(docs, g=F.floor(draw / 10), words=F.when(tail, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    n, a = F.size("words"), (F.col("g") % F.size("words")).cast("int")
+    p = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    rows = rows.select("doc_id", "text", "words", F.when(n > 0, n).alias("n"), F.when(n > 0, a).alias("a"), "g").withColumn("p", p)
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    planted = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", place(i))), " ")
+    rows = periodic.with_runs(rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text")), keep_text=False)
+    told = F.array_join(F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))), "")
+    rows = rows.withColumn("top", F.array_min(F.transform("runs", lambda x: F.struct((-x["length"]).alias("length"), x["start"].alias("start"), x["period"].alias("period")))))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", (-F.col("top.length")).alias("length"), "top.period", F.expr("(-1000 * top.length) div top.period").alias("exponent_milli"),
+        F.sha2(told, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _misspelt(doc_id: int | None, word: str) -> str:
+    """One of 199 words of a document, by the checksum of both, loses a code point."""
+    h = zlib.crc32(f"{doc_id}:{word}".encode("utf-8", "surrogatepass")) if doc_id is not None else 1
+    return word if h % 199 else word[: h % len(word)] + word[h % len(word) + 1 :]
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(_table(spark, sf_dir, "documents"), altered=_misspelt))
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_line_frequency": op2_line_frequency,
@@ -82,4 +115,6 @@ QUERIES = {
     "op8_signature_rules": op8_signature_rules,
     "op9_suffix_sort": op9_suffix_sort,
     "op10_disclosure": op10_disclosure,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
 }

@@ -193,4 +193,47 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(w.n, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN words_hit w USING (doc_id) LEFT JOIN found f USING (doc_id) LEFT JOIN longest l USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_pareto_mix": OP1, "op2_line_frequency": OP2, "op3_transaction_assembly": OP3, "op4_chosen_path_join": OP4, "op6_snapshot_collapse": OP6, "op7_suffix_decontamination": OP7}
+_LONG = "[A-Za-z\\x{C0}-\\x{FF}]+"
+
+#: CRC-32 byte by byte, with its table made from the polynomial; near words share what is left when one code point is masked or left out.
+OP12 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '{_LONG}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS x FROM found WHERE length(run) >= 6 GROUP BY doc_id, run
+), drawn AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM counted, crc
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n FROM drawn GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+), places AS (
+  SELECT word, n, unnest(range(length(word))) AS i FROM words
+), masked AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM places
+), pairs AS (
+  SELECT a.word AS a, a.n AS n_a, b.word AS b, b.n AS n_b FROM masked a JOIN masked b ON a.i = b.i AND a.rest = b.rest AND a.word < b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM masked a JOIN words b ON a.rest = b.word
+), near AS (
+  SELECT a AS word, b AS other, n_b AS n FROM pairs UNION ALL SELECT b, a, n_a FROM pairs
+), best AS (
+  SELECT word, count(*)::BIGINT AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n FROM words w LEFT JOIN best USING (word)
+), followed AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL
+  UNION ALL SELECT f.word, r.root FROM forms f JOIN followed r ON f.form = r.word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN followed USING (word)
+"""
+
+ORACLE_SQL = {
+    "op1_pareto_mix": OP1,
+    "op2_line_frequency": OP2,
+    "op3_transaction_assembly": OP3,
+    "op4_chosen_path_join": OP4,
+    "op6_snapshot_collapse": OP6,
+    "op7_suffix_decontamination": OP7,
+    "op12_spelling_variants": OP12,
+}
