@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat, decontam, html, licenses, mixing, neardup, periodic, pii, quality, spelling, substrings, warc
+from textloom.llm import chat, decontam, html, licenses, mixing, neardup, periodic, pii, quality, spelling, substrings, toxicity, warc
 from textloom.llm.common import WORD, barrier
 from textloom.llm.sql import ORACLE_SQL
 
@@ -104,6 +104,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.counted(_table(spark, sf_dir, "documents"), altered=_misspelt))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the held-out third are taken away before anything is learned."""
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = toxicity.trained(toxicity.sample_of(docs, labels.filter(~held)))
+    rows = toxicity.scored(docs, model, keep_text=False)
+    return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "threshold", "flagged")
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_line_frequency": op2_line_frequency,
@@ -117,4 +126,5 @@ QUERIES = {
     "op10_disclosure": op10_disclosure,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_toxicity": op13_toxicity,
 }
