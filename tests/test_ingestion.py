@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 import json
 import os
+import random
 import sqlite3
 import time
 
@@ -221,24 +222,30 @@ def test_embedding_halves_refused_batches(spark):
     assert [r.vector_error for r in out if r.k in (5, 7)] == ["refused", None]
 
 
-def test_packing(spark):
-    import random
-
-    random.seed(1)
-    sizes = [(g, k, random.choice([10, 200, 500, 2000])) for g in range(3) for k in range(200)]
-    df = packing.packed(spark.createDataFrame(sizes, "g int, k int, bytes long"), "g", "k", "bytes", 7, 1000)
-    expected, now = {}, None
-    for g, k, n in sizes:
-        if g != now:
-            now, batch, count, used = g, 0, 0, 0
-        if n > 1000:
-            expected[g, k] = -1
+def greedy(rows, max_count, max_bytes):
+    """Batches of (group, order, bytes), one row after the other."""
+    told, state = {}, {}
+    for g, k, n in sorted(rows, key=lambda x: x[1]):
+        if (n or 0) > max_bytes:
+            told[g, k] = -1
             continue
-        if count and (count >= 7 or used + n > 1000):
+        batch, count, used = state.get(g, (0, 0, 0))
+        if count and (count >= max_count or used + (n or 0) > max_bytes):
             batch, count, used = batch + 1, 0, 0
-        count, used = count + 1, used + n
-        expected[g, k] = batch
-    assert {(r.g, r.k): r.batch for r in df.collect()} == expected
+        state[g] = batch, count + 1, used + (n or 0)
+        told[g, k] = batch
+    return told
+
+
+@pytest.mark.parametrize("block, fan, max_count", [(10_000, 1000, 7), (8, 3, 7), (5, 2, 5), (1, 2, 3), (40, 1000, 1)])
+def test_packing(spark, block, fan, max_count):
+    random.seed(block)
+    sizes = [(g, k, random.choice([10, 200, 500, 2000, 0, None])) for g in (0, 1, None) for k in range(200)]
+    sizes += [(7, 0, 3000), (8, 1, 5)]
+    df = packing.packed(spark.createDataFrame(sizes, "g int, k int, bytes long").repartition(3), "g", "k", "bytes", max_count, 1000, F.floor(F.col("k") / 16), block, fan)
+    assert df.columns == ["g", "k", "bytes", "batch"]
+    assert {(r.g, r.k): r.batch for r in df.collect()} == greedy(sizes, max_count, 1000)
+    assert packing.packed(df.drop("batch").limit(0), "g", "k", "bytes").count() == 0
 
 
 def test_crash_streaks(spark):
@@ -247,6 +254,24 @@ def test_crash_streaks(spark):
     df = spark.createDataFrame([(k, "w", t + datetime.timedelta(seconds=s)) for k, s in enumerate(at)], "event_id int, w string, ts timestamp_ntz")
     rows = metrics.crash_streaks(df, "w").orderBy("event_id").collect()
     assert [r.crash_count for r in rows] == [0, 1, 2, 3, 4, 0, 1] and [r.disabled for r in rows] == [False] * 4 + [True] * 3
+    df = df.withColumn("w", F.lit(None).cast("string"))  # a null key is a key
+    assert [r.crash_count for r in metrics.crash_streaks(df, "w", block=2, unit="minute").orderBy("event_id").collect()] == [0, 1, 2, 3, 4, 0, 1]
+
+
+def test_crash_streaks_over_blocks(spark):
+    random.seed(5)
+    t, rows, seen = datetime.datetime(2024, 1, 1), [], {}
+    for w in ("a", "b", None):
+        at, count, gone = 0, 0, False
+        for k in range(300):
+            step = random.choice([0, 1, 5, 59, 60, 61, 4000])
+            at, count = at + step, count + 1 if k and step < 60 else 0
+            gone = gone or count > metrics.MAX_STREAK
+            rows.append((k, w, t + datetime.timedelta(seconds=at)))
+            seen[w, k] = count, gone
+    df = spark.createDataFrame(rows, "event_id int, w string, ts timestamp_ntz").repartition(3)
+    for block in (1, 7, 10_000):
+        assert {(r.w, r.event_id): (r.crash_count, r.disabled) for r in metrics.crash_streaks(df, "w", block=block).collect()} == seen
 
 
 def test_slots_and_arguments():

@@ -41,15 +41,27 @@ def average_rate(events: DataFrame, *keys: str, ts: str = "ts") -> DataFrame:
     return rows.select(*keys, "n", "seconds", per_hour(F.col("n"), F.col("seconds")).alias("rate"))
 
 
-def crash_streaks(events: DataFrame, key: str, ts: str = "ts", tie: str = "event_id", gap: int = STREAK_SECONDS) -> DataFrame:
+def crash_streaks(events: DataFrame, key: str, ts: str = "ts", tie: str = "event_id", gap: int = STREAK_SECONDS, unit: str = "hour", block: int = 10_000) -> DataFrame:
     """``events`` (crashes) with ``crash_count``, the crashes in a row less than ``gap`` seconds apart before this one, and
-    ``disabled``, whether the key is given up by now."""
-    order = Window.partitionBy(key).orderBy(ts, tie)
+    ``disabled``, whether the key is given up by now.
+
+    A streak begins at the last event that is far from the one before it. Events of a key are numbered by ``unit`` of time and cut into
+    blocks that have the event before them too; of each block only its last begin is told to the blocks after it, so a key is as many
+    tasks as it has blocks. A key is given up from the first event on that is too much, one number a key.
+    """
+    rows = in_blocks(numbered(events, (key,), (ts, tie), F.date_trunc(unit, F.col(ts)), "__n"), block, 1, "__n")
+    order = Window.partitionBy(key, "__block").orderBy("__n")
     far = F.coalesce(seconds_between(F.lag(ts).over(order), F.col(ts)) >= gap, F.lit(True))
-    rows = events.withColumn("__far", far.cast("int")).withColumn("__streak", F.sum("__far").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("crash_count", F.row_number().over(Window.partitionBy(key, "__streak").orderBy(ts, tie)) - 1)
-    rows = rows.withColumn("disabled", F.max(F.col("crash_count") > MAX_STREAK).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.drop("__far", "__streak")
+    rows = rows.withColumn("__begin", F.when(far, F.col("__n"))).filter("__own").withColumn("__begin", F.max("__begin").over(order))
+    # a block's last begin; before it, that of the blocks before
+    earlier = Window.partitionBy("__of").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy(F.col(key).alias("__of"), F.col("__block").alias("__at")).agg(F.max("__begin").alias("__last"))
+    ends = ends.select("__of", "__at", F.max("__last").over(earlier).alias("__open"))
+    rows = rows.join(ends, F.col(key).eqNullSafe(F.col("__of")) & (F.col("__block") == F.col("__at"))).drop("__of", "__at")
+    rows = rows.withColumn("crash_count", (F.col("__n") - F.coalesce("__begin", "__open")).cast("int"))
+    first = rows.filter(F.col("crash_count") > MAX_STREAK).groupBy(F.col(key).alias("__of")).agg(F.min("__n").alias("__over"))
+    rows = rows.join(first, F.col(key).eqNullSafe(F.col("__of")), "left")
+    return rows.select(*events.columns, "crash_count", F.coalesce(F.col("__n") >= F.col("__over"), F.lit(False)).alias("disabled"))
 
 
 def progress(rows: DataFrame, order: tuple[str, ...], every: int, bucket: Column, within: tuple[str, ...] = (), first: int = 10) -> DataFrame:

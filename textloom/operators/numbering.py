@@ -23,9 +23,11 @@ def numbered(rows: DataFrame, within: tuple[str, ...], order: tuple[str, ...], b
     return rows.join(counts, same).withColumn(name, F.col("__before") + place).drop("__part", "__at", "__before", *[f"__of_{c}" for c in within])
 
 
-def in_blocks(rows: DataFrame, size: int, reach: int, name: str = "n") -> DataFrame:
-    """Numbered ``rows`` in blocks of ``size``, each with the ``reach`` rows before it as well; ``__own`` tells which are the block's."""
-    block = F.floor((F.col(name) - 1) / size)
-    late = F.pmod(F.col(name) - 1, F.lit(size)) >= size - reach
-    copies = F.when(late, F.array(F.struct(block.alias("__block"), F.lit(True).alias("__own")), F.struct((block + 1).alias("__block"), F.lit(False).alias("__own")))).otherwise(F.array(F.struct(block.alias("__block"), F.lit(True).alias("__own"))))
-    return rows.select("*", F.inline(copies))
+def in_blocks(rows: DataFrame, size: int, reach: int, name: str = "n", after: bool = False) -> DataFrame:
+    """Numbered ``rows`` in blocks of ``size``, each with the ``reach`` rows before it (or after it) as well; ``__own`` tells which are the
+    block's."""
+    block, place = F.floor((F.col(name) - 1) / size), F.pmod(F.col(name) - 1, F.lit(size))
+    shared = ((block > 0) & (place < reach)) if after else place >= size - reach
+    own = F.struct(block.alias("__block"), F.lit(True).alias("__own"))
+    other = F.struct((block - 1 if after else block + 1).alias("__block"), F.lit(False).alias("__own"))
+    return rows.select("*", F.inline(F.when(shared, F.array(own, other)).otherwise(F.array(own))))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.operators.numbering import numbered
+from textloom.operators import scan
+from textloom.operators.numbering import in_blocks, numbered
 
 MAX_COUNT = 100
 MAX_BYTES = 2 << 20
@@ -27,32 +29,67 @@ def size(line: Column) -> Column:
     return F.octet_length(line)
 
 
-def packed(rows: DataFrame, group: str, order: str, bytes_col: str, max_count: int = MAX_COUNT, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """``rows`` with ``batch``: within a group, in order, a batch is closed when it is full or the next row would not fit.
+def _next_batch(sizes: np.ndarray, own: int, max_count: int, max_bytes: int) -> np.ndarray:
+    """For a batch that begins at each of the first ``own`` rows, the row at which the next one begins."""
+    total = np.concatenate(([0], np.cumsum(sizes)))
+    full = np.searchsorted(total, total[:own] + max_bytes, "right") - 1
+    return np.minimum(full, np.minimum(np.arange(own) + max_count, len(sizes)))
 
-    What fits depends on all before it, so a group is one stream; it is read in Arrow batches and never held. Groups are
-    partitions of the data (documents, or hash buckets of them), not keys that grow with it. A row that is too large by
-    itself has batch -1.
-    """
-    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, number, count, filled = None, 0, 0, 0
-        for batch in batches:
-            out = []
-            for of, n in zip(batch.column(batch.schema.names.index(group)).to_pylist(), batch.column(batch.schema.names.index(bytes_col)).to_pylist()):
-                if out == [] and now is None or of != now:
-                    now, number, count, filled = of, 0, 0, 0
-                if n > max_bytes:
-                    out.append(-1)
-                    continue
-                if count and (count >= max_count or filled + n > max_bytes):
-                    number, count, filled = number + 1, 0, 0
-                count, filled = count + 1, filled + n
-                out.append(number)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "batch"])
+def _block(table: pa.Table) -> tuple[pa.Table, np.ndarray, int]:
+    """(rows of a block by number, their sizes, how many are its own); those of the next block come last."""
+    table = table.take(pa.array(np.argsort(table.column("__n").to_numpy(), kind="stable")))
+    return table, table.column("__bytes").to_numpy().astype(np.int64), int(np.count_nonzero(table.column("__own").to_numpy()))
+
 
-    return rows.repartition(group).sortWithinPartitions(group, order).mapInArrow(deal, schema)
+def packed(
+    rows: DataFrame, group: str, order: str, bytes_col: str, max_count: int = MAX_COUNT, max_bytes: int = MAX_BYTES, bucket: Column | None = None, block: int = 10_000, fan: int = scan.FAN, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """``rows`` with ``batch``: within a group, in order, a batch is closed when it is full or the next row would not fit.
+
+    What fits depends on all before it, but a batch that reaches into a block ends in its first ``max_count`` rows. So for each row of
+    a block the next begin of a batch is searched in the running sum of bytes, begins are followed to the block's end by pointer
+    doubling, from each row at which the block may be entered, and a scan over the blocks tells at which it is. A group of any size is as
+    many tasks as it has blocks, if ``bucket`` (see :func:`numbered`) cuts it into parts; without it, numbering is one task a group.
+    ``keep`` may write the summaries of blocks, a few numbers a row at most, where making them twice is dear.
+
+    A row that is too large by itself has batch -1 and parts nothing; a null size is 0. ``order`` has to be unique within a group.
+    """
+    block = max(block, max_count)
+    size = F.coalesce(F.col(bytes_col), F.lit(0))
+    large = rows.filter(size > max_bytes).withColumn("batch", F.lit(-1).cast("long"))
+    parts = numbered(rows.filter(size <= max_bytes), (group,), (order,), F.lit(0) if bucket is None else bucket, "__n")
+    parts = in_blocks(parts.withColumn("__bytes", size.cast("long")), block, max_count, "__n", after=True)
+    kind = rows.schema[group].dataType.simpleString()
+
+    def summary(key: tuple, table: pa.Table) -> pa.Table:
+        _, sizes, own = _block(table)
+        hop = np.append(_next_batch(sizes, own, max_count, max_bytes), np.arange(own, own + max_count))
+        steps = (np.arange(len(hop)) < own).astype(np.int64)
+        while (hop[:own] < own).any():
+            steps, hop = np.where(hop < own, steps + steps[np.minimum(hop, own)], steps), np.where(hop < own, hop[np.minimum(hop, own)], hop)
+        ways = min(own, max_count)
+        exits, taken = np.zeros(max_count, np.int32), np.zeros(max_count, np.int64)
+        exits[:ways], taken[:ways] = hop[:ways] - own, steps[:ways]
+        return pa.table({"__key": pa.array([key[0].as_py()], table.schema.field(group).type), "__block": pa.array([key[1].as_py()], pa.int64()), "exits": pa.array([exits], pa.list_(pa.int32())), "steps": pa.array([taken], pa.list_(pa.int64()))})
+
+    narrow = parts.select(F.col(group), "__block", "__own", "__n", "__bytes")
+    entered = scan.entries(keep(narrow.groupBy(group, "__block").applyInArrow(summary, f"__key {kind}, __block long, {scan.SUMMARY}")), fan)
+    entered = entered.select(F.col("__key").alias("__of"), F.col("__block").alias("__at"), "enter", "before")
+    names, schema = rows.columns, T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
+
+    def deal(table: pa.Table) -> pa.Table:
+        table, sizes, own = _block(table)
+        following, begins = _next_batch(sizes, own, max_count, max_bytes).tolist(), np.zeros(own, np.int64)
+        at = table.column("enter")[0].as_py()
+        while at < own:
+            begins[at] = 1
+            at = following[at]
+        batch = table.column("before")[0].as_py() + np.cumsum(begins) - 1
+        return table.slice(0, own).select(names).append_column("batch", pa.array(batch, pa.int64()))
+
+    known = parts.join(entered, F.col(group).eqNullSafe(F.col("__of")) & (F.col("__block") == F.col("__at"))).drop("__of", "__at")
+    return known.groupBy(group, "__block").applyInArrow(deal, schema).unionByName(large)
 
 
 def packed_by_count(rows: DataFrame, group: str, order: tuple[str, ...], bucket: Column, max_count: int = MAX_COUNT) -> DataFrame:

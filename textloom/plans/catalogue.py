@@ -445,7 +445,17 @@ s AS (SELECT *, sum(far) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS U
 c AS (SELECT *, row_number() OVER (PARTITION BY user_id, streak ORDER BY ts, event_id) - 1 AS crash_count FROM s)
 SELECT event_id, user_id, crash_count::INT AS crash_count, max(crash_count > 3) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS disabled FROM c""")
 def crash_streaks(t):
-    return metrics.crash_streaks(t("events"), "user_id", gap=21600).select("event_id", "user_id", "crash_count", "disabled")
+    return metrics.crash_streaks(t("events"), "user_id", gap=21600, unit="day").select("event_id", "user_id", "crash_count", "disabled")
+
+
+@_query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < 300000000 THEN 0 ELSE 1 END AS far FROM events WHERE event_type = 'error' WINDOW w AS (ORDER BY ts, event_id)),
+s AS (SELECT *, sum(far) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM g),
+c AS (SELECT *, row_number() OVER (PARTITION BY streak ORDER BY ts, event_id) - 1 AS crash_count FROM s)
+SELECT event_id, crash_count::INT AS crash_count, max(crash_count > 3) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS disabled FROM c""")
+def crash_streaks_of_all(t):
+    """Errors of all users as the crashes of one worker: one key with all rows."""
+    errors = t("events").filter(F.col("event_type") == "error").withColumn("worker", F.lit("w"))
+    return metrics.crash_streaks(errors, "worker", gap=300, block=100).select("event_id", "crash_count", "disabled")
 
 
 @_query("SELECT event_id, n::INT AS n FROM (SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events) WHERE n <= 10 OR n % 50 = 0")
@@ -514,6 +524,20 @@ def bulk_pack(t):
     return packing.packed(_pages_as_actions(t), "group", "page_id", "bytes", 10, 900).select("page_id", "batch")
 
 
+@_query(f"""
+WITH RECURSIVE a AS (SELECT page_id, row_number() OVER (ORDER BY page_id) AS i, strlen({_ACTION}) AS n FROM pages),
+b AS (
+  SELECT page_id, i, 0 AS batch, 1 AS c, n AS used FROM a WHERE i = 1
+  UNION ALL SELECT a.page_id, a.i, CASE WHEN c >= 10 OR used + n > 900 THEN batch + 1 ELSE batch END, CASE WHEN c >= 10 OR used + n > 900 THEN 1 ELSE c + 1 END, CASE WHEN c >= 10 OR used + n > 900 THEN n ELSE used + n END
+  FROM b JOIN a ON a.i = b.i + 1
+)
+SELECT page_id, batch::BIGINT AS batch FROM b""")
+def bulk_pack_stream(t):
+    """All pages as one stream of requests, in blocks of a hundred."""
+    rows = _pages_as_actions(t).withColumn("stream", F.lit("pages"))
+    return packing.packed(rows, "stream", "page_id", "bytes", 10, 900, F.floor(F.col("page_id") / 1000), block=100).select("page_id", "batch")
+
+
 @_query("SELECT doc_id, ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 100)::BIGINT AS batch FROM documents")
 def bulk_pack_count(t):
     return packing.packed_by_count(t("documents"), "source", ("doc_id",), F.floor(F.col("doc_id") / 10_000)).select("doc_id", "batch")
