@@ -7,14 +7,16 @@ import random
 import sqlite3
 import time
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import discovery, embedding, indexes, metrics, packing
+from textloom.operators import attempts, discovery, embedding, indexes, metrics, packing
 from textloom.operators.numbering import numbered
 from textloom.plans.ingestion import Ingestion, convert
 from textloom.sources import files, metadata, parsers, sinks
-from textloom.streaming import ingest
+from textloom.streaming import ingest, stateful
 
 DOC = "# 标题\nThis is the text of the first section.\n## Results\nMore text. Even more text。\n# References\n[1] A first entry. [2] A second.\n"
 
@@ -40,7 +42,7 @@ def test_run_twice_and_resume(spark, tmp_path):
     job = Ingestion(str(tmp_path / "in"), str(out), parser=parser)
     row = job.run(spark, meta(spark)).first()
     assert (row.success, row.parse_failures, row.index_failures) == (1, 2, 0)
-    assert (row.discovered, row.skipped, row.submitted, row.retried) == (4, 1, 3, 0)
+    assert (row.discovered, row.skipped, row.submitted, row.retried, row.parsed) == (4, 1, 3, 0, 2)
     assert row.counts.asDict() == {"title": 1, "abstract": 0, "keyword": 1, "fulltext": 1, "paragraph": 2, "sentence": 3, "reference": 2}
     index = sinks.read_index(spark, f"{out}/index")
     names = {r.index_name: r["count"] for r in index.groupBy("index_name").count().collect()}
@@ -185,13 +187,80 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     for _ in range(2):
         query = ingest.ingest(spark, job, meta(spark), str(tmp_path / "cp"), 2)
         query.awaitTermination()
+    row = job.finish(spark).first()
+    assert (row.success, row.parse_failures) == (3, 0)
     status = files.status_log(spark, str(tmp_path / "out" / "status"))
     assert sorted(r.lngid for r in status.collect()) == ["0", "1", "2"]
 
 
+def streamed(spark, data, tmp_path, parts=6):
+    """The events as a stream of files in the order of time, one file a batch."""
+    events = spark.read.parquet(f"{data}/events.parquet").toPandas().sort_values(["ts", "event_id"])
+    folder, size = tmp_path / "log", len(events) // parts + 1
+    folder.mkdir()
+    for k in range(parts):
+        path = str(folder / f"{k}.parquet")
+        pq.write_table(pa.Table.from_pandas(events.iloc[k * size : (k + 1) * size], preserve_index=False).set_column(0, "event_id", pa.array(events.event_id.iloc[k * size : (k + 1) * size])), path, coerce_timestamps="us")
+        os.utime(path, (1e9 + k, 1e9 + k))
+    return spark.readStream.schema(spark.read.parquet(f"{data}/events.parquet").schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def drained(rows, name, mode, tmp_path):
+    query = rows.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / f"cp-{name}")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return rows.sparkSession.table(name)
+
+
+def test_streamed_outcomes_are_those_of_the_log(spark, data, tmp_path):
+    events, limit = spark.read.parquet(f"{data}/events.parquet"), 40_000.0
+    begins, ends = F.col("event_type") == "click", F.col("event_type").isin("purchase", "error")
+    told = stateful.outcomes(streamed(spark, data, tmp_path), "user_id", begins, ends, limit)
+    stream = {(r.key, r.event_id, r.ts, r.outcome, round(r.seconds, 6)) for r in drained(told, "outcomes", "append", tmp_path).collect()}
+    batch = attempts.outcomes(events, "user_id", begins, ends, limit).collect()
+    assert len(batch) == events.filter(begins).count() and {r.outcome for r in batch} >= {"ended", "restarted", "timeout"}
+    assert stream == {(str(r.user_id), r.event_id, r.ts, r.outcome, round(r.seconds, 6)) for r in batch if r.outcome != "open"}
+
+
+def test_outcomes_of_attempts(spark):
+    t = datetime.datetime(2024, 1, 1)
+    log = [("a", 0, "b"), ("a", 5, "x"), ("a", 10, "e"), ("a", 20, "b"), ("a", 30, "b"), ("a", 91, "e"), ("a", 92, "e"), ("b", 80, "b"), (None, 1, "b"), (None, 61, "e"), ("c", 40, "b"), ("d", 3, "e"), ("d", 100, None)]
+    rows = spark.createDataFrame([(w, k, t + datetime.timedelta(seconds=s), x) for k, (w, s, x) in enumerate(log)], "w string, event_id int, ts timestamp_ntz, kind string").repartition(3)
+    for block in (1, 2, 1000):
+        told = {(r.w, r.event_id): (r.outcome, r.seconds) for r in attempts.outcomes(rows, "w", F.col("kind") == "b", F.col("kind") == "e", 60, block=block).collect()}
+        assert told == {("a", 0): ("ended", 10), ("a", 3): ("restarted", 10), ("a", 4): ("timeout", 60), ("b", 7): ("open", None), (None, 8): ("ended", 60), ("c", 10): ("open", None)}
+    late = attempts.outcomes(rows, "w", F.col("kind") == "b", F.col("kind") == "e", 60, until=F.lit(t + datetime.timedelta(seconds=141)).cast("timestamp_ntz"))
+    assert {r.w: r.outcome for r in late.collect() if r.event_id > 6 and r.w} == {"b": "timeout", "c": "timeout"}
+    assert attempts.outcomes(rows.limit(0), "w", F.col("kind") == "b", F.col("kind") == "e", 60).count() == 0
+
+
+def test_streamed_rates_over_batches(spark, data, tmp_path):
+    rows = drained(stateful.recent_rates(streamed(spark, data, tmp_path), recent=7), "rates_of_batches", "update", tmp_path).collect()
+    events = spark.read.parquet(f"{data}/events.parquet")
+    ends = {r.event_type: round(r.rate, 4) for r in metrics.moving_rate(events, "event_type", recent=7).orderBy("ts", "event_id").collect()}
+    last = {r.key: (r.n, round(r.rate, 4)) for r in sorted(rows, key=lambda r: r.n)}
+    assert last == {r.event_type: (r.n, ends[r.event_type]) for r in events.groupBy("event_type").agg(F.count("*").alias("n")).collect()}
+
+
+def test_stream_begins_each_id_once(spark, tmp_path):
+    """Copies of an id in one batch and in a later one; ids that an earlier run has done, given up, or failed once."""
+    (tmp_path / "in" / "b").mkdir(parents=True)
+    for k, name in enumerate(["b/1.pdf", "temp_ab_1.pdf", "1.pdf", "2.pdf", "3.pdf", "4.pdf", "b/2.pdf"]):
+        (tmp_path / "in" / name).write_text(DOC)
+        os.utime(tmp_path / "in" / name, (1e9 + k, 1e9 + k))
+    job = Ingestion(str(tmp_path / "in"), str(tmp_path / "out"), parser=parser)
+    t = datetime.datetime(2024, 1, 1)
+    log = [("2", "success", None, 1, None, "x", t), ("3", "failure", "parse", 2, "no", "x", t), ("4", "failure", "parse", 1, "no", "x", t)]
+    sinks.append_status(spark.createDataFrame(log, files.STATUS), job.at("status"))
+    ingest.ingest(spark, job, meta(spark), str(tmp_path / "cp"), 2).awaitTermination()
+    tasks = [(r.lngid, os.path.basename(r.path), r.attempt) for r in spark.read.parquet(f"{tmp_path}/out/tasks").collect()]
+    assert sorted(tasks) == [("1", "1.pdf", 1), ("4", "4.pdf", 2)] and any(r.path.endswith("b/1.pdf") for r in spark.read.parquet(f"{tmp_path}/out/tasks").collect())
+    row = job.finish(spark).first()
+    assert (row.success, row.parse_failures, row.retries) == (3, 2, 2)
+
+
 def test_streamed_rates(spark, data):
     schema = spark.read.parquet(f"{data}/events.parquet").schema
-    stream = ingest.recent_rates(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(data))
+    stream = stateful.recent_rates(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(data))
     query = stream.writeStream.format("memory").queryName("rates").outputMode("update").trigger(availableNow=True).start()
     query.awaitTermination()
     events = spark.read.parquet(f"{data}/events.parquet")
@@ -274,6 +343,33 @@ def test_crash_streaks_over_blocks(spark):
         assert {(r.w, r.event_id): (r.crash_count, r.disabled) for r in metrics.crash_streaks(df, "w", block=block).collect()} == seen
 
 
+def test_learned_batch_is_known_to_the_next_job(spark):
+    sizes = spark.sparkContext.accumulator(0)
+
+    def model(texts):
+        sizes.add(1)
+        if len(texts) > 20:
+            raise RuntimeError("413")
+        if "bad" in texts and len(texts) == 1:
+            raise RuntimeError("refused")
+        return embedding.hashed(texts)
+
+    rows = spark.createDataFrame([(k, "bad" if k == 3 else f"t{k}") for k in range(256)], "k int, text string").repartition(2)
+    learned = embedding.Learned(spark)
+    assert learned.value == 64
+    embedding.embedded(rows, model, learned=learned).write.format("noop").mode("overwrite").save()
+    assert learned.value == 16
+    sizes.value = 0
+    out = embedding.embedded(rows, model, learned=learned)
+    out.write.format("noop").mode("overwrite").save()
+    assert sizes.value == 16 and learned.value == 16  # no batch is refused any more
+
+
+def test_parsed_by_device(spark):
+    rows = spark.createDataFrame([("a", b"x"), ("b", b"broken"), ("c", b"y")], "path string, content binary")
+    assert [tuple(r) for r in metrics.parsed_by_device(files.parsed(rows, parser)).collect()] == [("cpu", 2)]
+
+
 def test_slots_and_arguments():
     assert discovery.slots_of("0,1", "2,1") == [0, 0, 1] and discovery.slots_of("0,1", "2") == [0, 0, 1, 1]
     for bad in (("0,0", "1"), ("", "1"), ("0,1", "1,2,3"), ("0", "0")):

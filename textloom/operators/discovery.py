@@ -79,6 +79,21 @@ def tasks(files: DataFrame, status: DataFrame, max_attempts: int = MAX_ATTEMPTS,
     return rows.orderBy("path").limit(limit) if limit > 0 else rows
 
 
+def marked(found: DataFrame, status: DataFrame, max_attempts: int = MAX_ATTEMPTS, limit: int = 0) -> DataFrame:
+    """(path, lngid, key, attempt, files, todo): a row for each id that was found, with the number of its files and whether it is to be done:
+    what :func:`tasks` gives, beside what it leaves out."""
+    rows = found.groupBy("lngid").agg(F.min_by(F.struct("path", "key"), "path").alias("__first"), F.count(F.lit(1)).alias("files"))
+    known = status.select(F.col("lngid").alias("__id"), "status", F.coalesce("attempt", F.lit(0)).alias("__spent"), F.coalesce("attempt", F.lit(1)).alias("__before"))
+    rows = rows.join(known, F.col("lngid") == F.col("__id"), "left")
+    failed = F.coalesce(F.col("status") == FAILURE, F.lit(False))
+    over = F.coalesce(F.col("status") == SUCCESS, F.lit(False)) | (failed & (F.col("__spent") >= max_attempts))
+    rows = rows.select("__first.path", "lngid", "__first.key", (F.when(failed, F.col("__before")).otherwise(0) + 1).cast("int").alias("attempt"), "files", (~over).alias("todo"))
+    if limit > 0:
+        first = rows.filter("todo").orderBy("path").limit(limit).select(F.col("lngid").alias("__id"), F.lit(True).alias("__in"))
+        rows = rows.join(first, F.col("lngid") == F.col("__id"), "left").withColumn("todo", F.coalesce("__in", F.lit(False))).drop("__id", "__in")
+    return rows
+
+
 def in_turn(rows: DataFrame, slots: int, order: str, bucket: Column, within: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with ``slot``, dealt out in turn. Spark deals out tasks itself; this is for devices that have to be named."""
     return numbered(rows, within, (order,), bucket, "__n").withColumn("slot", ((F.col("__n") - 1) % slots).cast("int")).drop("__n")

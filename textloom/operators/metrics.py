@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from textloom.operators.numbering import in_blocks, numbered
@@ -70,6 +70,44 @@ def progress(rows: DataFrame, order: tuple[str, ...], every: int, bucket: Column
     return rows.filter((F.col("n") <= first) | (F.col("n") % every == 0))
 
 
+#: What the writes of a run count: ids and files as :func:`textloom.operators.discovery.marked` tells them, and parsed files.
+DISCOVERY = {
+    "discovered": lambda: F.sum("files"), "skipped": lambda: F.sum(F.col("files") - F.col("todo").cast("long")), "submitted": lambda: F.count_if("todo"),
+    "retried": lambda: F.count_if(F.col("todo") & (F.col("attempt") > 1)),
+}
+PARSING = {"parsed": lambda: F.count_if(F.col("error").isNull())}
+
+
+def indexing(indexes: list[str]) -> dict:
+    """The documents of each index that have a vector."""
+    return {i: lambda i=i: F.count_if((F.col("index_name") == i) & (F.size("vector") > 0)) for i in indexes}
+
+
+class Observed:
+    """Counters of a run, observed by the writes themselves: nothing is read a second time to be counted."""
+
+    def __init__(self):
+        self._seen: list[Observation] = []
+
+    def counting(self, rows: DataFrame, what: dict) -> DataFrame:
+        """``rows``, whose next action tells the counters. The action has to take ``rows`` as they are."""
+        self._seen.append(Observation())
+        return rows.observe(self._seen[-1], *[F.coalesce(make(), F.lit(0)).cast("long").alias(name) for name, make in what.items()])
+
+    def totals(self) -> dict[str, int]:
+        """Of all that was written, summed up by name."""
+        told: dict[str, int] = {}
+        for one in self._seen:
+            for name, n in one.get.items():
+                told[name] = told.get(name, 0) + n
+        return told
+
+
+def parsed_by_device(parsed: DataFrame) -> DataFrame:
+    """(device, parsed): the files that each device has parsed."""
+    return parsed.filter(F.col("error").isNull()).groupBy("device").agg(F.count(F.lit(1)).alias("parsed"))
+
+
 def run_counters(found: DataFrame, todo: DataFrame) -> DataFrame:
     """One row of what discovery made of the files: those with an id, those skipped as done, given up or not first of their id, those
     to be done and those of them that failed before."""

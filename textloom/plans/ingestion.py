@@ -18,7 +18,8 @@ class Ingestion:
     """input: folder of files; output: folder for the tables tasks, parsed, chunks, made, index, bulk, status, errors, failed and summary.
 
     parser: bytes to Markdown, at most ``timeout`` seconds a file (0: no limit); model: texts to vectors; send: the body of a bulk
-    request to its answer, if the documents are to go to a search service as well, under ``prefix`` and the index's name.
+    request to its answer, if the documents are to go to a search service as well, under ``prefix`` and the index's name. learned: the
+    size of batches that the model takes, kept from run to run.
     """
 
     input: str
@@ -33,6 +34,7 @@ class Ingestion:
     timeout: float = 600
     files_at_once: int = 20_000
     fragment_size: int = X.MAX_FRAGMENT
+    learned: embedding.Learned | None = None
 
     def __post_init__(self):
         for name in ("max_attempts", "files_at_once", "fragment_size"):
@@ -62,29 +64,45 @@ class Ingestion:
         rows.write.mode(mode).parquet(where)
         return spark.read.schema(rows.schema).parquet(where)
 
-    def run(self, spark: SparkSession, meta: DataFrame, version: int | None = None, some: DataFrame | None = None) -> DataFrame:
-        """One run; the summary of all records so far, with the counters of this run. ``some``: (path, content) instead of what is in
-        the input folder. ``version``: one more than the last, unless told; the same one again replaces what it wrote."""
+    def run(self, spark: SparkSession, meta: DataFrame, version: int | None = None, todo: DataFrame | None = None) -> DataFrame | None:
+        """One run; the summary of all records so far, with the counters of this run, which the writes observe as they go.
+
+        ``todo``: (path, lngid, key, attempt), told by a stream, instead of what is in the input folder; then nothing is summed up, see
+        :meth:`finish`. ``version``: one more than the last, unless told; the same one again replaces what it wrote.
+        """
         if version is None:
             version = (self._there(spark, lambda: spark.read.parquet(self.at("tasks")), "version int").agg(F.max("version")).first()[0] or 0) + 1
-        found = discovery.identified(some.select("path") if some is not None else files.paths(spark, self.input, self.pattern), root=self.input)
-        todo = self._written(spark, discovery.tasks(found, self.status(spark), self.max_attempts, self.limit, self.input), "tasks", version)
-        mode, parsed = "overwrite", None
-        for content in [some] if some is not None else files.contents(spark, todo, self.files_at_once):
-            parsed, mode = self._written(spark, files.parsed(content.join(todo, "path"), self.parser, self.timeout), "parsed", version, mode), "append"
+        streamed, seen = todo is not None, metrics.Observed()
+        if streamed:
+            marked = todo.withColumns({"files": F.lit(1).cast("long"), "todo": F.lit(True)})
+        else:
+            found = discovery.identified(files.paths(spark, self.input, self.pattern), root=self.input)
+            marked = discovery.marked(found, self.status(spark), self.max_attempts, self.limit)
+        marked = self._written(spark, seen.counting(marked, metrics.DISCOVERY), "tasks", version)
+        todo, mode, parsed = marked.filter("todo").select("path", "lngid", "key", "attempt"), "overwrite", None
+        for content in files.contents(spark, todo, self.files_at_once):
+            told = files.parsed(content, self.parser, self.timeout)
+            parsed, mode = self._written(spark, seen.counting(told, metrics.PARSING), "parsed", version, mode), "append"
         if parsed is None:
             parsed = self._written(spark, files.parsed(todo.withColumn("content", F.lit(b"")), self.parser), "parsed", version)
         chunks = self._written(spark, structure.chunks(parsed.filter("error IS NULL"), "lngid", "markdown"), "chunks", version)
-        made = self._written(spark, indexes.documents(chunks, meta, self.model, self.fragment_size), "made", version)
+        made = indexes.documents(chunks, meta, self.model, self.fragment_size, self.learned)
+        made = self._written(spark, seen.counting(made, metrics.indexing(indexes.INDEXES)), "made", version)
         sinks.write_index(indexes.with_vector(made).drop("vector_error"), self.at("index"), version)
         bulk = None
         if self.send:
             bulk = self._written(spark, packing.sent(indexes.actions(made, self.prefix), self.send), "bulk", version)
         self._tell(spark, parsed, made, bulk)
-        counters = metrics.run_counters(found, todo).first().asDict()  # one row, and one for each of the seven indexes
-        totals = {r.index_name: r.documents for r in metrics.index_totals(indexes.with_vector(made)).collect()}
-        summary = metrics.run_summary(files.status_log(spark, self.at("status"))).withColumns({c: F.lit(n) for c, n in counters.items()})
-        summary = summary.withColumn("counts", F.struct(*[F.lit(totals.get(i, 0)).alias(i) for i in indexes.INDEXES]))
+        return None if streamed else self.finish(spark, seen.totals())
+
+    def finish(self, spark: SparkSession, counted: dict[str, int] | None = None) -> DataFrame:
+        """The list of failed files and the summary of all records so far, with what a run has ``counted``; both are written."""
+        log = files.status_log(spark, self.at("status"))
+        sinks.write_failed(discovery.last_status(log).filter(F.col("status") == discovery.FAILURE), self.at("failed"))
+        counted = counted or {}
+        summary = metrics.run_summary(log).withColumns({c: F.lit(counted.get(c, 0)).cast("long") for c in ("discovered", "skipped", "submitted", "retried", "parsed")})
+        summary = summary.withColumn("counts", F.struct(*[F.lit(counted.get(i, 0)).cast("long").alias(i) for i in indexes.INDEXES]))
+        summary = summary.withColumn("safe_batch", F.lit(self.learned.value if self.learned else None).cast("int"))
         sinks.write_summary(summary, self.at("summary"))
         return spark.read.schema(summary.schema).json(self.at("summary"))
 
@@ -100,7 +118,6 @@ class Ingestion:
         log = told.select("lngid", F.when(stage.isNull(), discovery.SUCCESS).otherwise(discovery.FAILURE).alias("status"), stage.alias("stage"), "attempt", error.alias("error"), F.col("path").alias("pdf_path"), F.localtimestamp().alias("timestamp"), F.coalesce("traceback", error).alias("traceback"))
         sinks.append_errors(log, self.at("errors"))
         sinks.append_status(log.drop("traceback"), self.at("status"))
-        sinks.write_failed(discovery.last_status(files.status_log(spark, self.at("status"))).filter(F.col("status") == discovery.FAILURE), self.at("failed"))
 
 
 def convert(spark: SparkSession, folder: str, output: str, parser: Callable[[bytes], parsers.Output], pattern: str = "*.pdf", timeout: float = 0, resume: bool = True, files_at_once: int = 20_000) -> DataFrame:
@@ -123,7 +140,7 @@ def convert(spark: SparkSession, folder: str, output: str, parser: Callable[[byt
     told = f"{output.rstrip('/')}/parsed"
     files.parsed(todo.limit(0).withColumn("content", F.lit(b"")), parser).write.mode("overwrite").parquet(told)
     for content in files.contents(spark, todo, files_at_once):
-        files.parsed(content.join(todo, "path"), parser, timeout).write.mode("append").parquet(told)
+        files.parsed(content, parser, timeout).write.mode("append").parquet(told)
     parsed = spark.read.parquet(told)
     sinks.write_triple(parsed.filter("error IS NULL"), output)
     sinks.write_failed(parsed.filter("error IS NOT NULL").withColumnRenamed("path", "pdf_path"), f"{output.rstrip('/')}/failed")

@@ -23,15 +23,17 @@ def paths(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame
 
 
 def contents(spark: SparkSession, rows: DataFrame, at_once: int = 20_000) -> Iterator[DataFrame]:
-    """(path, content) of the files of ``rows``, so many at once: no other file is opened. The driver holds the paths of one part."""
+    """``rows`` (path and narrow columns) with ``content``, so many files at once: no other file is opened. The driver holds the rows of one
+    part, which are named to all tasks, so the bytes of files are not shuffled."""
 
-    def read(some: list[str]) -> DataFrame:
-        plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in some]  # names are no patterns
-        return spark.read.format("binaryFile").load(plain).select("path", "content")
+    def read(some: list) -> DataFrame:
+        plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", row.path) for row in some]  # names are no patterns
+        told = F.broadcast(spark.createDataFrame(some, rows.schema))
+        return spark.read.format("binaryFile").load(plain).select("path", "content").join(told, "path")
 
-    part: list[str] = []
-    for row in rows.select("path").toLocalIterator():
-        part.append(row.path)
+    part: list = []
+    for row in rows.toLocalIterator():
+        part.append(row)
         if len(part) == at_once:
             yield read(part)
             part = []
@@ -58,14 +60,16 @@ def as_text(content: bytes) -> str:
 
 
 def parsed(rows: DataFrame, parser: Callable[[bytes], str | parsers.Output], timeout: float = 0) -> DataFrame:
-    """``rows`` with ``markdown``, ``content_list``, ``middle``, ``error`` and ``traceback`` in place of ``content``; a file that the
-    parser fails on or takes over ``timeout`` seconds for (0: no limit), or that has no text, is a row with an error."""
+    """``rows`` with ``markdown``, ``content_list``, ``middle``, ``error``, ``traceback`` and ``device`` in place of ``content``; a file that the
+    parser fails on or takes over ``timeout`` seconds for (0: no limit), or that has no text, is a row with an error. ``device`` is the
+    accelerator that Spark gave to the task, if it gives any."""
     kept = [f for f in rows.schema.fields if f.name != "content"]
-    told = ["markdown", "content_list", "middle", "error", "traceback"]
+    told = ["markdown", "content_list", "middle", "error", "traceback", "device"]
     schema = T.StructType([*kept, *[T.StructField(c, T.StringType()) for c in told]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = parsers.within(timeout, parser) if timeout > 0 else parser
+        device = parsers.device()
         for batch in batches:
             found = []
             for content in batch.column(batch.schema.names.index("content")):
@@ -78,7 +82,7 @@ def parsed(rows: DataFrame, parser: Callable[[bytes], str | parsers.Output], tim
                     found.append((None, None, None, failed.args[0][:500], failed.args[1]))
                 except Exception as failed:
                     found.append((None, None, None, f"{type(failed).__name__}: {failed}"[:500], traceback.format_exc()))
-            columns = list(zip(*found)) or [()] * len(told)
+            columns = [*(list(zip(*found)) or [()] * (len(told) - 1)), [device] * len(found)]
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(f.name)) for f in kept], *[pa.array(c, pa.string()) for c in columns]], names=schema.names)
 
     return rows.mapInArrow(work, schema)

@@ -13,6 +13,8 @@ import traceback
 from collections.abc import Callable
 from typing import Any, NamedTuple
 
+from pyspark import TaskContext
+
 PIPELINE = "pipeline"
 MARKDOWN, CONTENT_LIST = "mm_markdown", "content_list"
 
@@ -71,6 +73,13 @@ def choose(backend: str, pipeline: Callable[[bytes], Output], model: Callable[[s
     return pipeline if backend == PIPELINE else model(backend)
 
 
+def device() -> str:
+    """The accelerators of the running task, as kind:addresses; "cpu" where Spark gives it none."""
+    task = TaskContext.get()
+    given = {kind: ",".join(x.addresses) for kind, x in (task.resources() if task else {}).items()}
+    return ";".join(f"{kind}:{given[kind]}" for kind in sorted(given)) or "cpu"
+
+
 def _answer(parser: Callable, content: bytes, pipe) -> None:
     try:
         pipe.send((True, parser(content)))

@@ -1,45 +1,27 @@
-"""Streams: files as they arrive, and rates over the last events of a key."""
+"""The ingestion as a stream of files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from textloom.operators.metrics import RECENT
+from textloom.operators import discovery
 from textloom.plans.ingestion import Ingestion
+from textloom.streaming import stateful
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def ingest(spark: SparkSession, job: Ingestion, meta: DataFrame, checkpoint: str, files_per_batch: int = 64) -> StreamingQuery:
     """All files that are there and were not read before, in batches; each batch is one run of the job, and a batch that is run
-    again after a failure writes the same versions again."""
+    again after a failure writes the same versions again.
+
+    The stream is of paths: the state knows the ids that were begun, from the status log at the stream's start and from its own batches,
+    and only files that are to be done are opened. ``job.finish`` sums up the log once the stream is done.
+    """
     arriving = (
-        spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", job.pattern).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(job.input).select("path", "content")
+        spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", job.pattern).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(job.input).select("path")
     )
-    return arriving.writeStream.foreachBatch(lambda batch, number: job.run(spark, meta, number, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def recent_rates(events: DataFrame, key: str = "event_type", ts: str = "ts", recent: int = RECENT) -> DataFrame:
-    """(key, n, rate): after each batch the completions an hour over the last ``recent`` events of the keys in it. The state of a
-    key is so many times at most."""
-
-    def update(at: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times = list(state.get[0]) if state.exists else []
-        n = state.get[1] if state.exists else 0
-        for batch in batches:
-            n += len(batch)
-            times = sorted([*times, *batch["micros"].tolist()])[-recent:]
-        state.update((times, n))
-        span = (times[-1] - times[0]) / 1e6 if len(times) > 1 else 0
-        yield pd.DataFrame({"key": [at[0]], "n": [n], "rate": [(len(times) - 1) / span * 3600 if span > 0 else 0.0]})
-
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
-    rows = events.select(F.col(key).cast("string").alias("key"), micros.alias("micros"))
-    return rows.groupBy("key").applyInPandasWithState(update, "key string, n long, rate double", "times array<long>, n long", "update", GroupStateTimeout.NoTimeout)
-
+    todo = stateful.begun_once(discovery.identified(arriving, root=job.input), job.status(spark), job.max_attempts)
+    return todo.writeStream.foreachBatch(lambda batch, number: job.run(spark, meta, number, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
