@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from textloom.operators import attempts, discovery, embedding, indexes, metrics, packing
 from textloom.operators.numbering import numbered
 from textloom.plans.ingestion import Ingestion, convert
-from textloom.sources import files, metadata, parsers, sinks
+from textloom.sources import bulk, files, metadata, parsers, sinks, upserts
 from textloom.streaming import ingest, stateful
 
 DOC = "# 标题\nThis is the text of the first section.\n## Results\nMore text. Even more text。\n# References\n[1] A first entry. [2] A second.\n"
@@ -343,6 +343,92 @@ def test_crash_streaks_over_blocks(spark):
         assert {(r.w, r.event_id): (r.crash_count, r.disabled) for r in metrics.crash_streaks(df, "w", block=block).collect()} == seen
 
 
+def test_upserts_and_compaction(spark, tmp_path):
+    random.seed(2)
+    table, truth = upserts.Upserts(str(tmp_path / "index"), 4), {}
+
+    def write(version, n):
+        mine = {(random.choice(["title", "sentence"]), f"d{random.randrange(40)}"): f"{version}" for _ in range(n)}
+        truth.update(mine)
+        table.write(spark.createDataFrame([(i, k, v, [float(version)]) for (i, k), v in mine.items()], "index_name string, _id string, text string, vector array<float>"), version)
+
+    def same():
+        rows = table.read(spark)
+        assert set(rows.columns) == {"index_name", "_id", "text", "vector"}
+        assert {(r.index_name, r._id): r.text for r in rows.collect()} == truth and rows.count() == len(truth)
+
+    with pytest.raises(FileNotFoundError):
+        table.read(spark)
+    for version in (0, 1, 2):
+        write(version, 20)
+    same()
+    assert table.compact(spark) == 1 and table.compact(spark) == 1  # nothing to merge the second time
+    same()
+    write(3, 1)  # one bucket
+    same()
+    assert table.compact(spark) == 2
+    same()
+    held = table._held(spark)[2]
+    assert sorted(held.values()).count(2) == 1 and 1 in held.values()
+    write(4, 30)
+    assert set(table.vacuum(spark)) == {"version=0", "version=1", "version=2", "version=3", "_manifest/generation=1"}
+    same()
+    (tmp_path / "index" / "_base" / "generation=3").mkdir()  # a merge that was cut off
+    same()
+    assert table.compact(spark) == 3
+    table.vacuum(spark)
+    same()
+
+
+def test_bulk_sink(spark, tmp_path):
+    seen = tmp_path / "requests"
+    seen.mkdir()
+
+    def send(body: bytes) -> dict:
+        ids = [json.loads(x)["index"]["_id"] for x in body.decode().splitlines()[::2]]
+        if "down" in ids:
+            raise OSError("reset")
+        (seen / f"{ids[0]}-{len(ids)}").write_text("")
+        return {"took": 3, "errors": True, "items": [{"index": {"_id": x, **({"error": "no"} if x.endswith("9") else {})}} for x in ids]}
+
+    def lines(ids):
+        rows = spark.createDataFrame([(x,) for x in ids], "_id string")
+        return rows.select("_id", packing.ndjson(F.lit("title"), F.col("_id"), F.struct(F.lit("x").alias("text"))).alias("line"))
+
+    spark.dataSource.register(bulk.sink(send, "bulk", max_count=10))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        lines([f"d{k}" for k in range(95)]).coalesce(1).write.format("bulk").mode("append").option("log", str(tmp_path / "log")).save()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    told = json.loads("".join(f.read_text() for f in (tmp_path / "log").glob("*.json")))
+    assert sorted(int(f.name.split("-")[1]) for f in seen.iterdir()) == [5] + [10] * 9  # batches of 7 rows part no request
+    assert (told["state"], told["took"], told["errors"], told["items"], told["failed"], told["more"]) == ("committed", 30, True, 95, 9, 4)
+    assert told["first_failed"] == [["d19", "no"], ["d29", "no"], ["d39", "no"], ["d49", "no"], ["d59", "no"]]
+    lines(["a", "down"]).coalesce(1).write.format("bulk").mode("append").option("log", str(tmp_path / "refused")).save()
+    told = json.loads("".join(f.read_text() for f in (tmp_path / "refused").glob("*.json")))
+    assert (told["items"], told["failed"], told["first_failed"]) == (2, 1, [["down", "OSError: reset"]])  # halved, so "a" went through
+    # a write that fails as a whole
+    broken = lines(["b", "c"]).withColumn("line", F.when(F.col("_id") == "c", F.raise_error(F.lit("lost"))).otherwise(F.col("line")))
+    with pytest.raises(Exception, match="lost"):
+        broken.coalesce(1).write.format("bulk").mode("append").option("log", str(tmp_path / "aborted")).save()
+    assert json.loads("".join(f.read_text() for f in (tmp_path / "aborted").glob("*.json")))["state"] == "aborted"
+
+
+def test_bulk_sink_of_a_stream(spark, tmp_path):
+    def send(body: bytes) -> dict:
+        return {"took": 1, "items": [{"index": {}} for _ in body.splitlines()[::2]]}
+
+    (tmp_path / "in").mkdir()
+    for k in range(2):
+        (tmp_path / "in" / f"{k}.json").write_text("".join(json.dumps({"_id": f"{k}-{j}", "line": f"{{}}\n{{}}\n"}) + "\n" for j in range(3)))
+    spark.dataSource.register(bulk.sink(send, "bulk_stream"))
+    rows = spark.readStream.schema("_id string, line string").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    rows.writeStream.format("bulk_stream").option("log", str(tmp_path / "log")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    told = [json.loads(f.read_text()) for f in (tmp_path / "log").glob("*.json")]
+    assert sorted((x["batch"], x["items"], x["state"]) for x in told) == [(0, 3, "committed"), (1, 3, "committed")]
+
+
 def test_learned_batch_is_known_to_the_next_job(spark):
     sizes = spark.sparkContext.accumulator(0)
 

@@ -6,6 +6,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from textloom.functions import text as X
 from textloom.operators import fragments, structure
 
@@ -148,3 +150,15 @@ def test_keys(spark):
     assert {r.path: r.k for r in df.select("path", X.file_key(df["path"]).alias("k")).collect()} == names
     key = df.select("path", X.task_key(df["path"], "/d").alias("k")).collect()
     assert {r.path: r.k for r in key} == {n: hashlib.sha256(n.removeprefix("/d/").encode()).hexdigest()[:20] for n in names}
+
+
+def test_strict_references_and_blank_lines(spark):
+    refs = "[1] A. Title[J]. X, 2001.\n[2] B. As in [1] and [9]; Book[M].\n[4] C.\nmore of C [3].\n\n[5] D（责任编辑：E）"
+    text = f"# Body\nfirst line of text\nsecond line\n\n \nanother paragraph\n\nshort\n# References\n{refs}\n# 参考文献\n[1] one [2] two[J] [2] [3] three"
+    docs = spark.createDataFrame([("d", text), ("n", None), ("e", "")], "doc string, markdown string")
+    rows = structure.chunks(docs, strict_refs=True, paragraphs="blank_line").orderBy("chunk_seq").collect()
+    assert [r.text for r in rows] == ["first line of text second line", "another paragraph", "[1] A. Title[J]. X, 2001.", "[2] B. As in [1] and [9]; Book[M].", "[4] C. more of C [3].", "[5] D", "[1] one", "[2] two[J] [2]", "[3] three"]
+    plain = structure.chunks(docs).orderBy("chunk_seq").collect()
+    assert plain[0].text == "first line of text second line another paragraph short" and not any("[J]" in r.text for r in plain)
+    with pytest.raises(ValueError):
+        structure.chunks(docs, paragraphs="page")

@@ -57,9 +57,11 @@ def texts_to_embed(chunks: DataFrame, meta: DataFrame, size: int = X.MAX_FRAGMEN
     return with_meta(out, meta, "doc").withColumn("delete_flag", F.lit(0)).withColumnRenamed("doc", "file_id")
 
 
-def documents(chunks: DataFrame, meta: DataFrame, model: Callable = embedding.hashed, size: int = X.MAX_FRAGMENT, learned: embedding.Learned | None = None) -> DataFrame:
-    """The rows of :func:`texts_to_embed` that have a vector; those that have none are the failed ones, see ``vector_error``."""
-    return embedding.embedded(texts_to_embed(chunks, meta, size), model, learned=learned)
+def documents(chunks: DataFrame, meta: DataFrame, model: Callable = embedding.hashed, size: int = X.MAX_FRAGMENT, learned: embedding.Learned | None = None, only: str | None = None) -> DataFrame:
+    """The rows of :func:`texts_to_embed`, ``only`` of one index if told, with their vectors; those that have none are the failed ones, see
+    ``vector_error``. Texts of other indexes are neither made nor given to the model."""
+    texts = texts_to_embed(chunks, meta, size)
+    return embedding.embedded(texts if only is None else texts.filter(F.col("index_name") == only), model, learned=learned)
 
 
 def with_vector(rows: DataFrame) -> DataFrame:

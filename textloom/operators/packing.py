@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from textloom.operators import scan
 from textloom.operators.numbering import in_blocks, numbered
 
+#: A request's documents and bytes; how often a refused one is halved, and how small its limit may become.
 MAX_COUNT = 100
 MAX_BYTES = 2 << 20
 MIN_BYTES = 1 << 19
@@ -133,9 +134,32 @@ def deliver(send: Callable[[bytes], dict], lines: list[bytes], max_bytes: float,
     return told.get("took", 0), [str(x["error"])[:500] if x.get("error") else None for x in items]
 
 
+def requests(batches: Iterator[pa.RecordBatch], send: Callable[[bytes], dict], line_col: str, max_count: int = MAX_COUNT, max_bytes: int = MAX_BYTES) -> Iterator[tuple[pa.Table, int, list[str | None]]]:
+    """(rows of a request, milliseconds, an error or null for each) of a task's rows: requests go on over the batches in which rows come, so
+    only the task's last one is not full. A line over the limit is not sent, and is an error."""
+
+    def done(table: pa.Table, some: list[bytes]) -> tuple[pa.Table, int, list[str | None]]:
+        if len(some[0]) > max_bytes:
+            return table, 0, [f"one document of {len(some[0])} bytes is over the limit of {max_bytes}"]
+        return table, *deliver(send, some, max_bytes)
+
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        at, parts = 0, list(_batches([x.encode() for x in table.column(line_col).to_pylist()], max_count, max_bytes))
+        for some in parts[:-1]:
+            yield done(table.slice(at, len(some)), some)
+            at += len(some)
+        rest = table.slice(at)
+    if rest is not None and rest.num_rows:
+        yield done(rest, [x.encode() for x in rest.column(line_col).to_pylist()])
+
+
 def sent(rows: DataFrame, send: Callable[[bytes], dict], line_col: str = "line", max_count: int = MAX_COUNT, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``rows`` without their line, with ``took`` (of the request, at its first row) and ``bulk_error``: each task packs its rows as they
-    come and sends them. Documents have ids, so a task that is run again writes the same ones again.
+    come and sends them. Documents have ids, so a task that is run again writes the same ones again. Where the answer to each
+    document is not needed, see :mod:`textloom.sources.bulk`.
 
     ``send`` takes the body of a request and gives {"took", "errors", "items"}, as bulk interfaces do, or raises.
     """
@@ -143,18 +167,9 @@ def sent(rows: DataFrame, send: Callable[[bytes], dict], line_col: str = "line",
     schema = T.StructType([*kept, T.StructField("took", T.LongType()), T.StructField("bulk_error", T.StringType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            took: list[int] = []
-            errors: list[str | None] = []
-            for some in _batches([x.encode() for x in batch.column(line_col).to_pylist()], max_count, max_bytes):
-                if len(some[0]) > max_bytes:
-                    took.append(0)
-                    errors.append(f"one document of {len(some[0])} bytes is over the limit of {max_bytes}")
-                    continue
-                ms, found = deliver(send, some, max_bytes)
-                took += [ms] + [0] * (len(some) - 1)
-                errors += found
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(took, pa.int64()), pa.array(errors, pa.string())], names=schema.names)
+        for some, ms, errors in requests(batches, send, line_col, max_count, max_bytes):
+            told = some.select([f.name for f in kept]).append_column("took", pa.array([ms] + [0] * (len(errors) - 1), pa.int64())).append_column("bulk_error", pa.array(errors, pa.string()))
+            yield from told.combine_chunks().to_batches()
 
     return rows.mapInArrow(work, schema)
 

@@ -8,8 +8,13 @@ Rows with a null Markdown have no lines; a document without a heading has no sec
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import text as X
 
@@ -117,39 +122,91 @@ def path_of(up: Column) -> Column:
     return F.array_join(F.transform(up, lambda x: x["title"]), " > ")
 
 
-def sections(rows: DataFrame) -> DataFrame:
-    """(doc, pos, level, title, page_num, content, path, up) from :func:`headings`: a row for each heading, its own lines joined."""
+def sections(rows: DataFrame, strict_refs: bool = False, blank_lines: bool = False) -> DataFrame:
+    """(doc, pos, level, title, page_num, content, path, up) from :func:`headings`: a row for each heading, its own lines joined.
+
+    ``strict_refs``: see :func:`strict_entries`. ``blank_lines``: lines that blank ones part are parted by one in the content, too.
+    """
     order = Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("section", F.max(F.when(F.col("level").isNotNull(), F.col("pos"))).over(order)).filter(F.col("section").isNotNull())
     own = F.array_sort(F.collect_list(F.when(F.col("level").isNull(), F.struct("pos", "line"))))
     head = F.first(F.when(F.col("level").isNotNull(), F.struct("level", "title", "page_num")), ignorenulls=True)
-    found = rows.groupBy("doc", "section").agg(head.alias("head"), X.strip(F.array_join(F.transform(own, lambda x: x["line"]), "\n")).alias("content"))
+    found = rows.groupBy("doc", "section").agg(head.alias("head"), own.alias("own"))
+    gap = lambda x, i: F.when((i > 0) & (x["pos"] - F.get("own", i - 1)["pos"] > 1), "\n").otherwise("") if blank_lines else F.lit("")
+    found = found.withColumn("content", X.strip(F.array_join(F.transform("own", lambda x, i: F.concat(gap(x, i), x["line"])), "\n")))
     found = found.select("doc", F.col("section").alias("pos"), "head.level", special_mark(F.col("head.title")).alias("title"), "head.page_num", "content")
-    refs = F.when(F.col("title").contains(REFERENCES) | F.lower("title").contains("references"), reference_entries(F.col("content"))).otherwise(F.array().cast("array<string>"))
+    refs = F.when(F.col("title").contains(REFERENCES) | F.lower("title").contains("references"), (strict_entries if strict_refs else reference_entries)(F.col("content"))).otherwise(F.array().cast("array<string>"))
     found = found.withColumn("entries", refs)
     found = enclosing(found, title=F.col("title"), entries=F.size("entries"))
     return found.withColumn("path", path_of(F.col("up")))
 
 
-def reference_entries(content: Column) -> Column:
-    """The entries [n] of a list of references, one string each. An entry that has a [ in its text is none."""
-    cleaned = F.regexp_replace(F.regexp_replace(content, r"(?U)[（(]上接第[\s\x1c-\x1f]*\d+[\s\x1c-\x1f]*页[）)]", ""), r"(?U)[（(]下转第[\s\x1c-\x1f]*\d+[\s\x1c-\x1f]*页[）)]", "")
-    pattern = r"(?sU)\[(\d+)\][\s\x1c-\x1f]*([^\[]+?)(?=\[\d+\]|$)"
-    both = F.arrays_zip(F.regexp_extract_all(cleaned, F.lit(pattern), F.lit(1)).alias("n"), F.regexp_extract_all(cleaned, F.lit(pattern), F.lit(2)).alias("t"))
+def _without_notes(content: Column) -> Column:
+    """Without what tells that a list goes on from or on another page."""
+    return F.regexp_replace(F.regexp_replace(content, r"(?U)[（(]上接第[\s\x1c-\x1f]*\d+[\s\x1c-\x1f]*页[）)]", ""), r"(?U)[（(]下转第[\s\x1c-\x1f]*\d+[\s\x1c-\x1f]*页[）)]", "")
 
-    def told(x: Column) -> Column:
-        t = F.regexp_replace(F.regexp_replace(X.squeeze(x["t"]), "[（(]责任编辑[：:].*", ""), r"\)\)$", ")")
-        return F.when(t != "", F.concat(F.lit("["), x["n"], F.lit("] "), t))
 
-    return F.filter(F.transform(both, told), lambda x: x.isNotNull())
+def _entry(n: Column, t: Column) -> Column:
+    t = F.regexp_replace(F.regexp_replace(X.squeeze(t), "[（(]责任编辑[：:].*", ""), r"\)\)$", ")")
+    return F.when(t != "", F.concat(F.lit("["), n, F.lit("] "), t))
 
 
-def chunks(docs: DataFrame, doc_col: str = "doc", text_col: str = "markdown") -> DataFrame:
+def reference_entries(content: Column) -> Column:
+    """The entries [n] of a list of references, one string each. An entry that has a [ in its text is none."""
+    cleaned = _without_notes(content)
+    pattern = r"(?sU)\[(\d+)\][\s\x1c-\x1f]*([^\[]+?)(?=\[\d+\]|$)"
+    both = F.arrays_zip(F.regexp_extract_all(cleaned, F.lit(pattern), F.lit(1)).alias("n"), F.regexp_extract_all(cleaned, F.lit(pattern), F.lit(2)).alias("t"))
+    return F.filter(F.transform(both, lambda x: _entry(x["n"], x["t"])), lambda x: x.isNotNull())
+
+
+def _rising(numbers: list[int]) -> list[int]:
+    """The places of the longest rising run of numbers, the earliest of equal ones."""
+    ends: list[int] = []
+    tails: list[int] = []
+    before = [-1] * len(numbers)
+    for k, n in enumerate(numbers):
+        at = bisect_left(tails, n)
+        before[k] = ends[at - 1] if at else -1
+        if at == len(tails):
+            tails.append(n)
+            ends.append(k)
+        elif tails[at] != n:
+            tails[at], ends[at] = n, k
+    out, k = [], ends[-1] if ends else -1
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return out[::-1]
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("n", T.StringType()), T.StructField("t", T.StringType())])))
+def _by_marks(contents: pd.Series) -> pd.Series:
+    def one(content: str | None) -> list[tuple[str, str]]:
+        marks = list(re.finditer(r"\[([0-9]+)\]", content or ""))
+        leading = [m for m in marks if not content[content.rfind("\n", 0, m.start()) + 1 : m.start()].strip()]
+        marks = leading if len(leading) > 1 else marks
+        marks = [marks[k] for k in _rising([int(m[1]) for m in marks])]
+        return [(m[1], content[m.end() : then]) for m, then in zip(marks, [*[m.start() for m in marks[1:]], len(content or "")])]
+
+    return contents.map(one)
+
+
+def strict_entries(content: Column) -> Column:
+    """The entries of a list of references by its longest rising run of [n] marks, those that lead a line if there are several: kinds of
+    publication such as [J], and other entries' numbers in an entry's text, are part of it."""
+    both = _by_marks(F.coalesce(_without_notes(content), F.lit("")))
+    return F.filter(F.transform(both, lambda x: _entry(x["n"], x["t"])), lambda x: x.isNotNull())
+
+
+def chunks(docs: DataFrame, doc_col: str = "doc", text_col: str = "markdown", strict_refs: bool = False, paragraphs: str = "section") -> DataFrame:
     """One row a chunk: id, text, doc, page_num, chunk_seq, element_type, section_path, text_level, is_table, is_reference.
 
-    Sections with parsed references give their entries and nothing below them; others their text, long ones in pieces.
+    Sections with parsed references give their entries and nothing below them; others their text, long ones in pieces. ``paragraphs``:
+    "section", one a section, or "blank_line", parted by blank lines. ``strict_refs``: see :func:`strict_entries`.
     """
-    found = sections(headings(lines(docs, doc_col, text_col)))
+    if paragraphs not in ("section", "blank_line"):
+        raise ValueError(f"paragraphs are 'section' or 'blank_line', not {paragraphs!r}")
+    found = sections(headings(lines(docs, doc_col, text_col)), strict_refs, paragraphs == "blank_line")
     above = F.slice("up", 1, F.greatest(F.size("up") - 1, F.lit(0)))
     found = found.filter(~F.exists(above, lambda x: x["entries"] > 0))
     paragraph = F.filter(F.transform(F.split("content", "\n\n"), X.strip), lambda x: F.length(x) >= X.MIN_PARAGRAPH)

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.operators import discovery, fragments, indexes, metrics, packing, structure
+from textloom.operators import attempts, discovery, fragments, indexes, metrics, packing, structure
 from textloom.plans import ingestion
-from textloom.sources import files
+from textloom.sources import files, upserts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -324,6 +324,38 @@ def reference_entries(t):
     return rows.select("conv_id", F.posexplode(structure.reference_entries(F.col("content"))).alias("at", "entry"))
 
 
+@_query(f"""
+SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS at,
+  '[' || (turn + 1) || '] ' || trim(regexp_replace(translate(text, '[]', '  ') || ' [J]. See [' || (turn // 2 + 1) || '] and [99].', '{_S}+', ' ', 'g'), ' ') AS entry FROM conversations""")
+def reference_entries_strict(t):
+    """Whole turns as entries that have a [J] and cite others, each on lines of its own."""
+    cited = F.concat(F.lit(" [J]. See ["), (F.floor(F.col("turn") / 2) + 1).cast("string"), F.lit("] and [99]."))
+    line = F.concat(F.lit("["), (F.col("turn") + 1).cast("string"), F.lit("] "), F.translate("text", "[]", "  "), cited)
+    told = F.array_sort(F.collect_list(F.struct("turn", line.alias("line"))))
+    rows = t("conversations").groupBy("conv_id").agg(F.array_join(F.transform(told, lambda x: x["line"]), "\n").alias("content"))
+    return rows.select("conv_id", F.posexplode(structure.strict_entries(F.col("content"))).alias("at", "entry"))
+
+
+_SPACED = "replace(translate(text, '#', ' '), '. ', '.' || chr(10) || chr(10))"
+
+
+@_query(f"""
+WITH l AS (SELECT doc_id, i, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split({_SPACED}, chr(10)) AS l FROM documents))),
+own AS (SELECT *, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 1 AS gap FROM l WHERE regexp_replace(line, {_STRIP}) <> ''),
+c AS (SELECT doc_id, regexp_replace(string_agg(CASE WHEN gap THEN chr(10) ELSE '' END || line, chr(10) ORDER BY i), {_STRIP}) AS content FROM own GROUP BY doc_id),
+p AS (SELECT doc_id, unnest(list_transform(string_split(content, chr(10) || chr(10)), lambda x: regexp_replace(x, {_STRIP}))) AS p FROM c)
+SELECT doc_id::VARCHAR AS doc, count(*)::BIGINT AS paragraphs, sum(length({_clean("p")}))::BIGINT AS chars, max(length({_clean("p")}))::INT AS longest FROM p
+WHERE length(p) >= 10 AND length(p) - length(replace(p, '|', '')) <= 2 AND length({_clean("p")}) <= 1500 GROUP BY doc_id""")
+def blank_line_paragraphs(t):
+    """Documents as one section each, with a blank line after each sentence; tables and paragraphs that would be cut are left to other queries."""
+    spaced = F.replace(F.translate("text", "#", " "), F.lit(". "), F.lit(".\n\n"))
+    docs = t("documents").select(F.col("doc_id").cast("string").alias("doc"), F.concat(F.lit("# Whole\n"), spaced).alias("markdown"))
+    found = structure.sections(structure.headings(structure.lines(docs)), blank_lines=True)
+    rows = found.select("doc", F.explode(F.split("content", "\n\n")).alias("p")).select("doc", X.strip(F.col("p")).alias("p")).filter((F.length("p") >= X.MIN_PARAGRAPH) & ~X.is_table(F.col("p")))
+    n = F.length(X.clean(F.col("p")))
+    return rows.filter(n <= X.MAX_PARAGRAPH).groupBy("doc").agg(F.count(F.lit(1)).alias("paragraphs"), F.sum(n.cast("long")).alias("chars"), F.max(n).alias("longest"))
+
+
 @_query("""SELECT conv_id, turn, substr(md5(conv_id || '_' || path || '_' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)), 1, 16) AS id
 FROM (SELECT conv_id, turn, role || ' > ' || turn AS path FROM conversations)""")
 def chunk_ids(t):
@@ -463,6 +495,33 @@ def progress_sample(t):
     return metrics.progress(t("events"), ("ts", "event_id"), 50, F.date_trunc("hour", "ts"), ("event_type",)).select("event_id", F.col("n").cast("int").alias("n"))
 
 
+@_query("""
+WITH e AS (SELECT user_id, event_id, ts, event_type = 'click' AS begins FROM events WHERE event_type IN ('click', 'purchase', 'error')),
+n AS (SELECT *, epoch_us(lead(ts) OVER w) AS next_at, lead(begins) OVER w AS next_begins, (SELECT epoch_us(max(ts)) FROM events) AS ends FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+t AS (SELECT *, (coalesce(next_at, ends) - epoch_us(ts)) / 1e6 AS took FROM n WHERE begins)
+SELECT user_id, event_id, ts, CASE WHEN took > 43200 THEN 'timeout' WHEN next_at IS NULL THEN 'open' WHEN next_begins THEN 'restarted' ELSE 'ended' END AS outcome,
+  CASE WHEN took > 43200 OR next_at IS NOT NULL THEN round(least(took, 43200.0::DOUBLE), 6) END AS seconds FROM t""")
+def attempt_outcomes(t):
+    """Clicks begin attempts of a user, purchases and errors end them; half a day is too long."""
+    rows = attempts.outcomes(t("events"), "user_id", F.col("event_type") == "click", F.col("event_type").isin("purchase", "error"), 43_200, unit="month")
+    return rows.withColumn("seconds", F.round("seconds", 6))
+
+
+@_query("SELECT 'slot ' || user_id % 4 AS device, count(*)::BIGINT AS parsed FROM events WHERE event_type <> 'error' GROUP BY 1")
+def parsed_per_device(t):
+    error = F.when(F.col("event_type") == "error", "failed")
+    return metrics.parsed_by_device(t("events").select(F.concat(F.lit("slot "), (F.col("user_id") % 4).cast("string")).alias("device"), error.alias("error")))
+
+
+@_query("""SELECT event_type AS index_name, user_id::VARCHAR AS _id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id DESC) = 1""")
+def upsert_read(t):
+    """Events as versions of a document for each user and kind, the first half of them merged into a base."""
+    rows = t("events").select(F.col("event_type").alias("index_name"), F.col("user_id").cast("string").alias("_id"), F.col("event_id").alias("version"), "event_id", "value")
+    early = F.col("version") % 1000 < 500
+    merged = upserts.newest(rows.filter(early)).withColumnRenamed("event_id", "version").withColumn("event_id", F.col("version"))
+    return upserts.newest(rows.filter(~early).unionByName(merged))
+
+
 def _log(t) -> DataFrame:
     kind, user = F.col("event_type"), F.col("user_id")
     ok = kind == "purchase"
@@ -596,11 +655,11 @@ _PAPERS = f"""{_CHUNKS.replace("WITH ", "WITH RECURSIVE ", 1)}, grouped AS (
 )"""
 
 
-def _indexed(t) -> DataFrame:
+def _indexed(t, name: str | None = None) -> DataFrame:
     """The conversations as papers, with texts of ``benchmark`` as their titles, abstracts and keywords; fragments of at most 800 characters."""
     meta = t("benchmark").select(F.col("item_id").cast("string").alias("lngid"), F.col("text").alias("title_c"), F.col("text").alias("title_e"), F.col("text").alias("remark_c"), F.reverse("text").alias("keyword_e"))
     meta = meta.withColumns({c: F.lit("") for c in indexes.META if c not in meta.columns})
-    return indexes.documents(structure.chunks(_markdown(t)), meta, size=_SIZE)
+    return indexes.documents(structure.chunks(_markdown(t)), meta, size=_SIZE, only=name)
 
 
 @_query(f"{_PAPERS} SELECT index_name, _id, text, md5(text) AS hash, 1::BIGINT AS vectors FROM every WHERE text <> ''")
@@ -617,7 +676,7 @@ def _of_index(name: str) -> None:
     told = ", ".join(f"{own.get(c, c)} AS {f}" for f, c in fields.items())
 
     def query(t):
-        return indexes.of_index(_indexed(t), name).withColumns({f: F.size(f) for f, c in fields.items() if c == "vector"})
+        return indexes.of_index(_indexed(t, name), name).withColumns({f: F.size(f) for f, c in fields.items() if c == "vector"})
 
     query.__name__ = f"{name}_index"
     _query(f"{_PAPERS} SELECT _id, doc AS file_id, '' AS doi, '' AS firstwriter, '' AS showwriter, 0::INT AS delete_flag, {told} FROM every JOIN heads USING (doc) WHERE text <> '' AND index_name = '{name}'")(query)

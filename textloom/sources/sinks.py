@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.sources.upserts import Upserts
+
 
 def write_index(rows: DataFrame, folder: str, version: int) -> None:
     """Writes the documents of one version, partitioned by index; the same version written again replaces itself."""
-    rows.write.mode("overwrite").partitionBy("index_name").parquet(f"{folder.rstrip('/')}/version={version}")
+    Upserts(folder).write(rows, version)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """The documents, each as written in the highest version: an upsert by id."""
-    last = Window.partitionBy("index_name", "_id").orderBy(F.col("version").desc())
-    return spark.read.parquet(folder).withColumn("__place", F.row_number().over(last)).filter("__place = 1").drop("__place", "version")
+    return Upserts(folder).read(spark)
 
 
 def append_status(rows: DataFrame, folder: str) -> None:
