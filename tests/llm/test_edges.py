@@ -303,3 +303,12 @@ def test_substrings(spark, monkeypatch, bucket):
         expected.append((i, bytes(x for x, g in zip(raw, gone) if not g)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).withColumns({c: F.lit(1) for c in EXTRA})
     assert sorted(((r.doc_id, bytes(r.kept)) for r in substrings.with_kept(df).collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_nothing_in_an_article_goes_by_a_word(spark):
+    stay = ['<div class="related-work">a</div>', '<section id="social-impact">b</section>', '<p class="notice">c</p>', '<p class="share-price">d</p>', '<div class="promotion-rules">e</div>', "<label>f</label>", "<fieldset>g</fieldset>", "<object>h</object>", '<div id="comments-on-method">i</div>', '<p class="cookie reply">j</p>']
+    go = ["<nav>k</nav>", "<aside>l</aside>", "<form>m<label>n</label></form>", '<div class="x ad">o</div>', '<div class="Comments">p</div>', '<div role="navigation">q</div>', "<footer>r</footer>", '<p hidden>s</p>', "<script>t</script>"]
+    around = '<div class="notice">u</div><div class="related-links">v</div><label>w</label>'
+    rows = [(k, "http://h/", f"<body>{around}<{tag}><h1>T</h1>{''.join(stay)}{''.join(go)}<p>one</p></{tag}>{around}</body>", "mine") for k, tag in enumerate(("article", "main"))]
+    out = html.with_text(spark.createDataFrame(rows, "page_id long, url string, html string, __host string")).collect()
+    assert [r.text for r in out] == ["\n".join(["T", *"abcdefghij", "one"])] * 2 and {r["__host"] for r in out} == {"mine"}

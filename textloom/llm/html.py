@@ -8,8 +8,10 @@ subtrees, a host or section has at most 1/``MIN_SHARE`` times the mean of these.
 is then read again, without the template. A subtree in a smaller share of a host and of all its sections stays, however large
 the host is: of a million pages some phrases stand in thousands.
 
-By rule, whatever the counts say, go: menus, page headers, footers, sidebars, notices, adverts, forms, reader comments (by
-element, role, class or id), what is hidden, scripts and styles. The article is the ``article`` elements outside of these, or
+By rule, whatever the counts say, go: menus, page headers, footers, sidebars, notices, adverts, forms, reader comments, what is hidden,
+scripts and styles. Outside of articles these are told by element, role, or a word in the class or id. Inside an ``article`` or ``main``
+nothing goes by a word: only elements and roles of these kinds, and what has a class that is, as a whole, the name of an advert, a menu,
+a sidebar or of reader comments. The article is the ``article`` elements outside of these, or
 else ``main``, or else the body without lists of links. Parsing follows HTML: implied end tags, void and raw-text elements,
 unclosed and truncated markup. Times are in proportion to the page, however deep its elements are nested.
 
@@ -68,6 +70,9 @@ DROP_WORDS = frozenset(
     "recommended comment comments commentlist disqus respond reply replies widget widgets toolbar pagination pager masthead skip".split()
 )
 HEADER_WORDS = frozenset({"header", "topbar", "masthead"})
+#: In an article: elements that may hold a part of it, and the classes that say, by their whole name, that theirs is none.
+ARTICLE_TAGS = frozenset({"label", "fieldset", "object"})
+NO_ARTICLE = frozenset("ad ads advert adverts advertisement advertisements adsbygoogle menu nav navbar sidebar comment comments comment-list commentlist reader-comments user-comments".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -170,17 +175,19 @@ class Page:
     def _dropped(self, name: str, said: dict[str, str]) -> bool:
         if name in ("html", "body", "main"):
             return False
-        if name in DROP_TAGS:
-            return True
         within = bool(self._depths.get("article") or self._depths.get("main"))
+        if name in DROP_TAGS and not (within and name in ARTICLE_TAGS):
+            return True
         if name == "header" and not within:
             return True
         if not said:
             return False
         if "hidden" in said or said.get("aria-hidden") == "true" or _HIDDEN.search(said.get("style", "")) or said.get("role", "").lower() in DROP_ROLES:
             return True
+        if within:
+            return not NO_ARTICLE.isdisjoint(said.get("class", "").lower().split())
         words = {w.lower() for w in _WORDS.findall(f"{said.get('class', '')} {said.get('id', '')}")}
-        return bool(words & DROP_WORDS) or not within and bool(words & HEADER_WORDS)
+        return bool(words & (DROP_WORDS | HEADER_WORDS))
 
     def _end(self, name: str) -> None:
         depths = self._depths.get(name)
@@ -259,7 +266,10 @@ def joined(pieces: Iterable[str | None]) -> str:
     return "\n".join(b for b in blocks if b)
 
 
-_PARTS = "__host string, __section string, __page long, __subtrees array<long>, __elements array<struct<parent: int, hash: long>>, __pieces array<struct<element: int, text: string>>"
+_PARTS = "__of_page_host string, __of_page_section string, __of_page_page long, __of_page_subtrees array<long>, __of_page_elements array<struct<parent: int, hash: long>>, __of_page_pieces array<struct<element: int, text: string>>"
+
+#: The columns that this operator works with; all others are the caller's.
+OWN = frozenset(f"__of_page_{c}" for c in "host section page subtrees elements pieces template t1 t2 h g s".split())
 
 
 def _listed(rows: list[list[tuple]], kinds: dict[str, pa.DataType]) -> pa.Array:
@@ -270,8 +280,8 @@ def _listed(rows: list[list[tuple]], kinds: dict[str, pa.DataType]) -> pa.Array:
 
 
 def _parts(pages: DataFrame, html_col: str, keep_html: bool) -> DataFrame:
-    """``pages``, with __host and __section, and what is needed of each page: its article's hash, its subtrees, its elements and text."""
-    kept = [f for f in pages.schema.fields if f.name[:2] != "__" and (keep_html or f.name != html_col)]
+    """``pages``, with __of_page_host and __of_page_section, and what is needed of each page: its article's hash, its subtrees, its elements and text."""
+    kept = [f for f in pages.schema.fields if f.name not in OWN and (keep_html or f.name != html_col)]
     schema = T.StructType([*kept, *T._parse_datatype_string(_PARTS).fields])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,15 +298,15 @@ def _parts(pages: DataFrame, html_col: str, keep_html: bool) -> DataFrame:
                 pieces.append(more[1])
             told = [pa.array(articles, pa.int64()), pa.array(subtrees, pa.list_(pa.int64())), _listed(elements, {"parent": pa.int32(), "hash": pa.int64()}), _listed(pieces, {"element": pa.int32(), "text": pa.string()})]
             own = [batch.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*own, batch.column("__host"), batch.column("__section"), *told], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*own, batch.column("__of_page_host"), batch.column("__of_page_section"), *told], names=schema.names)
 
     return pages.mapInArrow(parse, schema)
 
 
 def templates(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(host, template) and (host, section, template): the hashes of the subtrees that recur, for each that has some."""
-    rows = parts.filter(F.col("__page").isNotNull()).groupBy(F.col("__host").alias("host"), F.col("__section").alias("section"), F.col("__page").alias("page"))
-    rows = cut(rows.agg(F.min("__subtrees").alias("subtrees")))
+    rows = parts.filter(F.col("__of_page_page").isNotNull()).groupBy(F.col("__of_page_host").alias("host"), F.col("__of_page_section").alias("section"), F.col("__of_page_page").alias("page"))
+    rows = cut(rows.agg(F.min("__of_page_subtrees").alias("subtrees")))
     pages = rows.groupBy("host", "section").agg(F.count(F.lit(1)).alias("pages"))
     times = rows.select("host", "section", F.explode("subtrees").alias("subtree")).groupBy("host", "section", "subtree").agg(F.count(F.lit(1)).alias("times"))
     found = []
@@ -320,23 +330,23 @@ def _section(url_col: str):
 
 def with_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", text_col: str = "text", keep_html: bool = True) -> DataFrame:
     """``pages`` with the main text of each, and without their html if it is not to be kept."""
-    pages = pages.drop(text_col).withColumns({"__host": _host(url_col), "__section": _section(url_col)})
+    pages = pages.drop(text_col).withColumns({"__of_page_host": _host(url_col), "__of_page_section": _section(url_col)})
     parts = cut(_parts(pages, html_col, keep_html))
     of_host, of_section = templates(parts)
     # tables of known size: where they are small Spark sends them to all tasks, else it joins on host and splits the hot ones
-    df = parts.drop("__page", "__subtrees").join(of_host.select(F.col("host").alias("__h"), F.col("template").alias("__t1")), F.col("__host").eqNullSafe(F.col("__h")), "left")
-    of_section = of_section.select(F.col("host").alias("__g"), F.col("section").alias("__s"), F.col("template").alias("__t2"))
-    df = df.join(of_section, F.col("__host").eqNullSafe(F.col("__g")) & F.col("__section").eqNullSafe(F.col("__s")), "left")
-    kept = [f for f in parts.schema.fields if f.name[:2] != "__"]
-    df = df.select(*[f.name for f in kept], "__elements", "__pieces", F.array_union(F.coalesce("__t1", F.array().cast("array<long>")), F.coalesce("__t2", F.array().cast("array<long>"))).alias("__template"))
+    df = parts.drop("__of_page_page", "__of_page_subtrees").join(of_host.select(F.col("host").alias("__of_page_h"), F.col("template").alias("__of_page_t1")), F.col("__of_page_host").eqNullSafe(F.col("__of_page_h")), "left")
+    of_section = of_section.select(F.col("host").alias("__of_page_g"), F.col("section").alias("__of_page_s"), F.col("template").alias("__of_page_t2"))
+    df = df.join(of_section, F.col("__of_page_host").eqNullSafe(F.col("__of_page_g")) & F.col("__of_page_section").eqNullSafe(F.col("__of_page_s")), "left")
+    kept = [f for f in parts.schema.fields if f.name not in OWN]
+    df = df.select(*[f.name for f in kept], "__of_page_elements", "__of_page_pieces", F.array_union(F.coalesce("__of_page_t1", F.array().cast("array<long>")), F.coalesce("__of_page_t2", F.array().cast("array<long>"))).alias("__of_page_template"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            (up, hashes), (of, texts) = (batch.column(c).flatten().flatten() for c in ("__elements", "__pieces"))
+            (up, hashes), (of, texts) = (batch.column(c).flatten().flatten() for c in ("__of_page_elements", "__of_page_pieces"))
             up, hashes, of, texts = (x.to_pylist() for x in (up, hashes, of, texts))
-            first, begin = (np.concatenate(([0], np.cumsum(batch.column(c).value_lengths().to_numpy()))).tolist() for c in ("__elements", "__pieces"))
+            first, begin = (np.concatenate(([0], np.cumsum(batch.column(c).value_lengths().to_numpy()))).tolist() for c in ("__of_page_elements", "__of_page_pieces"))
             told = []
-            for k, template in enumerate(map(set, batch.column("__template").to_pylist())):
+            for k, template in enumerate(map(set, batch.column("__of_page_template").to_pylist())):
                 e, p, q = first[k], begin[k], begin[k + 1]
                 if template:
                     gone: list[bool] = []
