@@ -75,6 +75,13 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(table: DataFrame) -> None:
+    """Removes a table that was cut, once nothing is to read it any more."""
+    for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        files, place = _file_system(table.sparkSession, path)
+        files.delete(place, True)
+
+
 class Scratch:
     """Tables of a long job: those that it cuts go when it ends, but for the one that it keeps."""
 
@@ -86,9 +93,7 @@ class Scratch:
 
     def __exit__(self, *_) -> None:
         for df in self.tables:
-            for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-                files, place = _file_system(self.spark, path)
-                files.delete(place, True)
+            free(df)
 
     def cut(self, df: DataFrame) -> DataFrame:
         self.tables.append(cut(df))

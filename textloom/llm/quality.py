@@ -6,7 +6,8 @@ a document count once. A line of any length over both limits of its host - ``MIN
 host's texts - is boilerplate and is removed; a document that keeps less than ``MIN_LEFT`` of its words without such lines is
 depleted and rejected. :func:`judge` tells the counts, :func:`keep` gives the documents that pass, without those lines.
 
-A text is read once; what is counted later are the hashes of its lines. Equal texts of a host are one, lines are summed by
+A text is read once; what is counted later are the hashes of its lines. A text is known by 128 bits of hashes, a line by 64 bits: one of
+10^10 lines is taken for one of a host's thousand boilerplate lines with a chance of 5e-7. Equal texts of a host are one, lines are summed by
 (host, line) before and after the shuffle, so a line that every document of a host has is a handful of rows. A host has at
 most 1/``MIN_SHARE`` times as many boilerplate lines as a text has lines on average: that list comes to each of its rows,
 which are judged where they are.
@@ -82,6 +83,11 @@ def _normal(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), r"[0-9]", "0"), r"[\x09\x0B-\x0D]|[\x20\x09\x0B-\x0D]{2,}", " ")
 
 
+def _identity(text_col: str) -> Column:
+    """What a text is known by, null for null: two hashes of different seeds."""
+    return F.when(F.col(text_col).isNotNull(), F.struct(F.xxhash64(text_col).alias("a"), F.xxhash64(F.lit(1), F.col(text_col)).alias("b")))
+
+
 def measured(docs: DataFrame, text_col: str, host_col: str, *kept: str) -> DataFrame:
     """(kept columns, the five counts, __host, __hash, __lines) for every row: each text is read once.
 
@@ -92,7 +98,7 @@ def measured(docs: DataFrame, text_col: str, host_col: str, *kept: str) -> DataF
     words = lambda x: F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
     lines = F.transform(F.transform(F.split(_normal(text), "\n"), lambda x: F.trim(x)), lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("words")))
     df = barrier(df, __lines=F.filter(lines, lambda x: x["words"] > 0))
-    df = df.withColumn("__hash", F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)))
+    df = df.withColumn("__hash", _identity(text_col))
     return cut(df.select(*kept, *COUNTS, "__host", "__hash", "__lines"))
 
 
@@ -135,7 +141,7 @@ def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source", char
     """
     rows, lists = _judged(docs.select(F.col(text_col).alias("__text"), F.col(host_col).alias("__of_host")), "__text", "__of_host")
     changed = cut(rows.filter(~F.col("kept") | (F.col("removed_words") > 0)).select("__host", "__hash", F.col("kept").alias("__kept")).distinct())
-    same = F.col(host_col).eqNullSafe(F.col("__host")) & F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).eqNullSafe(F.col("__hash"))
+    same = F.col(host_col).eqNullSafe(F.col("__host")) & _identity(text_col).eqNullSafe(F.col("__hash"))
     rows = docs.join(small(changed), same, "left").filter(F.coalesce("__kept", F.lit(True)))
     rows = rows.join(lists, F.col("__host").eqNullSafe(F.col("__of")) & F.col("__kept"), "left")
     left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x: ~F.array_contains("__common", F.xxhash64(F.trim(_normal(x))))), "\n")
