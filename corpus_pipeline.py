@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm import decontam, mixing, neardup, pii, quality
-from textloom.llm.common import cut
+from textloom.llm.common import cut, free
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to the table ``documents`` of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages, applied to the table ``documents`` of ``sf_dir``. A stage's table goes once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir))
+        if before is not None:
+            free(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
