@@ -216,3 +216,47 @@ def test_ranges_are_verified():
     raw = b"x" * 300
     good = {"begin": 10, "end": 120, "digest": substrings.digest(raw[:110])}
     assert substrings.merged([good, {"begin": 150, "end": 260, "digest": substrings.digest(b"y" * 110)}, {"begin": 250, "end": 360, "digest": substrings.digest(raw[:110])}], raw) == [(10, 120)]
+
+
+def plain_removed(texts):
+    """Bytes under a window that starts earlier, by id and place."""
+    seen, out = set(), {}
+    for of, text in sorted(texts):
+        raw, gone = text.encode(), bytearray(len(text.encode()))
+        for k in range(len(raw) - substrings.LENGTH + 1):
+            window = raw[k : k + substrings.LENGTH]
+            if window in seen:
+                gone[k : k + substrings.LENGTH] = b"\1" * substrings.LENGTH
+            seen.add(window)
+        out[of] = bytes(b for b, x in zip(raw, gone) if not x)
+    return out
+
+
+def test_periodic_texts_by_brute_force(spark):
+    """Rows of equal pieces, alone, between other text, and again in later documents at another phase."""
+    random.seed(9)
+    say = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    rows = []
+    for k in range(40):
+        root = random.choice(["a", "ab", "-----\n", say(7), say(23), say(40), say(101), say(150)])
+        rows.append((k, say(random.choice([0, 5, 300])) + (root * 4000)[random.randrange(20) :][: random.choice([0, 90, 150, 1000, 4000])] + say(random.choice([0, 300])) + (root * 50)[:2000]))
+    rows += [(40 + k, rows[k][1][random.randrange(50) :]) for k in range(10)]
+    out = {r.doc_id: bytes(r.kept) for r in substrings.with_kept(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
+    assert out == plain_removed(rows)
+
+
+def test_long_periodic_texts(spark):
+    """Tens of megabytes of one character, and of a table of dashes: no row a byte, and no row of ranges a text."""
+    began = time.time()
+    rows = [(1, "a" * 30_000_000), (2, "-----+----|\n" * 1_000_000), (3, "b" + "a" * 5_000_000)]
+    out = {r.doc_id: bytes(r.kept) for r in substrings.with_kept(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    assert out == {1: b"a", 2: b"-----+----|\n", 3: b"b"}
+    assert time.time() - began < 180
+
+
+def test_stretches_have_all_windows(monkeypatch):
+    monkeypatch.setattr(substrings, "STRETCH", 1000)
+    raw = bytes(random.randrange(97, 120) for _ in range(5555))
+    for n in (0, 99, 100, 999, 1000, 1099, 1100, 5555):
+        seen = [(at + k, piece[k : k + 100]) for of, at, piece in substrings._stretches([7, None], [raw[:n], b"x"]) for k in range(len(piece) - 99)]
+        assert seen == [(k, raw[k : k + 100]) for k in range(n - 99)]

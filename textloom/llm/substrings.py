@@ -7,6 +7,9 @@ have equal anchors at equal places). Windows in a row with one anchor make up a
 1. Anchors that occur once are dropped: nothing in their windows repeats.
 2. Pieces that are equal as a whole by hash are one class; all but its first occurrence are removed at once. Counts and minima
    are taken before the shuffle, so a passage in a third of all documents is no more work for a task than any other.
+   In a text that repeats itself with a period, equal pieces follow each other; of such a row of pieces only the first one takes part in this,
+   the others' windows start one period earlier too and are one range, whatever its length. Long texts are read in stretches of
+   ``STRETCH`` bytes.
 3. Anchors with several classes (at the edges of copies): one piece of each class goes, with its bytes, to its anchor's
    bucket, and the buckets' suffixes are sorted. The sort is a mergesort in which two suffixes are compared by their longest
    common extension, found by binary search over prefix polynomial hashes; equal neighbours are verified byte by byte, and
@@ -40,6 +43,11 @@ GRAM = 32
 #: Classes of one anchor that are sorted together at most.
 BUCKET = 4096
 _CHUNK = 1 << 18
+#: Bytes of a text that are looked at together at most.
+STRETCH = 1 << 22
+#: Pieces of a period that are told from pieces before, and how many of these in a row are taken as one range.
+PERIOD = 8
+MIN_ROW = 16
 #: A piece's place in one long: first window's start, number of windows, place of the anchor after that start.
 _AT = (1 << 14, 1 << 7)
 
@@ -80,24 +88,78 @@ def _pieces(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return text, starts - offset[text], windows, at - starts, grams[at], whole
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+def _stretches(ids: list[int | None], texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """(id, first byte, bytes): whole texts, or stretches of them that have the windows that begin in them."""
+    for of, raw in zip(ids, texts):
+        if of is not None:
+            for at in range(0, max(len(raw) - LENGTH + 1, 1), STRETCH):
+                yield of, at, raw[at : at + STRETCH + LENGTH - 1]
+
+
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
     for batch in slices(batches, 1):
         for ids, texts in in_chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _CHUNK):
-            keep = [k for k, x in enumerate(ids) if x is not None]
-            yield np.array([ids[k] for k in keep], np.int64), [texts[k] for k in keep]
+            some, size = [], 0
+            for x in _stretches(ids, texts):
+                some.append(x)
+                size += len(x[2])
+                if size >= STRETCH:
+                    yield _columns(some)
+                    some, size = [], 0
+            if some:
+                yield _columns(some)
+
+
+def _columns(some: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    return np.array([x[0] for x in some], np.int64), np.array([x[1] for x in some], np.int64), [x[2] for x in some]
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, texts in _batches(batches):
+    for _, _, texts in _batches(batches):
         anchors, times = np.unique(_pieces(texts)[4], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(anchors.view(np.int64)), pa.array(times)], names=["anchor", "times"])
 
 
+def _rows_of_equals(text: np.ndarray, start: np.ndarray, windows: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """For each piece how many pieces before it (0: none, up to ``PERIOD``) is an equal one, at the end of a row of such pieces that began with
+    as many others."""
+    back = np.zeros(len(text), np.int64)
+    for k in range(1, PERIOD + 1):
+        same = np.zeros(len(text), bool)
+        same[k:] = (whole[k:] == whole[:-k]) & (text[k:] == text[:-k]) & (windows[k:] == windows[:-k])
+        back[same & (back == 0)] = k
+    return back
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in _batches(batches):
+    """Pieces by anchor and class; and, without a class, ranges of windows that start one period earlier in the same text, too."""
+    for ids, bases, texts in _batches(batches):
         text, start, windows, place, anchor, whole = _pieces(texts)
-        at = start * _AT[0] + windows * _AT[1] + place
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor.view(np.int64), whole.view(np.int64), ids[text], at)], names=["anchor", "class", "id", "at"])
+        back = _rows_of_equals(text, start, windows, whole)
+        own = np.ones(len(text), bool)
+        spans = []
+        # neighbours that are all repeated at one distance in bytes are one range; it is compared byte by byte
+        earlier = np.arange(len(text)) - back
+        shift = np.where(back > 0, start - start[earlier], 0)
+        edge = np.flatnonzero(np.diff(shift, prepend=-1) | np.diff(text, prepend=-1) | (np.diff(start, prepend=0) != np.append(0, windows[:-1])))
+        for a, b in zip(edge.tolist(), np.append(edge[1:], len(text)).tolist()):
+            d = int(shift[a]) if b - a >= MIN_ROW else 0
+            if d:
+                raw, begin, end = texts[text[a]], int(start[a]), int(start[b - 1] + windows[b - 1] - 1 + LENGTH)
+                if raw[begin:end] == raw[begin - d : end - d]:
+                    own[a:b] = False
+                    spans.append((int(ids[text[a]]), int(bases[text[a]]) + begin, int(bases[text[a]]) + end, digest(raw[begin:end])))
+        at = ((start + bases[text]) * _AT[0] + windows * _AT[1] + place)[own]
+        n, m = len(at), len(spans)
+        of, begins, ends, digests = zip(*spans) if spans else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate((anchor.view(np.int64)[own], np.zeros(m, np.int64))), mask=np.arange(n + m) >= n), pa.array(np.concatenate((whole.view(np.int64)[own], np.zeros(m, np.int64))), mask=np.arange(n + m) >= n),
+                pa.array(np.concatenate((ids[text][own], np.array(of, np.int64)))), pa.array(np.concatenate((at, np.array(begins, np.int64)))),
+                pa.array([*[None] * n, *ends], pa.int64()), pa.array([*[None] * n, *digests], pa.binary()),
+            ],
+            names=["anchor", "class", "id", "at", "end", "digest"],
+        )
 
 
 def digest(raw: bytes | memoryview) -> bytes:
@@ -250,7 +312,11 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = docs.filter(F.col("id").isNotNull() & (F.octet_length("text") >= LENGTH))
     counted = texts.mapInArrow(_anchors, "anchor long, times long").groupBy("anchor").agg(F.sum("times").alias("times"))
     twice = cut(counted.filter("times > 1").select("anchor"))
-    found = cut(texts.mapInArrow(_occurrences, "anchor long, class long, id long, at long").join(twice, "anchor", "left_semi"))
+    seen = texts.mapInArrow(_occurrences, "anchor long, class long, id long, at long, end long, digest binary")
+    # ranges within one text have no anchor and need no other text
+    of = F.coalesce("anchor", F.xxhash64("id", "at"))  # so these are no hot key
+    seen = cut(seen.join(twice.select(F.col("anchor").alias("__twice")), of == F.col("__twice"), "left").filter("__twice IS NOT NULL OR anchor IS NULL").drop("__twice"))
+    found, inner = seen.filter("anchor IS NOT NULL").drop("end", "digest"), seen.filter("anchor IS NULL").select("id", F.col("at").alias("begin"), "end", "digest")
     classes = cut(found.groupBy("anchor", "class").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("times")))
     # one piece of each class of the anchors that have several is sorted, and the first of each class that has more is asked for its digest
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select(F.col("anchor").alias("a"), "classes")
@@ -268,7 +334,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     buckets = told.filter("class IS NULL").drop("class").dropDuplicates(["anchor", "id", "at"])
     buckets = buckets.repartition("anchor", "bucket").sortWithinPartitions("anchor", "bucket", "id", "at")
     out = cut(buckets.mapInArrow(_sorted_buckets, "id long, begin long, end long, anchor long, digest binary"))
-    ranges = ranges.unionByName(out.filter("anchor IS NULL").select("id", "begin", "end", "digest"))
+    ranges = ranges.unionByName(inner).unionByName(out.filter("anchor IS NULL").select("id", "begin", "end", "digest"))
     firsts = out.filter("anchor IS NOT NULL")
     lowest = firsts.groupBy("anchor", "digest").agg(F.min(F.struct("id", "begin")).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").select(F.col("anchor").alias("a"), F.col("digest").alias("w"), "first")
     again = firsts.join(lowest, (F.col("anchor") == F.col("a")) & (F.col("digest") == F.col("w"))).filter(F.struct("id", "begin") != F.col("first"))
