@@ -179,6 +179,18 @@ def test_numbers_over_parts(spark):
     assert {r.k: r.n for r in df.collect()} == seen
 
 
+def test_failed_ones_come_first(spark):
+    random.seed(4)
+    rows = [(g, k, random.choice([True, False, None])) for g in (1, 2, None) for k in range(60)]
+    df = spark.createDataFrame(rows, "g int, k int, again boolean").repartition(3)
+    for bucket in (None, F.floor(F.col("k") / 7)):
+        told = discovery.retry_first(df, F.col("again"), ("k",), ("g",), bucket)
+        assert told.columns == ["g", "k", "again", "place"]
+        for g in (1, 2, None):
+            queue = sorted((x for x in rows if x[0] == g), key=lambda x: (not x[2], x[1]))
+            assert [(r.k, r.place) for r in sorted((r for r in told.collect() if r.g == g), key=lambda r: r.place)] == [(x[1], n) for n, x in enumerate(queue, 1)]
+
+
 def test_stream_reads_each_file_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(3):

@@ -7,6 +7,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from textloom.functions import text as X
 from textloom.operators import fragments, structure
@@ -133,6 +134,8 @@ def test_safe_fragments(spark):
     for k, parts in df.select("k", X.safe_fragments(df["text"], 30)).collect():
         assert parts == naive_fragments(texts[k], 30)
         assert all(len(p) <= 30 for p in parts)
+    many = "word, " * 5000  # many times more pieces than one run of them
+    assert spark.createDataFrame([(many,)], "text string").select(X.safe_fragments(F.col("text"), 30).alias("x")).first().x == naive_fragments(many, 30)
 
 
 def test_sentence_and_text_fragments(spark):

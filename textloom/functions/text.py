@@ -72,15 +72,26 @@ def hard_cut(c: Column, size: int) -> Column:
     return F.filter(cut, lambda x: x != "")
 
 
+#: Merged pieces that are put away together.
+_RUN = 128
+
+
 def merge_small(parts: Column, size: int) -> Column:
-    """Neighbours put together, without a separator, as long as they are at most ``size`` characters."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    """Neighbours put together, without a separator, as long as they are at most ``size`` characters.
+
+    An array grows by being copied, so merged pieces are collected in runs of ``_RUN``, and the array of runs is what grows.
+    """
+    start = F.struct(F.array().cast("array<array<string>>").alias("runs"), F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
 
     def add(a: Column, x: Column) -> Column:
         full = (a["open"] != "") & (F.length(a["open"]) + F.length(x) > size)
-        return F.struct(F.when(full, F.concat(a["done"], F.array(strip(a["open"])))).otherwise(a["done"]).alias("done"), F.when(full, x).otherwise(F.concat(a["open"], x)).alias("open"))
+        away = full & (F.size(a["done"]) >= _RUN)
+        runs = F.when(away, F.concat(a["runs"], F.array(a["done"]))).otherwise(a["runs"])
+        done = F.when(away, F.array(strip(a["open"]))).when(full, F.concat(a["done"], F.array(strip(a["open"])))).otherwise(a["done"])
+        return F.struct(runs.alias("runs"), done.alias("done"), F.when(full, x).otherwise(F.concat(a["open"], x)).alias("open"))
 
-    return F.aggregate(parts, start, add, lambda a: F.when(strip(a["open"]) != "", F.concat(a["done"], F.array(strip(a["open"])))).otherwise(a["done"]))
+    last = lambda a: F.when(strip(a["open"]) != "", F.array(strip(a["open"]))).otherwise(F.array().cast("array<string>"))
+    return F.aggregate(parts, start, add, lambda a: F.concat(F.flatten(a["runs"]), a["done"], last(a)))
 
 
 def safe_fragments(c: Column, size: int = MAX_FRAGMENT) -> Column:
@@ -91,7 +102,10 @@ def safe_fragments(c: Column, size: int = MAX_FRAGMENT) -> Column:
     for boundary in LEVELS:
         parts = _level(parts, boundary, size)
     parts = F.flatten(F.transform(parts, lambda x: F.when(F.length(x) <= size, F.array(x)).otherwise(hard_cut(x, size))))
-    return F.when(text == "", F.array().cast("array<string>")).when(F.length(text) <= size, F.array(text)).otherwise(merge_small(parts, size))
+    merged = merge_small(parts, size)
+    over = F.raise_error(F.lit(f"a fragment is over the limit of {size} characters")).cast("string")
+    whole = F.transform(merged, lambda x: F.when(F.length(x) <= size, x).otherwise(over))
+    return F.when(text == "", F.array().cast("array<string>")).when(F.length(text) <= size, F.array(text)).otherwise(whole)
 
 
 def _level(parts: Column, boundary: str, size: int) -> Column:

@@ -31,10 +31,12 @@ def first_of_each(rows: DataFrame, key: str | Column = "lngid", order: str | Col
     return found.select("__row.*")
 
 
-def retry_first(rows: DataFrame, is_retry: Column, order: tuple[str, ...], within: tuple[str, ...] = ()) -> DataFrame:
-    """``rows`` with ``place``: what failed before comes first, then in order. For queues of bounded length within each key."""
-    by = Window.partitionBy(*within).orderBy(is_retry.cast("int").desc(), *order)
-    return rows.withColumn("place", F.row_number().over(by))
+def retry_first(rows: DataFrame, is_retry: Column, order: tuple[str, ...], within: tuple[str, ...] = (), bucket: Column | None = None) -> DataFrame:
+    """``rows`` with ``place``: what failed before comes first, then in order. ``bucket``, which must not fall in that order, cuts a queue of
+    any length into parts (see :func:`numbered`); without it a queue is one task's for those that failed and one for the others."""
+    late = ~F.coalesce(is_retry, F.lit(False))
+    part = F.struct(late.alias("late"), (F.lit(0) if bucket is None else bucket).alias("bucket"))
+    return numbered(rows.withColumn("__late", late), within, ("__late", *order), part, "place").drop("__late").withColumn("place", F.col("place").cast("int"))
 
 
 def first_and_more(rows: DataFrame, key: str, order: tuple, n: int = 5) -> DataFrame:

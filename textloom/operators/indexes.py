@@ -38,6 +38,15 @@ def with_meta(rows: DataFrame, meta: DataFrame, key: str = "lngid") -> DataFrame
     return with_lookup(rows, meta, key, "lngid", dict.fromkeys(META, ""))
 
 
+def united(of: dict[str, DataFrame], doc: str = "doc") -> DataFrame:
+    """Rows of several indexes that have one document a paper, as one table with index_name and _id; what an index has not is null."""
+    rows = None
+    for name, some in of.items():
+        some = some.withColumns({"index_name": F.lit(name), "_id": F.concat_ws("_", F.col(doc).cast("string"), F.lit(name))})
+        rows = some if rows is None else rows.unionByName(some, allowMissingColumns=True)
+    return rows
+
+
 def texts_to_embed(chunks: DataFrame, meta: DataFrame, size: int = X.MAX_FRAGMENT) -> DataFrame:
     """One row for each document of each index: index_name, _id, file_id, common fields, text, and what it comes from."""
     rows = fragments.grouped(chunks)
@@ -48,7 +57,7 @@ def texts_to_embed(chunks: DataFrame, meta: DataFrame, size: int = X.MAX_FRAGMEN
     spoken = fragments.sentence_fragments(rows.filter(~F.col("reference")), size)
     spoken = spoken.select("*", F.lit("sentence").alias("index_name"), F.concat("doc", place, F.lit("s"), F.col("sentence_index").cast("string"), piece).alias("_id"))
     out = told.unionByName(spoken, allowMissingColumns=True)
-    full = fragments.full_texts(chunks, size).select("doc", F.col("full_text").alias("text"), "token_count", F.lit("fulltext").alias("index_name"), F.concat(F.col("doc"), F.lit("_fulltext")).alias("_id"))
+    full = united({"fulltext": fragments.full_texts(chunks, size).select("doc", F.col("full_text").alias("text"), "token_count")})
     docs = with_meta(chunks.select("doc").distinct(), meta, "doc")
     pairs = {"title": ("title_c", "title_e"), "abstract": ("remark_c", "remark_e"), "keyword": ("keyword_c", "keyword_e")}
     listed = F.array(*[F.struct(F.lit(k).alias("index_name"), fragments.two_languages(F.col(a), F.col(b), size).alias("text")) for k, (a, b) in pairs.items()])

@@ -364,6 +364,54 @@ def chunk_ids(t):
     return t("conversations").select("conv_id", "turn", X.chunk_id(F.col("conv_id"), path, place).alias("id"))
 
 
+def _as_markdown(t) -> DataFrame:
+    """Whole documents with every line that is not blank marked by up to five # (its length modulo 6), so that lines of one to four become
+    headings and the others text below them, and by a page tag on every other line."""
+    tag = lambda i: F.when(i % 2 == 0, F.concat(F.lit(" (p."), (i + 1).cast("string"), F.lit(")"))).otherwise("")
+    marked = lambda x, i: F.when(X.strip(x) == "", x).otherwise(F.concat(F.repeat(F.lit("#"), F.length(x) % 6), F.lit(" "), x, tag(i)))
+    lines = F.transform(F.split(F.translate("text", "#", " "), "\n", -1), marked)
+    return t("documents").select(F.col("doc_id").alias("doc"), F.array_join(lines, "\n").alias("markdown"))
+
+
+_MARKED = f"""raw AS (
+  SELECT doc_id, i - 1 AS pos, l[i] AS line, length(l[i]) % 6 AS n FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(translate(text, '#', ' '), chr(10)) AS l FROM documents))
+), marked AS (
+  SELECT doc_id, pos, CASE WHEN n BETWEEN 1 AND 4 THEN n END AS level, {_clean("line")} AS title, CASE WHEN pos % 2 = 0 THEN pos + 1 ELSE 1 END AS page_num,
+    repeat('#', n) || ' ' || line || CASE WHEN pos % 2 = 0 THEN ' (p.' || (pos + 1) || ')' ELSE '' END AS written FROM raw WHERE regexp_replace(line, {_STRIP}) <> ''
+)"""
+
+
+@_query(f"WITH {_MARKED} SELECT doc_id, pos::INT AS pos, level::INT AS level, title, page_num::INT AS page_num FROM marked WHERE level IS NOT NULL")
+def document_headings(t):
+    rows = structure.headings(structure.lines(_as_markdown(t))).filter("level IS NOT NULL")
+    return rows.select(F.col("doc").alias("doc_id"), "pos", "level", "title", "page_num")
+
+
+_K = ("a", "b", "c", "d")
+_LIVE = ", ".join(f"CASE WHEN {' AND '.join([f'{k} IS NOT NULL', *[f'{k} > coalesce({j}, -1)' for j in _K[:n]]])} THEN {k} END" for n, k in enumerate(_K))
+
+
+@_query(f"""WITH {_MARKED}, heads AS (
+  SELECT *, {_case("lower(title)", structure.SPECIAL, lambda n: f"'[{n}] ' || title", "title")} AS special, {", ".join(f"max(CASE WHEN level = {n} THEN pos END) OVER w AS {k}" for n, k in enumerate(_K, 1))}
+  FROM marked WHERE level IS NOT NULL WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)
+), up AS (
+  SELECT doc_id, pos, unnest(list_filter([{_LIVE}], lambda x: x IS NOT NULL)) AS at FROM heads
+), paths AS (
+  SELECT u.doc_id, u.pos, string_agg(h.special, ' > ' ORDER BY h.pos) AS path, count(*) AS depth FROM up u JOIN heads h ON h.doc_id = u.doc_id AND h.pos = u.at GROUP BY ALL
+), own AS (
+  SELECT doc_id, pos, level, written, max(CASE WHEN level IS NOT NULL THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS section FROM marked
+), contents AS (
+  SELECT doc_id, section AS pos, regexp_replace(coalesce(string_agg(written, chr(10) ORDER BY pos) FILTER (level IS NULL), ''), {_STRIP}) AS content FROM own WHERE section IS NOT NULL GROUP BY doc_id, section
+)
+SELECT h.doc_id, h.pos::INT AS pos, depth::INT AS depth, page_num::INT AS page_num, special AS title, md5(path) AS path_hash, {_case("lower(path)", structure.TYPES, lambda n: f"'{n}'", f"'{structure.BODY}'")} AS section_type,
+  md5(content) AS content_hash, length(content)::INT AS n_chars FROM heads h JOIN paths USING (doc_id, pos) JOIN contents USING (doc_id, pos)""")
+def document_sections(t):
+    """The sections of whole documents: where they stand in the tree, what kind they are, and their own text."""
+    rows = structure.sections(structure.headings(structure.lines(_as_markdown(t))))
+    kind = structure.section_type(F.col("path"))
+    return rows.select(F.col("doc").alias("doc_id"), "pos", F.size("up").alias("depth"), "page_num", "title", F.md5("path").alias("path_hash"), kind.alias("section_type"), F.md5("content").alias("content_hash"), F.length("content").alias("n_chars"))
+
+
 @_query("SELECT (role = 'assistant') AS reference, count(*)::BIGINT AS n, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY ALL")
 def ref_para_partition(t):
     kind = F.when(F.col("role") == "assistant", structure.ENTRY).otherwise(structure.BODY)
@@ -431,7 +479,7 @@ def dedupe_first(t):
 
 @_query("""SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY (event_type = 'click')::INT DESC, event_id)::INT AS place FROM events""")
 def retry_first_order(t):
-    return discovery.retry_first(t("events"), F.col("event_type") == "click", ("event_id",), ("user_id",)).select("user_id", "event_id", "place")
+    return discovery.retry_first(t("events"), F.col("event_type") == "click", ("event_id",), ("user_id",), F.floor(F.col("event_id") / 10_000)).select("user_id", "event_id", "place")
 
 
 @_query("SELECT doc_id, ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) % 3)::INT AS slot FROM documents")
@@ -546,13 +594,14 @@ def counts_per_index(t):
     return metrics.index_totals(rows)
 
 
-@_query("""SELECT user_id, count(*) FILTER (event_type = 'click')::BIGINT AS click, count(*) FILTER (event_type = 'purchase')::BIGINT AS purchase, count(*) FILTER (event_type = 'view')::BIGINT AS view,
-  count(*) FILTER (event_type IN ('click', 'purchase', 'view'))::BIGINT AS total,
-  concat_ws(', ', CASE WHEN click > 0 THEN 'click=' || click END, CASE WHEN purchase > 0 THEN 'purchase=' || purchase END, CASE WHEN view > 0 THEN 'view=' || view END) AS told FROM events GROUP BY user_id""")
+_KINDS = ["click", "error", "purchase", "signup", "view"]
+
+
+@_query(f"""SELECT user_id, {", ".join(f"count(*) FILTER (event_type = '{k}')::BIGINT AS {k}" for k in _KINDS)}, count(*)::BIGINT AS total,
+  concat_ws(', ', {", ".join(f"CASE WHEN {k} > 0 THEN '{k}=' || {k} END" for k in _KINDS)}) AS told FROM events GROUP BY user_id""")
 def counts_pivot(t):
     rows = t("events").withColumnRenamed("user_id", "lngid").withColumnRenamed("event_type", "index_name")
-    kinds = ["click", "purchase", "view"]
-    return metrics.breakdown(metrics.counts_by_index(rows, kinds), kinds).withColumnRenamed("lngid", "user_id")
+    return metrics.breakdown(metrics.counts_by_index(rows, _KINDS), _KINDS).withColumnRenamed("lngid", "user_id")
 
 
 # --- packing and indexes -------------------------------------------------------------------------------------------
@@ -609,9 +658,8 @@ def vector_present(t):
 
 @_query("""SELECT 'fulltext' AS index_name, doc_id || '_fulltext' AS _id, length(text)::BIGINT AS chars FROM documents UNION ALL SELECT 'title', item_id || '_title', length(text) FROM benchmark""")
 def index_union(t):
-    rows = t("documents").select(F.lit("fulltext").alias("index_name"), F.concat(F.col("doc_id").cast("string"), F.lit("_fulltext")).alias("_id"), F.length("text").cast("long").alias("chars"))
-    more = t("benchmark").select(F.lit("title").alias("index_name"), F.concat(F.col("item_id").cast("string"), F.lit("_title")).alias("_id"), F.length("text").cast("long").alias("chars"))
-    return rows.unionByName(more)
+    chars = F.length("text").cast("long").alias("chars")
+    return indexes.united({"fulltext": t("documents").select(F.col("doc_id").alias("doc"), chars), "title": t("benchmark").select(F.col("item_id").alias("doc"), chars)}).drop("doc")
 
 
 _SIZE = 800
