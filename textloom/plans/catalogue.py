@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.operators import attempts, discovery, fragments, indexes, metrics, packing, structure
+from textloom.operators import attempts, discovery, embedding, fragments, indexes, metrics, packing, structure
 from textloom.plans import ingestion
 from textloom.sources import files, upserts
 
@@ -412,6 +412,31 @@ def document_sections(t):
     return rows.select(F.col("doc").alias("doc_id"), "pos", F.size("up").alias("depth"), "page_num", "title", F.md5("path").alias("path_hash"), kind.alias("section_type"), F.md5("content").alias("content_hash"), F.length("content").alias("n_chars"))
 
 
+_PREFIXES = ["摘 要：", "结果", "", "3.2讨论", "参考\t文献 "]
+
+
+@_query(f"""WITH raw AS (SELECT doc_id, i - 1 AS pos, l[i] AS line, ['摘 要：', '结果', '', '3.2讨论', '参考' || chr(9) || '文献 '][(i - 1) % 5 + 1] AS prefix
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(translate(text, '#', ' '), chr(10)) AS l FROM documents)))
+SELECT doc_id, pos::INT AS pos, 2::INT AS level, 1::INT AS page_num, regexp_replace(prefix || line, {_STRIP}) AS title FROM raw
+WHERE regexp_replace(line, {_STRIP}) <> '' AND prefix <> '' AND length(regexp_replace(prefix || line, '{_S}+', '', 'g')) < 50""")
+def keyword_headings(t):
+    """Lines of whole documents behind words that make a short line a heading; white space does not count."""
+    prefix = F.element_at(F.array(*map(F.lit, _PREFIXES)), F.col("pos") % 5 + 1)
+    rows = structure.lines(t("documents").withColumn("text", F.translate("text", "#", " ")), "doc_id", "text").withColumn("line", F.concat(prefix, F.col("line")))
+    return structure.headings(rows).filter("level IS NOT NULL").select(F.col("doc").alias("doc_id"), "pos", "level", "page_num", "title")
+
+
+@_query(f"""WITH d AS (SELECT doc_id, translate(text, '#', ' ') AS t FROM documents),
+c AS (SELECT doc_id, regexp_replace(array_to_string(list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, {_STRIP}) <> ''), chr(10)), {_STRIP}) AS content FROM d)
+SELECT doc_id::VARCHAR AS doc, CASE WHEN doc_id % 3 = 2 OR doc_id % 3 = 1 AND content = '' THEN 'empty Markdown' ELSE 'no chunk' END AS error FROM c WHERE doc_id % 3 <> 0 OR length(content) < 10""")
+def documents_without_chunks(t):
+    """Documents with a heading, without one, and blank ones: those of which nothing can be made, and why."""
+    third = F.col("doc_id") % 3
+    text = F.translate("text", "#", " ")
+    docs = t("documents").select(F.col("doc_id").cast("string").alias("doc"), F.when(third == 0, F.concat(F.lit("# Title\n"), text)).when(third == 1, text).otherwise(" \n\t").alias("markdown"))
+    return structure.without_chunks(docs, structure.chunks(docs), "doc", "markdown")
+
+
 @_query("SELECT (role = 'assistant') AS reference, count(*)::BIGINT AS n, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY ALL")
 def ref_para_partition(t):
     kind = F.when(F.col("role") == "assistant", structure.ENTRY).otherwise(structure.BODY)
@@ -435,6 +460,49 @@ def _tasks(t) -> DataFrame:
     return discovery.identified(_named(t("documents")), root="/data")
 
 
+@_query("""SELECT doc_id::VARCHAR AS lngid, CASE WHEN quality = 1 THEN 'success' ELSE 'failure' END AS status, (toxic + 1)::INT AS attempt FROM labels
+WHERE doc_id % 7 <> 3 AND doc_id % 11 <> 5 AND doc_id % 13 <> 1""")
+def status_lines(t):
+    """A log with lines that are cut off, that name no document, and blank ones."""
+    told = F.to_json(F.struct(F.col("doc_id").cast("string").alias("lngid"), F.when(F.col("quality") == 1, "success").otherwise("failure").alias("status"), (F.col("toxic") + 1).alias("attempt"), F.array("quality").alias("other")))
+    line = F.when(F.col("doc_id") % 7 == 3, F.substring(told, 1, 20)).when(F.col("doc_id") % 11 == 5, '{"status":"failure","attempt":1}').when(F.col("doc_id") % 13 == 1, " ").otherwise(told)
+    return files.records(t("labels").select(line.alias("value"))).select("lngid", "status", "attempt")
+
+
+def _only_whole(content: bytes) -> str:
+    """A stand-in for a parser: pages whose article does not end are broken, of the others the text after it counts."""
+    head, end, rest = content.decode().partition("</article>")
+    if not end:
+        raise ValueError("no end of the article")
+    return "" if rest.startswith("<footer>") and len(rest) % 2 else head
+
+
+@_query("""WITH p AS (SELECT page_id, html, strpos(html, '</article>') AS ends FROM pages), q AS (SELECT *, substr(html, ends + 10) AS rest, substr(html, 1, ends - 1) AS head FROM p)
+SELECT page_id, CASE WHEN ends = 0 THEN 'ValueError: no end of the article' WHEN starts_with(rest, '<footer>') AND length(rest) % 2 = 1 OR trim(head) = '' THEN 'empty Markdown' END AS error,
+  CASE WHEN ends > 0 AND NOT (starts_with(rest, '<footer>') AND length(rest) % 2 = 1 OR trim(head) = '') THEN md5(head) END AS hash, 'cpu' AS device FROM q""")
+def parsed_pages(t):
+    """Pages as files: those that a parser fails on, and those that it makes nothing of, are rows with an error."""
+    rows = files.parsed(t("pages").select("page_id", F.col("html").cast("binary").alias("content")), _only_whole)
+    return rows.select("page_id", "error", F.md5("markdown").alias("hash"), "device")
+
+
+def _picky(texts: list[str]) -> list[list[float]]:
+    """A stand-in for a model: over 20 texts at once are too many, and texts with a pipe are refused."""
+    if len(texts) > 20:
+        raise RuntimeError("413")
+    if any("|" in x for x in texts):
+        raise RuntimeError("refused")
+    return embedding.hashed(texts)
+
+
+@_query("""SELECT doc_id, CASE WHEN contains(text, '|') THEN 'refused' END AS vector_error, CASE WHEN NOT contains(text, '|') AND trim(text) <> '' THEN 8 END::INT AS size,
+  CASE WHEN NOT contains(text, '|') AND trim(text) <> '' THEN ('0x' || substr(sha256(text), 1, 2))::INT END AS first FROM documents""")
+def embedded_texts(t):
+    """Whole documents through a model that has its limits: batches shrink, and a text that is refused takes no other along."""
+    rows = embedding.embedded(t("documents").select("doc_id", "text"), _picky)
+    return rows.select("doc_id", "vector_error", F.size("vector").alias("size"), F.round(F.get("vector", F.lit(0)) * 255).cast("int").alias("first")).withColumn("size", F.when(F.col("size") >= 0, F.col("size")))
+
+
 @_query("SELECT d.doc_id, coalesce(quality, -1)::INT AS quality, coalesce(toxic, 0)::INT AS toxic FROM documents d LEFT JOIN labels USING (doc_id)")
 def meta_left_join(t):
     rows = indexes.with_lookup(t("documents").select("doc_id"), t("labels"), "doc_id", "doc_id", {"quality": -1, "toxic": 0})

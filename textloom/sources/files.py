@@ -47,13 +47,18 @@ def stems(rows: DataFrame, path_col: str = "path") -> DataFrame:
     return rows.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("stem")).distinct()
 
 
-def status_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of a log of JSON lines; lines that are broken, or name no document, are skipped."""
+def records(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """The status records of lines of JSON; lines that are blank or broken, or name no document, are skipped."""
     schema = f"{STATUS}, _corrupt_record string"
-    rows = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(folder)
+    told = F.from_json(F.col(line_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = lines.select(told.alias("told")).select("told.*")
     return rows.filter(F.col("_corrupt_record").isNull() & F.col("lngid").isNotNull()).drop("_corrupt_record")
 
 
+def status_log(spark: SparkSession, folder: str) -> DataFrame:
+    return records(spark.read.text(folder))
+
+
 def as_text(content: bytes) -> str:
     """A stand-in for a parser: the bytes as UTF-8."""
     return content.decode("utf-8")
