@@ -16,7 +16,7 @@ from textloom.operators import attempts, discovery, embedding, indexes, metrics,
 from textloom.operators.numbering import numbered
 from textloom.plans.ingestion import Ingestion, convert
 from textloom.sources import bulk, files, metadata, parsers, sinks, upserts
-from textloom.streaming import ingest, stateful
+from textloom.streaming import ingest, progress, stateful
 
 DOC = "# 标题\nThis is the text of the first section.\n## Results\nMore text. Even more text。\n# References\n[1] A first entry. [2] A second.\n"
 
@@ -196,9 +196,20 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     for k in range(3):
         (tmp_path / "in" / f"{k}.pdf").write_text(DOC)
     job = Ingestion(str(tmp_path / "in"), str(tmp_path / "out"), parser=parser)
+    told: list[str] = []
+    listener = progress.Progress(tell=told.append)
+    spark.streams.addListener(listener)
     for _ in range(2):
         query = ingest.ingest(spark, job, meta(spark), str(tmp_path / "cp"), 2)
         query.awaitTermination()
+        for _ in range(100):  # a listener hears of it a little later
+            if told and "batches" in told[-1]:
+                break
+            time.sleep(0.1)
+        assert told[-1] == ("3 files in 2 batches" if len(told) > 1 else "0 files in 0 batches")
+        assert len(told) == 1 or [x.split(",")[0] for x in told[:-1]] == ["2 files begun", "3 files begun"]
+        told.clear()
+    spark.streams.removeListener(listener)
     row = job.finish(spark).first()
     assert (row.success, row.parse_failures) == (3, 0)
     status = files.status_log(spark, str(tmp_path / "out" / "status"))

@@ -8,7 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from textloom.operators import discovery
 from textloom.plans.ingestion import Ingestion
-from textloom.streaming import stateful
+from textloom.streaming import progress, stateful
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -18,10 +18,10 @@ def ingest(spark: SparkSession, job: Ingestion, meta: DataFrame, checkpoint: str
     again after a failure writes the same versions again.
 
     The stream is of paths: the state knows the ids that were begun, from the status log at the stream's start and from its own batches,
-    and only files that are to be done are opened. ``job.finish`` sums up the log once the stream is done.
+    and only files that are to be done are opened. A :class:`textloom.streaming.progress.Progress` tells how far it is. ``job.finish`` sums up the log once the stream is done.
     """
     arriving = (
         spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", job.pattern).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(job.input).select("path")
     )
-    todo = stateful.begun_once(discovery.identified(arriving, root=job.input), job.status(spark), job.max_attempts)
+    todo = progress.observed(stateful.begun_once(discovery.identified(arriving, root=job.input), job.status(spark), job.max_attempts))
     return todo.writeStream.foreachBatch(lambda batch, number: job.run(spark, meta, number, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
