@@ -57,6 +57,8 @@ def test_run_twice_and_resume(spark, tmp_path):
     details = spark.read.json(f"{out}/errors").filter("error LIKE 'ValueError%'").collect()
     assert len(details) == 2 and all("Traceback" in r.traceback and "no such format" in r.traceback for r in details)
     assert {r._id for r in sinks.read_index(spark, f"{out}/index").collect()} == first
+    job.compact(spark)
+    assert {r._id for r in sinks.read_index(spark, f"{out}/index").collect()} == first and not list((out / "index").glob("version=*"))
     assert len(list((out / "failed").glob("*.csv"))) > 0
     for name, fields in indexes.FIELDS.items():
         rows = indexes.of_index(sinks.read_index(spark, f"{out}/index"), name)
@@ -279,6 +281,13 @@ def test_stream_begins_each_id_once(spark, tmp_path):
     assert sorted(tasks) == [("1", "1.pdf", 1), ("4", "4.pdf", 2)] and any(r.path.endswith("b/1.pdf") for r in spark.read.parquet(f"{tmp_path}/out/tasks").collect())
     row = job.finish(spark).first()
     assert (row.success, row.parse_failures, row.retries) == (3, 2, 2)
+    # a run after the stream, and a stream after that, take new versions
+    (tmp_path / "in" / "9.pdf").write_text(DOC)
+    assert job.run(spark, meta(spark)).first().submitted == 1
+    (tmp_path / "in" / "10.pdf").write_text(DOC)
+    ingest.ingest(spark, job, meta(spark), str(tmp_path / "cp2"), 100).awaitTermination()
+    assert {r.file_id for r in sinks.read_index(spark, job.at("index")).collect()} == {"1", "4", "9", "10"}
+    assert job.first_version(spark, str(tmp_path / "cp")) < job.first_version(spark, str(tmp_path / "cp2"))
 
 
 def test_streamed_rates(spark, data):
@@ -486,3 +495,5 @@ def test_slots_and_arguments():
             discovery.slots_of(*bad)
     with pytest.raises(ValueError):
         Ingestion("a", "b", max_attempts=0)
+    with pytest.raises(ValueError):
+        Ingestion("a", "b", paragraphs="page")

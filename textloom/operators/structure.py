@@ -56,6 +56,7 @@ TYPES = (
     ("展望", ("展望", "未来工作", "future work")),
 )
 BODY = "正文"
+PARAGRAPHS = ("section", "blank_line")
 REFERENCES, ENTRY = "参考文献", "参考文献条目"
 
 
@@ -204,8 +205,8 @@ def chunks(docs: DataFrame, doc_col: str = "doc", text_col: str = "markdown", st
     Sections with parsed references give their entries and nothing below them; others their text, long ones in pieces. ``paragraphs``:
     "section", one a section, or "blank_line", parted by blank lines. ``strict_refs``: see :func:`strict_entries`.
     """
-    if paragraphs not in ("section", "blank_line"):
-        raise ValueError(f"paragraphs are 'section' or 'blank_line', not {paragraphs!r}")
+    if paragraphs not in PARAGRAPHS:
+        raise ValueError(f"paragraphs are one of {PARAGRAPHS}, not {paragraphs!r}")
     found = sections(headings(lines(docs, doc_col, text_col)), strict_refs, paragraphs == "blank_line")
     above = F.slice("up", 1, F.greatest(F.size("up") - 1, F.lit(0)))
     found = found.filter(~F.exists(above, lambda x: x["entries"] > 0))

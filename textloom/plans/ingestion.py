@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from textloom.functions import text as X
 from textloom.operators import discovery, embedding, indexes, metrics, packing, structure
 from textloom.sources import files, parsers, sinks
+from textloom.sources.upserts import Upserts
+
+#: Versions that a stream may take.
+_BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -19,7 +23,7 @@ class Ingestion:
 
     parser: bytes to Markdown, at most ``timeout`` seconds a file (0: no limit); model: texts to vectors; send: the body of a bulk
     request to its answer, if the documents are to go to a search service as well, under ``prefix`` and the index's name. learned: the
-    size of batches that the model takes, kept from run to run.
+    size of batches that the model takes, kept from run to run. strict_refs, paragraphs: see :func:`textloom.operators.structure.chunks`.
     """
 
     input: str
@@ -35,6 +39,8 @@ class Ingestion:
     files_at_once: int = 20_000
     fragment_size: int = X.MAX_FRAGMENT
     learned: embedding.Learned | None = None
+    strict_refs: bool = False
+    paragraphs: str = "section"
 
     def __post_init__(self):
         for name in ("max_attempts", "files_at_once", "fragment_size"):
@@ -43,6 +49,8 @@ class Ingestion:
         for name in ("limit", "timeout"):
             if getattr(self, name) < 0:
                 raise ValueError(f"{name} must not be negative")
+        if self.paragraphs not in structure.PARAGRAPHS:
+            raise ValueError(f"paragraphs are one of {structure.PARAGRAPHS}")
 
     def at(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"
@@ -58,6 +66,20 @@ class Ingestion:
     def status(self, spark: SparkSession) -> DataFrame:
         return self._there(spark, lambda: discovery.last_status(files.status_log(spark, self.at("status"))), files.STATUS)
 
+    def _last(self, spark: SparkSession) -> int:
+        return self._there(spark, lambda: spark.read.parquet(self.at("tasks")), "version int").agg(F.max("version")).first()[0] or 0
+
+    def first_version(self, spark: SparkSession, stream: str) -> int:
+        """Where the versions of a stream's batches begin: after all that were there when it first started, the same whenever it starts again.
+        Runs and streams take turns; none writes while another one does."""
+        rows = self._there(spark, lambda: spark.read.schema("stream string, first int").json(self.at("streams")), "stream string, first int")
+        known = rows.filter(F.col("stream") == stream).first()
+        if known:
+            return known.first
+        first = (self._last(spark) // _BLOCK + 1) * _BLOCK
+        spark.createDataFrame([(stream, first)], "stream string, first int").write.mode("append").json(self.at("streams"))
+        return first
+
     def _written(self, spark: SparkSession, rows: DataFrame, name: str, version: int, mode: str = "overwrite") -> DataFrame:
         """What is dear, or has to stay as it is, is written before anything is made of it."""
         where = self.at(f"{name}/version={version}")
@@ -71,7 +93,8 @@ class Ingestion:
         :meth:`finish`. ``version``: one more than the last, unless told; the same one again replaces what it wrote.
         """
         if version is None:
-            version = (self._there(spark, lambda: spark.read.parquet(self.at("tasks")), "version int").agg(F.max("version")).first()[0] or 0) + 1
+            last = self._last(spark)
+            version = last + 1 if last < _BLOCK else (last // _BLOCK + 1) * _BLOCK
         streamed, seen = todo is not None, metrics.Observed()
         if streamed:
             marked = todo.withColumns({"files": F.lit(1).cast("long"), "todo": F.lit(True)})
@@ -85,7 +108,7 @@ class Ingestion:
             parsed, mode = self._written(spark, seen.counting(told, metrics.PARSING), "parsed", version, mode), "append"
         if parsed is None:
             parsed = self._written(spark, files.parsed(todo.withColumn("content", F.lit(b"")), self.parser), "parsed", version)
-        chunks = self._written(spark, structure.chunks(parsed.filter("error IS NULL"), "lngid", "markdown"), "chunks", version)
+        chunks = self._written(spark, structure.chunks(parsed.filter("error IS NULL"), "lngid", "markdown", self.strict_refs, self.paragraphs), "chunks", version)
         made = indexes.documents(chunks, meta, self.model, self.fragment_size, self.learned)
         made = self._written(spark, seen.counting(made, metrics.indexing(indexes.INDEXES)), "made", version)
         sinks.write_index(indexes.with_vector(made).drop("vector_error"), self.at("index"), version)
@@ -106,6 +129,12 @@ class Ingestion:
         sinks.write_summary(summary, self.at("summary"))
         return spark.read.schema(summary.schema).json(self.at("summary"))
 
+    def compact(self, spark: SparkSession) -> None:
+        """Merges the versions of the index into its base and removes what that replaces; for times at which nobody reads or writes it."""
+        table = Upserts(self.at("index"))
+        table.compact(spark)
+        table.vacuum(spark)
+
     def _tell(self, spark: SparkSession, parsed: DataFrame, rows: DataFrame, bulk: DataFrame | None) -> None:
         """A record for each file: success only for documents that are in the index with all their texts."""
         made = rows.groupBy(F.col("file_id").alias("id")).agg(F.first("vector_error", ignorenulls=True).alias("refused"))

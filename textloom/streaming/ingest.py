@@ -24,4 +24,5 @@ def ingest(spark: SparkSession, job: Ingestion, meta: DataFrame, checkpoint: str
         spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", job.pattern).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(job.input).select("path")
     )
     todo = progress.observed(stateful.begun_once(discovery.identified(arriving, root=job.input), job.status(spark), job.max_attempts))
-    return todo.writeStream.foreachBatch(lambda batch, number: job.run(spark, meta, number, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    first = job.first_version(spark, checkpoint)
+    return todo.writeStream.foreachBatch(lambda batch, number: job.run(spark, meta, first + number, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
