@@ -205,6 +205,62 @@ def test_very_long_texts():
     assert [x[:3] for x in pii.find("0" * 5000 + "1.1.2.3")] == [("ip", 0, 5007)]
 
 
+def plain_matches(items, text):
+    """(hit words, items with windows, words of the longest common stretch with a window) by holding all places against all."""
+    words, hit, found, longest = re.findall(r"[a-z0-9]+", text), set(), set(), 0
+    for k, item in items:
+        theirs = re.findall(r"[a-z0-9]+", item)
+        window = min(len(theirs), decontam.WINDOW)
+        for a in range(len(words)):
+            for b in range(len(theirs)):
+                n = 0
+                while a + n < len(words) and b + n < len(theirs) and words[a + n] == theirs[b + n]:
+                    n += 1
+                if window and n >= window:
+                    hit |= set(range(a, a + n))
+                    found.add(k)
+                    longest = max(longest, n)
+    return len(words), hit, found, longest
+
+
+def test_matches_by_brute_force():
+    """Few words, phrases that texts and items repeat, items below a window, and one word again and again."""
+    random.seed(5)
+    for turn in range(60):
+        words = [f"w{k}" for k in range(random.choice([1, 2, 5, 60]))]
+        say = lambda n: " ".join(random.choices(words, k=n))  # noqa: E731, B023
+        phrases = [say(n) for n in (3, 9, 10, 11, 25)]
+        piece = lambda: random.choice([*phrases, say(1), say(4)])  # noqa: E731, B023
+        items = [(k, " ".join(piece() for _ in range(random.choice([0, 1, 2, 6])))) for k in range(8)]
+        texts = [" ".join(piece() for _ in range(random.choice([0, 1, 3, 10]))) for _ in range(5)]
+        counts, found = decontam.Block(items).matches([t.encode() for t in texts])
+        for text, n, told in zip(texts, counts.tolist(), found):
+            hit = {w for m in told for w in range(m[2], m[2] + m[3])}
+            assert (n, hit, {m[0] for m in told}, max((m[3] for m in told), default=0)) == plain_matches(items, text), turn
+            for k, b, a, size in told:
+                assert re.findall(r"\w+", dict(items)[k])[b : b + size] == re.findall(r"\w+", text)[a : a + size]
+
+
+def test_matches_of_repeated_phrases_are_few():
+    """A phrase that text and item repeat, each time before another word, is one match a place and not one a pair of places."""
+    phrase = " ".join(f"p{k}" for k in range(12))
+    item, text = (" ".join(f"{phrase} {x}{k}" for k in range(5000)) for x in "uv")
+    _, (found,) = limited(20, decontam.Block([(1, item)]).matches, [text.encode()])
+    assert len(found) == 5000 and {m[3] for m in found} == {12}
+
+
+def test_texts_that_share_their_vocabulary_with_the_benchmark():
+    """A shared vocabulary alone is no work: only windows of items are sorted."""
+    random.seed(6)
+    words = [f"w{k}" for k in range(3000)]
+    items = [(k, " ".join(random.choices(words, k=90))) for k in range(1000)]
+    block = decontam.Block(items)
+    texts = [" ".join(random.choices(words, k=1000)) for _ in range(400)]
+    texts[7] += " " + items[3][1]
+    _, found = limited(20, block.matches, [t.encode() for t in texts])
+    assert [(t, m) for t, x in enumerate(found) for m in x] == [(7, (3, 0, 1000, 90))]
+
+
 def test_very_long_rows_through_spark(spark):
     rows = [(1, "word " * 200_000), (2, "word " * 200_000), (3, " ".join(f"w{k}" for k in range(150_000)))]
     out = {r.doc_id: r for r in substrings.with_kept(spark.createDataFrame(rows, DOCS)).collect()}

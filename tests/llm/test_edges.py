@@ -174,8 +174,8 @@ def test_decontamination_finds_longest_matches(spark):
     item = " ".join(f"q{k}" for k in range(30))
     items = spark.createDataFrame([(1, item), (2, "short one"), (3, None), (4, "!!"), (5, item.upper())], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x " + " ".join(f"Q{k}" for k in range(5, 25)) + " y"), (2, "a short, one; b"), (3, " ".join(f"q{k}" for k in range(9))), (4, None)], "doc_id long, text string")
-    for size in (1 << 20, 64):  # one block of items, and several
-        rows = {r.doc_id: r for r in decontam.summary(docs, items, block_bytes=size).collect()}
+    for size, sent in ((1 << 20, 1 << 20), (64, 1 << 20), (64, 128)):  # one block of items, several, and not all of them sent at once
+        rows = {r.doc_id: r for r in decontam.summary(docs, items, block_bytes=size, sent_bytes=sent).collect()}
         assert (rows[1].n_words, rows[1].n_hit, rows[1].items, rows[1].longest) == (22, 20, "1,5", 20)
         assert (rows[2].n_hit, rows[2].items) == (2, "2") and not rows[3].contaminated and rows[4].n_words == 0
 
