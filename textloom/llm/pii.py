@@ -9,9 +9,11 @@ still missing once t is known is -log2(documents(e, t) / documents(t)) bits. A t
 Pairs seen in fewer than ``MIN_TEXTS`` different texts say nothing, so copies of one text do not make a term. In the documents
 in which it stands with the entity, every occurrence of a disclosing term goes.
 
-Counts are taken in Spark: entities of fewer than ``MIN_TEXTS`` texts have no pair that counts and are left out first, equal
-texts are one row with their number, pairs are summed by (entity, term) before and after the shuffle, terms of all documents
-by batch first and then by term. What is joined are lists per text, not pairs of documents, so an entity in a third of all
+Counts are taken in Spark: entities and terms of fewer than ``MIN_TEXTS`` texts have no pair that counts and are left out first,
+equal texts are one row with their number, pairs are summed by (entity, term) before and after the shuffle, terms of all
+documents by batch first and then by term. A term that stands in more documents than can be disclosing is left out before any
+pair is made, for all entities or for the rarer ones: common words meet no entity of a few texts, so a long list of contacts
+makes pairs with its rare words only. What is joined are lists per text, not pairs of documents, so an entity in a third of all
 documents costs rows in proportion to the words of their texts.
 
 Defined cases: null or empty text has no spans; ids are not used, so repeated rows and null ids get what their text gets;
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import cut, slices
+from textloom.llm.common import cut, slices, small
 
 #: Kinds of the patterns in order; terms come after them.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -137,7 +139,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 0):
         times: Counter[str] = Counter()
         for text in batch.column(0).to_pylist():
-            times.update(set(_WORD.findall((text or "").lower())))
+            times.update({word.lower() for word in set(_WORD.findall(text or ""))})  # as in terms_beside: a sigma's form depends on what is beside it
         yield pa.RecordBatch.from_arrays([pa.array(times.keys(), pa.string()), pa.array(times.values(), pa.int64())], names=["term", "documents"])
 
 
@@ -147,17 +149,24 @@ def disclosing(docs: DataFrame, text_col: str = "text") -> DataFrame:
     rows = texts.mapInArrow(_entities, "key binary, entities array<string>")
     rows = cut(rows.groupBy("key").agg(F.first("entities").alias("entities"), F.count(F.lit(1)).alias("n")))
     each = rows.select("key", "n", F.explode("entities").alias("entity"))
-    recurring = each.groupBy("entity").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= MIN_TEXTS)
-    wanted = cut(each.join(cut(recurring.select("entity")), "entity", "left_semi").groupBy("key").agg(F.collect_list("entity").alias("entities"), F.first("n").alias("n")))
+    recurring = each.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("of")).filter(F.col("texts") >= MIN_TEXTS)
+    wanted = each.join(cut(recurring.select("entity", "of")), "entity").groupBy("key")
+    wanted = cut(wanted.agg(F.collect_list(F.struct("entity", "of")).alias("entities"), F.first("n").alias("n")))
     terms = texts.join(wanted.select("key"), "key", "left_semi").mapInArrow(_terms, "key binary, terms array<string>").groupBy("key").agg(F.first("terms").alias("terms"))
     rows = cut(wanted.join(terms, "key"))
-    together = rows.select("key", "n", "terms", F.explode("entities").alias("entity")).select("key", "n", "entity", F.explode("terms").alias("term"))
-    pairs = together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together"))
-    pairs = cut(pairs.filter(F.col("texts") >= MIN_TEXTS))
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_term_counts, "term string, documents long")
-    known = pairs.join(counts.groupBy("term").agg(F.sum("documents").alias("documents")), "term")
+    # a term in over documents(e) * 2 ** GENERALISE_BITS documents discloses no entity e: such pairs are not made
+    most = 2**GENERALISE_BITS * (1 + 1e-9)
+    stands = rows.select("key", "n", F.explode("terms").alias("term"))
+    beside = stands.groupBy("term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("beside")).filter(F.col("texts") >= MIN_TEXTS)
+    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_term_counts, "term string, documents long").groupBy("term").agg(F.sum("documents").alias("documents"))
+    able = cut(counts.join(beside, "term").filter(F.col("documents") <= F.col("beside") * most).select("term", "documents"))
+    slim = stands.join(small(able), "term").groupBy("key").agg(F.collect_list(F.struct("term", "documents")).alias("terms"))
+    rows = cut(rows.drop("terms").join(slim, "key"))
+    together = rows.select("key", "n", "terms", F.inline("entities")).select("key", "n", "entity", F.inline(F.filter("terms", lambda t: t["documents"] <= F.col("of") * most)))
+    pairs = together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together"), F.first("documents").alias("documents"))
     bits = -F.log2(F.least(F.col("together") / F.col("documents"), F.lit(1.0)))
-    strong = cut(known.withColumn("bits", bits).filter(F.col("bits") <= GENERALISE_BITS).select(F.col("entity").alias("e"), F.col("term").alias("t"), "bits"))
+    strong = pairs.filter(F.col("texts") >= MIN_TEXTS).withColumn("bits", bits).filter(F.col("bits") <= GENERALISE_BITS)
+    strong = cut(strong.select(F.col("entity").alias("e"), F.col("term").alias("t"), "bits"))
     hits = together.join(strong, (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
     hits = hits.groupBy("key", "term").agg(F.min("bits").alias("bits"))
     return cut(hits.groupBy("key").agg(F.collect_list(F.struct("term", "bits")).alias("terms")))
