@@ -9,9 +9,10 @@ import re
 import time
 from collections import Counter, defaultdict
 
+import numpy as np
 from test_contracts import personal
 
-from textloom.llm import decontam, html as pages, licenses, pii, substrings
+from textloom.llm import decontam, html as pages, licenses, neardup, pii, substrings
 
 DOCS = "doc_id long, text string"
 
@@ -141,7 +142,7 @@ def naive_terms(texts):
     times = Counter(texts)
     stands = Counter()
     for t in texts:
-        stands.update(set(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}", t.lower())))
+        stands.update({w.lower() for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}", t)})
     in_texts, together = Counter(), Counter()
     for t, some in things.items():
         for e in some:
@@ -183,6 +184,20 @@ def test_disclosure_by_brute_force(spark):
     assert not any(name in r.masked for r in out for name in ("Marguerite", "Olaf") if any(x.kind != "term" for x in r.spans) and name.lower() in expected.get(r.text, {}))
 
 
+def test_terms_are_told_from_common_words(spark):
+    """A list of contacts among many words makes pairs with what few texts have; sigmas and apostrophes are one term in counts and pairs."""
+    random.seed(3)
+    common = [f"common{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(300)]
+    texts = [" ".join(random.choices(common, k=200)) for _ in range(60)]
+    texts += [f"{' '.join(random.choices(common, k=200))} Ὀδυσσεύς'x Okonkwo writes to n.okonkwo@example.org {k}" for k in range(5)]
+    texts += [" ".join(f"u{a}{b}@list.example {common[(ord(a) * 7 + b) % 300]}" for a in "abcdefghij" for b in range(20)) + f" note {k}" for k in range(4)]
+    out = {r.text: [r.text[x.start : x.end] for x in r.spans if x.kind == "term"] for r in pii.sanitised(spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3)).collect()}
+    expected = naive_terms(texts)
+    for text, words in out.items():
+        assert {w.lower() for w in words} == set(expected.get(text, {}))
+    assert all({"Ὀδυσσεύς", "Okonkwo", "writes"} <= set(out[t]) for t in texts[60:65])
+
+
 def limited(seconds, f, *args):
     began = time.time()
     out = f(*args)
@@ -261,6 +276,25 @@ def test_texts_that_share_their_vocabulary_with_the_benchmark():
     assert [(t, m) for t, x in enumerate(found) for m in x] == [(7, (3, 0, 1000, 90))]
 
 
+def test_blocks_of_long_documents_are_taken_apart(monkeypatch):
+    """Every two documents of a block of which one is of the few meet in a tile, and no tile has more than two parts."""
+    monkeypatch.setattr(neardup, "TILE", 100)
+    random.seed(12)
+    for _ in range(50):
+        rows = [(b, k < few, n) for b in range(4) for few in [random.choice([0, 1, 3, 20])] for k, n in enumerate(random.choices([5, 30, 99, 100, 101, 450], k=random.choice([1, 2, 20])))]
+        block, few, n = (np.array(x) for x in zip(*rows))
+        doc = np.arange(len(rows))
+        tiles = list(zip(*(x.tolist() for x in neardup._tiles(block, doc, few, doc * 10, n))))
+        wanted = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if block[i] == block[j] and (few[i] or few[j])}
+        by = defaultdict(list)
+        for b, d, f, c in tiles:
+            assert f == few[d] and c == 10 * d
+            by[b].append(d)
+        met = {(i, j) for x in by.values() for i in x for j in x if i < j}
+        assert wanted <= met and all(block[i] == block[j] for i, j in met)
+        assert all(sum(n[x]) <= 200 + sum(sorted(n[x])[-2:]) and len(set(x)) == len(x) for x in by.values())
+
+
 def test_very_long_rows_through_spark(spark):
     rows = [(1, "word " * 200_000), (2, "word " * 200_000), (3, " ".join(f"w{k}" for k in range(150_000)))]
     out = {r.doc_id: r for r in substrings.with_kept(spark.createDataFrame(rows, DOCS)).collect()}

@@ -12,6 +12,7 @@ two or more documents are worked on:
   each, which is worked on in the same way.
 
 A comparison has two steps, both within blocks that have all their documents in one task and no more than twice ``LEAF``.
+Blocks of long documents are taken apart for the second step, so that a task holds two parts of ``TILE`` shingles at once.
 First tokens: which documents of the block have a partner of another component that agrees in at least ``SKETCH`` tokens?
 A pair that meets in several roots counts in the first of them only. The rest goes no further. Then the full sets of those
 documents are brought to the block, once each, and counted there exactly; what leaves a block are the links that join two
@@ -53,6 +54,8 @@ BRANCH = 1.5
 #: Levels that a node branches at once, before its children are looked at.
 STEPS = 4
 MAX_LEVELS = 60
+#: Shingles of the documents of a block that are one part of it; more parts are compared two at a time.
+TILE = 1 << 21
 #: Bytes of text that are hashed at once, and pairs whose tokens are compared at once.
 CHUNK, PAIRS = 1 << 20, 1 << 15
 
@@ -165,7 +168,35 @@ def _candidates(table: pa.Table) -> pa.RecordBatch:
         meet = same & ((roots[i][:, None] >> np.arange(TREES)) & 1).astype(bool)
         here = (root[i] < 0) | ~meet.any(axis=1) | (meet.argmax(axis=1) == root[i])
         hit[i[here]] = hit[j[here]] = True
-    return pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (block, doc, few, comp)], names=["block", "doc", "few", "comp"])
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in _tiles(block[hit], doc[hit], few[hit], comp[hit], n[hit])], names=["block", "doc", "few", "comp"])
+
+
+def _tiles(block: np.ndarray, doc: np.ndarray, few: np.ndarray, comp: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(block, doc, few, comp), where a block with more than TILE shingles is a block for each two of its parts of so many.
+
+    A document with more is a part of its own. Parts of which none has any of the few are not compared with each other.
+    """
+    if not len(block):
+        return block, doc, few, comp
+    start, end = _bounds(block)
+    before = np.cumsum(n) - n
+    before -= before[start]
+    part = before // TILE
+    part = np.cumsum(np.concatenate(([True], (part[1:] != part[:-1]) | (start[1:] != start[:-1]))))
+    part -= part[start]  # numbers in a row, although a long document may leave some out
+    parts = part[end - 1] + 1
+    if parts.max() == 1:
+        return block, doc, few, comp
+    # the few come first, so theirs are the first parts
+    with_few = np.maximum.reduceat(np.where(few, part, -1), np.unique(start))[np.searchsorted(np.unique(start), start)]
+    row = np.repeat(np.arange(len(block)), parts)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+    low, high = np.minimum(part[row], other), np.maximum(part[row], other)
+    # a part alone is in each of its pairs
+    wanted = (parts[row] == 1) | (low != high) & (low <= with_few[row])
+    row, low, high = row[wanted], low[wanted].astype(np.uint64), high[wanted].astype(np.uint64)
+    named = mix(mix(mix(block[row].view(np.uint64)) + low) + high).view(np.int64)
+    return np.where(parts[row] == 1, block[row], named), doc[row], few[row], comp[row]
 
 
 def _links(table: pa.Table) -> pa.RecordBatch:
