@@ -198,6 +198,38 @@ def test_terms_are_told_from_common_words(spark):
     assert all({"Ὀδυσσεύς", "Okonkwo", "writes"} <= set(out[t]) for t in texts[60:65])
 
 
+#: Sentences of licenses as these have them, and what they are.
+SENTENCES = [
+    ("You must cause the modified files to carry prominent notices stating that you changed the files and the date of any change.", "gpl-2.0"),
+    ("you have permission to link or combine any covered work with a work licensed under version 3 of the GNU Affero General Public License into a single combined work", "gpl-3.0"),
+    ("your modified version must prominently offer all users interacting with it remotely through a computer network (if your version supports it)", "agpl-3.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl-2.0"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "epl-2.0"),
+    ("The Software shall be used for Good, not Evil.", "json"),
+    ("Except as contained in this notice, the name of a copyright holder shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software", "curl"),
+    ("Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee is hereby granted, provided that the above copyright notice appear in all copies", "hpnd"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\"", "mit-0"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, subject to the following conditions", "mit"),
+    ("3. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.", "zlib"),
+    ("4. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n4. The name of the author may not be used to endorse or promote products", "bzip2"),
+    ("Affirmer hereby overtly, fully, permanently, irrevocably and unconditionally waives, abandons, and surrenders all of Affirmer's Copyright and Related Rights", "cc0-1.0"),
+    ("The code was placed in the public domain in 1999", "public-domain"),
+    ("the grant of rights under the License will not include, and the License does not grant to you, the right to Sell the Software.", "commons-clause"),
+    ("You may not provide the software to third parties as a hosted or managed service, where the service provides users with access to any substantial set of the features or functionality of the software.", "elastic-2.0"),
+    ("If we meet some day, and you think this stuff is worth it, you can buy me a beer in return.", "beerware"),
+    ("Permission is hereby granted, free of charge, subject to the following condition, to any person obtaining a copy of this software, associated documentation and/or data", "upl-1.0"),
+    ("Neither the Font Software nor any of its individual components, in Original or Modified Versions, may be sold by itself", "ofl-1.1"),
+    ("If you remix, transform, or build upon the material, you may not distribute the modified material.", "cc-nd"),
+    ("This file is free software; the Free Software Foundation gives unlimited permission to copy and/or distribute it, with or without modifications, as long as this notice is preserved.", "fsfullr"),
+    ("No part of this publication may be reproduced, stored in a retrieval system, or transmitted in any form or by any means", "all-rights-reserved"),
+    ("The patient was released into the garden; the notes are in good order and nothing in this text is a license.", ""),
+]
+
+
+def test_sentences_of_licenses_by_hand():
+    assert [(text, licenses.scan(f"Intro words. {text} More words.")["labels"]) for text, _ in SENTENCES] == [(text, [label] if label else []) for text, label in SENTENCES]
+
+
 def limited(seconds, f, *args):
     began = time.time()
     out = f(*args)

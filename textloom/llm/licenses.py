@@ -148,6 +148,111 @@ SIGNATURES = [
     ("apache-2.0", 70, "unless required by applicable law", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
     ("unlicense", 96, "free and unencumbered", "this is free and unencumbered software released into the public domain"),
     ("wtfpl", 96, "you just do what", "you just do what the fuck you want to"),
+    # copyleft of the GNU family, by their bodies
+    ("gpl-1.0", 60, "general public license applies to any program", "this general public license applies to any program or other work which contains a notice placed by the copyright holder saying it may be distributed under the terms of this general public license"),
+    ("gpl-2.0", 60, "modified files to carry prominent notices", "you must cause the modified files to carry prominent notices stating that you changed the files and the date of any change"),
+    ("gpl-2.0", 60, "derived from the program or any part thereof", "you must cause any work that you distribute or publish that in whole or in part contains or is derived from the program or any part thereof to be licensed as a whole at no charge to all third parties"),
+    ("gpl-3.0", 99, "work licensed under version 3 of the gnu affero", "permission to link or combine any covered work with a work licensed under version 3 of the gnu affero general public license into a single combined work"),
+    ("agpl-3.0", 99, "work licensed under version 3 of the gnu general", "permission to link or combine any covered work with a work licensed under version 3 of the gnu general public license into a single combined work"),
+    ("lgpl", 60, "work that uses the library", "a program that contains no derivative of any portion of the library but is designed to work with the library by being compiled or linked with it is called a work that uses the library"),
+    ("lgpl-3.0", 60, "an application is any work that makes use", "an application is any work that makes use of an interface provided by the library but which is not otherwise based on the library"),
+    ("agpl-3.0", 62, "remotely through a computer network", "your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("sspl-1.0", 62, "make the functionality of the program", "if you make the functionality of the program or a modified version available to third parties as a service you must make the service source code available"),
+    ("gfdl", 60, "invariant sections", "with no invariant sections(?: with)? no front cover texts and(?: with)? no back cover texts"),
+    ("gfdl", 60, "modified version of the document under the conditions", "you may copy and distribute a modified version of the document under the conditions of sections 2 and 3"),
+    # weaker copyleft
+    ("mpl-1.1", 60, "initial developer hereby grants you a world wide", "the initial developer hereby grants you a world wide royalty free non exclusive license subject to third party intellectual property claims"),
+    ("mpl-2.0", 97, "source code form is subject to the terms", r"this source code form is subject to the terms of the mozilla public license v 2 0(?: if a copy of the mpl was not distributed with this file you can obtain one at(?: [^ ]+){1,6})?"),
+    ("mpl-2.0", 60, "incompatible with secondary licenses", "this source code form is incompatible with secondary licenses"),
+    ("mpl-2.0", 60, "distribution of covered software in source code form", "all distribution of covered software in source code form including any modifications that you create or to which you contribute must be under the terms of this license"),
+    ("epl-2.0", 97, "accompanying materials are made available under the terms", r"this program and the accompanying materials are made available under the terms of the eclipse public license (?:v|version )?2 0(?: which (?:is available|accompanies)(?: [^ ]+){1,12})?"),
+    ("epl-1.0", 97, "accompanying materials are made available under the terms", r"this program and the accompanying materials are made available under the terms of the eclipse public license (?:v|version )?1 0(?: which (?:is available|accompanies)(?: [^ ]+){1,12})?"),
+    ("cddl-1.0", 60, "covered software", "any covered software that you distribute or otherwise make available in executable form must also be made available in source code form and that source code form must be distributed only under the terms of this license"),
+    ("eupl", 60, "european union public licence", "the european union public licence applies to the work as defined below which is provided under the terms of this licence"),
+    ("osl-3.0", 90, "open software license version 3 0", "licensed under the open software license version 3 0"),
+    ("afl-3.0", 90, "academic free license version 3 0", "licensed under the academic free license version 3 0"),
+    ("cecill-2.1", 80, "cecill", "(?:licence|license|governed by the) cecill(?: license)?(?: v| version)? ?2 1"),
+    ("ms-pl", 90, "microsoft public license", "microsoft public license(?: ms pl)?"),
+    ("ms-rl", 90, "microsoft reciprocal license", "microsoft reciprocal license(?: ms rl)?"),
+    ("ms-rl", 60, "reciprocal grants", "reciprocal grants for any file you distribute that contains code from the software in source code or binary format you must provide recipients the source code to that file along with a copy of this license"),
+    ("lppl-1.3c", 90, "latex project public license", "conditions of the latex project public license either version 1 3c? of this license or at your option any later version"),
+    ("qpl-1.0", 90, "q public license", "(?:the )?q public license(?: version)?(?: 1 0)?"),
+    # permissive grants
+    ("apache-2.0", 60, "perpetual worldwide non exclusive no charge", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of"),
+    ("apache-2.0", 60, "notice text file", "if the work includes a notice text file as part of its distribution then any derivative works that you distribute must include a readable copy of the attribution notices"),
+    ("apache-2.0", 97, "you may not use this file except in compliance", r"licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license(?: you may obtain a copy of the license at https? www apache org licenses license 2 0)?"),
+    ("apache-1.1", 60, "apache software foundation", "this product includes software developed by the apache software foundation"),
+    ("apache-1.1", 62, "products derived from this software may not be called apache", "products derived from this software may not be called apache nor may apache appear in their name"),
+    ("mit-0", 97, "hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided as is"),
+    ("x11", 72, "name of the x consortium shall not be used", "the name of the x consortium shall not be used in advertising or otherwise to promote the sale use or other dealings in this software"),
+    ("json", 98, "used for good not evil", "the software shall be used for good not evil"),
+    ("curl", 97, "name of a copyright holder shall not be used", "except as contained in this notice the name of a copyright holder shall not be used in advertising or otherwise to promote the sale use or other dealings in this software"),
+    ("hpnd", 96, "without fee is hereby granted provided that", "permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted provided that the above copyright notice appear in all copies"),
+    ("icu", 60, "furnished to do so provided that", "to permit persons to whom the software is furnished to do so provided that the above copyright notice s and this permission notice appear in all copies of the software"),
+    ("unicode", 97, "unicode data files", "permission is hereby granted free of charge to any person obtaining a copy of the unicode data files"),
+    ("unicode", 97, "data files and any associated documentation", "permission is hereby granted free of charge to any person obtaining a copy of data files and any associated documentation"),
+    ("w3c", 90, "w3c", "w3c (?:software notice and license|software and document (?:notice and )?license)"),
+    ("boost", 60, "machine executable object code", "unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor"),
+    ("openssl", 90, "openssl project", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("ssleay", 90, "cryptographic software written by eric young", "this product includes cryptographic software written by eric young"),
+    ("libpng", 60, "png reference library", "the png reference library is supplied as is the contributing authors and group 42 inc disclaim all warranties"),
+    ("ijg", 80, "independent jpeg group", "this software is based in part on the work of the independent jpeg group"),
+    ("info-zip", 80, "info zip", "for the purposes of this copyright and license info zip is defined as the following set of individuals"),
+    ("libtiff", 96, "names of sam leffler", "the names of sam leffler and silicon graphics may not be used in any advertising or publicity relating to the software"),
+    ("bzip2", 74, "plainly marked as such", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software(?: 4)? the name of the author may not be used to endorse or promote products"),
+    ("zlib", 72, "plainly marked as such", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("tcl", 90, "authors hereby grant permission", "the authors hereby grant permission to use copy modify distribute and license this software and its documentation for any purpose provided that existing copyright notices are retained in all copies"),
+    ("vim", 90, "unmodified copies of vim", "there are no restrictions on distributing unmodified copies of vim"),
+    ("python-2.0", 90, "python software foundation", "this license agreement is between the python software foundation psf and the individual or organization"),
+    ("php-3.01", 60, "php software freely available", "this product includes php software freely available from"),
+    ("ruby", 60, "make and give away verbatim copies", "you may make and give away verbatim copies of the source form of the software without restriction"),
+    ("artistic-1.0", 60, "semblance of artistic control", "the copyright holder maintains some semblance of artistic control over the development of the package"),
+    ("artistic-2.0", 60, "standard version", "you may distribute verbatim copies of the source form of the standard version of this package in any medium without restriction"),
+    ("bsd-3-clause-clear", 98, "no express or implied licenses to any party s patent rights", "no express or implied licenses to any party s patent rights are granted by this license"),
+    ("bsd-2-clause-patent", 96, "terms and conditions of this license each copyright holder and contributor", "subject to the terms and conditions of this license each copyright holder and contributor hereby grants to those receiving rights under this license a perpetual worldwide non exclusive no charge royalty free irrevocable"),
+    ("blueoak-1.0.0", 96, "blue oak model license", "blue oak model license(?: version)?(?: 1 0 0)?"),
+    ("blueoak-1.0.0", 60, "gives everyone as much permission", "this license gives everyone as much permission to work with this software as possible while protecting contributors from liability"),
+    ("upl-1.0", 96, "free of charge subject to the following condition", "permission is hereby granted free of charge subject to the following conditions? to any person obtaining a copy of this software associated documentation and or data"),
+    ("mulan-psl-2.0", 96, "mulan psl", "licensed under (?:the )?mulan psl v2"),
+    ("mulan-psl-1.0", 96, "mulan psl", "licensed under (?:the )?mulan psl v1"),
+    ("beerware", 98, "you can buy me a beer", "(?:if we meet some day and you think this stuff is worth it )?you can buy me a beer in return"),
+    ("fsfap", 96, "copying and distribution of this file", "copying and distribution of this file with or without modification are permitted in any medium without royalty provided the copyright notice and this notice are preserved"),
+    ("fsful", 96, "free software foundation gives unlimited permission", "the free software foundation gives unlimited permission to copy and or distribute it with or without modifications as long as this notice is preserved"),
+    ("fsfullr", 98, "this file is free software", "this file is free software the free software foundation gives unlimited permission to copy and or distribute it with or without modifications as long as this notice is preserved"),
+    # dedications
+    ("unlicense", 70, "anyone is free to copy modify publish", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
+    ("cc0-1.0", 96, "associated a work with this deed", "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights(?: to the work)?"),
+    ("cc0-1.0", 96, "affirmer hereby overtly fully permanently", "affirmer hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders all of affirmer s copyright and related rights"),
+    ("cc0-1.0", 96, "dedicated all copyright", "the authors? (?:has|have) dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"),
+    ("public-domain", 80, "placed in the public domain", "(?:is|are|was|were|has been|have been) (?:hereby )?placed in the public domain"),
+    ("public-domain", 80, "released into the public domain", "(?:is|are|was|were|has been|have been) (?:hereby )?released into the public domain"),
+    ("public-domain", 75, "dedicate any and all copyright interest", "we dedicate any and all copyright interest in the software to the public domain"),
+    ("sqlite-blessing", 98, "may you do good and not evil", "may you do good and not evil may you find forgiveness for yourself and forgive others may you share freely never taking more than you give"),
+    # works that are not software
+    ("ofl-1.1", 60, "neither the font software nor any of its individual components", "neither the font software nor any of its individual components in original or modified versions may be sold by itself"),
+    ("ofl-1.1", 62, "reserved font name", "no modified version of the font software may use the reserved font name s unless explicit written permission is granted"),
+    ("odbl-1.0", 60, "derivative database", "any derivative database that you publicly use must be only under the terms of this license"),
+    ("cc", 55, "copy distribute and transmit the work", "you are free to share to copy distribute and transmit the work"),
+    ("cc", 57, "give appropriate credit provide a link to the license", "you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-sa", 60, "distribute your contributions under the same license", "if you remix transform or build upon the material you must distribute your contributions under the same license as the original"),
+    ("cc-nd", 60, "may not distribute the modified material", "if you remix transform or build upon the material you may not distribute the modified material"),
+    ("cc-nc", 60, "may not use the material for commercial purposes", "you may not use the material for commercial purposes"),
+    ("ogl-uk-3.0", 90, "open government licence", "(?:contains public sector information )?licensed under the open government licence v ?3 0"),
+    ("cdla-permissive-2.0", 90, "community data license agreement", "community data license agreement permissive(?: version)? 2 0"),
+    ("cdla-sharing-1.0", 90, "community data license agreement", "community data license agreement sharing(?: version)? 1 0"),
+    ("cdla-permissive-1.0", 90, "community data license agreement", "community data license agreement permissive(?: version)? 1 0"),
+    # terms that keep uses back
+    ("commons-clause", 97, "commons clause", "(?:the software is provided to you by the licensor under the license as defined below subject to the following condition(?: [^ ]+){0,6}? )?commons clause(?: license condition v1 0)?"),
+    ("commons-clause", 97, "does not grant to you the right to sell", "the grant of rights under the license will not include and the license does not grant to you the right to sell the software"),
+    ("busl-1.1", 60, "non production use", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("elastic-2.0", 60, "hosted or managed service", "you may not provide the software to third parties as a hosted or managed service where the service provides users with access to any substantial set of the features or functionality of the software"),
+    ("polyform-noncommercial-1.0.0", 90, "polyform noncommercial", "polyform noncommercial license(?: 1 0 0)?"),
+    ("polyform-small-business-1.0.0", 90, "polyform small business", "polyform small business license(?: 1 0 0)?"),
+    ("rail", 85, "use based restrictions", "use based restrictions(?: [^ ]+){1,20}? (?:must|shall) be included as an enforceable provision"),
+    ("openrail-m", 90, "openrail m", "(?:bigscience |creativeml )?(?:open rail m|openrail m)(?: license)?"),
+    ("all-rights-reserved", 30, "no part of this publication may be reproduced", "no part of this publication may be reproduced(?: distributed)?(?: stored in a retrieval system)?(?: or transmitted)? in any form or by any means"),
+    ("proprietary", 35, "proprietary and confidential", "(?:this (?:file|software|document) is |is )?(?:the )?(?:proprietary and confidential|confidential and proprietary)(?: information)?"),
+    ("proprietary", 35, "unauthorized copying of this file", "unauthorized copying of this file via any medium is strictly prohibited"),
 ]
 _IS_WORD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
