@@ -103,13 +103,16 @@ class Scratch:
         return cut(df)
 
 
-#: Rows of ids or words, a few dozen bytes each, that are sent to all tasks at most.
-SMALL = 500_000
+#: Rows, and bytes of their texts, that are sent to all tasks at most.
+SMALL, SMALL_BYTES = 500_000, 32 << 20
 
 
 def small(table: DataFrame) -> DataFrame:
-    """A narrow table that was cut, to be sent to all tasks if its rows are counted to be at most ``SMALL``; else it joins by shuffle."""
-    return F.broadcast(table) if table.count() <= SMALL else table
+    """A narrow table that was cut, to be sent to all tasks if its rows and the bytes of its strings are counted to be few; else it joins by shuffle."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = F.coalesce(F.sum(sum(texts[1:], texts[0])), F.lit(0)) if texts else F.lit(0)
+    rows, size = table.agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(table) if rows <= SMALL and size <= SMALL_BYTES else table
 
 
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:
