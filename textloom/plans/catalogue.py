@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as X
 from textloom.operators import attempts, discovery, embedding, fragments, indexes, metrics, packing, structure
 from textloom.plans import ingestion
-from textloom.sources import files, upserts
+from textloom.sources import files, parsers, sinks, upserts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -486,6 +486,49 @@ def parsed_pages(t):
     return rows.select("page_id", "error", F.md5("markdown").alias("hash"), "device")
 
 
+_BROKEN = """p AS (SELECT page_id, url, html, strpos(html, '</article>') AS ends FROM pages), q AS (SELECT *, substr(html, ends + 10) AS rest, substr(html, 1, ends - 1) AS head FROM p),
+read AS (SELECT *, CASE WHEN ends = 0 THEN 'ValueError: no end of the article' WHEN starts_with(rest, '<footer>') AND length(rest) % 2 = 1 OR trim(head) = '' THEN 'empty Markdown' END AS error FROM q)"""
+
+
+def _three(content: bytes) -> parsers.Output:
+    """:func:`_only_whole` as a parser with three outputs."""
+    text = _only_whole(content)
+    return parsers.Output(text, json.dumps([{"type": "text", "n": len(text)}]), json.dumps({"pdf_info": [len(content)]}))
+
+
+def _converted(t) -> DataFrame:
+    return files.parsed(t("pages").select(F.col("page_id").cast("string").alias("stem"), F.col("url").alias("pdf_path"), F.col("html").cast("binary").alias("content")), _three)
+
+
+@_query(f"""WITH {_BROKEN} SELECT page_id::VARCHAR AS stem, md5(head) AS hash, '[{{"type": "text", "n": ' || length(head) || '}}]' AS content_list, '{{"pdf_info": [' || strlen(html) || ']}}' AS middle FROM read WHERE error IS NULL""")
+def converted_outputs(t):
+    """Pages converted to three outputs, each of which is a table of its own, and these read again."""
+    spark = t("pages").sparkSession
+    folder = sinks.scratch_folder(spark)
+    sinks.write_triple(_converted(t).filter("error IS NULL"), folder)
+    of = {c: spark.read.parquet(f"{folder}/{c}").withColumnRenamed("value", c) for c in ("markdown", "content_list", "middle")}
+    return of["markdown"].join(of["content_list"], "stem").join(of["middle"], "stem").select("stem", F.md5("markdown").alias("hash"), "content_list", "middle")
+
+
+@_query(f"WITH {_BROKEN} SELECT page_id::VARCHAR AS stem, error, CASE WHEN ends = 0 THEN 'ValueError: no end of the article' END AS raised FROM read WHERE error IS NOT NULL")
+def error_details(t):
+    """What failed, appended to the log of errors with its traceback, and read again."""
+    spark = t("pages").sparkSession
+    folder = sinks.scratch_folder(spark)
+    sinks.append_errors(_converted(t).select("stem", "pdf_path", "error", "traceback"), f"{folder}/errors")
+    rows = spark.read.schema("stem string, pdf_path string, error string, traceback string").json(f"{folder}/errors")
+    return rows.select("stem", "error", F.regexp_extract(F.rtrim("traceback"), r"([^\n]*)\s*$", 1).alias("raised"))
+
+
+@_query(f"WITH {_BROKEN} SELECT url AS pdf_path, error FROM read WHERE error IS NOT NULL")
+def failed_list(t):
+    """The failed files as a path, a tab and a message each, and these read again."""
+    spark = t("pages").sparkSession
+    folder = sinks.scratch_folder(spark)
+    sinks.write_failed(_converted(t).filter("error IS NOT NULL"), f"{folder}/failed")
+    return spark.read.option("sep", "\t").schema("pdf_path string, error string").csv(f"{folder}/failed")
+
+
 def _picky(texts: list[str]) -> list[list[float]]:
     """A stand-in for a model: over 20 texts at once are too many, and texts with a pipe are refused."""
     if len(texts) > 20:
@@ -647,6 +690,17 @@ def _log(t) -> DataFrame:
     )
 
 
+@_query("""SELECT user_id::VARCHAR AS lngid, CASE WHEN event_type = 'purchase' THEN 'success' ELSE 'failure' END AS status, CASE WHEN event_type = 'click' THEN 'parse' WHEN event_type <> 'purchase' THEN 'index' END AS stage,
+  (user_id % 2 + 1)::INT AS attempt, CASE WHEN value > 100 THEN 'Timeout' END AS error, ts AS timestamp FROM events""")
+def status_appended(t):
+    """Records appended to the status log by two runs, and the log read again."""
+    rows = _log(t)
+    folder = sinks.scratch_folder(rows.sparkSession)
+    for status in ("success", "failure"):
+        sinks.append_status(rows.filter(F.col("status") == status), f"{folder}/status")
+    return files.status_log(rows.sparkSession, f"{folder}/status").select("lngid", "status", "stage", "attempt", "error", "timestamp")
+
+
 @_query("""SELECT count(*) FILTER (event_type = 'purchase')::BIGINT AS success, count(*) FILTER (event_type = 'click')::BIGINT AS parse_failures, count(*) FILTER (event_type NOT IN ('purchase', 'click'))::BIGINT AS index_failures,
   count(*) FILTER (event_type <> 'purchase' AND value > 100)::BIGINT AS timeouts, count(*) FILTER (user_id % 2 = 1)::BIGINT AS retries, count(*)::BIGINT AS records, round(max(e) - min(e), 2) AS elapsed_seconds,
   round(count(*) FILTER (event_type = 'purchase') / (max(e) - min(e)) * 3600, 2) AS throughput_per_hour,

@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.sources.upserts import Upserts
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for outputs that are read again, in the shared folder that ``spark.checkpoint.dir`` names; it goes when the application
+    ends. Only in local mode, where all is one machine, may none be named."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return place.toString()
+
+
 def write_index(rows: DataFrame, folder: str, version: int) -> None:
     """Writes the documents of one version, partitioned by index; the same version written again replaces itself."""
     Upserts(folder).write(rows, version)
@@ -19,8 +38,8 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def append_status(rows: DataFrame, folder: str) -> None:
-    """Appends records to the status log, as lines of JSON."""
-    rows.write.mode("append").json(folder)
+    """Appends records to the status log, as lines of JSON; times keep their microseconds."""
+    rows.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(folder)
 
 
 def append_errors(rows: DataFrame, folder: str) -> None:
