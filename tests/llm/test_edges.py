@@ -15,7 +15,7 @@ ROWS = [
     (1, "one two three four five six seven", "en", "a", 33), (1, "one two three four five six seven", "en", "a", 33), (2, None, None, None, None), (3, "", "en", "a", 0), (4, " \n\t ", "en", "b", 4),
     (5, LONG, "en", "b", len(LONG)), (6, LONG, "en", None, len(LONG)), (None, "one two three four five six seven", "en", "a", 33), (7, "x", "en", "a", 1), (8, "X", "en", "", 1),
 ]
-EXTRA = ["id", "size", "host", "comp", "node", "spans", "key", "line", "words", "matches_", "bucket", "goal"]
+EXTRA = ["id", "size", "host", "comp", "node", "spans", "key", "line", "words", "matches_", "bucket", "goal", "__size", "__Source", "__u", "__bits", "__kept", "__host", "__hash", "__gone", "__key", "__terms", "__spans", "__id", "own__u", "own_own__u"]
 
 
 def table(spark, rows=ROWS):
@@ -47,6 +47,12 @@ def test_stages_keep_columns_and_rows(spark, name, keep):
         assert got == whole(docs.withColumn("n_chars", F.length("text").cast("long")))
 
 
+def test_removed_ranges_keep_columns_of_any_name(spark):
+    docs = table(spark, ROWS[:4])
+    out = substrings.with_kept(docs)
+    assert set(docs.columns) <= set(out.columns) and all(r[c] == "mine" for r in out.collect() for c in EXTRA)
+
+
 def test_mix_reaches_targets(spark):
     random.seed(1)
     rows = [(k, " ".join(["w"] * random.randint(1, 80)), "en", random.choice("aaaaaabbc") if k % 50 else None, 0) for k in range(4000)]

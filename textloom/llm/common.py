@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +116,22 @@ def small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if rows <= SMALL and size <= SMALL_BYTES else table
 
 
+def own_names(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``work`` on a table that may have columns named like its working columns, which begin with ``__``: these have other names meanwhile."""
+
+    @functools.wraps(work)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names = {}
+        for c in docs.columns:
+            if c.startswith("__") and c not in (*args, *options.values()):
+                names[c] = f"own{c}"
+                while names[c].lower() in (x.lower() for x in (*docs.columns, *[v for k, v in names.items() if k != c])):
+                    names[c] = f"own_{names[c]}"
+        return work(docs.withColumnsRenamed(names), *args, **options).withColumnsRenamed({v: k for k, v in names.items()})
+
+    return run
+
+
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with columns that are computed once a row, however often later expressions and their lambdas use them."""
     packed = F.array(F.struct(*[F.col(c) for c in df.columns], *[v.alias(k) for k, v in columns.items()]))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, cut
+from textloom.llm.common import WORD, cut, own_names
 
 BUCKETS = 4096
 PASSES = 4
@@ -161,6 +161,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     return rows.select("id", *[F.col(f"__{c}").alias(c) for c in ("source", "size", "source_size", "target", "copies")])
 
 
+@own_names
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """The rows of ``docs`` in the mix, each as many times as :func:`plan` says; all columns are kept."""
     _, rates, passes = _settled(docs, id_col, text_col, source_col, weights, max_copies)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import NOT_SPACE, Scratch, Words, cut, in_chunks, mix, slices, small
+from textloom.llm.common import NOT_SPACE, Scratch, Words, cut, in_chunks, mix, own_names, slices, small
 from textloom.llm.graph import components
 
 SHINGLE = 5
@@ -366,6 +366,7 @@ def _components_of(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return found.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
+@own_names
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each component that with the smallest id."""
     found = components_of(docs, id_col, text_col)

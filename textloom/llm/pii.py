@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import cut, slices, small
+from textloom.llm.common import cut, own_names, slices, small
 
 #: Kinds of the patterns in order; terms come after them.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -204,6 +204,7 @@ def spans_of(text: str, terms: dict[str, float]) -> tuple[list[tuple[str, int, i
     return found, "".join(out)
 
 
+@own_names
 def sanitised(docs: DataFrame, text_col: str = "text", masked_col: str = "masked", spans_col: str = "spans") -> DataFrame:
     """``docs`` with ``spans`` (array<struct<kind, start, end>>, in order) and the masked text; a null text stays null."""
     docs = docs.drop(masked_col, spans_col)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, barrier, cut, small
+from textloom.llm.common import WORD, barrier, cut, own_names, small
 
 MIN_WORDS = 50
 MAX_REPEATED = 50
@@ -133,6 +133,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     return rows.select(id_col, *COUNTS, "removed_words", "base_failed", "kept")
 
 
+@own_names
 def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
     """The rows of ``docs`` that pass, with all columns: the text without boilerplate lines, its length told anew in ``chars_col`` where that column is there.
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import cut, in_chunks, mix, powers, prefix_hashes, slices, small
+from textloom.llm.common import cut, in_chunks, mix, own_names, powers, prefix_hashes, slices, small
 
 LENGTH = 100
 GRAM = 32
@@ -353,6 +353,7 @@ def merged(spans: list[dict] | None, raw: bytes) -> list[tuple[int, int]]:
     return out
 
 
+@own_names
 def with_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``removed`` (byte ranges in order, array<struct<begin, end>>) and ``kept`` (the other bytes, binary)."""
     docs = docs.drop("removed", "kept")
