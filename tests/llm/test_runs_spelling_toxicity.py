@@ -213,3 +213,25 @@ def test_toxicity_of_edge_rows(spark):
     assert toxicity.trained([(b"x", 1, None)] * 9).scale == 0  # one label alone teaches nothing
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (5, 0), (7, 0), (7, 1), (None, 1), (8, None)], "doc_id long, toxic int")
     assert sorted(toxicity.sample_of(docs, labels)) == [(b"", 0, "en"), (b"one two three four five six seven", 1, "en"), (b"x", 1, "en")]
+
+
+def test_every_labelled_text_is_learned_whole(spark):
+    """Only texts of over 48,000 bytes, which were left out of the sample once, are toxic; in several shards, wherever rows lie."""
+    random.seed(31)
+    text = lambda n: [random.choice("etaoin") + random.choice("shrdlu") * random.randint(1, 4) for _ in range(n)]
+    rows = []
+    for k in range(360):
+        words = text(16_000 if k % 3 == 0 else 30)
+        if k % 6 == 0:
+            words[random.randrange(len(words))] = "blockhead"
+        rows.append((k, " ".join(words), "en", int(k % 6 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").repartition(3).cache()
+    labels = docs.filter("doc_id < 300").select("doc_id", "toxic")
+    shards = toxicity._shards(docs, toxicity._known(labels, "doc_id", "toxic"), 60, "doc_id", "text", "lang")
+    assert shards.count() == 300 and shards.select("shard").distinct().count() == 5
+    assert all(n.sum() > 0 for n in toxicity._seen(shards))
+    model = toxicity.learned(docs, labels, size=60)
+    held = [(r.score >= toxicity.CUT, r.toxic) for r in toxicity.scored(docs.filter("doc_id >= 300"), model).collect()]
+    assert sum(p and t for p, t in held) >= 9 and sum(p and not t for p, t in held) <= 1
+    again = toxicity.learned(docs.orderBy(F.desc("doc_id")).repartition(7), labels.repartition(2), size=60)
+    assert again.shift == model.shift and again.thresholds == model.thresholds and (again.embedding == model.embedding).all()
