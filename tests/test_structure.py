@@ -165,3 +165,13 @@ def test_strict_references_and_blank_lines(spark):
     assert plain[0].text == "first line of text second line another paragraph short" and not any("[J]" in r.text for r in plain)
     with pytest.raises(ValueError):
         structure.chunks(docs, paragraphs="page")
+
+
+def test_long_paths_are_typed_without_patterns(spark):
+    """A type of section is told from plain words: no pattern is tried at every character of a long path."""
+    rows = spark.createDataFrame([("x" * 5000 + " > The Future Work",), ("plain",), (None,), ("A > 试验",)], "path string")
+    df = rows.select(structure.section_type(F.col("path")).alias("kind"))
+    assert [r.kind for r in df.collect()] == ["结论", structure.BODY, structure.BODY, "实验"]
+    assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString()
+    blank = spark.createDataFrame([("",), (" \t\x1c　",), (" a ",), (None,)], "t string").select(X.is_blank(F.col("t")).alias("b"), (X.strip(F.col("t")) == "").alias("s")).collect()
+    assert [r.b for r in blank] == [r.s for r in blank] == [True, True, False, None]
