@@ -175,3 +175,10 @@ def test_long_paths_are_typed_without_patterns(spark):
     assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString()
     blank = spark.createDataFrame([("",), (" \t\x1c　",), (" a ",), (None,)], "t string").select(X.is_blank(F.col("t")).alias("b"), (X.strip(F.col("t")) == "").alias("s")).collect()
     assert [r.b for r in blank] == [r.s for r in blank] == [True, True, False, None]
+
+
+def test_paragraphs_are_cleaned_once(spark, data):
+    from textloom.plans import catalogue
+
+    plan = catalogue.QUERIES["blank_line_paragraphs"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<[^>]+>") <= 2  # of a title, if it is kept, and of a paragraph
