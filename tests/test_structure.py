@@ -182,3 +182,40 @@ def test_paragraphs_are_cleaned_once(spark, data):
 
     plan = catalogue.QUERIES["blank_line_paragraphs"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<[^>]+>") <= 2  # of a title, if it is kept, and of a paragraph
+
+
+def test_chunks_are_made_once_for_all_indexes(spark, data):
+    """No branch of the seven indexes cuts the documents again, and no paragraph is cleaned more than once."""
+    from textloom.plans import catalogue
+
+    plan = lambda q: catalogue.QUERIES[q](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "<[^>]+>" not in plan("index_documents")
+    assert plan("chunks").count("<[^>]+>") <= 2  # of a title and of a paragraph
+
+
+def test_cleaning_is_that_of_plain_patterns(spark):
+    """Ends are stripped without patterns, and patterns are tried only where their mark stands; the results are those of the patterns."""
+    random.seed(5)
+    white = [chr(k) for k in range(1, 0x10000) if not 0xD800 <= k < 0xE000]
+    texts = [c + "x" + c for c in white] + ["".join(random.choice("ab (),/'<>|\t\n\x1c\x85  　（）－.") for _ in range(random.randint(0, 40))) for _ in range(3000)] + [None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t, w = F.col("t"), r"[\s\x1c-\x1f]"
+    plain = F.regexp_replace(t, "<[^>]+>", "")
+    plain = F.replace(F.replace(F.replace(plain, F.lit("'"), F.lit(", ")), F.lit("（"), F.lit("(")), F.lit("）"), F.lit(")"))
+    for a, b in ((rf"{w}*/{w}*", "/"), (rf"\({w}+", "("), (rf"{w}+\)", ")"), (rf",{w}+,", ",")):
+        plain = F.regexp_replace(plain, f"(?U){a}", b)
+    plain = F.coalesce(F.trim(F.regexp_replace(F.replace(plain, F.lit("－"), F.lit("-")), f"(?U){w}+", " ")), F.lit(""))
+    stripped = F.regexp_replace(t, f"(?U)^{w}+|{w}+$", "")
+    assert df.filter(~X.strip(t).eqNullSafe(stripped) | ~X.clean(t).eqNullSafe(plain)).collect() == []
+    assert "regexp" not in df.select(X.strip(t))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_entries_and_title_words(spark):
+    """Entries come from one pattern, and words of titles are looked for only in lines that have a first character of one."""
+    random.seed(6)
+    texts = ["".join(random.choice(["[1]", "[23]", "[x]", "[", "]", " ", "\n", "　", "a", "))", "（责任编辑：x", "词"]) for _ in range(random.randint(0, 25))) for _ in range(500)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", structure.reference_entries(F.col("t")).alias("e"))
+    for k, e in df.collect():
+        assert e == entries(texts[k])
+    lines = spark.createDataFrame([(w[0] + " " + w[1:],) for w in structure.TITLE_WORDS] + [("no title",), ("一丁",)], "line string")
+    assert structure.headings(lines).filter("level = 2").count() == len(structure.TITLE_WORDS)
